@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table
+from .common import fold_is, stored, table
 
 
 def _tokenizer(name: str) -> str:
@@ -16,6 +17,15 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import langid
+
+    documents = table(spark, sf_dir, "documents")
+    held_out = fold_is("doc_id", 4, 2)
+    model = langid.fit(documents, where=~held_out)
+    return langid.identify(documents.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bpe
 
@@ -28,8 +38,23 @@ def op7_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), keep=["doc_id"])
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import simhash
+
+    prints = stored(simhash.fingerprints(table(spark, sf_dir, "documents"), keep=["doc_id"]))
+    found = simhash.near_duplicates(prints)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mixing
+
+    found = mixing.mix(table(spark, sf_dir, "documents"), mixing.cycle_weights(5, 2, 1), keep=["doc_id"])
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_bpe, op7_fertility)}
+    return {f.__name__: f for f in (op1_language, op5_bpe, op7_fertility, op8_simhash, op9_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
