@@ -26,12 +26,24 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import secret_scan
+
+    return secret_scan.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bpe
 
     return bpe.digests(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii
+
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import fertility
 
@@ -54,7 +66,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language, op5_bpe, op7_fertility, op8_simhash, op9_mixing)}
+    return {f.__name__: f for f in (op1_language, op3_secrets, op5_bpe, op6_pii, op7_fertility, op8_simhash, op9_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
