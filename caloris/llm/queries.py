@@ -26,6 +26,12 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
 
 
+def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import vectors
+
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import secret_scan
 
@@ -66,7 +72,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language, op3_secrets, op5_bpe, op6_pii, op7_fertility, op8_simhash, op9_mixing)}
+    return {f.__name__: f for f in (op1_language, op2_vectors, op3_secrets, op5_bpe, op6_pii, op7_fertility, op8_simhash, op9_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,8 +6,8 @@ group, distances are compared bit-sliced: up to 64 fingerprints stand vertically
 a plane into a word of mismatches, carry-save adders count them for all 64 at once, and a block is abandoned once all its
 counters exceed the radius. Planes outside the group's shared bands come first.
 
-Equal fingerprints are one point, so exact copies never meet. Groups beyond BLOCK points are cut into blocks, and each pair of
-blocks is a group of its own. A group gives a spanning forest of its links, fewer rows than points.
+Equal fingerprints are one point, so exact copies never meet. Large groups are cut into blocks, and each pair of blocks is a
+group of its own. A group gives a spanning forest of its links, fewer rows than points.
 
 Defined results: a null or empty text has fingerprint zero and links like any other. Rows with a null id get a fingerprint, but
 no links and a null component. Repeated ids join the components of all their texts' fingerprints, each row with that of its own.
@@ -25,15 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .blocks import PLACE, dealt, record_batches, whole_groups
 from .common import map_texts, stored
 from .components import Forest, components
 
 BANDS = 6
 RADIUS = 4
-#: Points of a group that meet in one place; larger groups are cut into blocks of about this many.
-BLOCK = 1024
-#: Rows that a task compares at a time (a group is never cut), and query-block pairs at a time.
-BATCH_ROWS, BATCH_TASKS = 100_000, 1 << 16
+#: Query-block pairs that a task compares at a time.
+BATCH_TASKS = 1 << 16
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -196,49 +195,15 @@ def links(points: DataFrame, radius: int = RADIUS, bands: int = BANDS) -> DataFr
     masks = [sum(x) for x in combinations(cuts, bands - radius)]
     keyed = F.array(*(F.struct(F.lit(k).alias("choice"), F.col("simhash").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key")) for k, m in enumerate(masks)))
     rows = points.select("simhash", "id", F.explode(keyed).alias("g")).select("simhash", "id", "g.*")
-    large = stored(rows.groupBy("choice", "key").count().filter(F.col("count") > BLOCK).select("choice", "key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
-    rows = rows.join(large, ["choice", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("mine", "other"), F.greatest("mine", "other")
-    side = F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") == low, 0).otherwise(1)
-    rows = rows.select("choice", "key", low.alias("low"), high.alias("high"), side.alias("side"), "simhash", "id")
-    group = ["choice", "key", "low", "high"]
+    key = ["choice", "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict[str, np.ndarray]] = []
-        n = 0
-
-        def made(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-            new = np.ones(len(c["id"]), bool)
-            new[1:] = False
-            for k in group:
-                new[1:] |= c[k][1:] != c[k][:-1]
-            number = np.cumsum(new)
-            size = np.bincount(number)
-            some = size[number] > 1
-            c, number = {k: v[some] for k, v in c.items()}, number[some]
-            if len(number):
-                a, b = compare(c["simhash"].view(np.uint64), number, c["side"], c["choice"], masks, radius)
-                for k in range(0, len(a), 10_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c["id"][x[k : k + 10_000]]) for x in (a, b)], names=["a", "b"])
-
-        for batch in batches:
-            held.append({k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(batch.schema.names)})
-            n += batch.num_rows
-            if n >= BATCH_ROWS:
-                c = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
-                last = np.ones(n, bool)
-                for k in group:
-                    last &= c[k] == c[k][-1]
-                cut = int(np.argmax(last))
-                yield from made({k: v[:cut] for k, v in c.items()})
-                held, n = [{k: v[cut:] for k, v in c.items()}], n - cut
-        if n:
-            yield from made({k: np.concatenate([h[k] for h in held]) for k in held[0]})
-
-    dealt = rows.repartition(*group).sortWithinPartitions(*group, "side")
-    return dealt.mapInArrow(run, "a long, b long")
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        for c, number in whole_groups(batches, [*key, *PLACE]):
+            a, b = compare(c["simhash"].view(np.uint64), number, c["side"], c["choice"], masks, radius)
+            yield from record_batches({"a": c["id"][a], "b": c["id"][b]}, schema)
+
+    return dealt(rows, key, "id").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(prints: DataFrame, id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
