@@ -34,8 +34,9 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, start: Callable[[],
     """Columns `keep` of df, then `fields` as the function that start() gives makes them of a list of texts.
 
     start() runs once a task. Texts come as str or None; the function returns one list for each field. Only the kept columns and
-    the text leave the JVM.
+    the text leave the JVM. A kept column of the same name as a made one gives way to it.
     """
+    keep = [k for k in keep if k not in {f.name for f in fields}]
     held = list(dict.fromkeys([*keep, text_col]))
     schema = T.StructType([*(df.schema[k] for k in keep), *fields])
     arrow = T.StructType(fields)
@@ -56,6 +57,17 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, start: Callable[[],
     return df.select(*held).mapInArrow(rows, schema)
 
 
+def neutral(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with its columns named c0, c1, ..., so that none clashes with what an operator makes, and the new names by the old."""
+    names = {k: f"c{i}" for i, k in enumerate(df.columns)}
+    return df.select(*(F.col(f"`{k}`").alias(c) for k, c in names.items())), names
+
+
+def restored(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns that neutral() renamed, under their old names; all others go."""
+    return df.select(*(F.col(c).alias(k) for k, c in names.items()))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that driver and executors share: below spark.checkpoint.dir, or below a folder of this machine where that is unset."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts
+from .common import map_texts, neutral, restored
 
 UNKNOWN = "und"
 #: Words a task remembers.
@@ -166,3 +166,10 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", keep: list[str
         return scorer.predict
 
     return map_texts(df, df.columns if keep is None else keep, text_col, start, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+
+
+def recognised(df: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of df whose language is found with a score of at least `least`."""
+    own, names = neutral(df)
+    found = identify(own, model, names[text_col])
+    return restored(found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)), names)

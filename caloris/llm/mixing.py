@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stored
+from .common import WORD, neutral, restored, stored
 
 #: A source's hashes fall into 4096 bins, by their bits from this one on.
 BIN_BIT = 50
@@ -84,7 +84,7 @@ def hash_of(id_col: str, seed: int) -> Column:
 
 def mix(df: DataFrame, weight: Column, max_epochs: float = 3.0, seed: int = 11, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns of df, then size, source_size, target and times (how often the mix takes the document)."""
-    keep = df.columns if keep is None else keep
+    keep = [k for k in (df.columns if keep is None else keep) if k not in ("size", "source_size", "target", "times")]
     sized = stored(df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size_of(text_col).alias("size")))
     found = stored(plan(sized, weight, max_epochs, seed))
     rows, columns = (sized, []) if set(keep) <= {id_col} else (df, keep)
@@ -101,10 +101,7 @@ def mix(df: DataFrame, weight: Column, max_epochs: float = 3.0, seed: int = 11,
 
 def repeated(df: DataFrame, weight: Column, **options) -> DataFrame:
     """The mix itself: rows of df, each as often as the mix takes it."""
-    given = df.columns
-    own = [F.col(k).alias(f"c{i}") for i, k in enumerate(given)]
-    columns = {k: options.pop(f"{k}_col", v) for k, v in (("id", "doc_id"), ("source", "source"), ("text", "text"))}
-    named = df.select(*own)
-    mixed = mix(named, weight, **{f"{k}_col": f"c{given.index(v)}" for k, v in columns.items()}, **options)
-    taken = mixed.filter("times > 0").select(*named.columns, F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))).alias("n"))
-    return taken.select(*(F.col(f"c{i}").alias(k) for i, k in enumerate(given)))
+    own, names = neutral(df)
+    columns = {f"{k}_col": names[options.pop(f"{k}_col", default)] for k, default in (("id", "doc_id"), ("source", "source"), ("text", "text"))}
+    mixed = mix(own, weight, **columns, **options).filter("times > 0")
+    return restored(mixed.withColumn("n", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))), names)

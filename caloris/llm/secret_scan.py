@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import spans as S
-from .common import text_or_empty
+from .common import neutral, restored, text_or_empty
 
 KINDS = ("assign", "access", "hex", "random")
 # The base patterns. Runs that end a pattern are possessive, which changes no match.
@@ -110,7 +110,7 @@ def _measure(token: Column, battery: Battery) -> Column:
 def scan(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, battery: Battery | None = None) -> DataFrame:
     """The kept columns, then base and spans: arrays of spans (start, end, match, kind), by start and kind."""
     battery = battery or Battery()
-    keep = df.columns if keep is None else keep
+    keep = [k for k in (df.columns if keep is None else keep) if k not in ("base", "spans")]
     rows = df.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keep)), text_or_empty(text_col).alias("__text"))
     text = F.col("__text")
     kinds = (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("random", TOKEN))
@@ -139,17 +139,15 @@ def scan(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, b
 
 def redact(df: DataFrame, text_col: str = "text", size_col: str | None = None, battery: Battery | None = None) -> DataFrame:
     """df with each secret in text replaced by a mark that names its kind; size_col, if given, gets the new length. Nulls stay."""
-    given = df.columns
-    own = df.select(*(F.col(k).alias(f"c{i}") for i, k in enumerate(given)))
-    text = f"c{given.index(text_col)}"
+    own, names = neutral(df)
+    text = names[text_col]
     found = scan(own, text, battery=battery)
     clean = S.replaced(F.col(text), F.col("spans"), lambda s: F.concat(F.lit("[SECRET:"), s["kind"], F.lit("]")))
-    found = found.withColumn("clean", F.when(F.size("spans") > 0, clean).otherwise(F.col(text)))
-    out = {k: F.col(f"c{i}") for i, k in enumerate(given)}
-    out[text_col] = F.col("clean")
+    found = found.withColumn(text, F.when(F.size("spans") > 0, clean).otherwise(F.col(text)))
     if size_col:
-        out[size_col] = F.when(F.size("spans") > 0, F.length("clean").cast(df.schema[size_col].dataType)).otherwise(out[size_col])
-    return found.select(*(c.alias(k) for k, c in out.items()))
+        size = names[size_col]
+        found = found.withColumn(size, F.when(F.size("spans") > 0, F.length(text).cast(df.schema[size_col].dataType)).otherwise(F.col(size)))
+    return restored(found, names)
 
 
 def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import PLACE, dealt, record_batches, whole_groups
-from .common import map_texts, stored
+from .common import map_texts, neutral, restored, stored
 from .components import Forest, components
 
 BANDS = 6
@@ -221,13 +221,15 @@ def near_duplicates(prints: DataFrame, id_col: str = "doc_id", radius: int = RAD
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """The rows of df that stay: one of each component, that of the smallest id; rows with a null id stay."""
-    given = df.columns
-    whole = stored(df.transform(fingerprints, text_col=text_col))
-    found = stored(near_duplicates(whole.select(id_col, "simhash"), id_col, radius))
-    first = found.filter(F.col("component_id").isNotNull()).groupBy("component_id").agg(F.min(F.struct(id_col, "simhash")).alias("first")).select("first.*")
-    rows = whole.filter(F.col(id_col).isNotNull()).groupBy(id_col, "simhash").count()
-    first = stored(first.join(rows, [id_col, "simhash"]))
+    own, names = neutral(df)
+    id_col = names[id_col]
+    whole = stored(fingerprints(own, text_col=names[text_col]))
     key = [id_col, "simhash"]
-    single = whole.join(first.filter("count = 1").select(*key), key, "left_semi").select(*given)
-    repeated = whole.join(first.filter("count > 1").select(*key), key, "left_semi").dropDuplicates(key).select(*given)
-    return single.union(repeated).union(whole.filter(F.col(id_col).isNull()).select(*given))
+    found = stored(near_duplicates(whole.select(*key), id_col, radius))
+    first = found.filter(F.col("component_id").isNotNull()).groupBy("component_id").agg(F.min(F.struct(*key)).alias("first")).select("first.*")
+    rows = whole.filter(F.col(id_col).isNotNull()).groupBy(*key).count()
+    first = stored(first.join(rows, key))
+    single = whole.join(first.filter("count = 1").select(*key), key, "left_semi")
+    repeated = whole.join(first.filter("count > 1").select(*key), key, "left_semi").dropDuplicates(key)
+    unknown = whole.filter(F.col(id_col).isNull())
+    return restored(single.unionByName(repeated).unionByName(unknown), names)
