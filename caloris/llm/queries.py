@@ -71,8 +71,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import licenses
+
+    return licenses.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language, op2_vectors, op3_secrets, op5_bpe, op6_pii, op7_fertility, op8_simhash, op9_mixing)}
+    return {f.__name__: f for f in (op1_language, op2_vectors, op3_secrets, op5_bpe, op6_pii, op7_fertility, op8_simhash, op9_mixing, op10_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:
