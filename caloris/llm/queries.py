@@ -38,6 +38,15 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import lm
+
+    held_out = fold_is("doc_id", 5, 1)
+    scored = lm.score(table(spark, sf_dir, "documents"), ~held_out)
+    columns = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+    return scored.select("doc_id", held_out.alias("held_out"), *columns)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bpe
 
@@ -78,7 +87,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language, op2_vectors, op3_secrets, op5_bpe, op6_pii, op7_fertility, op8_simhash, op9_mixing, op10_licenses)}
+    return {f.__name__: f for f in (op1_language, op2_vectors, op3_secrets, op4_lm, op5_bpe, op6_pii, op7_fertility, op8_simhash, op9_mixing, op10_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:
