@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caloris.functions import geometry as G
+from caloris.sources.store import cut
 
 
 # Defaults of dataset building.
@@ -74,26 +75,26 @@ def image_name(stem: Column, frame: Column, kind: Column) -> Column:
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """df with dense numbers from 1 in an explicit order, over all rows.
 
-    Rows are range-partitioned and sorted; only the number of rows of each partition passes the driver, so no task holds more than
-    its range.
+    Rows are range-partitioned, sorted and kept; only the number of rows of each partition passes the driver, so no task holds more
+    than its range.
     """
-    spark = df.sparkSession
     dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
-    dealt = dealt.withColumn("__at", F.monotonically_increasing_id() - F.shiftleft(F.col("__part").cast("long"), 33))
-    sizes = sorted((r["__part"], r["count"]) for r in dealt.groupBy("__part").count().collect())
-    before, rows = 0, []
-    for part, n in sizes:
-        rows.append((part, before))
+    dealt = cut(dealt.withColumn("__at", F.monotonically_increasing_id() - F.shiftleft(F.col("__part").cast("long"), 33)))
+    before, starts = 0, {}
+    for part, n in sorted((r["__part"], r["count"]) for r in dealt.groupBy("__part").count().collect()):
+        starts[part] = before
         before += n
-    starts = spark.createDataFrame(rows, "__part int, __before long")
-    return dealt.join(F.broadcast(starts), "__part").withColumn(name, F.col("__before") + F.col("__at") + 1).drop("__part", "__at", "__before")
+    if not starts:
+        return dealt.drop("__part", "__at").withColumn(name, F.lit(0).cast("long"))
+    begin = F.element_at(F.create_map(*(F.lit(x) for part, n in starts.items() for x in (part, n))), F.col("__part"))
+    return dealt.withColumn(name, (begin + F.col("__at") + 1).cast("long")).drop("__part", "__at")
 
 
 def annotations(images: DataFrame) -> DataFrame:
     """One row for each polygon of images(image_id, polygons, ...): segmentation, area, box and a dense id in image order."""
-    rows = images.select("image_id", F.posexplode("polygons").alias("pos", "polygon"))
-    w = Window.orderBy("image_id", "pos")
-    return rows.select(F.row_number().over(w).alias("id"), "image_id", (F.col("pos") + 1).alias("source_region_id"), F.lit(1).alias("category_id"), G.flat(F.col("polygon")).alias("segmentation"), G.area(F.col("polygon")).alias("area"), G.bounding_box(F.col("polygon")).alias("bbox"), F.lit(0).alias("iscrowd"))
+    rows = numbered(images.select("image_id", F.posexplode("polygons").alias("pos", "polygon")), ["image_id", "pos"], "id")
+    polygon = F.col("polygon")
+    return rows.select("id", "image_id", (F.col("pos") + 1).alias("source_region_id"), F.lit(1).alias("category_id"), G.flat(polygon).alias("segmentation"), G.area(polygon).alias("area"), G.bounding_box(polygon).alias("bbox"), F.lit(0).alias("iscrowd"))
 
 
 def pan_timeline(fps: float, stable_seconds: float = 4.0, transition_seconds: float = 1.2, back: bool = True) -> list[tuple[str, int]]:

@@ -8,7 +8,7 @@ from typing import Protocol
 import numpy as np
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 SCHEMA = "video_id string, frame int, timestamp_seconds double, width int, height int, bgr binary"
 
@@ -92,7 +92,7 @@ class FrameSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return FrameReader(dict(self.options))
 
-    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
+    def streamReader(self, schema) -> DataSourceStreamReader:
         return FrameStream(dict(self.options))
 
 
@@ -113,22 +113,33 @@ class FrameReader(DataSourceReader):
         return _rows(self.options, partition.first, partition.last)
 
 
-class FrameStream(SimpleDataSourceStreamReader):
-    """Frames in order, some with each batch; a batch can be read again by its offsets."""
+class FrameStream(DataSourceStreamReader):
+    """Frames in order, some with each batch, decoded by the tasks; a batch can be read again by its offsets."""
 
     def __init__(self, options: dict[str, str]):
         self.options, self.step = options, max(1, int(options.get("frames_per_batch", 4)))
         self.total = DECODERS[options.get("decoder", "synthetic")](options).total_frames
+        self.seen = 0
 
     def initialOffset(self) -> dict:
         return {"frame": 0}
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        end = {"frame": min(self.total, start["frame"] + self.step)}
-        return self.readBetweenOffsets(start, end), end
+    def latestOffset(self) -> dict:
+        self.seen = min(self.total, self.seen + self.step)
+        return {"frame": self.seen}
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return _rows(self.options, start["frame"], end["frame"] - 1)
+    def partitions(self, start: dict, end: dict) -> list[FrameRange]:
+        self.seen = max(self.seen, end["frame"])
+        return [FrameRange(start["frame"], end["frame"] - 1)] if end["frame"] > start["frame"] else []
+
+    def read(self, partition: FrameRange) -> Iterator[tuple]:
+        return _rows(self.options, partition.first, partition.last)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+    def stop(self) -> None:
+        pass
 
 
 def register(spark: SparkSession) -> None:
