@@ -16,9 +16,11 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,24 +127,34 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     chance = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col).cast("string")), F.lit(1 << 30)) / float(1 << 30)
     sample = labelled.withColumn("__lang", F.col(lang_col)).filter(chance < F.coalesce(share[F.col("__lang")], F.lit(-1.0)))
 
-    def start():
-        def rows(texts):
-            counted = []
-            for t in texts:
-                words = Counter(words_of(t))
-                c = Counter({(0, w): n for w, n in words.items()})
-                for w, k in words.items():
-                    for n in range(1, longest + 1):
-                        for g in grams_of(w, n):
-                            c[n, g] += k
-                counted.append([(n, g, k) for (n, g), k in c.items()])
-            return (counted,)
-
-        return rows
-
-    item = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("g", T.StringType()), T.StructField("k", T.LongType())])
-    counted = map_texts(sample, ["__lang"], text_col, start, [T.StructField("found", T.ArrayType(item))])
-    counts = counted.select(F.col("__lang").alias("lang"), F.inline("found")).groupBy("lang", "n", "g").agg(F.sum("k").alias("k"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Counter] = {}
+
+        def counted(lang: str, words: Counter) -> Iterator[pa.RecordBatch]:
+            found: Counter = Counter()
+            for w, k in words.items():
+                found[0, w] += k
+                for n in range(1, longest + 1):
+                    for g in grams_of(w, n):
+                        found[n, g] += k
+            items = list(found.items())
+            for at in range(0, len(items), 50_000):
+                some = items[at : at + 50_000]
+                columns = [pa.array([lang] * len(some)), pa.array([n for (n, _), _ in some], pa.int32()), pa.array([g for (_, g), _ in some]), pa.array([k for _, k in some], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "n", "g", "k"])
+
+        # a language's words are counted once for many texts; they go out before they are too many to hold
+        for batch in batches:
+            for lang, text in zip(batch.column("__lang").to_pylist(), batch.column("__text"), strict=True):
+                words = held.setdefault(lang, Counter())
+                words.update(words_of(text.as_py()))
+                if len(words) > 20_000:
+                    yield from counted(lang, held.pop(lang))
+        for lang, words in held.items():
+            yield from counted(lang, words)
+
+    counted = sample.select("__lang", F.col(text_col).alias("__text")).mapInArrow(run, "lang string, n int, g string, k long")
+    counts = counted.groupBy("lang", "n", "g").agg(F.sum("k").alias("k"))
     counts = counts.withColumn("tables", F.when(F.col("n") == 0, 0).otherwise(1)).filter(F.col("k") >= min_count)
     numbers = {lang: i for i, lang in enumerate(langs)}
     tables: dict[int, dict[str, np.ndarray]] = {n: {} for n in range(longest + 1)}
