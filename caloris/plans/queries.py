@@ -601,3 +601,59 @@ def overlay_labels(spark, sf_dir):
     stats = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.min("c_acctbal").alias("lo"), F.max("c_acctbal").alias("hi"))
     rows = stats.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return rows.select("n_nationkey", overlay_label(F.col("n_name"), F.col("lo"), F.col("hi")).alias("label"))
+
+
+@query(f"""WITH {READINGS}, a AS (SELECT *, kind <> 'error' AND frame > 0 AS good FROM readings),
+i AS (SELECT *, max(CASE WHEN good OR frame = 0 THEN frame END) OVER w AS anchor_frame, sum(CASE WHEN good THEN gray ELSE 0 END) OVER w AS h02 FROM a WINDOW w AS (PARTITION BY region ORDER BY frame))
+SELECT region, frame, CASE WHEN frame = 0 THEN 'REFERENCE' WHEN good THEN 'TRACKED' WHEN frame - anchor_frame >= 3 THEN 'SCENE_CHANGE_SUSPECTED' ELSE 'HOLD_LAST_GOOD' END AS status,
+ CAST(anchor_frame AS BIGINT) AS anchor_frame, CAST(frame - anchor_frame AS INTEGER) AS failures, CAST(h02 AS DOUBLE) AS h02 FROM i""")
+def camera_track(spark, sf_dir):
+    one, none = F.lit(1.0), F.lit(0.0)
+    rows = readings(spark, sf_dir).withColumns({"accepted": F.col("kind") != "error", "delta": F.array(one, none, F.col("gray").cast("double"), none, one, none)})
+    found = fold.ordered_fold(rows, "region", ["frame"], ["frame", "accepted", "delta"], fold.track_step(warn_after=3), fold.TRACK_FIELDS)
+    return found.select("region", "frame", "status", "anchor_frame", "failures", F.col("transform")[2].alias("h02"))
+
+
+@query("""WITH c AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'OK' WHEN 1 THEN 'NO_MATCHES' ELSE 'TOO_FEW_INLIERS' END AS flow, CASE o_custkey % 2 WHEN 0 THEN 'OK' ELSE 'NO_TRANSFORM' END AS features FROM orders)
+SELECT o_orderkey, CASE WHEN flow = 'OK' THEN 'LK_OPTICAL_FLOW' WHEN features = 'OK' THEN 'ORB_FALLBACK' ELSE 'NONE' END AS method,
+ CASE WHEN flow = 'OK' THEN 'LK_ACCEPTED' WHEN features = 'OK' THEN 'ORB_RECOVERY_AFTER_' || flow ELSE 'TRACKING_FAILED:LK=' || flow || ';ORB=' || features END AS reason FROM c""")
+def method_choice(spark, sf_dir):
+    k = F.col("o_orderkey") % 3
+    flow = F.when(k == 0, "OK").when(k == 1, "NO_MATCHES").otherwise("TOO_FEW_INLIERS")
+    features = F.when(F.col("o_custkey") % 2 == 0, "OK").otherwise("NO_TRANSFORM")
+    return table(spark, sf_dir, "orders").select("o_orderkey", M.choose_method(flow, features).alias("c")).select("o_orderkey", "c.*")
+
+
+@query("WITH r AS (SELECT o_orderkey AS video, unnest(['log', 'summary', 'manifest']) AS name FROM orders), p AS (SELECT l_orderkey AS video, CASE l_linenumber WHEN 1 THEN 'log' WHEN 2 THEN 'summary' WHEN 3 THEN 'manifest' END AS name, l_quantity AS size_bytes FROM lineitem) SELECT r.video, r.name FROM r WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.video = r.video AND p.name = r.name AND p.size_bytes > 10)")
+def missing_outputs(spark, sf_dir):
+    required = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("video"), F.explode(F.array(F.lit("log"), F.lit("summary"), F.lit("manifest"))).alias("name"))
+    n = F.col("l_linenumber")
+    present = table(spark, sf_dir, "lineitem").filter(n <= 3).select(F.col("l_orderkey").alias("video"), F.when(n == 1, "log").when(n == 2, "summary").otherwise("manifest").alias("name"), (F.col("l_quantity") - 10).alias("size_bytes"))
+    return P.missing_files(required, present, ["video"])
+
+
+@query("SELECT o_orderkey, least(greatest(CAST(round_even(((o_orderkey % 97) * CAST(0.31 AS DOUBLE)) % CAST(4.1 AS DOUBLE) * CAST(24.5 AS DOUBLE), 0) AS INTEGER), 0), 99) AS frame FROM orders")
+def looped_frames(spark, sf_dir):
+    from caloris.sources.frames import looped_frame
+
+    seconds = (F.col("o_orderkey") % 97).cast("double") * 0.31
+    return table(spark, sf_dir, "orders").select("o_orderkey", looped_frame(seconds, F.lit(4.1), F.lit(24.5), F.lit(100)).alias("frame"))
+
+
+@query(None)
+def frame_temperatures(spark, sf_dir):
+    """The whole path from frames to region statistics, on frames of the synthetic decoder."""
+    from caloris.operators.thermal import temperature_log
+    from caloris.sources import frames
+
+    frames.register(spark)
+    rows = spark.read.format("frames").option("frames", 200).option("frames_per_partition", 25).load()
+    rows = rows.withColumns({"scale_min_temp": F.lit(15.6), "scale_max_temp": F.lit(46.9)})
+    regions = [{"id": 1, "name": "left", "points": [(0, 0), (27, 0), (27, 47), (0, 47)]}, {"id": 2, "name": "right", "points": [(28, 0), (54, 10), (54, 40), (28, 47)]}]
+    return temperature_log(rows, regions, {"x": 56, "y": 0, "w": 8, "h": 48})
+
+
+@query(None)
+def video_summaries(spark, sf_dir):
+    """The video summary over frame_temperatures."""
+    return S.video_summary(frame_temperatures(spark, sf_dir))
