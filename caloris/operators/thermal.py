@@ -29,10 +29,12 @@ def is_neutral(b: Column, g: Column, r: Column, difference: int) -> Column:
 def nearest_levels(palette: DataFrame) -> DataFrame:
     """For each intensity 0 to 255 the row of palette(row, gray, temp) of the nearest gray level, the first row on ties.
 
-    The palette has a row for each line of a colour bar, a few hundred at most, so it becomes an array in one row.
+    Levels are medians of bytes, so at most 511 differ: the first row of each is found by partial aggregates, and these few become
+    an array in one row.
     """
     item = F.struct("row", "gray", "temp")
-    bar = palette.agg(F.array_sort(F.collect_list(item)).alias("bar"))
+    levels = palette.groupBy("gray").agg(F.min(F.struct("row", "temp")).alias("first")).select("gray", "first.row", "first.temp")
+    bar = levels.agg(F.array_sort(F.collect_list(item)).alias("bar"))
     rows = bar.withColumn("intensity", F.explode(F.sequence(F.lit(0), F.lit(255))))
     ranked = F.transform("bar", lambda p: F.struct(F.abs(p["gray"] - F.col("intensity")).alias("d"), p["row"].alias("row"), p["gray"].alias("gray"), p["temp"].alias("temp")))
     return rows.select("intensity", F.array_min(ranked).alias("p")).filter("p IS NOT NULL").select("intensity", "p.row", "p.gray", "p.temp")

@@ -306,9 +306,9 @@ def ocr_best_reading(spark, sf_dir):
     return C.best_reading(_reads(spark, sf_dir), ["user_id"])
 
 
-@query(f"WITH {_READS} SELECT user_id, string_agg(text, '' ORDER BY ord) AS text, min(confidence) AS confidence FROM c WHERE ord % 16 = 0 GROUP BY user_id HAVING count(*) > 1")
+@query(f"WITH {_READS} SELECT user_id, ord // 500 AS label, string_agg(text, '' ORDER BY ord) AS text, min(confidence) AS confidence FROM c GROUP BY ALL HAVING count(*) > 1")
 def ocr_joined_text(spark, sf_dir):
-    return C.joined_text(_reads(spark, sf_dir).filter("ord % 16 = 0"), ["user_id"])
+    return C.joined_text(_reads(spark, sf_dir).withColumn("label", F.floor(F.col("ord") / 500)), ["user_id", "label"])
 
 
 @query("SELECT user_id, array_to_string(list_sort(list_distinct(list(event_type))), ',') AS methods FROM events GROUP BY user_id")
@@ -354,14 +354,14 @@ def neutral_mask(spark, sf_dir):
     return _channels(spark, sf_dir).select("l_orderkey", "l_linenumber", gray_level(b, g, r).alias("gray"), is_neutral(b, g, r, 18).alias("neutral"))
 
 
-@query("""WITH palette AS (SELECT p_partkey - 1 AS row, CAST(255 - (p_partkey - 1) * 255 / 199 AS DOUBLE) AS gray, 46.9 - (46.9 - 15.6) * (p_partkey - 1) / 199 AS temp FROM part WHERE p_partkey <= 200),
+@query("""WITH palette AS (SELECT p_partkey - 1 AS row, CAST(p_size * 10 + p_partkey % 7 AS DOUBLE) / 2 AS gray, p_retailprice / 40 AS temp FROM part),
 g AS (SELECT CAST(range AS INTEGER) AS intensity FROM range(256)), k AS (SELECT intensity, temp, row_number() OVER (PARTITION BY intensity ORDER BY abs(gray - intensity), row) AS k FROM g, palette)
 SELECT intensity, round(temp + 1e-9, 6) AS temperature FROM k WHERE k = 1""")
 def lut_nearest(spark, sf_dir):
     from caloris.operators.thermal import nearest_levels
 
-    row = F.col("p_partkey") - 1
-    palette = table(spark, sf_dir, "part").filter("p_partkey <= 200").select(row.alias("row"), (255 - row * 255 / 199).cast("double").alias("gray"), (46.9 - (46.9 - 15.6) * row / 199).alias("temp"))
+    k = F.col("p_partkey")
+    palette = table(spark, sf_dir, "part").select((k - 1).alias("row"), ((F.col("p_size") * 10 + k % 7).cast("double") / 2).alias("gray"), (F.col("p_retailprice") / 40).alias("temp"))
     return nearest_levels(palette).select("intensity", r6("temp", "temperature"))
 
 
@@ -558,14 +558,14 @@ def path_names(spark, sf_dir):
 
 
 @query("""WITH r AS (SELECT o_orderkey AS k, unnest(['status', 'priority', 'clerk']) AS setting, unnest([o_orderstatus, o_orderpriority, 'x']) AS value FROM orders),
-s AS (SELECT l_orderkey AS k, 'status' AS setting, max(l_linestatus) AS value FROM lineitem GROUP BY l_orderkey UNION ALL SELECT o_orderkey, 'clerk', 'x' FROM orders WHERE o_orderkey % 2 = 0)
+s AS (SELECT l_orderkey AS k, 'status' AS setting, max(l_linestatus) AS value FROM lineitem GROUP BY l_orderkey UNION ALL SELECT o_orderkey, 'clerk', 'x' FROM orders WHERE o_orderstatus = 'F')
 SELECT r.k, r.setting, r.value, s.value AS old_value FROM r LEFT JOIN s ON s.k = r.k AND s.setting = r.setting WHERE r.value IS DISTINCT FROM s.value""")
 def settings_stale(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     item = lambda n, v: F.struct(F.lit(n).alias("setting"), v.alias("value"))
     asked = orders.select(F.col("o_orderkey").alias("k"), F.inline(F.array(item("status", F.col("o_orderstatus")), item("priority", F.col("o_orderpriority")), item("clerk", F.lit("x")))))
     held = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.max("l_linestatus").alias("value")).select("k", F.lit("status").alias("setting"), "value")
-    held = held.unionByName(orders.filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.lit("clerk").alias("setting"), F.lit("x").alias("value")))
+    held = held.unionByName(orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("k"), F.lit("clerk").alias("setting"), F.lit("x").alias("value")))
     return P.stale_settings(asked, held, ["k"])
 
 
@@ -624,11 +624,11 @@ def method_choice(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", M.choose_method(flow, features).alias("c")).select("o_orderkey", "c.*")
 
 
-@query("WITH r AS (SELECT o_orderkey AS video, unnest(['log', 'summary', 'manifest']) AS name FROM orders), p AS (SELECT l_orderkey AS video, CASE l_linenumber WHEN 1 THEN 'log' WHEN 2 THEN 'summary' WHEN 3 THEN 'manifest' END AS name, l_quantity AS size_bytes FROM lineitem) SELECT r.video, r.name FROM r WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.video = r.video AND p.name = r.name AND p.size_bytes > 10)")
+@query("WITH r AS (SELECT o_orderkey AS video, unnest(['log', 'summary', 'manifest']) AS name FROM orders), p AS (SELECT l_orderkey AS video, CASE l_linenumber WHEN 1 THEN 'log' WHEN 2 THEN 'summary' WHEN 3 THEN 'manifest' ELSE 'extra' END AS name, l_quantity AS size_bytes FROM lineitem) SELECT r.video, r.name FROM r WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.video = r.video AND p.name = r.name AND p.size_bytes > 10)")
 def missing_outputs(spark, sf_dir):
     required = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("video"), F.explode(F.array(F.lit("log"), F.lit("summary"), F.lit("manifest"))).alias("name"))
     n = F.col("l_linenumber")
-    present = table(spark, sf_dir, "lineitem").filter(n <= 3).select(F.col("l_orderkey").alias("video"), F.when(n == 1, "log").when(n == 2, "summary").otherwise("manifest").alias("name"), (F.col("l_quantity") - 10).alias("size_bytes"))
+    present = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("video"), F.when(n == 1, "log").when(n == 2, "summary").when(n == 3, "manifest").otherwise("extra").alias("name"), (F.col("l_quantity") - 10).alias("size_bytes"))
     return P.missing_files(required, present, ["video"])
 
 
