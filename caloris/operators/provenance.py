@@ -68,3 +68,32 @@ def resolved_settings(defaults: dict[str, str], overrides: DataFrame, key: str)
     own = F.coalesce("settings", F.expr("cast(map() as map<string,string>)"))
     kept = F.map_filter(base, lambda k, v: ~F.map_contains_key(own, k))
     return overrides.select(key, F.map_concat(kept, own).alias("settings"))
+
+
+def canonical_hashes(document: Column) -> Column:
+    """canonical_hash of JSON texts, an Arrow batch at a time; null where a text is no JSON or holds numbers that are none."""
+    import pandas as pd
+
+    def one(text: str | None) -> str | None:
+        try:
+            return canonical_hash(json.loads(text)) if text is not None else None
+        except ValueError:
+            return None
+
+    @F.pandas_udf("string")
+    def hashes(texts: pd.Series) -> pd.Series:
+        return texts.map(one)
+
+    return hashes(document)
+
+
+def upstream_warnings(used: DataFrame, current: DataFrame) -> DataFrame:
+    """Inputs that a stage used, used(stage, input, sha256), whose content has changed since or is gone; current(input, sha256)."""
+    now = current.select("input", F.col("sha256").alias("current_sha256"))
+    both = used.join(now, "input", "left").filter(~F.col("sha256").eqNullSafe(F.col("current_sha256")))
+    return both.select("stage", "input", F.when(F.col("current_sha256").isNull(), "MISSING").otherwise("CHANGED").alias("warning"))
+
+
+def manifest(stage: str, source: dict, inputs: dict, settings: dict, outputs: dict, created_at: str) -> dict:
+    """The record of a finished stage: what it read, how it ran and what it made."""
+    return {"manifest_version": 1, "stage": stage, "status": "COMPLETE", "created_at_utc": created_at, "source_video": source, "inputs": inputs, "settings": settings, "outputs": outputs}

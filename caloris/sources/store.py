@@ -6,20 +6,36 @@ import json
 import os
 import shutil
 import tempfile
+import uuid
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df computed once and written to the checkpoint folder: spark.checkpoint.dir, or one of this machine where that is unset."""
-    sc = df.sparkSession.sparkContext
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of this machine where that is unset."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="caloris-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df computed once and written to the shared folder."""
+    shared_root(df.sparkSession)
     return df.checkpoint()
 
 
+def drained(stream: DataFrame) -> DataFrame:
+    """What a stream gives for the input there is now, as a table in the shared folder."""
+    spark = stream.sparkSession
+    folder = f"{shared_root(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    q = stream.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Rows as CSV with a header; nulls are empty, booleans 0 or 1."""
     shown = [F.col(n).cast("int").alias(n) if kind == "boolean" else F.col(n) for n, kind in df.dtypes]

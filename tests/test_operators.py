@@ -288,3 +288,29 @@ def test_discovery(spark, tmp_path):
 
 def test_schema_types_of_fold_fields():
     assert all(isinstance(f, T.StructField) for f in fold.SCALE_FIELDS + fold.SCENE_FIELDS + fold.TRACK_FIELDS + fold.VIEW_FIELDS)
+
+
+def test_canonical_hashes_of_a_column(spark):
+    df = spark.createDataFrame([('{"b":1,"a":2}',), ('{"a":2, "b":1}',), ("{",), (None,)], "j string")
+    got = [r.h for r in df.select(P.canonical_hashes(F.col("j")).alias("h")).collect()]
+    assert got == [P.canonical_hash({"a": 2, "b": 1})] * 2 + [None, None]
+
+
+def test_upstream_warnings(spark):
+    used = spark.createDataFrame([("s3", "a", "1"), ("s3", "b", "2"), ("s3", "c", "3")], "stage string, input string, sha256 string")
+    current = spark.createDataFrame([("a", "1"), ("b", "9")], "input string, sha256 string")
+    assert sorted((r.input, r.warning) for r in P.upstream_warnings(used, current).collect()) == [("b", "CHANGED"), ("c", "MISSING")]
+
+
+def test_latest_and_rate_limited(spark, tmp_path):
+    from caloris.streaming.fold import latest_only, rate_limited
+
+    rows = spark.createDataFrame([("v", i, i / 10) for i in range(10)] + [("w", 3, 0.3)], "video_id string, frame int, s double")
+    seen = []
+    latest_only(lambda df, n: seen.extend((r.video_id, r.frame) for r in df.collect()))(rows, 0)
+    assert sorted(seen) == [("v", 9), ("w", 3)]
+    rows.withColumn("at", F.timestamp_seconds("s")).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("video_id string, frame int, s double, at timestamp").parquet(str(tmp_path / "in"))
+    q = rate_limited(stream, "at", 2.0, "video_id").writeStream.format("memory").queryName("limited").option("checkpointLocation", str(tmp_path / "ck")).outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted((r.video_id, r.frame) for r in spark.table("limited").collect()) == [("v", 4), ("v", 9), ("w", 3)]
