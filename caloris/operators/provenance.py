@@ -6,6 +6,7 @@ import hashlib
 import json
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,8 +73,6 @@ def resolved_settings(defaults: dict[str, str], overrides: DataFrame, key: str)
 
 def canonical_hashes(document: Column) -> Column:
     """canonical_hash of JSON texts, an Arrow batch at a time; null where a text is no JSON or holds numbers that are none."""
-    import pandas as pd
-
     def one(text: str | None) -> str | None:
         try:
             return canonical_hash(json.loads(text)) if text is not None else None
