@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import pickle
+import sys
 from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from caloris.operators import fold
 from caloris.operators.fold import Step
 
 
@@ -46,7 +49,12 @@ class FoldProcessor(StatefulProcessor):
 
 
 def stream_fold(df: DataFrame, key: str, order: str, inputs: list[str], step: Step, fields: list[T.StructField], start: Any = None) -> DataFrame:
-    """ordered_fold over a stream. Needs the RocksDB state store (spark.sql.streaming.stateStore.providerClass)."""
+    """ordered_fold over a stream. Needs the RocksDB state store (spark.sql.streaming.stateStore.providerClass).
+
+    The processor travels whole: Spark starts it on the driver in a process that files added to the session don't reach.
+    """
+    for module in (sys.modules[__name__], fold):
+        cloudpickle.register_pickle_by_value(module)
     schema = T.StructType([df.schema[key], T.StructField(order, T.LongType()), *(df.schema[c] for c in inputs), *fields])
     processor = FoldProcessor(key, order, inputs, step, [f.name for f in fields], start)
     rows = df.select(key, F.col(order).cast("long").alias(order), *inputs)
