@@ -37,8 +37,8 @@ def dealt(rows: DataFrame, key: list[str], salt: str, block: int = BLOCK) -> Dat
     return rows.repartition(*key, *PLACE).sortWithinPartitions(*key, *PLACE, "side")
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], group: list[str], lists: tuple[str, ...] = ()) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
-    """Columns and group numbers of sorted rows, about BATCH_ROWS at a time, no group cut; groups of one row are left out.
+def whole_groups(batches: Iterator[pa.RecordBatch], group: list[str], lists: tuple[str, ...] = (), rows: int = BATCH_ROWS) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
+    """Columns and group numbers of sorted rows, about `rows` at a time, no group cut; groups of one row are left out.
 
     lists: columns of equally long lists, which come as matrices.
     """
@@ -68,7 +68,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], group: list[str], lists: tup
             continue
         held.append({k: column(batch, k) for k in batch.schema.names})
         n += batch.num_rows
-        if n >= BATCH_ROWS:
+        if n >= rows:
             c = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
             last = np.ones(n, bool)
             for k in group:

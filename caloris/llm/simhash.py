@@ -36,16 +36,19 @@ BATCH_TASKS = 1 << 16
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
+def shingle_hashes(text: str | None, shingle: int = 4, seed: int = 42) -> np.ndarray:
+    """Hashes of the runs of `shingle` words, one of the whole text where it has fewer; none where it has no words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
     joined = b" ".join(words)
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(joined, seed)
+        return np.array([xxhash.xxh64_intdigest(joined, seed)] if words else [], "<u8")
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = [0, *(ends[:-1] + 1).tolist()]
-    h = np.array([xxhash.xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=False)], "<u8")
+    return np.array([xxhash.xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=False)], "<u8")
+
+
+def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
+    h = shingle_hashes(text, shingle, seed)
     n = np.zeros(64, np.int64)
     for k in range(0, len(h), 1 << 16):
         n += np.unpackbits(h[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -224,8 +227,13 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius:
     own, names = neutral(df)
     id_col = names[id_col]
     whole = stored(fingerprints(own, text_col=names[text_col]))
-    key = [id_col, "simhash"]
-    found = stored(near_duplicates(whole.select(*key), id_col, radius))
+    found = stored(near_duplicates(whole.select(id_col, "simhash"), id_col, radius))
+    return survivors(whole, found, [id_col, "simhash"], names)
+
+
+def survivors(whole: DataFrame, found: DataFrame, key: list[str], names: dict[str, str]) -> DataFrame:
+    """Of each component in found(*key, component_id), one row of whole that has the smallest key; rows with a null id, key[0], stay."""
+    id_col = key[0]
     first = found.filter(F.col("component_id").isNotNull()).groupBy("component_id").agg(F.min(F.struct(*key)).alias("first")).select("first.*")
     rows = whole.filter(F.col(id_col).isNotNull()).groupBy(*key).count()
     first = stored(first.join(rows, key))

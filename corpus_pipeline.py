@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caloris.llm import bpe, langid, mixing, secret_scan, simhash
+from caloris.llm import bpe, jaccard, langid, mixing, secret_scan
 from caloris.llm.common import stored, table
 
 
@@ -14,8 +14,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the smallest id."""
-    return simhash.dedup(docs)
+    """One document of each group of near copies (Jaccard similarity of five-word shingles at least 0.8) stays, that of the smallest id."""
+    return jaccard.dedup(docs, words=5, similarity=0.8)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
