@@ -1,11 +1,13 @@
 """Secret scans: key patterns, and a randomness test battery for other tokens. DataFrame functions alone.
 
-Each long token of the base-64 alphabets that mixes letters and digits gets the smallest encoding that holds it (hex, base32, base36,
+Tokens are the long runs of either base-64 alphabet: '=' parts them (NAME=value) unless it is padding, and of a path that mixes '/'
+with '-' or '_' the parts between either are taken. Each that mixes letters and digits gets the smallest encoding that holds it (hex, base32, base36,
 base62, base64). Three statistics are taken over its symbols: chi-squared against a uniform alphabet, the number of runs of
 character classes, and lag-one serial correlation. Each is used twice. A token is only a candidate if no test rejects that it was
 drawn uniformly. Its p-value asks the opposite: how likely text-like tokens (skewed letters, few class changes, correlated
 neighbours) would look so random; the three z-scores are added and scaled. Within a document, candidates are then accepted by the
-Benjamini-Hochberg rule with weights in proportion to length, as longer tokens carry more evidence.
+Benjamini-Hochberg rule with weights in proportion to length, as longer tokens carry more evidence. Of accepted tokens
+that lie in one another the outer one is reported.
 
 Defined results: a null or empty text has no spans. Rows are independent of each other: repeated rows give repeated results, an empty
 table an empty one. Columns made here are named with two leading underscores until the end; only asked-for columns are returned.
@@ -26,7 +28,9 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]++)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"[0-9a-f]{24,}+"
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+# Runs of each base-64 alphabet; an equals sign only belongs to one as padding, which no symbol follows.
+PADDING = r"(?:={1,6}+(?![A-Za-z0-9+/_=-]))?+"
+TOKENS = (r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{20,}+" + PADDING, r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+" + PADDING)
 # The symbols of each encoding, smallest first.
 ENCODINGS = (
     ("hex", "0123456789abcdef"),
@@ -113,12 +117,13 @@ def scan(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, b
     keep = [k for k in (df.columns if keep is None else keep) if k not in ("base", "spans")]
     rows = df.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keep)), text_or_empty(text_col).alias("__text"))
     text = F.col("__text")
-    kinds = (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("random", TOKEN))
+    kinds = (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("random0", TOKENS[0]), ("random1", TOKENS[1]))
     mixed = lambda t: t.rlike("[0-9]") & t.rlike("[A-Za-z]")
     rows = rows.withColumns({f"__{k}": S.hits(text, p) for k, p in kinds})
     # tokens without both letters and digits are dropped once their places are known; most texts have none
-    rows = rows.withColumn("__some", F.exists("__random", mixed))
-    placed = {k: S.placed(text, F.col(f"__{k}"), p, k) for k, p in kinds}
+    rows = rows.withColumn("__some", F.exists("__random0", mixed) | F.exists("__random1", mixed))
+    placed = {k: S.placed(text, F.col(f"__{k}"), p, k.rstrip("01")) for k, p in kinds}
+    placed["random"] = F.array_distinct(F.concat(placed["random0"], placed["random1"]))
     placed["assign"] = F.filter(placed["assign"], lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 2)) >= 6)
     placed["random"] = F.filter(F.when(F.col("__some"), placed["random"]).otherwise(F.expr(S.NO_SPANS)), lambda s: mixed(s["match"]))
     rows = rows.withColumn("__base", S.ordered(F.concat(placed["assign"], placed["access"], placed["hex"]), KINDS)).withColumn("__random", placed["random"])
@@ -133,6 +138,8 @@ def scan(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, b
     accepted = F.array_max(F.filter(F.transform("__p", lambda x, i: F.when(x["p"] <= (i + 1) * battery.q / m, i + 1).otherwise(0)), lambda k: k > 0))
     added = F.transform(F.slice("__p", F.lit(1), F.coalesce(accepted, F.lit(0))), lambda x: x["span"])
     rows = rows.withColumn("__added", F.coalesce(added, F.expr(S.NO_SPANS)))
+    inner = lambda s, o: (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & ((o["start"] < s["start"]) | (s["end"] < o["end"]))
+    rows = rows.withColumn("__added", F.filter("__added", lambda s: ~F.exists("__added", lambda o: inner(s, o))))
     all_spans = F.when(F.size("__added") > 0, S.ordered(F.concat("__base", "__added"), KINDS)).otherwise(F.col("__base"))
     return rows.select(*(F.col(f"__k{i}").alias(k) for i, k in enumerate(keep)), F.col("__base").alias("base"), all_spans.alias("spans"))
 
