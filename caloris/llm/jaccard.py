@@ -1,10 +1,11 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: two texts are linked where their sets are at least `similarity` alike.
+"""Jaccard similarity of word shingles: two texts are linked where their sets are at least `similarity` alike.
 
-Candidates: BANDS * ROWS hashed minima of a text's shingles make BANDS keys, and texts that share one are candidates. Two texts of
-Jaccard similarity s share a key with chance 1 - (1 - s^ROWS)^BANDS: 0.9993 at 0.8, 0.99999 at 0.85, 0.31 at 0.5. Keys are joined to
-components, and within each component all pairs are compared exactly, by their whole sets; so no link is false, and one whose
-own key was missed is still found if others join its texts. Only rows of such components carry their sets. A component gives a
-spanning forest of its links, and a large one is cut into blocks that meet pairwise.
+The exact check behind simhash.dedup() for a similarity. Candidates: BANDS * ROWS hashed minima of a text's shingles make BANDS
+keys, and texts that share one are a group. Two texts of Jaccard similarity s share a key with chance 1 - (1 - s^ROWS)^BANDS: 0.9993
+at 0.8, 0.99999 at 0.85, 0.31 at 0.5. Within a group, SimHash fingerprints of the sets are compared bit-sliced, and those within
+simhash.radius_of(similarity) bits are joined to components. Within each component all pairs are compared exactly, by their whole
+sets; so no link is false, and one whose own key was missed is still found if others join its texts. Only rows of such components
+carry their sets. A component gives a spanning forest of its links, and a large one is cut into blocks that meet pairwise.
 
 Equal sets are one point, so exact copies never meet. Words are lower-cased (A-Z); a text of fewer words than a shingle is one shingle.
 
@@ -24,9 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import PLACE, dealt, record_batches, whole_groups
-from .common import map_texts, neutral, stored
+from .common import map_texts, stored
 from .components import Forest, components
-from .simhash import shingle_hashes, survivors
+from .simhash import fingerprint_of, links_within, radius_of, shingle_hashes
 
 WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 6, 24
@@ -53,16 +54,17 @@ def keys(shingles: np.ndarray) -> list[int]:
 
 
 def marks(df: DataFrame, words: int = WORDS, text_col: str = "text") -> DataFrame:
-    """df's columns, then print (a digest of the text's set) and keys."""
+    """df's columns, then print (a digest of the text's set), simhash (its fingerprint) and keys."""
 
     def start():
         def rows(texts):
             sets = [shingle_set(t, words) for t in texts]
-            return [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [keys(s) for s in sets]
+            bits = np.array([fingerprint_of(s) for s in sets], np.uint64).view(np.int64)
+            return [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], bits, [keys(s) for s in sets]
 
         return rows
 
-    return map_texts(df, df.columns, text_col, start, [T.StructField("print", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    return map_texts(df, df.columns, text_col, start, [T.StructField("print", T.BinaryType()), T.StructField("simhash", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
 
 
 def similar(sets: list[np.ndarray], cut: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -116,10 +118,9 @@ def near_duplicates(marked: DataFrame, id_col: str = "doc_id", text_col: str = "
     marked is read several times; give a stored table.
     """
     known = marked.filter(F.col(id_col).isNotNull())
-    points = stored(known.groupBy("print").agg(F.min(id_col).alias("id"), F.any_value("keys").alias("keys")))
-    keyed = points.select("id", F.explode("keys").alias("key"))
-    least = keyed.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("most")).filter("b < most").select("key", "b")
-    loose = components(stored(keyed.join(least, "key").filter("id <> b").select(F.col("id").alias("a"), "b").distinct()))
+    points = stored(known.groupBy("print").agg(F.min(id_col).alias("id"), F.any_value("simhash").alias("simhash"), F.any_value("keys").alias("keys")))
+    keyed = points.select("simhash", "id", F.lit(0).alias("choice"), F.explode("keys").alias("key"))
+    loose = components(stored(links_within(keyed, radius_of(similarity), [0]).filter("a <> b").distinct()))
     near = stored(points.join(loose, points["id"] == loose["node"]).select("print", "id", "component"))
 
     def start():
@@ -131,12 +132,3 @@ def near_duplicates(marked: DataFrame, id_col: str = "doc_id", text_col: str = "
     classes = points.join(of, points["id"] == of["node"], "left").select("print", F.coalesce("component", "id").alias("component_id"))
     joined = marked.select(F.col(id_col), F.col("print")).join(classes, "print", "left")
     return joined.select(id_col, "print", F.when(F.col(id_col).isNotNull(), F.col("component_id")).alias("component_id"))
-
-
-def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of df that stay: one of each component, that of the smallest id; rows with a null id stay."""
-    own, names = neutral(df)
-    id_col, text_col = names[id_col], names[text_col]
-    marked = stored(marks(own, words, text_col))
-    found = stored(near_duplicates(marked, id_col, text_col, words, similarity))
-    return survivors(marked, found, [id_col, "print"], names)

@@ -9,6 +9,10 @@ counters exceed the radius. Planes outside the group's shared bands come first.
 Equal fingerprints are one point, so exact copies never meet. Large groups are cut into blocks, and each pair of blocks is a
 group of its own. A group gives a spanning forest of its links, fewer rows than points.
 
+Given a similarity, dedup() links texts whose sets of shingles have at least that Jaccard similarity. Such sets differ in up to
+radius_of(similarity) bits (22 of 64 at 0.8), too many for bands to find: there, groups are keyed by hashed minima, distances within
+them are compared bit-sliced as above, and an exact comparison of the sets follows (see jaccard, with the recall).
+
 Defined results: a null or empty text has fingerprint zero and links like any other. Rows with a null id get a fingerprint, but
 no links and a null component. Repeated ids join the components of all their texts' fingerprints, each row with that of its own.
 """
@@ -48,7 +52,11 @@ def shingle_hashes(text: str | None, shingle: int = 4, seed: int = 42) -> np.nda
 
 
 def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
-    h = shingle_hashes(text, shingle, seed)
+    return fingerprint_of(shingle_hashes(text, shingle, seed))
+
+
+def fingerprint_of(h: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half of the hashes; 0 without hashes."""
     n = np.zeros(64, np.int64)
     for k in range(0, len(h), 1 << 16):
         n += np.unpackbits(h[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -192,12 +200,28 @@ def _plane_orders(masks: list[int]) -> np.ndarray:
     return np.array([sorted(range(64), key=lambda p: (m >> p & 1, p)) for m in masks])
 
 
+def radius_of(similarity: float) -> int:
+    """Bits in which the fingerprints of two sets of that Jaccard similarity may differ, at 4.3 standard deviations.
+
+    The cosine of two sets is 2 s / (1 + s) at least, and each bit differs with the chance of their angle over pi.
+    """
+    p = float(np.arccos(min(1.0, 2 * similarity / (1 + similarity))) / np.pi)
+    return round(64 * p + 4.3 * (64 * p * (1 - p)) ** 0.5)
+
+
 def links(points: DataFrame, radius: int = RADIUS, bands: int = BANDS) -> DataFrame:
     """Edges (a, b) between the ids of points(simhash, id): a forest whose components are those of all links."""
     cuts = band_masks(bands)
     masks = [sum(x) for x in combinations(cuts, bands - radius)]
     keyed = F.array(*(F.struct(F.lit(k).alias("choice"), F.col("simhash").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key")) for k, m in enumerate(masks)))
-    rows = points.select("simhash", "id", F.explode(keyed).alias("g")).select("simhash", "id", "g.*")
+    return links_within(points.select("simhash", "id", F.explode(keyed).alias("g")).select("simhash", "id", "g.*"), radius, masks)
+
+
+def links_within(rows: DataFrame, radius: int, masks: list[int]) -> DataFrame:
+    """Edges (a, b) between the ids of rows(simhash, id, choice, key): a forest of the links within each choice and key.
+
+    masks: by choice, the bits that rows of one key have in common.
+    """
     key = ["choice", "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,11 +246,21 @@ def near_duplicates(prints: DataFrame, id_col: str = "doc_id", radius: int = RAD
     return joined.select(id_col, "simhash", F.when(F.col(id_col).isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """The rows of df that stay: one of each component, that of the smallest id; rows with a null id stay."""
+def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = 4, similarity: float | None = None) -> DataFrame:
+    """The rows of df that stay: one of each component, that of the smallest id; rows with a null id stay.
+
+    Texts are linked whose fingerprints differ in at most `radius` bits, or, if a similarity is given, whose sets of shingles have at
+    least that Jaccard similarity.
+    """
     own, names = neutral(df)
-    id_col = names[id_col]
-    whole = stored(fingerprints(own, text_col=names[text_col]))
+    id_col, text_col = names[id_col], names[text_col]
+    if similarity is not None:
+        from . import jaccard
+
+        whole = stored(jaccard.marks(own, shingle, text_col))
+        found = stored(jaccard.near_duplicates(whole, id_col, text_col, shingle, similarity))
+        return survivors(whole, found, [id_col, "print"], names)
+    whole = stored(fingerprints(own, shingle, text_col=text_col))
     found = stored(near_duplicates(whole.select(id_col, "simhash"), id_col, radius))
     return survivors(whole, found, [id_col, "simhash"], names)
 

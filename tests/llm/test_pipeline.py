@@ -9,7 +9,8 @@ import public_tokenizers
 import corpus_pipeline
 from caloris.llm import langid, mixing
 
-from .test_operators import _ASSIGN, brute_classes, brute_print
+from .test_jaccard import brute_components
+from .test_operators import _ASSIGN
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -34,7 +35,7 @@ def test_pipeline_equals_brute_force(spark):
     rows = {r.doc_id: r for r in docs.collect()}
     langs, scores = langid.Scorer(langid.fit(docs)).predict([r.text for r in rows.values()])
     rows = {k: r for (k, r), lang, s in zip(rows.items(), langs, scores) if lang != "und" and s >= 0.5}
-    classes = brute_classes([(k, brute_print(r.text)) for k, r in rows.items()])
+    classes = brute_components({k: r.text for k, r in rows.items()})
     kept = {k: redacted(r.text) for k, r in rows.items() if classes[k] == k}
     table = spark.createDataFrame([(k, rows[k].source, t) for k, t in kept.items()], "doc_id long, source string, text string")
     times = {r.doc_id: r.times for r in mixing.mix(table, mixing.cycle_weights(5, 2, 1)).collect()}
