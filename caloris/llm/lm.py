@@ -1,156 +1,211 @@
 """Scores of texts by language models learnt from a corpus: word frequencies, and online logistic context mixing (see mixer).
 
-Word frequencies: texts are stored in chunks of consecutive rows. Each chunk sends its distinct words once, with their number in its
-training texts; sums over the corpus come back to the chunk, not to each text, so that what moves grows with the distinct words of
-the chunks. Chunk and sums meet in one task, which scores the chunk's texts.
+Texts are lower-cased (A-Z) and stored in chunks: rows of about CHUNK bytes of consecutive texts, or of one longer text.
 
-Context mixing: each task counts what follows its training texts' hashed contexts, and pieces of the tables are summed across tasks,
-a piece at a time. The summed tables have a fixed size and are broadcast. Start weights are fitted on a bounded sample of about
-SAMPLE training texts, drawn by hash; counts cover all of them.
+Word frequencies: each chunk lists its distinct words in order of first use, dealt by a hash to pieces of the vocabulary, each with
+its number in the chunk's training texts. A piece adds these up and answers each chunk's list with the sums alone. So each distinct
+word of a chunk moves once and its sum once, a common word once a chunk, and no task holds more than a piece. Answers meet the texts
+in one task a chunk.
 
-Defined results: a null text is scored like an empty one: one token, its end. With no training rows all counts are 0, and the mixer
-has no predictions: one bit a bit. Rows are told apart by a number given when they are stored, so null and repeated ids keep a row
-each. An empty table gives an empty result.
+Context mixing: each task counts what follows its training texts' hashed contexts; pieces of the tables are summed across tasks and
+turned into predictions, a byte a slot. The tables double with each eightfold of the corpus, as contexts repeat (8 MB at 30 GB of text,
+80 MB at 100 TB); they are broadcast. Counts cover all training texts. Nothing is fitted on a sample.
+
+Defined results: a null text is scored like an empty one: one token, its end. With no training rows all counts are 0 and the mixer
+predicts nothing at first. Rows are told apart by their place in a chunk, so null and repeated ids keep a row each; equal texts get
+equal scores. Columns other than the id and the text are not read, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import mixer
 from .common import stored
 
-#: Consecutive rows of a chunk, as a power of two.
-CHUNK_ROWS = 11
-#: Pieces that the tables are summed in, and texts that fit the start weights.
-PIECES, SAMPLE = 128, 128
+#: Bytes of a chunk; of the corpus for a piece of the vocabulary; pieces that the tables are summed in.
+CHUNK, PIECE_BYTES, PIECES = 6 << 20, 16 << 20, 64
+#: Texts that an input batch may hold before its bytes are looked at.
+SLICE = 256
 
 
 def tokens(text: bytes) -> list[bytes]:
-    """Words in lower case (A-Z)."""
-    return text.lower().split()
+    """Words of a text in lower case."""
+    return text.split()
 
 
-def _stored(df: DataFrame, id_col: str, text_col: str, training: Column) -> DataFrame:
+def chunks(df: DataFrame, id_col: str, text_col: str, training: Column) -> DataFrame:
+    """(chunk, ids, training, texts, bytes): a row a chunk; bytes: how often its training texts hold each byte."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(training, F.lit(False)).alias("training"), text.alias("text"))
-    return stored(rows.withColumn("chunk", F.shiftright(F.monotonically_increasing_id(), CHUNK_ROWS)))
-
-
-def dictionaries(rows: DataFrame) -> DataFrame:
-    """(chunk, word, n): the distinct words of each chunk of rows and how often its training texts hold them."""
+    kind = rows.schema["id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, words, seen = None, Counter(), set()
+        from pyspark import TaskContext
+        from pyspark.sql.pandas.types import to_arrow_type
 
-        def out() -> Iterator[pa.RecordBatch]:
-            found = list(seen | words.keys())
-            for k in range(0, len(found), 50_000):
-                some = found[k : k + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([now] * len(some), pa.int64()), pa.array(some, pa.binary()), pa.array([words[w] for w in some], pa.int64())], names=["chunk", "word", "n"])
-
-        for batch in batches:
-            for chunk, training, text in zip(batch.column("chunk").to_pylist(), batch.column("training").to_pylist(), batch.column("text"), strict=True):
-                if chunk != now:
-                    yield from out()
-                    now, words, seen = chunk, Counter(), set()
-                if training:
-                    words.update(tokens(text.as_py()))
-                else:
-                    seen.update(tokens(text.as_py()))
-        yield from out()
+        number, size = TaskContext.get().partitionId() << 33, 0
+        ids, learnt, texts, found = [], [], [], np.zeros(256, np.int64)
+        kinds = (pa.int64(), pa.list_(to_arrow_type(kind)), pa.list_(pa.bool_()), pa.list_(pa.binary()), pa.list_(pa.int64()))
 
-    return rows.select("chunk", "training", "text").mapInArrow(run, "chunk long, word binary, n long")
+        def out() -> pa.RecordBatch:
+            values = (number, ids, learnt, texts, found.tolist())
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, kinds, strict=True)], names=["chunk", "ids", "training", "texts", "bytes"])
 
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                for i, t, x in zip(*(batch.column(k).slice(at, SLICE).to_pylist() for k in ("id", "training", "text")), strict=True):
+                    if texts and size + len(x) > CHUNK:
+                        yield out()
+                        number, size, ids, learnt, texts, found = number + 1, 0, [], [], [], np.zeros(256, np.int64)
+                    ids.append(i)
+                    learnt.append(t)
+                    texts.append(x.lower())
+                    size += len(x)
+                    if t:
+                        found += np.bincount(np.frombuffer(texts[-1], np.uint8), minlength=256)
+        if texts:
+            yield out()
+
+    return rows.mapInArrow(run, f"chunk long, ids array<{kind.simpleString()}>, training array<boolean>, texts array<binary>, bytes array<long>")
+
+
+def vocabulary(texts: list[bytes], pieces: int) -> tuple[list[np.ndarray], list[bytes], list[np.ndarray]]:
+    """The numbers of each text's words, the distinct words by number, and the numbers of each piece's words."""
+    split = [tokens(t) for t in texts]
+    words = list(dict.fromkeys(chain.from_iterable(split)))
+    index = dict(zip(words, range(len(words)), strict=True)).__getitem__
+    ids = [np.fromiter(map(index, t), np.int64, len(t)) for t in split]
+    piece = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % pieces
+    order = np.argsort(piece, kind="stable")
+    return ids, words, np.split(order, np.searchsorted(piece[order], np.arange(1, pieces)))
+
+
+def word_lists(rows: DataFrame, pieces: int) -> DataFrame:
+    """(piece, chunk, words, counts): each chunk's words, blank-joined, and their numbers in its training texts."""
 
-def count_contexts(rows: DataFrame) -> np.ndarray:
-    """The mixer's counts over the training texts of rows."""
-    size = 2 * mixer.TOTAL // PIECES
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                chunk, training, texts = (batch.column(c)[k].as_py() for c in ("chunk", "training", "texts"))
+                ids, words, dealt = vocabulary(texts, pieces)
+                learnt = [x for x, t in zip(ids, training, strict=True) if t]
+                counts = np.bincount(np.concatenate(learnt), minlength=len(words)) if learnt else np.zeros(len(words), np.int64)
+                full = [p for p in range(pieces) if len(dealt[p])]
+                lists = [b" ".join([words[i] for i in dealt[p].tolist()]) for p in full]
+                numbers = [counts[dealt[p]].astype("<i4").tobytes() for p in full]
+                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([chunk] * len(full), pa.int64()), pa.array(lists, pa.binary()), pa.array(numbers, pa.binary())], names=["piece", "chunk", "words", "counts"])
+
+    return rows.select("chunk", "training", "texts").mapInArrow(run, "piece int, chunk long, words binary, counts binary")
+
+
+def summed(lists: DataFrame) -> DataFrame:
+    """(chunk, piece, sums): for each list, its words' numbers in the corpus. A row of each piece without a chunk has its distinct known
+    words (v) and their total (n)."""
+
+    def run(group: pa.Table) -> pa.Table:
+        total: dict[bytes, int] = {}
+        split = [x.split() for x in group.column("words").to_pylist()]
+        for words, counts in zip(split, group.column("counts").to_pylist(), strict=True):
+            for w, c in zip(words, np.frombuffer(counts, "<i4").tolist(), strict=True):
+                total[w] = total.get(w, 0) + c
+        at = total.__getitem__
+        sums = [np.fromiter(map(at, words), "<i8", len(words)).tobytes() for words in split]
+        known = [c for c in total.values() if c]
+        n = len(split)
+        piece = group.column("piece").to_pylist()
+        return pa.table({"chunk": pa.array([*group.column("chunk").to_pylist(), None], pa.int64()), "piece": pa.array([*piece, piece[0]], pa.int32()), "sums": pa.array([*sums, None], pa.binary()), "v": pa.array([None] * n + [len(known)], pa.int64()), "n": pa.array([None] * n + [sum(known)], pa.int64())})
+
+    return lists.groupBy("piece").applyInArrow(run, "chunk long, piece int, sums binary, v long, n long")
+
+
+def byte_counts(rows: DataFrame) -> np.ndarray:
+    """How often the training texts hold each byte."""
+    out = np.zeros(256, np.int64)
+    for r in rows.select(F.posexplode("bytes").alias("byte", "n")).groupBy("byte").agg(F.sum("n").alias("n")).collect():
+        out[r["byte"]] = r["n"]
+    return out
+
+
+def context_table(rows: DataFrame, form: mixer.Shape) -> np.ndarray:
+    """The mixer's predictions from all training texts."""
+    pieces = PIECES
+    size = -(-form.total // pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, some = np.zeros(2 * mixer.TOTAL, np.int64), False
+        counts, some = np.zeros(2 * size * pieces, np.int32), False
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                texts = batch.column("text").slice(at, 256).to_pylist()
-                mixer.count(counts, texts)
-                some = some or bool(texts)
-        for piece in range(PIECES if some else 0):
-            part = counts[piece * size : (piece + 1) * size]
+            for training, texts in zip(batch.column("training").to_pylist(), batch.column("texts").to_pylist(), strict=True):
+                learnt = [x for t, x in zip(training, texts, strict=True) if t]
+                mixer.count(counts[: 2 * form.total], form, learnt)
+                some = some or bool(learnt)
+        for piece in range(pieces if some else 0):
+            part = counts[2 * piece * size : 2 * (piece + 1) * size]
             full = np.flatnonzero(part)
-            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([full.astype("<u4").tobytes()]), pa.array([part[full].astype("<i8").tobytes()])], names=["piece", "slots", "counts"])
+            gaps = np.diff(full, prepend=0)
+            narrow = lambda x: x.astype("<u2" if not len(x) or x.max() < 1 << 16 else "<u4")
+            made = [narrow(gaps), narrow(part[full])]
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([len(full)], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in made)], names=["piece", "n", "gaps", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for piece, slots, counts in zip(*(batch.column(k).to_pylist() for k in ("piece", "slots", "counts")), strict=True):
+            for piece, n, *parts in zip(*(batch.column(k).to_pylist() for k in ("piece", "n", "gaps", "counts")), strict=True):
                 if piece not in sums:
-                    sums[piece] = np.zeros(size, np.int64)
-                sums[piece][np.frombuffer(slots, "<u4")] += np.frombuffer(counts, "<i8")
+                    sums[piece] = np.zeros(2 * size, np.int64)
+                gaps, counts = (np.frombuffer(x, "<u2" if len(x) == 2 * n else "<u4") for x in parts)
+                sums[piece][np.cumsum(gaps, dtype=np.int64)] += counts
         for piece, s in sums.items():
-            full = np.flatnonzero(s)
-            # counts beyond the type's range are as good as the largest
-            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([full.astype("<u4").tobytes()]), pa.array([np.minimum(s[full], (1 << 31) - 1).astype("<i4").tobytes()])], names=["piece", "slots", "counts"])
-
-    schema = "piece int, slots binary, counts binary"
-    summed = stored(rows.filter("training").select("text").mapInArrow(run, schema).repartition(PIECES, "piece").mapInArrow(add, schema))
-    counts = np.zeros(2 * mixer.TOTAL, np.int64)
-    for r in summed.collect():
-        counts[r["piece"] * size + np.frombuffer(r["slots"], "<u4")] = np.frombuffer(r["counts"], "<i4")
-    return counts
-
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([mixer.predictions(s).tobytes()])], names=["piece", "predictions"])
 
-def fit_weights(rows: DataFrame, table: np.ndarray, n_training: int, seed: int = 3) -> np.ndarray:
-    """Start weights: those in which a sample's segments end, starting from equal ones."""
-    chance = F.pmod(F.xxhash64(F.lit(seed), "text", F.col("id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter("training").filter(chance < SAMPLE / max(1, n_training)).select("text").limit(2 * SAMPLE).collect()
-    start = mixer.start_weights()
-    return mixer.code(table, start, sorted(bytes(r["text"]) for r in sample))[1] if sample else start
+    counted = rows.select("training", "texts").mapInArrow(run, "piece int, n long, gaps binary, counts binary")
+    out = np.zeros(size * pieces, np.int8)
+    for r in counted.repartition(pieces, "piece").mapInArrow(add, "piece int, predictions binary").toLocalIterator():
+        out[r["piece"] * size : (r["piece"] + 1) * size] = np.frombuffer(r["predictions"], np.int8)
+    return out[: form.total]
 
 
 def score(df: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of df: id, training, n_tokens, n_known, train_tokens, base_score, score (both log10), n_bytes, bits_per_byte."""
-    rows = _stored(df, id_col, text_col, training)
-    n_training = rows.filter("training").count()
-    word = Window.partitionBy("word")
-    summed = dictionaries(rows).select("chunk", "word", F.sum("n").over(word).alias("c"), (F.row_number().over(word.orderBy("chunk")) == 1).alias("first"))
-    summed = stored(summed)
-    totals = summed.filter("first AND c > 0").agg(F.count("*").alias("v"), F.sum("c").alias("n")).first()
+    rows = stored(chunks(df, id_col, text_col, training))
+    by_byte = byte_counts(rows)
+    n_training = rows.agg(F.sum(F.size(F.filter("training", lambda t: t)))).first()[0] or 0
+    n_bytes = int(by_byte.sum())
+    pieces = max(1, -(-n_bytes // PIECE_BYTES))
+    answers = stored(summed(word_lists(rows, pieces)))
+    totals = answers.filter("chunk IS NULL").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
     n_all = (totals["n"] or 0) + n_training
-    distinct = totals["v"] + bool(n_training)
-    counts = count_contexts(rows)
-    table = mixer.predictions(counts)
-    weights = fit_weights(rows, table, n_training)
-    shared = df.sparkSession.sparkContext.broadcast((table, weights))
+    distinct = (totals["v"] or 0) + bool(n_training)
+    form = mixer.shape(by_byte, n_bytes)
+    shared = df.sparkSession.sparkContext.broadcast(context_table(rows, form))
     bottom = np.log10(n_all + 0.5 * (distinct + 1))
     end = float(np.log10(n_training + 0.5) - bottom)
 
-    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        table, weights = shared.value
-        c = right.column("c").to_numpy()
-        index = dict(zip(right.column("word").to_pylist(), range(len(c)), strict=True))
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        texts = left.column("texts").to_pylist()[0]
+        ids, words, dealt = vocabulary(texts, pieces)
+        c = np.zeros(len(words), np.int64)
+        for piece, sums in zip(right.column("piece").to_pylist(), right.column("sums").to_pylist(), strict=True):
+            c[dealt[piece]] = np.frombuffer(sums, "<i8")
         logs, known = np.log10(c + 0.5) - bottom, c > 0
-        out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "n_bytes", "bits_per_byte")}
-        for at in range(0, left.num_rows, 256):
-            texts = left.column("text").slice(at, 256).to_pylist()
-            bits, _ = mixer.code(table, weights, texts)
-            for text, b in zip(texts, bits.tolist(), strict=True):
-                words = tokens(text)
-                ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-                out["n_tokens"].append(len(words) + 1)
-                out["n_known"].append(int(known[ids].sum()) + (n_training > 0))
-                out["base_score"].append(float(logs[ids].sum()) + end)
-                out["score"].append(-b * float(np.log10(2)))
-                out["n_bytes"].append(len(text))
-                out["bits_per_byte"].append(b / max(1, len(text)))
-        return pa.table({"id": left.column("id"), "training": left.column("training"), **out})
-
-    kind = rows.schema["id"].dataType.simpleString()
+        bits = mixer.code(shared.value, form, texts)
+        sizes = np.array([len(x) for x in texts])
+        return pa.table(
+            {
+                "id": left.column("ids").combine_chunks().flatten(), "training": left.column("training").combine_chunks().flatten(),
+                "n_tokens": np.array([len(x) + 1 for x in ids]), "n_known": np.array([int(known[x].sum()) + (n_training > 0) for x in ids]),
+                "base_score": np.array([float(logs[x].sum()) + end for x in ids]), "score": bits * -float(np.log10(2)), "n_bytes": sizes, "bits_per_byte": bits / np.maximum(1, sizes),
+            }
+        )
+
+    kind = df.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, training boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long, bits_per_byte double"
-    found = rows.groupBy("chunk").cogroup(summed.select("chunk", "word", "c").groupBy("chunk")).applyInArrow(run, schema)
+    found = rows.groupBy("chunk").cogroup(answers.filter("chunk IS NOT NULL").select("chunk", "piece", "sums").groupBy("chunk")).applyInArrow(run, schema)
     return found.withColumn("train_tokens", F.lit(n_all).cast("long")).withColumnRenamed("id", id_col)

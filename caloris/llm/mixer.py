@@ -1,56 +1,127 @@
-"""Context mixing over the bits of bytes, for many pieces of text at once.
+"""Online logistic mixing of hashed-context bit predictors, for many texts at once.
 
-Predictors: a table for each context (the last byte, the last two, the last three, the word so far), hashed together with the bits
-of the byte seen so far; a slot holds how often a 0 and a 1 followed. Each gives the log odds of its counts, weighed by how many
-there are. A gate, the bit's place in the byte, chooses among eight sets of weights; the weighted sum is squashed to a probability
-and, as soon as the bit is known, the chosen weights move by its error. An adaptive map from the mixed to the observed probability
-refines the result, and the mean of both is what a bit costs.
+Symbols: a text is its bytes and an end. The 31 bytes that a corpus uses most take one unit of five bits; any other byte and the end
+take an escape unit and two units for its halves (the first bit of these is always 0). Each bit is a decision at a node of the tree
+of the units seen so far, so probabilities over all texts add up to one.
 
-Counting is a sum, so it runs over any parts of a corpus in any order. Weights and maps adapt along a text: a text is cut into
-segments of SEGMENT bytes, contexts reach across the cuts, and each segment starts from the same fitted weights. Segments stand
-side by side in arrays, and a step takes the next bit of all of them.
+Predictors: a table for each context (the last byte, the last two, the last three, the word so far), hashed together with the node; a
+slot holds the log odds of what followed in the corpus, weighed by how often. A gate, the bit's place in its unit, chooses among five
+sets of weights; the weighted sum is squashed to a probability and, as soon as the bit is known, the chosen weights move by its
+error. An adaptive map from mixed to observed probabilities refines the result; the mean of both is what a bit costs.
+
+State along a text: weights and maps adapt from bit to bit within a block of BLOCK units. The blocks of a text stand in levels of 1,
+1, 2, 4, 8, ... blocks; those of a level start from the mean of the states in which the blocks of the level before end. So what a bit
+costs depends on the text before it alone, states are handed on to the end of the text, and the blocks of a level run side by side.
+Contexts reach across blocks; texts run in pieces of PIECE bytes that hand their sums on, so that memory is bounded for a text of any
+length.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
-SEGMENT = 512
-#: Segments coded side by side, and bytes whose contexts are computed at a time.
-LANES, PIECE = 512, 1 << 20
-#: Slots of the four tables, as powers of two.
-SLOTS = (16, 18, 19, 19)
-SIZES = tuple(1 << b for b in SLOTS)
-STARTS = tuple(int(x) for x in np.cumsum((0, *SIZES))[:-1])
-TOTAL = sum(SIZES)
-#: A word's context starts anew at every multiple of this, so that pieces can be taken one by one.
-WORD_RESET = 4096
-RATE, MAP_RATE, MAP_CELLS = 0.02, 0.02, 24
+BLOCK, PIECE = 4096, 1 << 20
+#: Bytes coded side by side, bytes whose contexts are computed at a time, blocks in one array, steps whose inputs are gathered at a time.
+GROUP, SLICE, LANES, STEPS = 6 << 20, 1 << 19, 512, 32
+RATE, MAP_RATE, MAP_CELLS = 0.02, 0.02, 64
 START_WEIGHT = 0.35
+#: Log odds are held in eight bits, in steps of 1 / SCALE.
+SCALE = 14.0
+COMMON, ESCAPE, NODE_BITS = 31, 31, 10
+#: What a node that can't be otherwise predicts.
+SURE = -127
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_FIRST, _SECOND = 0x9E3779B1, 0x85EBCA6B
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def pieces(raw: bytes) -> Iterator[tuple[bytes, bytes]]:
-    """The text's bytes and a closing zero byte, at most PIECE at a time, each with the three bytes before it."""
-    whole = raw + b"\0"
-    for at in range(0, len(whole), PIECE):
-        yield (b"\0\0\0" + whole[:at])[-3:] if at < 3 else whole[at - 3 : at], whole[at : at + PIECE]
+@dataclass(frozen=True)
+class Shape:
+    """common: the bytes of one unit, at most 31. bits: of the slots of the last three tables; the first has a slot for each case."""
+
+    common: bytes
+    bits: tuple[int, int, int] = (18, 19, 20)
+
+    @cached_property
+    def sizes(self) -> tuple[int, ...]:
+        return (1 << (8 + NODE_BITS), *(1 << b for b in self.bits))
+
+    @cached_property
+    def starts(self) -> tuple[int, ...]:
+        return tuple(int(x) for x in np.cumsum((0, *self.sizes))[:-1])
+
+    @property
+    def total(self) -> int:
+        return sum(self.sizes)
+
+    @cached_property
+    def unit(self) -> np.ndarray:
+        """The first unit of each byte."""
+        out = np.full(256, ESCAPE, np.uint8)
+        out[list(self.common)] = np.arange(len(self.common))
+        return out
+
+    @property
+    def end(self) -> int:
+        """What stands for the end behind an escape, where common bytes never stand."""
+        return self.common[0]
+
+
+def shape(byte_counts: np.ndarray, n_bytes: int) -> Shape:
+    """For a corpus of n_bytes that holds each byte so often. The hashed tables double with each eightfold of the corpus."""
+    order = np.lexsort((np.arange(256), -byte_counts))
+    common = bytes(int(b) for b in order[:COMMON])
+    more = round(np.log2(max(1, n_bytes) / 5e8) / 3)
+    return Shape(common, tuple(max(12, b + more) for b in (18, 19, 20)))
+
+
+def pieces(raw: bytes) -> Iterator[tuple[bytes, bytes, bool]]:
+    """The text's bytes, at most PIECE at a time, each with the three bytes before it, and whether the text ends with it."""
+    for at in range(0, max(1, len(raw)), PIECE):
+        yield (b"\0\0\0" + raw[:at])[-3:] if at < 3 else raw[at - 3 : at], raw[at : at + PIECE], at + PIECE >= len(raw)
 
 
-def contexts(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The bytes of all parts, the contexts [4, bytes] as 32-bit hashes, and where each part's bytes start."""
-    data = np.frombuffer(b"".join(before + body for before, body in parts), np.uint8)
-    sizes = np.array([len(body) for _, body in parts])
+@dataclass
+class Units:
+    """The units of pieces, one after the other: codes, the nodes that they start from, hashed contexts [4, units], and each piece's number of units."""
+
+    code: np.ndarray
+    base: np.ndarray
+    hashes: np.ndarray
+    sizes: np.ndarray
+
+
+def units(parts: list[tuple[bytes, bytes, bool]], form: Shape) -> Units:
+    made, held, size = [], [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[1])
+        if size >= SLICE:
+            made.append(_units(held, form))
+            held, size = [], 0
+    if held:
+        made.append(_units(held, form))
+    return made[0] if len(made) == 1 else Units(*(np.concatenate([getattr(m, k) for m in made], axis=-1) for k in ("code", "base", "hashes", "sizes")))
+
+
+def _units(parts: list[tuple[bytes, bytes, bool]], form: Shape) -> Units:
+    # a byte more stands for the end of a piece, whether or not the text ends there
+    data = np.frombuffer(b"".join(before + body + b"\0" for before, body, _ in parts), np.uint8)
+    sizes = np.array([len(body) + 1 for _, body, _ in parts])
+    ends = np.array([last for _, _, last in parts])
     begins = np.cumsum(sizes + 3) - sizes
     own = np.ones(len(data), bool)
     for k in (1, 2, 3):
         own[begins - k] = False
     at = np.flatnonzero(own)
+    is_end = np.zeros(len(data), bool)
+    is_end[begins + sizes - 1] = True
     wide = data.astype(np.uint64)
     c1, c2, c3 = wide[at - 1], wide[at - 2], wide[at - 3]
     # the word so far: sums of bytes times powers, taken from the word's start and shifted back to it
@@ -58,63 +129,79 @@ def contexts(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray,
     power = np.full(n, _ODD)
     power[0] = 1
     power = np.multiply.accumulate(power)
-    back = np.full(n, _INVERSE)
-    back[0] = 1
-    back = np.multiply.accumulate(back)
-    sums = np.cumsum((wide + np.uint64(1)) * power) - (wide + np.uint64(1)) * power
+    sums = (wide + np.uint64(1)) * power
+    sums = np.cumsum(sums) - sums
     fresh = ~_LETTER[data]
     fresh = np.r_[True, fresh[:-1]]
     fresh[begins] = True
-    place = np.arange(n) - np.repeat(begins, sizes + 3) if len(parts) > 1 else np.arange(n) - begins[0]
-    fresh |= (place % WORD_RESET == 0) & (place >= 0)
-    start = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    word = (sums - sums[start]) * back[start]
-    word = word[at] ^ ((at - start[at]).astype(np.uint64) << np.uint64(7))
+    start = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))[at]
+    back = np.full(n, _INVERSE)
+    back[0] = 1
+    back = np.multiply.accumulate(back)
+    word = (sums[at] - sums[start]) * back[start]
+    word ^= (at - start).astype(np.uint64) << np.uint64(7)
     mix = lambda x, k: ((x + np.uint64(k)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32)
-    hashes = np.stack([c1.astype(np.uint32), mix(c1 | c2 << np.uint64(8), 2 << 40), mix(c1 | c2 << np.uint64(8) | c3 << np.uint64(16), 3 << 40), mix(word, 4 << 40)])
-    return data[at], hashes, np.cumsum(sizes) - sizes
-
-
-_FIRST, _SECOND = 0x9E3779B1, 0x85EBCA6B
+    c2 = c1 | c2 << np.uint64(8)
+    hashes = np.stack([c1.astype(np.uint32), mix(c2, 2 << 40), mix(c2 | c3 << np.uint64(16), 3 << 40), mix(word, 4 << 40)])
+    byte = data[at].astype(np.int32)
+    closing = is_end[at]
+    first = form.unit[byte]
+    first[closing] = ESCAPE
+    byte[closing] = form.end
+    times = np.where(first == ESCAPE, 3, 1)
+    # pieces that are not the last of their text have no end
+    times[np.flatnonzero(closing)[~ends]] = 0
+    of = np.repeat(np.arange(len(times)), times)
+    code, base = first[of], np.zeros(len(of), np.uint16)
+    escape = np.flatnonzero((code == ESCAPE) & np.r_[True, of[1:] != of[:-1]])
+    high = (byte[of[escape]] >> 4).astype(np.uint8)
+    code[escape + 1], base[escape + 1] = high, 32
+    code[escape + 2], base[escape + 2] = byte[of[escape]] & 15, 64 + 32 * high.astype(np.uint16)
+    edges = np.cumsum(np.r_[0, times])
+    bounds = np.cumsum(np.r_[0, sizes])
+    return Units(code, base, hashes[:, of], edges[bounds[1:]] - edges[bounds[:-1]])
 
 
-def slots(k: int, context: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Slots of table k for contexts and the bits of the byte so far (a leading 1 and these bits)."""
+def slots(k: int, form: Shape, context: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Slots of table k for contexts and nodes."""
     if k == 0:
-        return context << np.uint32(8) | node
-    # (context + node * first) * second, parted so that each factor is multiplied once for all eight bits or all contexts
-    return context * np.uint32(_SECOND) + node * np.uint32(_FIRST * _SECOND & 0xFFFFFFFF) >> np.uint32(32 - SLOTS[k])
+        return (context << np.uint32(NODE_BITS) | node).astype(np.int64)
+    # (context + node * first) * second, parted so that each factor is multiplied once for all five bits or all contexts
+    return (context * np.uint32(_SECOND) + node * np.uint32(_FIRST * _SECOND & 0xFFFFFFFF) >> np.uint32(32 - form.bits[k - 1])).astype(np.int64)
 
 
-def nodes(data: np.ndarray, j: int) -> np.ndarray:
-    return (np.uint32(1) << np.uint32(j)) | (data.astype(np.uint32) >> np.uint32(8 - j))
+def node(code: np.ndarray, base: np.ndarray, j: int) -> np.ndarray:
+    """The node of bit j of units."""
+    return base.astype(np.uint32) + (np.uint32(1 << j) | code.astype(np.uint32) >> np.uint32(5 - j))
 
 
-def count(counts: np.ndarray, texts: list[bytes]) -> None:
-    """Add what follows each slot in the texts to counts[2 * TOTAL] (zeros and ones in turn).
+def count(counts: np.ndarray, form: Shape, texts: list[bytes]) -> None:
+    """Add what follows each slot in the texts to counts[2 * total] (zeros and ones in turn).
 
-    Equal bytes in equal contexts are counted first, so that only their number goes through the eight bits.
+    Equal units in equal contexts are counted first, so that only their number goes through the five bits.
     """
     for group in _batches(texts):
-        data, hashes, _ = contexts(group)
+        u = units(group, form)
+        low = u.base.astype(np.uint64) << np.uint64(5) | u.code
         for k in range(4):
-            keys = np.sort(hashes[k].astype(np.uint64) << np.uint64(8) | data)
+            keys = np.sort(u.hashes[k].astype(np.uint64) << np.uint64(15) | low)
             first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             times = np.diff(np.r_[first, len(keys)])
-            context, byte = (keys[first] >> np.uint64(8)).astype(np.uint32), (keys[first] & np.uint64(255)).astype(np.uint8)
-            own = counts[2 * STARTS[k] : 2 * (STARTS[k] + SIZES[k])]
-            for j in range(8):
-                at = slots(k, context, nodes(byte, j)).astype(np.int64) << 1 | (byte >> np.uint8(7 - j) & np.uint8(1))
+            keys = keys[first]
+            context, base, code = (keys >> np.uint64(15)).astype(np.uint32), (keys >> np.uint64(5) & np.uint64(1023)).astype(np.uint16), (keys & np.uint64(31)).astype(np.uint8)
+            own = counts[2 * form.starts[k] : 2 * (form.starts[k] + form.sizes[k])]
+            for j in range(5):
+                at = slots(k, form, context, node(code, base, j)) << 1 | (code >> np.uint8(4 - j) & np.uint8(1))
                 np.add.at(own, at, times)
 
 
-def _batches(texts: list[bytes]) -> Iterator[list[tuple[bytes, bytes]]]:
+def _batches(texts: list[bytes]) -> Iterator[list[tuple[bytes, bytes, bool]]]:
     held, size = [], 0
     for t in texts:
         for piece in pieces(t):
             held.append(piece)
             size += len(piece[1])
-            if size >= PIECE // 2:
+            if size >= SLICE:
                 yield held
                 held, size = [], 0
     if held:
@@ -122,101 +209,188 @@ def _batches(texts: list[bytes]) -> Iterator[list[tuple[bytes, bytes]]]:
 
 
 def predictions(counts: np.ndarray) -> np.ndarray:
-    """For each slot, the log odds of a 1, weighed by the number of cases; 0 where there are none."""
+    """For each slot, the log odds of a 1 in steps of 1 / SCALE, weighed by the number of cases; 0 where there are none."""
     zero, one = counts[0::2].astype(np.float64), counts[1::2].astype(np.float64)
     odds = np.clip(np.log((one + 0.4) / (zero + 0.4)), -9, 9)
     n = zero + one
-    return (odds * n / (n + 1.0)).astype(np.float32)
+    return np.rint(odds * n / (n + 1.0) * SCALE).astype(np.int8)
+
+
+@dataclass
+class State:
+    """Weights [5, 4, lanes] and maps [5, cells, lanes]."""
 
+    weights: np.ndarray
+    maps: np.ndarray
 
-def start_weights() -> np.ndarray:
-    return np.full((8, 4), START_WEIGHT, np.float32)
 
+def start_state(lanes: int) -> State:
+    low = (np.arange(MAP_CELLS) - 127 + MAP_CELLS // 2) % MAP_CELLS - MAP_CELLS // 2  # the exponent of two of the odds of a 0
+    cells = 1 / (1 + 1.5 * 2.0**low)
+    return State(np.full((5, 4, lanes), START_WEIGHT, np.float32), np.repeat(np.tile(cells.astype(np.float32), (5, 1))[:, :, None], lanes, 2))
 
-def code(table: np.ndarray, weights: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bits that each text costs, and the weights in which its segments end, on average (to fit start weights)."""
+
+def code(table: np.ndarray, form: Shape, texts: list[bytes]) -> np.ndarray:
+    """Bits that each text costs."""
     bits = np.zeros(len(texts))
-    ends, n_ends = np.zeros((8, 4)), 0
-    owners, held, size = [], [], 0
-    both = np.arange(1 << 16, dtype=np.uint32)
-    pairs = np.stack([table[slots(0, both >> np.uint32(8), nodes(both.astype(np.uint8), j))] for j in range(8)], 1)
+    held: list[int] = []
+    size = 0
 
     def flush() -> None:
-        nonlocal n_ends
-        data, hashes, starts = contexts(held)
-        sizes = np.array([len(b) for _, b in held])
-        n_seg = -(-sizes // SEGMENT)
-        part = np.repeat(np.arange(len(held)), n_seg)
-        nth = np.arange(len(part)) - np.repeat(np.cumsum(n_seg) - n_seg, n_seg)
-        begin = starts[part] + nth * SEGMENT
-        length = np.minimum(SEGMENT, sizes[part] - nth * SEGMENT)
-        order = np.argsort(-length, kind="stable")
-        for k in range(0, len(order), LANES):
-            some = order[k : k + LANES]
-            cost, end = _lanes(table, pairs, weights, data, hashes, begin[some], length[some])
-            np.add.at(bits, np.array(owners)[part[some]], cost)
-            ends[:] += end
-            n_ends += len(some)
-
-    for i, t in enumerate(texts):
-        for piece in pieces(t):
-            owners.append(i)
-            held.append(piece)
-            size += len(piece[1])
-            if size >= PIECE // 2:
-                flush()
-                owners, held, size = [], [], 0
+        bits[held] = _coded(table, form, [next(pieces(texts[k])) for k in held], 0, None)[0]
+
+    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
+        if len(texts[i]) > PIECE:
+            done, earlier = 0, None
+            for part in pieces(texts[i]):
+                cost, done, earlier = _coded(table, form, [part], done, earlier)
+                bits[i] += cost[0]
+            continue
+        held.append(i)
+        size += len(texts[i])
+        if size >= GROUP:
+            flush()
+            held, size = [], 0
     if held:
         flush()
-    return bits, ends / max(1, n_ends)
+    return bits
+
 
+def level_of(block: np.ndarray) -> np.ndarray:
+    """0, 1, 2, 2, 3, 3, 3, 3, 4, ...: blocks of a level start from the mean of the states in which those of the level before end."""
+    return np.where(block > 0, np.log2(np.maximum(1, block)).astype(np.int64) + 1, 0)
 
-def _lanes(table: np.ndarray, pairs: np.ndarray, weights: np.ndarray, data: np.ndarray, hashes: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Costs of segments sorted by falling length, and the sum of the weights in which they end."""
+
+def _coded(table: np.ndarray, form: Shape, parts: list[tuple[bytes, bytes, bool]], done: int, earlier: dict[int, tuple[np.ndarray, np.ndarray, int]] | None) -> tuple[np.ndarray, int, dict[int, tuple[np.ndarray, np.ndarray, int]]]:
+    """Costs of pieces, their text's number of blocks so far, and by level the sums of the states in which its blocks end.
+
+    done, earlier: the last two for the pieces before, if there is one piece.
+    """
+    u = units(parts, form)
+    n_blocks = np.maximum(1, -(-u.sizes // BLOCK))
+    of = np.repeat(np.arange(len(parts)), n_blocks)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
+    begin = np.repeat(np.cumsum(u.sizes) - u.sizes, n_blocks) + nth * BLOCK
+    length = np.minimum(BLOCK, u.sizes[of] - nth * BLOCK)
+    level = level_of(nth + done)
+    sums = dict(earlier or {})
+    cost = np.zeros(len(of))
+    for now in range(int(level.min()), int(level.max()) + 1):
+        ends, of_end = [], []
+        blocks = np.flatnonzero(level == now)
+        for some in _dealt(blocks, length):
+            state = start_state(len(some))
+            if now:
+                weights, maps, n = sums[now - 1]
+                owner = np.zeros(len(some), np.int64) if earlier is not None else of[some]
+                state = State((weights[owner] / n[owner, None, None]).transpose(1, 2, 0), (maps[owner] / n[owner, None, None]).transpose(1, 2, 0))
+            cost[some] = _run(table, form, u, begin[some], length[some], state, 0 if parts[-1][2] else int(length[-1]))
+            ends.append(state)
+            of_end.append(of[some])
+        more = np.concatenate(of_end)
+        n = np.bincount(more, minlength=len(parts))
+        weights, maps = np.zeros((len(parts), 5, 4), np.float32), np.zeros((len(parts), 5, MAP_CELLS), np.float32)
+        for state, owner in zip(ends, of_end, strict=True):
+            np.add.at(weights, owner, state.weights.transpose(2, 0, 1))
+            np.add.at(maps, owner, state.maps.transpose(2, 0, 1))
+        if earlier is not None and now in sums:
+            weights, maps, n = weights + sums[now][0], maps + sums[now][1], n + sums[now][2]
+        sums[now] = (weights, maps, n)
+    return np.bincount(of, cost, len(parts)), done + int(n_blocks[-1]), sums
+
+
+def _dealt(blocks: np.ndarray, length: np.ndarray) -> Iterator[np.ndarray]:
+    """Blocks by falling length, LANES at a time."""
+    order = blocks[np.argsort(-length[blocks], kind="stable")]
+    for k in range(0, len(order), LANES):
+        yield order[k : k + LANES]
+
+
+def _run(table: np.ndarray, form: Shape, u: Units, begin: np.ndarray, length: np.ndarray, state: State, exact: int) -> np.ndarray:
+    """Costs of blocks of falling length, run from their states, which change in place.
+
+    Blocks of the longest or of the exact length end in their state; that of others is of no use, as their text ends there.
+
+    Weights are held negated and over the root of the rate, inputs times that root, which spares an operation for each.
+    """
     n, longest = len(begin), int(length[0])
-    at = np.minimum(begin + np.arange(longest)[:, None], len(data) - 1)
-    byte = data[at]
-    inputs = np.empty((longest, 8, 4, n), np.float32)
-    bit = np.empty((longest, 8, n), np.float32)
-    # a byte after a byte: its eight inputs stand in one row
-    inputs[:, :, 0] = pairs.take(hashes[0][at] << np.uint32(8) | byte, axis=0).transpose(0, 2, 1)
-    parts = [nodes(byte, j) * np.uint32(_FIRST * _SECOND & 0xFFFFFFFF) for j in range(8)]
-    for k in range(1, 4):
-        context, own = hashes[k][at] * np.uint32(_SECOND), table[STARTS[k] : STARTS[k] + SIZES[k]]
-        for j in range(8):
-            inputs[:, j, k] = own[context + parts[j] >> np.uint32(32 - SLOTS[k])]
-    for j in range(8):
-        bit[:, j] = byte >> np.uint8(7 - j) & np.uint8(1)
-    going = np.searchsorted(-length, -np.arange(longest), "left").tolist()  # lanes with a byte at each step
-    w = np.repeat(weights.astype(np.float32)[:, :, None], n, axis=2)
-    cells = np.float32(1) / (np.float32(1) + np.exp(-(np.arange(MAP_CELLS, dtype=np.float32) - (MAP_CELLS - 1) / 2) * np.float32(0.75)))
-    refined = np.tile(cells.astype(np.float32), 8 * n)
-    first_cell = np.arange(8 * n).reshape(8, n) * MAP_CELLS
-    chosen = np.ones((longest, 8, n), np.float32)
-    one, half, rate, map_rate = np.float32(1), np.float32(0.5), np.float32(RATE), np.float32(MAP_RATE)
-    scale, middle, top = np.float32(1 / 0.75), np.float32((MAP_CELLS - 1) / 2 + 0.5), np.float32(MAP_CELLS - 1)
-    product = np.empty((8, 4, n), np.float32)
-    # the eight bits of a byte use eight sets of weights and eight maps: taking them in one step is taking them one by one
-    for t in range(longest):
-        m = going[t]
-        s, v, y = inputs[t, :, :, :m], w[:, :, :m], bit[t, :, :m]
-        x = np.multiply(v, s, out=product[:, :, :m]).sum(1)
-        p = np.negative(x)
-        np.exp(p, out=p)
-        p += one
-        np.divide(one, p, out=p)
-        error = y - p
-        v += np.multiply(s, (error * rate)[:, None], out=product[:, :, :m])
-        x *= scale
-        x += middle
-        np.maximum(x, 0, out=x)
-        cell = first_cell[:, :m] + np.minimum(x, top, out=x).astype(np.int32)
-        r = refined[cell]
-        p += r
-        p *= half
-        refined[cell] = r + (y - r) * map_rate
-        p += y
-        p -= one
-        np.abs(p, out=chosen[t, :, :m])
-    cost = -np.log2(np.maximum(chosen, np.float32(1e-7))).sum((0, 1), dtype=np.float64)
-    return cost, w.sum(2, dtype=np.float64)
+    root = np.float32(np.sqrt(RATE) / SCALE)
+    whole = state.weights.transpose(1, 0, 2) * np.float32(-1 / np.sqrt(RATE))
+    refined = np.ascontiguousarray(state.maps).reshape(-1)
+    one, map_rate = np.float32(1), np.float32(MAP_RATE)
+    cost, last, w = np.zeros(n), len(u.code) - 1, whole.reshape(4, -1)
+    m = n
+    first_cell = (np.arange(5)[:, None] * (MAP_CELLS * n) + np.arange(n)).reshape(-1)
+    t0 = 0
+    while t0 < longest:
+        steps = min(STEPS, (exact if t0 < exact else longest) - t0)
+        going = int(np.searchsorted(-length, -t0, "left"))
+        if going < m:  # blocks that have ended leave the arrays
+            whole[:, :, :m] = w.reshape(4, 5, m)
+            m = going
+            w = np.ascontiguousarray(whole[:, :, :m]).reshape(4, -1)
+            first_cell = (np.arange(5)[:, None] * (MAP_CELLS * n) + np.arange(m)).reshape(-1)
+        place = np.arange(t0, t0 + steps)[:, None]
+        at = np.minimum(begin[:m] + place, last)
+        unit, base = u.code[at], u.base[at]
+        nodes = [node(unit, base, j) for j in range(5)]
+        shared = [x * np.uint32(_FIRST * _SECOND & 0xFFFFFFFF) for x in nodes]
+        gathered = np.empty((steps, 4, 5, m), np.int8)
+        for k in range(4):
+            own = table[form.starts[k] : form.starts[k] + form.sizes[k]]
+            context = u.hashes[k][at]
+            if k:
+                context *= np.uint32(_SECOND)
+                shift = np.uint32(32 - form.bits[k - 1])
+            else:
+                context <<= np.uint32(NODE_BITS)
+            for j in range(5):
+                gathered[:, k, j] = own.take(context + shared[j] >> shift if k else context | nodes[j], mode="clip")
+        sure = base > 0
+        if sure.any():
+            gathered[:, :, 0].transpose(0, 2, 1)[sure] = SURE
+        gathered = gathered.reshape(steps, 4, -1)
+        bit = np.empty((steps, 5, m), np.float32)
+        for j in range(5):
+            bit[:, j] = unit >> np.uint8(4 - j) & np.uint8(1)
+        bit = bit.reshape(steps, -1)
+        both = np.empty((steps, 5 * m), np.float32)
+        s, part, x = np.empty((4, 5 * m), np.float32), np.empty((4, 5 * m), np.float32), np.empty(5 * m, np.float32)
+        # the five bits of a unit use five sets of weights and five maps: taking them in one step is taking them one by one
+        for t in range(steps):
+            y = bit[t]
+            np.multiply(gathered[t], root, out=s)
+            np.multiply(w, s, out=part)
+            np.add(part[0], part[1], out=x)
+            x += part[2]
+            x += part[3]
+            np.exp(x, out=x)
+            # the odds of a 0: their exponent to the base of two names the cell
+            cell = x.view(np.int32) >> 23
+            cell &= MAP_CELLS - 1
+            cell = cell * n
+            cell = cell + first_cell
+            x += one
+            np.divide(one, x, out=x)
+            r = refined.take(cell)
+            np.add(x, r, out=both[t])
+            x -= y
+            np.multiply(s, x, out=part)
+            w += part
+            y = y - r
+            y *= map_rate
+            r += y
+            refined[cell] = r
+        both *= np.float32(0.5)
+        both += bit
+        both -= one
+        np.abs(both, out=both)
+        np.maximum(both, np.float32(1e-7), out=both)
+        np.log2(both, out=both)
+        both = both.reshape(steps, 5, m).sum(1, dtype=np.float64)
+        both[place >= length[:m]] = 0  # a block that ends between runs on to no effect
+        cost[:m] -= both.sum(0)
+        t0 += steps
+    whole[:, :, :m] = w.reshape(4, 5, m)
+    state.weights, state.maps = whole.transpose(1, 0, 2) * np.float32(-np.sqrt(RATE)), refined.reshape(5, MAP_CELLS, n)
+    return cost

@@ -160,38 +160,135 @@ def test_base_scores_equal_brute_force(spark, documents):
     assert lm.score(documents.limit(0), training).count() == 0
 
 
+def test_scores_in_chunks_and_clashing_columns(spark, documents, monkeypatch):
+    """Chunks, vocabulary pieces and other columns change no score; the whole score is that of the mixer over the training texts."""
+    training = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
+    wide = documents.withColumns({k: F.lit("x") for k in ("chunk", "ids", "training", "texts", "words", "id", "score", "n")})
+    known = {(r.doc_id, round(r.base_score, 6), round(r.score, 4), r.n_bytes) for r in lm.score(wide, training).collect()}
+    monkeypatch.setattr(lm, "CHUNK", 20_000)
+    monkeypatch.setattr(lm, "PIECE_BYTES", 50_000)
+    assert {(r.doc_id, round(r.base_score, 6), round(r.score, 4), r.n_bytes) for r in lm.score(documents.repartition(3), training).collect()} == known
+    rows = [(i, (t or "").encode().lower()) for i, t in texts(documents)]
+    learnt = [t for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
+    form = mixer.shape(np.bincount(np.frombuffer(b"".join(learnt), np.uint8), minlength=256), sum(map(len, learnt)))
+    table = predictor(form, learnt)
+    some = {i: t for i, t in rows[:20] + rows[-3:]}
+    want = mixer.code(table, form, list(some.values())) * -math.log10(2)
+    got = {i: s for i, _, s, _ in known}
+    assert np.allclose([got[i] for i in some], want, rtol=1e-4)
+
+
+def predictor(form, learnt):
+    counts = np.zeros(2 * form.total, np.int64)
+    mixer.count(counts, form, learnt)
+    return mixer.predictions(counts)
+
+
+def brute_units(form, text):
+    """For each piece of a text the list of (code, node base, hashes) of its units, one step at a time."""
+    m64, pieces, start = (1 << 64) - 1, [], 0
+    for i in range(len(text) + 1):
+        if i % mixer.PIECE == 0 and (i < len(text) or not i):
+            pieces.append([])
+            start = i
+        elif not (chr(text[i - 1]).isalnum() or text[i - 1] >= 128):
+            start = i
+        c1, c2, c3 = (text[i - k] if i >= k else 0 for k in (1, 2, 3))
+        word = sum((text[q] + 1) * pow(int(mixer._ODD), q - start, 1 << 64) for q in range(start, i)) & m64 ^ (i - start) << 7
+        mix = lambda x, k: ((x + (k << 40)) * 0xD6E8FEB86659FD93 & m64) >> 32
+        hashes = (c1, mix(c1 | c2 << 8, 2), mix(c1 | c2 << 8 | c3 << 16, 3), mix(word, 4))
+        symbol = text[i] if i < len(text) else form.end
+        if i < len(text) and symbol in form.common:
+            pieces[-1].append((form.common.index(symbol), 0, hashes))
+        else:
+            high, low = divmod(symbol, 16)
+            pieces[-1] += [(31, 0, hashes), (high, 32, hashes), (low, 64 + 32 * high, hashes)]
+    return pieces
+
+
+def brute_slot(form, k, context, node):
+    if not k:
+        return context << 10 | node
+    return form.starts[k] + (((context + node * 0x9E3779B1) * 0x85EBCA6B & 0xFFFFFFFF) >> (32 - form.bits[k - 1]))
+
+
+def brute_bits(table, form, text):
+    """The mixer, a bit at a time."""
+    total, n, ends = 0.0, 0, {}
+    for piece in brute_units(form, text):
+        for at in range(0, len(piece), mixer.BLOCK):
+            level = int(math.log2(n)) + 1 if n else 0
+            states = ends.get(level - 1)
+            first = mixer.start_state(1)
+            w, maps = (np.mean(x, 0) for x in zip(*states)) if states else (first.weights[:, :, 0].astype(float), first.maps[:, :, 0].astype(float))
+            w, maps = w.copy(), maps.copy()
+            for code, base, hashes in piece[at : at + mixer.BLOCK]:
+                for j in range(5):
+                    node, y = base + (1 << j | code >> 5 - j), code >> 4 - j & 1
+                    s = np.array([table[brute_slot(form, k, hashes[k], node)] for k in range(4)], float) / mixer.SCALE
+                    if base and not j:
+                        s[:] = mixer.SURE / mixer.SCALE
+                    odds = math.exp(-(w[j] @ s))
+                    p, cell = 1 / (1 + odds), (math.frexp(odds)[1] - 1 + 127) % mixer.MAP_CELLS
+                    total -= math.log2(max(1e-7, abs((p + maps[j, cell]) / 2 + y - 1)))
+                    w[j] += mixer.RATE * (y - p) * s
+                    maps[j, cell] += mixer.MAP_RATE * (y - maps[j, cell])
+            ends.setdefault(level, []).append((w, maps))
+            n += 1
+    return total
+
+
+def test_mixer_equals_brute_force(monkeypatch):
+    rng = np.random.default_rng(6)
+    words = ["the", "river", "in", "valley", "Zoë", "42", "\n", "sky-blue", "über"]
+    some = [" ".join(rng.choice(words, int(n))).encode().lower() for n in rng.integers(0, 40, 6)] + [b"", b"\0\0", bytes(range(256)), b"ab" * 300]
+    form = mixer.shape(np.bincount(np.frombuffer(b"".join(some), np.uint8), minlength=256), 4000)
+    table = predictor(form, some[:8])
+    whole = mixer.code(table, form, some)
+    assert np.allclose(whole, [brute_bits(table, form, t) for t in some], rtol=1e-3)
+    monkeypatch.setattr(mixer, "BLOCK", 32)
+    assert np.allclose(mixer.code(table, form, some), [brute_bits(table, form, t) for t in some], rtol=1e-3)
+    for name, value in (("PIECE", 100), ("GROUP", 200), ("LANES", 3), ("SLICE", 150)):
+        monkeypatch.setattr(mixer, name, value)
+    table = predictor(form, some[:8])
+    assert np.allclose(mixer.code(table, form, some), [brute_bits(table, form, t) for t in some], rtol=1e-3)
+
+
+def test_counts_equal_brute_force():
+    some = [b"abab abba \xc3\xa9", b"", b"aab b", bytes(range(256))]
+    form = mixer.shape(np.bincount(np.frombuffer(b"".join(some), np.uint8), minlength=256), 100)
+    counts, want = np.zeros(2 * form.total, np.int64), np.zeros(2 * form.total, np.int64)
+    mixer.count(counts, form, some)
+    for t in some:
+        for piece in brute_units(form, t):
+            for code, base, hashes in piece:
+                for j in range(5):
+                    for k in range(4):
+                        want[2 * brute_slot(form, k, hashes[k], base + (1 << j | code >> 5 - j)) + (code >> 4 - j & 1)] += 1
+    assert (counts == want).all()
+
+
 def test_mixing_is_a_probability():
     """Over all texts of one byte at most, the probabilities stay within one in total, whatever the model has seen."""
-    counts = np.zeros(2 * mixer.TOTAL, np.int64)
-    mixer.count(counts, [b"abab abba", b"aab b"] * 5)
-    table = mixer.predictions(counts)
-    first = [bytes([b]) for b in range(1, 256)]
-    with_end, _ = mixer.code(table, mixer.start_weights(), first)
-    alone, _ = mixer.code(table, mixer.start_weights(), [b""])
-    assert 0 < (2.0**-with_end).sum() + 2.0 ** -alone[0] <= 1.0 + 1e-6
-    many, _ = mixer.code(table, mixer.start_weights(), [b"abab abba " * 400, b"", b"xyzzy"])
-    one = [mixer.code(table, mixer.start_weights(), [t])[0][0] for t in (b"abab abba " * 400, b"", b"xyzzy")]
-    assert np.allclose(many, one, rtol=1e-5)
+    form = mixer.shape(np.bincount(list(b"ab  "), minlength=256), 100)
+    table = predictor(form, [b"abab abba", b"aab b"] * 5)
+    bits = mixer.code(table, form, [bytes([b]) for b in range(256)] + [b""])
+    assert 0 < (2.0**-bits).sum() <= 1.0 + 1e-6
+
+
+def test_tables_grow_with_the_corpus():
+    n = np.bincount(list(b"abc"), minlength=256)
+    sizes = [mixer.shape(n, int(x)).total for x in (5e8, 5e9, 5e10, 1e14)]
+    assert sizes == sorted(set(sizes)) and sizes[-1] < 2e8
 
 
 def test_a_learnt_text_costs_less():
-    counts = np.zeros(2 * mixer.TOTAL, np.int64)
     known = b"the weather in the valley is fine today and the river is low " * 3
-    mixer.count(counts, [known] * 20)
-    bits, _ = mixer.code(mixer.predictions(counts), mixer.start_weights(), [known, bytes(np.random.default_rng(1).integers(1, 256, len(known), dtype=np.uint8))])
+    form = mixer.shape(np.bincount(list(known), minlength=256), 4000)
+    bits = mixer.code(predictor(form, [known] * 20), form, [known, bytes(np.random.default_rng(1).integers(1, 256, len(known), dtype=np.uint8))])
     assert bits[0] < 0.3 * bits[1]
 
 
-def test_pieces_do_not_matter(monkeypatch):
-    counts = np.zeros(2 * mixer.TOTAL, np.int64)
-    text = bytes(np.random.default_rng(1).choice(list(b"abc  d"), 30_000))
-    mixer.count(counts, [text])
-    again = np.zeros_like(counts)
-    monkeypatch.setattr(mixer, "PIECE", 8192)
-    mixer.count(again, [text])
-    assert (counts == again).all()
-
-
 # --- 5 BPE
 
 
