@@ -4,10 +4,12 @@ A template and a stretch of text are aligned by the words that occur once in eac
 anchors is kept, and the gaps between anchors are aligned in the same way, after equal words at both ends of a gap are taken.
 Coverage is the share of the template's words that are aligned; a license is found where it reaches the template's threshold.
 
-Stretches: a template's words are needed but for a share, so at least one of its rarest words (as many as may be missing, and one)
-stands in every text that can reach the threshold. Each place of such a word gives a stretch of the template's length and some
-slack around; so no text is left out, and a license that stands in a text several times is found each time. Overlapping finds
-keep the one with most aligned words.
+Stretches: a short notice is looked for around each place of its rarest words, and must stand there whole. A longer template is
+first aligned with the whole text, by anchors unique in both, so that any number of words may stand between its parts; what is left
+before and behind a find is searched again. Where a text holds a license several times no word is unique: then stretches around each
+place of its rarest words are aligned, then the parts of the text from one place of such a word to the next. A template is passed
+over only if a text lacks so many of its words that no alignment could reach the threshold. Overlapping finds keep the one with most
+aligned words.
 
 Defined results: a null or empty text has no licenses, coverage 0 and a null best license. Words are compared in lower case (A-Z)
 without punctuation; whole texts are read. Rows are independent, so repeated rows give repeated results and an empty table an
@@ -20,6 +22,8 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +33,28 @@ from .common import map_texts
 
 WORDS = re.compile(rb"[a-z0-9\x80-\xff]+(?:\.[0-9]+)*")
 
-# Notices of public licenses, as their stewards publish them.
+_AS_IS = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+    "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH "
+    "THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, "
+    "BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED "
+    "AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+    "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_ISC_AS_IS = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES "
+    "OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY "
+    "DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, "
+    "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+
+# Texts and notices of public licenses, as their stewards publish them.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MIT-text": (
@@ -39,6 +64,35 @@ TEMPLATES = {
         "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software."
     ),
+    "Apache-2.0-copyright-grant": (
+        "Grant of Copyright License. Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, "
+        "worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly "
+        "display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form."
+    ),
+    "Apache-2.0-patent-grant": (
+        "Grant of Patent License. Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, "
+        "worldwide, non-exclusive, no-charge, royalty-free, irrevocable (except as stated in this section) patent license to make, have made, "
+        "use, offer to sell, sell, import, and otherwise transfer the Work, where such license applies only to those patent claims licensable by "
+        "such Contributor that are necessarily infringed by their Contribution(s) alone or by combination of their Contribution(s) with the Work "
+        "to which such Contribution(s) was submitted."
+    ),
+    "GPL-3.0-preamble": (
+        "The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for most software and "
+        "other practical works are designed to take away your freedom to share and change the works. By contrast, the GNU General Public License "
+        "is intended to guarantee your freedom to share and change all versions of a program--to make sure it remains free software for all its users."
+    ),
+    "GPL-2.0-preamble": (
+        "The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU General Public "
+        "License is intended to guarantee your freedom to share and change free software--to make sure the software is free for all its users."
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages "
+        "arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be "
+        "misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the "
+        "product documentation would be appreciated but is not required. Altered source versions must be plainly marked as such, and must not be "
+        "misrepresented as being the original software. This notice may not be removed or altered from any source distribution."
+    ),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-text": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You "
@@ -85,6 +139,37 @@ TEMPLATES = {
 }
 
 
+# Whole texts are a notice and what follows it.
+TEMPLATES |= {
+    "MIT-full": f"{TEMPLATES['MIT-text']} {_AS_IS}",
+    "BSD-2-Clause": f"{TEMPLATES['BSD-text']} {_BSD_AS_IS}",
+    "BSD-3-Clause": (
+        f"{TEMPLATES['BSD-text']} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        f"products derived from this software without specific prior written permission. {_BSD_AS_IS}"
+    ),
+    "ISC-full": f"{TEMPLATES['ISC-text']} {_ISC_AS_IS}",
+    "0BSD": f"{TEMPLATES['ISC-text'].split(', provided')[0]}. {_ISC_AS_IS}",
+}
+
+# Further wordings of notices, each of which stands for the license whole.
+WORDINGS = {
+    "MIT": ("Licensed under the MIT License", "MIT licensed", "The MIT License", "under the terms of the MIT license", "SPDX-License-Identifier: MIT"),
+    "Apache-2.0": ("Apache License 2.0", "Apache License, Version 2.0", "Apache 2.0 License", "SPDX-License-Identifier: Apache-2.0"),
+    "GPL-3.0": ("GPLv3", "GNU GPL v3", "GNU General Public License v3.0", "GNU General Public License, version 3", "SPDX-License-Identifier: GPL-3.0"),
+    "GPL-2.0": ("GPLv2", "GNU GPL v2", "GNU General Public License v2.0", "GNU General Public License, version 2", "SPDX-License-Identifier: GPL-2.0"),
+    "LGPL-2.1": ("LGPLv2.1", "GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1"),
+    "LGPL-3.0": ("LGPLv3", "GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0"),
+    "AGPL-3.0": ("AGPLv3", "GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-clause BSD license", "SPDX-License-Identifier: BSD-3-Clause"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-clause BSD license", "SPDX-License-Identifier: BSD-2-Clause"),
+    "MPL-2.0": ("Mozilla Public License, v. 2.0", "Mozilla Public License 2.0", "Mozilla Public License, version 2.0"),
+    "CC-BY-4.0": ("Creative Commons Attribution 4.0",),
+    "CC-BY-SA-4.0": ("Creative Commons Attribution-ShareAlike 4.0",),
+    "CC-BY-NC-4.0": ("Creative Commons Attribution-NonCommercial 4.0",),
+    "CC0-1.0": ("CC0 1.0 Universal",),
+}
+
+
 def words_of(raw: bytes) -> list[bytes]:
     return WORDS.findall(raw)
 
@@ -130,6 +215,10 @@ def patience(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+#: Templates of fewer words must stand whole and nearly together.
+SHORT = 20
+
+
 @dataclass(frozen=True)
 class Template:
     name: str
@@ -141,15 +230,32 @@ class Template:
     def slack(self) -> int:
         return max(3, len(self.words) // 3)
 
+    @cached_property
+    def vocabulary(self) -> frozenset[bytes]:
+        return frozenset(self.words)
+
+    @cached_property
+    def least_distinct(self) -> int:
+        """The fewest distinct words that `need` places can have."""
+        left, n = self.need, 0
+        for _, times in Counter(self.words).most_common():
+            left, n = left - times, n + 1
+            if left <= 0:
+                break
+        return n
+
 
-def templates(texts: dict[str, str], least: float = 0.8) -> list[Template]:
+def templates(texts: dict[str, str] | None = None, least: float = 0.8, wordings: dict[str, tuple[str, ...]] | None = None) -> list[Template]:
     """Short templates must match whole: a word more or less would make another license of them."""
-    split = {k: words_of(v.encode().lower()) for k, v in texts.items()}
-    used = Counter(w for words in split.values() for w in set(words))
-    common = Counter(w for words in split.values() for w in words)
+    if texts is None:
+        texts, wordings = TEMPLATES, WORDINGS
+    named = [*texts.items(), *((k, w) for k, some in (wordings or {}).items() for w in some)]
+    split = [(k, words_of(v.encode().lower())) for k, v in named]
+    used = Counter(w for _, words in split for w in set(words))
+    common = Counter(w for _, words in split for w in words)
     out = []
-    for name, words in split.items():
-        need = len(words) if len(words) < 20 else -int(-least * len(words) // 1)
+    for name, words in split:
+        need = len(words) if len(words) < SHORT else -int(-least * len(words) // 1)
         # of any set of more places than may be missing, one is aligned: the rarest words' places make the set
         order = sorted(range(len(words)), key=lambda i: (used[words[i]] + common[words[i]], -len(words[i]), i))
         keys: dict[bytes, list[int]] = {}
@@ -162,27 +268,76 @@ def templates(texts: dict[str, str], least: float = 0.8) -> list[Template]:
     return out
 
 
+def _aligned(t: Template, words: list[bytes], places: list[int]) -> list[int]:
+    """The places, out of `places`, of the template's words in the text, if they are enough."""
+    if len(places) < t.need:
+        return []
+    found = [places[j] for _, j in patience(t.words, [words[i] for i in places])]
+    return found if len(found) >= t.need else []
+
+
+def _around(t: Template, words: list[bytes], places: list[int]) -> list[list[int]]:
+    """Finds in stretches around each place of the rarest words."""
+    out, done = [], -1
+    for at in places:
+        if at <= done:
+            continue
+        for place in t.keys.get(words[at], ()):
+            begin = max(done + 1, at - place - t.slack)
+            some = places[bisect_left(places, begin) : bisect_left(places, at - place + len(t.words) + t.slack)]
+            if found := _aligned(t, words, some):
+                out.append(found)
+                done = found[-1]
+                break
+    return out
+
+
+def _between(t: Template, words: list[bytes], places: list[int]) -> list[int]:
+    """A find in the part of the text from one place of a rare word to the next."""
+    for key in sorted(t.keys, key=lambda k: t.keys[k][0]):
+        at = [i for i in places if words[i] == key]
+        if len(at) < 2:
+            continue
+        begins = [bisect_left(places, i - t.keys[key][0] - t.slack) for i in at]
+        for a, b in zip(begins, [*begins[1:], len(places)], strict=True):
+            if found := _aligned(t, words, places[a:b]):
+                return found
+    return []
+
+
+def _finds(t: Template, words: list[bytes], places: list[int]) -> list[list[int]]:
+    """All finds of a template; places: where its words stand in the text."""
+    if len(t.words) < SHORT:
+        return _around(t, words, places)
+    out, todo = [], [places]
+    while todo:
+        some = todo.pop()
+        if len(some) < t.need:
+            continue
+        found = _aligned(t, words, some)
+        several = [found] if found else _around(t, words, some) or [x for x in [_between(t, words, some)] if x]
+        if not several:
+            continue
+        out += several
+        ends = [-1, *(bisect_left(some, k) for f in several for k in (f[0], f[-1])), len(some)]
+        todo += [some[a + 1 : b] for a, b in zip(ends[0::2], ends[1::2], strict=True)]
+    return out
+
+
 def find(words: list[bytes], known: list[Template]) -> list[tuple[int, int, str, int, float]]:
     """(first word, last word, license, aligned words, coverage) of each find, by place."""
-    present = set(words)
+    at: dict[bytes, list[int]] = {}
+    for i, w in enumerate(words):
+        at.setdefault(w, []).append(i)
     found = []
     for t in known:
-        keys = present & t.keys.keys()
-        if not keys:
+        if t.keys.keys().isdisjoint(at):
+            continue
+        shared = [w for w in t.vocabulary if w in at]
+        if len(shared) < t.least_distinct:
             continue
-        done = -1
-        for at, w in enumerate(words):
-            if w not in keys or at <= done:
-                continue
-            for place in t.keys[w]:
-                begin = max(done + 1, at - place - t.slack)
-                stretch = words[begin : at - place + len(t.words) + t.slack]
-                aligned = patience(t.words, stretch)
-                if len(aligned) >= t.need:
-                    span = [begin + j for _, j in aligned]
-                    found.append((span[0], span[-1], t.name, len(aligned), len(aligned) / len(t.words)))
-                    done = span[-1]
-                    break
+        places = sorted(chain.from_iterable(at[w] for w in shared))
+        found += [(f[0], f[-1], t.name, len(f), len(f) / len(t.words)) for f in _finds(t, words, places)]
     found.sort(key=lambda x: (-x[3], -x[4], x[0], x[2]))
     kept: list[tuple[int, int, str, int, float]] = []
     for x in found:
@@ -196,7 +351,7 @@ FOUND = T.ArrayType(T.StructType([T.StructField("license", T.StringType()), T.St
 
 def scan(df: DataFrame, texts: dict[str, str] | None = None, least: float = 0.8, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns, then licenses: an array of (license, start, end, aligned, coverage) in code points, by start."""
-    known = templates(texts or TEMPLATES, least)
+    known = templates(texts, least)
 
     def start():
         every = set().union(*(t.keys for t in known))

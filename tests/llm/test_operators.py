@@ -512,6 +512,53 @@ def test_licenses(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def whole_text_finds(text, known):
+    """Names of the long templates that patience alignment with the whole text covers."""
+    words = licenses.words_of(text.encode().lower())
+    return {t.name for t in known if len(t.words) >= licenses.SHORT and len(licenses.patience(t.words, words)) >= t.need}
+
+
+def test_no_license_is_lost_to_inserted_words():
+    known = licenses.templates()
+    rng = np.random.default_rng(10)
+    for name in ("MIT-text", "MIT-full", "BSD-3-Clause", "ISC-text", "Zlib", "GPL-3.0-preamble"):
+        words = licenses.TEMPLATES[name].split()
+        for n in (0, 10, 87, 174, 1000):
+            other = ["".join(rng.choice(list("abcdefgh"), 7)) for _ in range(n)]
+            for at in (len(words) // 3, len(words) // 2):
+                text = " ".join(["lead", *words[:at], *other, *words[at:], "trail"])
+                got = licenses.find(licenses.words_of(text.encode().lower()), known)
+                mine = [x for x in got if x[2] == name]
+                assert len(mine) == 1 and mine[0][4] == 1.0, (name, n)
+    twice = " ".join([*licenses.TEMPLATES["MIT-full"].split(), "between", *["x"] * 300, *licenses.TEMPLATES["MIT-full"].split()])
+    assert [x[2] for x in licenses.find(licenses.words_of(twice.encode().lower()), known)] == ["MIT-full"] * 2
+
+
+def test_licenses_hold_all_that_whole_texts_align(documents):
+    known = licenses.templates()
+    odd = [licenses.TEMPLATES["MIT-full"] + " " + licenses.TEMPLATES["Zlib"], "free software " * 200 + licenses.TEMPLATES["GPL-text"]]
+    for text in [t for _, t in texts(documents) if len(t) < 50_000] + odd:
+        words = licenses.words_of(text.encode().lower())
+        got = licenses.find(words, known)
+        by_name = {t.name: t for t in known if len(t.words) >= licenses.SHORT}
+        for name in whole_text_finds(text, known) - {x[2] for x in got}:
+            # a find gives way only to one of more words at the same place
+            span = [j for _, j in licenses.patience(by_name[name].words, words)]
+            assert any(x[0] <= span[-1] and span[0] <= x[1] and x[3] >= len(span) for x in got)
+
+
+@pytest.mark.parametrize("text,name", [("MIT licensed", "MIT"), ("see GPLv3.", "GPL-3.0"), ("under the Apache License 2.0", "Apache-2.0"), ("licensed under the MIT License", "MIT"), ("BSD 3-Clause License", "BSD-3-Clause")])
+def test_wordings(text, name):
+    assert [x[2] for x in licenses.find(licenses.words_of(text.encode().lower()), licenses.templates())] == [name]
+
+
+def test_ties_and_clashing_columns_of_licenses(spark):
+    df = spark.createDataFrame([(1, "MIT licensed. GPLv3", "given"), (1, "MIT licensed. GPLv3", "given")], "doc_id long, text string, licenses string")
+    out = licenses.scan(df).collect()
+    assert [[x.license for x in r.licenses] for r in out] == [["MIT", "GPL-3.0"]] * 2
+    assert {r.best_license for r in licenses.digests(df).collect()} == {"MIT"}
+
+
 def test_patience_alignment():
     a, b = b"a b c d e f g".split(), b"x a b q c d e y g".split()
     assert [a[i] for i, _ in licenses.patience(a, b)] == b"a b c d e g".split()
