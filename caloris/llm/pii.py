@@ -1,10 +1,10 @@
 """Personal data, and information-theoretic sanitisation of terms that reveal it. DataFrame functions alone.
 
-Base patterns find the protected entities: e-mail and IP addresses, card and phone numbers. A context is the words around one
-occurrence of an entity. Over all contexts of the corpus, equal ones (copies) counted once, co-occurrence estimates how strongly a
+Base patterns find the protected entities: e-mail and IP addresses, card and phone numbers. A context is the whole words around one
+occurrence of an entity, of any length, as many on each side as the limits say. Over all contexts of the corpus, equal ones (copies) counted once, co-occurrence estimates how strongly a
 term t reveals an entity e: PMI(e, t) = log2 p(e, t) / (p(e) p(t)), against the entity's own information IC(e) = -log2 p(e). A term
 that gives at least `disclosure` of it, in at least `support` contexts of e, exceeds the threshold and is a span of kind `term`
-wherever it stands in a context of e.
+wherever it stands in a document that holds e.
 
 Nothing is gathered by document or entity: contexts are exploded, counted with partial sums and joined on (entity, term), sides
 that Spark can split; texts never enter a shuffle.
@@ -35,10 +35,9 @@ _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 @dataclass(frozen=True)
 class Disclosure:
-    """words: of a context, on each side, within reach code points. disclosure: share of an entity's information."""
+    """words: of a context, on each side. disclosure: share of an entity's information. shortest: letters and digits of a term."""
 
     words: int = 6
-    reach: int = 120
     support: int = 3
     disclosure: float = 0.9
     shortest: int = 4
@@ -73,25 +72,32 @@ def _term(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
 
 
-def _contexts(limits: Disclosure) -> Column:
-    """For each base span: its entity, and the terms around it as spans. Words are whole, and none touches a base span."""
+def _words(text: Column, base: Column) -> Column:
+    """The words of a text that touch no base span, as spans with their terms for matches."""
+    words = S.apart(S.placed(text, S.hits(text, WORD), WORD, "term"), base)
+    return F.transform(words, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), _term(w["match"]).alias("match"), w["kind"].alias("kind")))
 
-    def around(s: Column, at: Column, piece: Column, near: Column) -> Column:
-        words = S.placed(piece, S.hits(piece, WORD), WORD, "term")
-        moved = F.transform(near(words), lambda w: F.struct((w["start"] + at).alias("start"), (w["end"] + at).alias("end"), _term(w["match"]).alias("match"), w["kind"].alias("kind")))
-        return F.filter(moved, lambda w: (F.length(w["match"]) >= limits.shortest) & w["match"].rlike(r"\p{L}") & ~F.exists("__base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
 
-    def context(s: Column) -> Column:
-        text, k = F.col("__text"), F.lit(limits.words)
-        begin = F.greatest(F.lit(0), s["start"] - limits.reach)
-        left = F.substring(text, begin + 1, s["start"] - begin)
-        right = F.substring(text, s["end"] + 1, F.lit(limits.reach))
-        last = lambda w: F.slice(w, F.greatest(F.lit(1), F.size(w) - k + 1), k)
-        first = lambda w: F.slice(w, F.lit(1), k)
-        terms = F.concat(around(s, begin, left, last), around(s, s["end"], right, first))
-        return F.struct(F.concat_ws(":", s["kind"], s["match"]).alias("entity"), terms.alias("terms"))
+def _with_contexts(rows: DataFrame, limits: Disclosure) -> DataFrame:
+    """rows with __contexts: for each base span its entity, and the terms of the words before and behind it; null where there is none."""
+    some = F.size("__base") > 0
+    rows = rows.withColumn("__words", F.when(some, _words(F.col("__text"), F.col("__base"))))
+    # sorted together, a span has as many words before it as stand before it in the text
+    words = F.transform("__words", lambda w: F.struct(w["start"].alias("at"), F.lit(1).alias("n"), F.lit(-1).alias("i")))
+    spans = F.transform("__base", lambda b, i: F.struct(b["start"].alias("at"), F.lit(0).alias("n"), i.alias("i")))
+    rows = rows.withColumn("__order", F.when(some, F.array_sort(F.concat(words, spans))))
+    rows = rows.withColumn("__before", F.when(some, S.bound(F.transform("__order", lambda x: x["n"]), S.sums)))
+    places = F.zip_with("__order", "__before", lambda x, k: F.struct(x["i"].alias("i"), k.alias("k")))
+    rows = rows.withColumn("__places", F.when(some, F.filter(places, lambda x: x["i"] >= 0)))
 
-    return F.transform("__base", context)
+    def context(x: Column) -> Column:
+        k, n = x["k"], F.lit(limits.words)
+        near = F.slice("__words", F.greatest(F.lit(1), k - n + 1), F.least(k, n) + n)
+        terms = F.transform(F.filter(near, lambda w: (F.length(w["match"]) >= limits.shortest) & w["match"].rlike(r"\p{L}")), lambda w: w["match"])
+        base = F.get("__base", x["i"])
+        return F.struct(F.concat_ws(":", base["kind"], base["match"]).alias("entity"), terms.alias("terms"))
+
+    return rows.withColumn("__contexts", F.transform("__places", context)).drop("__words", "__order", "__before", "__places")
 
 
 def scan(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, limits: Disclosure | None = None) -> DataFrame:
@@ -100,13 +106,13 @@ def scan(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, l
     keep = [k for k in (df.columns if keep is None else keep) if k not in ("base", "spans")]
     own = [f"k{i}" for i in range(len(keep))]
     rows = _found(df.select(*(F.col(k).alias(o) for k, o in zip(keep, own, strict=True)), text_or_empty(text_col).alias("__text")))
-    rows = rows.withColumn("__contexts", F.when(F.size("__base") > 0, _contexts(limits)))
-    rows = stored(rows.select(*own, F.col("__base").alias("base"), F.col("__contexts").alias("contexts"), F.monotonically_increasing_id().alias("row")))
-    some = rows.filter(F.size("contexts") > 0).select("row", F.explode("contexts").alias("c")).select("row", "c.entity", "c.terms")
-    some = some.withColumn("context", F.xxhash64(F.transform("terms", lambda t: t["match"])))
-    term_rows = some.select("row", "entity", "context", F.explode("terms").alias("t"))
-    triples = stored(term_rows.select("entity", "context", F.col("t.match").alias("term")).distinct())
-    of_entity = stored(some.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_e")))
+    some = F.size("__base") > 0
+    rows = _with_contexts(rows, limits)
+    rows = stored(rows.select(*own, F.col("__base").alias("base"), F.when(some, F.col("__text")).alias("text"), F.col("__contexts").alias("contexts"), F.monotonically_increasing_id().alias("row")))
+    each = rows.filter(F.size("contexts") > 0).select("row", F.explode("contexts").alias("c")).select("row", "c.entity", "c.terms")
+    each = each.withColumn("context", F.xxhash64("terms"))
+    triples = stored(each.select("entity", "context", F.explode("terms").alias("term")).distinct())
+    of_entity = stored(each.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_e")))
     total = F.lit(of_entity.agg(F.sum("n_e")).first()[0] or 0)
     of_term = triples.groupBy("term").agg(F.count("*").alias("n_t"))
     pairs = triples.groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= limits.support)
@@ -114,10 +120,11 @@ def scan(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, l
     pmi = F.log2(F.col("n_et") * total / (F.col("n_e") * F.col("n_t")))
     information = -F.log2(F.col("n_e") / total)
     telling = stored(scored.filter((information > 0) & (pmi >= limits.disclosure * information)).select("entity", "term"))
-    flagged = term_rows.withColumn("term", F.col("t.match")).join(telling, ["entity", "term"]).select("row", F.struct("t.start", "t.end", "t.match", "t.kind").alias("t")).distinct()
-    flagged = flagged.groupBy("row").agg(F.collect_list("t").alias("added"))
+    flagged = each.select("row", "entity").distinct().join(telling, "entity").groupBy("row").agg(F.collect_set("term").alias("telling"))
     both = rows.join(flagged, "row", "left")
-    all_spans = F.when(F.col("added").isNotNull(), S.ordered(F.concat("base", "added"), KINDS)).otherwise(F.col("base"))
+    both = both.withColumn("words", F.when(F.col("telling").isNotNull(), _words(F.col("text"), F.col("base"))))
+    added = F.filter("words", lambda w: F.array_contains("telling", w["match"]))
+    all_spans = F.when(F.col("telling").isNotNull(), S.ordered(F.concat("base", added), KINDS)).otherwise(F.col("base"))
     return both.select(*(F.col(o).alias(k) for k, o in zip(keep, own, strict=True)), "base", all_spans.alias("spans"))
 
 

@@ -123,12 +123,11 @@ def scan(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, b
     # tokens without both letters and digits are dropped once their places are known; most texts have none
     rows = rows.withColumn("__some", F.exists("__random0", mixed) | F.exists("__random1", mixed))
     placed = {k: S.placed(text, F.col(f"__{k}"), p, k.rstrip("01")) for k, p in kinds}
-    placed["random"] = F.array_distinct(F.concat(placed["random0"], placed["random1"]))
+    placed["random"] = S.distinct(F.concat(placed["random0"], placed["random1"]))
     placed["assign"] = F.filter(placed["assign"], lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 2)) >= 6)
     placed["random"] = F.filter(F.when(F.col("__some"), placed["random"]).otherwise(F.expr(S.NO_SPANS)), lambda s: mixed(s["match"]))
     rows = rows.withColumn("__base", S.ordered(F.concat(placed["assign"], placed["access"], placed["hex"]), KINDS)).withColumn("__random", placed["random"])
-    free = F.filter("__random", lambda c: ~F.exists("__base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    rows = rows.withColumn("__random", free)
+    rows = rows.withColumn("__random", S.apart(F.col("__random"), F.col("__base")))
     judged = F.transform("__random", lambda s: F.struct(s.alias("span"), _measure(s["match"], battery).alias("m"), F.length(s["match"]).cast("double").alias("n")))
     rows = rows.withColumn("__judged", F.when(F.size("__random") > 0, F.filter(judged, lambda x: x["m"]["uniform"])))
     rows = rows.withColumn("__mean", F.aggregate("__judged", F.lit(0.0), lambda acc, x: acc + x["n"]) / F.size("__judged"))
@@ -138,8 +137,7 @@ def scan(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, b
     accepted = F.array_max(F.filter(F.transform("__p", lambda x, i: F.when(x["p"] <= (i + 1) * battery.q / m, i + 1).otherwise(0)), lambda k: k > 0))
     added = F.transform(F.slice("__p", F.lit(1), F.coalesce(accepted, F.lit(0))), lambda x: x["span"])
     rows = rows.withColumn("__added", F.coalesce(added, F.expr(S.NO_SPANS)))
-    inner = lambda s, o: (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & ((o["start"] < s["start"]) | (s["end"] < o["end"]))
-    rows = rows.withColumn("__added", F.filter("__added", lambda s: ~F.exists("__added", lambda o: inner(s, o))))
+    rows = rows.withColumn("__added", F.when(F.size("__added") > 0, S.outermost(F.col("__added"))).otherwise(F.col("__added")))
     all_spans = F.when(F.size("__added") > 0, S.ordered(F.concat("__base", "__added"), KINDS)).otherwise(F.col("__base"))
     return rows.select(*(F.col(f"__k{i}").alias(k) for i, k in enumerate(keep)), F.col("__base").alias("base"), all_spans.alias("spans"))
 

@@ -366,6 +366,52 @@ def test_telling_terms(spark):
     assert all(all(s["kind"] != "term" for s in r.spans) for r in pii.scan(same).collect())  # copies are one context
 
 
+def brute_terms(rows, limits):
+    """For each text the words that tell an entity that it holds, by PMI over contexts of whole words."""
+    contexts, held = set(), {}
+    for i, text in rows:
+        base = personal(text)
+        words = [(m.start(), m.end(), re.sub(r"^[\W_]+|[\W_]+$", "", m[0]).lower()) for m in WORD.finditer(text) if all(m.end() <= a or b <= m.start() for a, _, b, _ in base)]
+        held[i] = (words, {f"{k}:{text[a:b]}" for a, _, b, k in base})
+        for a, _, b, k in base:
+            near = [w for w in words if w[1] <= a][-limits.words :] + [w for w in words if w[0] >= b][: limits.words]
+            contexts.add((f"{k}:{text[a:b]}", tuple(w[2] for w in near if len(w[2]) >= limits.shortest and re.search(r"[^\W\d_]", w[2]))))
+    n_e = collections.Counter(e for e, _ in contexts)
+    n_t = collections.Counter(t for _, terms in contexts for t in set(terms))
+    n_et = collections.Counter((e, t) for e, terms in contexts for t in set(terms))
+    telling = {k for k, n in n_et.items() if n >= limits.support and n_e[k[0]] < len(contexts) and math.log2(n * len(contexts) / (n_e[k[0]] * n_t[k[1]])) >= -limits.disclosure * math.log2(n_e[k[0]] / len(contexts)) - 1e-12}
+    return {i: sorted((a, b) for a, b, t in words if any((e, t) in telling for e in entities)) for i, (words, entities) in held.items()}
+
+
+def test_terms_equal_brute_force(spark, documents):
+    long = "w" * 150
+    rows = [(20_000 + i, f"{'filler ' * (i % 3)}{long} zorbulon, joe@mail.example.com {long} said {'more ' * 9} Zorbulon again {i}") for i in range(8)]
+    rows += [(20_100 + i, f"anyone at 10.0.0.{i} {long} said zorb {i}") for i in range(20)] + [(20_200, "a@b.c d@e.f 1.2.3.4 " * 40)]
+    both = documents.filter(F.col("doc_id").isNotNull()).select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    whole = [(i, t) for i, t in texts(both)]
+    want = brute_terms(whole, pii.Disclosure())
+    assert any(want[i] for i in range(20_000, 20_008))
+    got = {r.doc_id: sorted((s["start"], s["end"]) for s in r.spans if s["kind"] == "term") for r in pii.scan(both, keep=["doc_id"]).collect()}
+    assert got == want
+    for i, t in whole:  # no span begins or ends within a word
+        assert all((not a or t[a - 1].isspace()) and (b == len(t) or t[b].isspace()) for a, b in got[i])
+
+
+def test_spans_of_long_texts(spark):
+    """Running sums and maxima over several levels of blocks, and spans of two kinds held against each other."""
+    rng = np.random.default_rng(9)
+    parts = ["".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), 32)) if k % 2 else f"token=abc{k:07d}" for k in range(9000)]
+    text = " ".join(parts)
+    r = secret_scan.digests(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    want = ",".join(f"assign:{m.start()}:{m.end()}" for m in _ASSIGN.finditer(text))
+    assert r.n_assign == 4500 and r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+    starts = {f"{len(' '.join(parts[:k])) + 1}" for k in range(1, 400, 2)}
+    found = [s.split(":") for s in r.spans.split(",") if s.startswith("random")]
+    assert len(found) > 3500 and all(int(b) - int(a) == 32 for _, a, b in found) and sum(a in starts for _, a, _ in found) > 150
+    clean = secret_scan.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
+    assert clean.count("[SECRET:assign]") == 4500 and clean.count("[SECRET:random]") == len(found)
+
+
 # --- 7 quality
 
 
