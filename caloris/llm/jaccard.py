@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import PLACE, dealt, record_batches, whole_groups
-from .common import map_texts, stored
+from .common import map_texts, neutral, restored, stored
 from .components import Forest, components
 from .simhash import fingerprint_of, links_within, radius_of, shingle_hashes
 
@@ -53,18 +53,18 @@ def keys(shingles: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(band.tobytes(), k) - (1 << 63) for k, band in enumerate(least.reshape(BANDS, ROWS))]
 
 
-def marks(df: DataFrame, words: int = WORDS, text_col: str = "text") -> DataFrame:
-    """df's columns, then print (a digest of the text's set), simhash (its fingerprint) and keys."""
+def marks(rows: DataFrame, words: int = WORDS) -> DataFrame:
+    """rows(id, row, text) without text, then print (a digest of the text's set), simhash (its fingerprint) and keys."""
 
     def start():
-        def rows(texts):
+        def made(texts):
             sets = [shingle_set(t, words) for t in texts]
             bits = np.array([fingerprint_of(s) for s in sets], np.uint64).view(np.int64)
             return [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], bits, [keys(s) for s in sets]
 
-        return rows
+        return made
 
-    return map_texts(df, df.columns, text_col, start, [T.StructField("print", T.BinaryType()), T.StructField("simhash", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    return map_texts(rows, ["id", "row"], "text", start, [T.StructField("print", T.BinaryType()), T.StructField("simhash", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
 
 
 def similar(sets: list[np.ndarray], cut: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -112,23 +112,33 @@ def links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return dealt(rows, ["component"], "id").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(marked: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(id, print, component_id) for each row of marked: the smallest id that links reach from it, itself included.
+def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of df that stay: one of each component, that of the smallest id; rows with a null id stay.
 
-    marked is read several times; give a stored table.
+    df is read twice; give a stored table. Texts move once, to meet the candidate components by their row's key; from there on only rows
+    of such components do. All other rows stay as they are.
     """
-    known = marked.filter(F.col(id_col).isNotNull())
-    points = stored(known.groupBy("print").agg(F.min(id_col).alias("id"), F.any_value("simhash").alias("simhash"), F.any_value("keys").alias("keys")))
-    keyed = points.select("simhash", "id", F.lit(0).alias("choice"), F.explode("keys").alias("key"))
+    own, names = neutral(df)
+    id_col, text_col = names[id_col], names[text_col]
+    row = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    marked = stored(marks(own.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), row.alias("row"), F.col(text_col).alias("text")), words))
+    points = stored(marked.groupBy("print").agg(F.min("id").alias("first"), F.count("*").alias("n"), F.any_value("simhash").alias("simhash"), F.any_value("keys").alias("keys")))
+    keyed = points.select("simhash", F.col("first").alias("id"), F.lit(0).alias("choice"), F.explode("keys").alias("key"))
     loose = components(stored(links_within(keyed, radius_of(similarity), [0]).filter("a <> b").distinct()))
-    near = stored(points.join(loose, points["id"] == loose["node"]).select("print", "id", "component"))
+    near = points.join(loose, points["first"] == loose["node"], "left").filter("n > 1 OR component IS NOT NULL")
+    near = stored(near.select("print", "first", F.coalesce("component", "first").alias("component")))
+    candidates = marked.select(F.col("id").alias("__id"), F.col("row").alias("__row"), "print").join(near, "print").distinct()
+    met = own.join(candidates, (F.col(id_col) == F.col("__id")) & (row == F.col("__row")), "left")
+    met = stored(met.select(*own.columns, "print", "first", "component"))
+    some = met.filter(F.col("component").isNotNull())
 
     def start():
         return lambda texts: ([shingle_set(t, words).astype("<u8").tobytes() for t in texts],)
 
-    texts = known.select("print", F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(near, ["print", "id"]).dropDuplicates(["print", "id"])
+    texts = some.filter(F.col(id_col) == F.col("first")).select("component", F.col("first").alias("id"), F.col(text_col).alias("text"), "print").dropDuplicates(["print"])
     sets = stored(map_texts(texts, ["component", "id"], "text", start, [T.StructField("shingles", T.BinaryType())]))
     of = components(stored(links(sets, similarity).filter("a <> b").distinct()))
-    classes = points.join(of, points["id"] == of["node"], "left").select("print", F.coalesce("component", "id").alias("component_id"))
-    joined = marked.select(F.col(id_col), F.col("print")).join(classes, "print", "left")
-    return joined.select(id_col, "print", F.when(F.col(id_col).isNotNull(), F.col("component_id")).alias("component_id"))
+    classes = near.join(of, near["first"] == of["node"], "left").select("print", "first", F.coalesce(of["component"], "first").alias("class"))
+    kept = classes.groupBy("class").agg(F.min(F.struct("first", "print")).alias("kept")).select(F.col("kept.first").alias("__id"), F.col("kept.print").alias("__print"))
+    one = some.join(kept, (F.col(id_col) == F.col("__id")) & (F.col("print") == F.col("__print")), "left_semi").dropDuplicates([id_col, "print"])
+    return restored(met.filter(F.col("component").isNull()).unionByName(one), names)

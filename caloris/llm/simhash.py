@@ -252,14 +252,12 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius:
     Texts are linked whose fingerprints differ in at most `radius` bits, or, if a similarity is given, whose sets of shingles have at
     least that Jaccard similarity.
     """
-    own, names = neutral(df)
-    id_col, text_col = names[id_col], names[text_col]
     if similarity is not None:
         from . import jaccard
 
-        whole = stored(jaccard.marks(own, shingle, text_col))
-        found = stored(jaccard.near_duplicates(whole, id_col, text_col, shingle, similarity))
-        return survivors(whole, found, [id_col, "print"], names)
+        return jaccard.dedup(df, id_col, text_col, shingle, similarity)
+    own, names = neutral(df)
+    id_col, text_col = names[id_col], names[text_col]
     whole = stored(fingerprints(own, shingle, text_col=text_col))
     found = stored(near_duplicates(whole.select(id_col, "simhash"), id_col, radius))
     return survivors(whole, found, [id_col, "simhash"], names)
