@@ -4,8 +4,8 @@ A known word scores the log of its frequency in each language. A word not known
 the longest length down to one: the first length at which any n-gram is known gives the mean of the known ones' log frequencies.
 A text's score for a language is the sum over its words; whole texts are read.
 
-Fitting: a classifier is learnt from a bounded sample of labelled rows, at most about sample_docs a language, drawn by a hash of
-the id; the tables it gives hold at most max_entries rows each. Everything else covers all rows.
+Fitting: a classifier is learnt from a bounded sample of labelled rows, about sample_docs a language and sample_total in all, drawn by a
+hash of the id; every language takes part, and so does all that stands in the sample at least min_count times in a language.
 
 Defined results: lang_pred is `und` and score 0 where a text is null or has no letter, and everywhere if nothing was learnt. Ties
 go to the language first by code point. Rows with a null or empty lang teach nothing. Rows are scored independently of each other,
@@ -88,7 +88,9 @@ class Scorer:
             new = list(words)
         if new:
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-            self.rows = np.concatenate([self.rows, np.array([self.model.word(w) for w in new])])
+            if len(self.index) > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros((len(self.index), len(self.model.langs)))])
+            self.rows[len(self.index) - len(new) : len(self.index)] = [self.model.word(w) for w in new]
         at = self.index.__getitem__
         return [self.rows[np.fromiter(map(at, t), np.int64, len(t))].sum(0) for t in texts]
 
@@ -110,20 +112,21 @@ class Scorer:
         return langs, scores
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", where: Column | None = None, sample_docs: int = 600, max_langs: int = 200, min_count: int = 2, max_entries: int = 400_000, longest: int = 5, seed: int = 7) -> Model:
+def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", where: Column | None = None, sample_docs: int = 600, sample_total: int = 60_000, min_count: int = 2, longest: int = 5, seed: int = 7) -> Model:
     """Learn from the rows of df with a language, of those that `where` admits.
 
-    The sample holds rows whose id hashes below sample_docs / rows of the language, so about sample_docs of each, whatever the
-    size of the input; the bound makes the counts small enough for the driver. The max_langs most frequent languages are learnt.
+    The sample holds rows whose id hashes below a language's share, so about sample_docs of each, or sample_total over the number of
+    languages if that is less, whatever the size of the input: the bound makes the counts small enough for the driver.
     """
     labelled = df.filter(F.col(lang_col).isNotNull() & (F.col(lang_col) != "") & F.col(text_col).isNotNull())
     if where is not None:
         labelled = labelled.filter(where)
-    sizes = labelled.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    sizes = labelled.groupBy(F.col(lang_col).alias("lang")).count().collect()
     langs = sorted(r["lang"] for r in sizes)
     if not langs:
         return Model([], {}, {})
-    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, sample_docs / r["count"]))))
+    each = min(sample_docs, sample_total / len(langs))
+    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, each / r["count"]))))
     chance = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col).cast("string")), F.lit(1 << 30)) / float(1 << 30)
     sample = labelled.withColumn("__lang", F.col(lang_col)).filter(chance < F.coalesce(share[F.col("__lang")], F.lit(-1.0)))
 
@@ -154,13 +157,11 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
             yield from counted(lang, words)
 
     counted = sample.select("__lang", F.col(text_col).alias("__text")).mapInArrow(run, "lang string, n int, g string, k long")
-    counts = counted.groupBy("lang", "n", "g").agg(F.sum("k").alias("k"))
-    counts = counts.withColumn("tables", F.when(F.col("n") == 0, 0).otherwise(1)).filter(F.col("k") >= min_count)
+    counts = counted.groupBy("lang", "n", "g").agg(F.sum("k").alias("k")).filter(F.col("k") >= min_count)
     numbers = {lang: i for i, lang in enumerate(langs)}
     tables: dict[int, dict[str, np.ndarray]] = {n: {} for n in range(longest + 1)}
-    for kind in (0, 1):
-        for r in counts.filter(F.col("tables") == kind).orderBy(F.desc("k"), "lang", "n", "g").limit(max_entries).collect():
-            tables[r["n"]].setdefault(r["g"], np.zeros(len(langs)))[numbers[r["lang"]]] = r["k"]
+    for r in counts.collect():
+        tables[r["n"]].setdefault(r["g"], np.zeros(len(langs)))[numbers[r["lang"]]] = r["k"]
     for table in tables.values():
         if table:
             total = np.sum(list(table.values()), axis=0)

@@ -31,7 +31,7 @@ from . import mixer
 from .common import stored
 
 #: Bytes of a chunk; of the corpus for a piece of the vocabulary; pieces that the tables are summed in.
-CHUNK, PIECE_BYTES, PIECES = 6 << 20, 16 << 20, 64
+CHUNK, PIECE_BYTES, PIECES = 3 << 20, 16 << 20, 64
 #: Texts that an input batch may hold before its bytes are looked at.
 SLICE = 256
 
@@ -167,7 +167,7 @@ def context_table(rows: DataFrame, form: mixer.Shape) -> np.ndarray:
 
     counted = rows.select("training", "texts").mapInArrow(run, "piece int, n long, gaps binary, counts binary")
     out = np.zeros(size * pieces, np.int8)
-    for r in counted.repartition(pieces, "piece").mapInArrow(add, "piece int, predictions binary").toLocalIterator():
+    for r in counted.repartition(pieces, "piece").mapInArrow(add, "piece int, predictions binary").collect():
         out[r["piece"] * size : (r["piece"] + 1) * size] = np.frombuffer(r["predictions"], np.int8)
     return out[: form.total]
 

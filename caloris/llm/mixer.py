@@ -20,13 +20,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 
-BLOCK, PIECE = 4096, 1 << 20
+BLOCK, PIECE = 1024, 1 << 20
 #: Bytes coded side by side, bytes whose contexts are computed at a time, blocks in one array, steps whose inputs are gathered at a time.
-GROUP, SLICE, LANES, STEPS = 6 << 20, 1 << 19, 512, 32
+GROUP, SLICE, LANES, STEPS = 3 << 20, 1 << 19, 512, 32
 RATE, MAP_RATE, MAP_CELLS = 0.02, 0.02, 64
 START_WEIGHT = 0.35
 #: Log odds are held in eight bits, in steps of 1 / SCALE.
@@ -34,11 +34,9 @@ SCALE = 14.0
 COMMON, ESCAPE, NODE_BITS = 31, 31, 10
 #: What a node that can't be otherwise predicts.
 SURE = -127
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_FIRST, _SECOND = 0x9E3779B1, 0x85EBCA6B
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_ODD, _FIRST, _SECOND = 0x01000193, 0x9E3779B1, 0x85EBCA6B
+_BREAK = np.ones(256, bool)
+_BREAK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 @dataclass(frozen=True)
@@ -89,11 +87,13 @@ def pieces(raw: bytes) -> Iterator[tuple[bytes, bytes, bool]]:
 
 @dataclass
 class Units:
-    """The units of pieces, one after the other: codes, the nodes that they start from, hashed contexts [4, units], and each piece's number of units."""
+    """The units of pieces, one after the other: codes, the nodes that they start from, the last three bytes (the last one lowest), the
+    word's hash, and each piece's number of units."""
 
     code: np.ndarray
     base: np.ndarray
-    hashes: np.ndarray
+    bytes: np.ndarray
+    word: np.ndarray
     sizes: np.ndarray
 
 
@@ -107,59 +107,71 @@ def units(parts: list[tuple[bytes, bytes, bool]], form: Shape) -> Units:
             held, size = [], 0
     if held:
         made.append(_units(held, form))
-    return made[0] if len(made) == 1 else Units(*(np.concatenate([getattr(m, k) for m in made], axis=-1) for k in ("code", "base", "hashes", "sizes")))
+    return made[0] if len(made) == 1 else Units(*(np.concatenate([getattr(m, k) for m in made]) for k in ("code", "base", "bytes", "word", "sizes")))
+
+
+@lru_cache(4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of _ODD, and of its inverse, in 32 bits."""
+    out = []
+    for x in (_ODD, pow(_ODD, -1, 1 << 32)):
+        power = np.full(n, x, np.uint32)
+        power[0] = 1
+        out.append(np.multiply.accumulate(power))
+    return out[0], out[1]
 
 
 def _units(parts: list[tuple[bytes, bytes, bool]], form: Shape) -> Units:
     # a byte more stands for the end of a piece, whether or not the text ends there
     data = np.frombuffer(b"".join(before + body + b"\0" for before, body, _ in parts), np.uint8)
+    n = len(data)
     sizes = np.array([len(body) + 1 for _, body, _ in parts])
-    ends = np.array([last for _, _, last in parts])
     begins = np.cumsum(sizes + 3) - sizes
-    own = np.ones(len(data), bool)
-    for k in (1, 2, 3):
-        own[begins - k] = False
-    at = np.flatnonzero(own)
-    is_end = np.zeros(len(data), bool)
-    is_end[begins + sizes - 1] = True
-    wide = data.astype(np.uint64)
-    c1, c2, c3 = wide[at - 1], wide[at - 2], wide[at - 3]
+    closing = begins + sizes - 1
+    wide = data.astype(np.uint32)
+    last = np.zeros(n, np.uint32)
+    last[1:] = wide[:-1]
+    last[2:] |= wide[:-2] << np.uint32(8)
+    last[3:] |= wide[:-3] << np.uint32(16)
     # the word so far: sums of bytes times powers, taken from the word's start and shifted back to it
-    n = len(data)
-    power = np.full(n, _ODD)
-    power[0] = 1
-    power = np.multiply.accumulate(power)
-    sums = (wide + np.uint64(1)) * power
-    sums = np.cumsum(sums) - sums
-    fresh = ~_LETTER[data]
-    fresh = np.r_[True, fresh[:-1]]
+    power, back = _powers(1 << (n - 1).bit_length())
+    wide += np.uint32(1)
+    wide *= power[:n]
+    sums = np.cumsum(wide, dtype=np.uint32)
+    sums -= wide
+    fresh = np.ones(n, bool)
+    fresh[1:] = _BREAK[data[:-1]]
     fresh[begins] = True
-    start = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))[at]
-    back = np.full(n, _INVERSE)
-    back[0] = 1
-    back = np.multiply.accumulate(back)
-    word = (sums[at] - sums[start]) * back[start]
-    word ^= (at - start).astype(np.uint64) << np.uint64(7)
-    mix = lambda x, k: ((x + np.uint64(k)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32)
-    c2 = c1 | c2 << np.uint64(8)
-    hashes = np.stack([c1.astype(np.uint32), mix(c2, 2 << 40), mix(c2 | c3 << np.uint64(16), 3 << 40), mix(word, 4 << 40)])
-    byte = data[at].astype(np.int32)
-    closing = is_end[at]
-    first = form.unit[byte]
+    place = np.flatnonzero(fresh)
+    length = np.diff(place, append=n)
+    sums -= np.repeat(sums[place], length)
+    sums *= np.repeat(back[place], length)
+    sums ^= (np.arange(n) - np.repeat(place, length)).astype(np.uint32) << np.uint32(7)
+    sums *= np.uint32(_SECOND)
+    first = form.unit[data]
     first[closing] = ESCAPE
-    byte[closing] = form.end
     times = np.where(first == ESCAPE, 3, 1)
+    for k in (1, 2, 3):
+        times[begins - k] = 0
     # pieces that are not the last of their text have no end
-    times[np.flatnonzero(closing)[~ends]] = 0
-    of = np.repeat(np.arange(len(times)), times)
+    times[closing[[not ends for _, _, ends in parts]]] = 0
+    of = np.repeat(np.arange(n), times)
     code, base = first[of], np.zeros(len(of), np.uint16)
-    escape = np.flatnonzero((code == ESCAPE) & np.r_[True, of[1:] != of[:-1]])
-    high = (byte[of[escape]] >> 4).astype(np.uint8)
-    code[escape + 1], base[escape + 1] = high, 32
-    code[escape + 2], base[escape + 2] = byte[of[escape]] & 15, 64 + 32 * high.astype(np.uint16)
+    begun = np.ones(len(of), bool)
+    begun[1:] = of[1:] != of[:-1]
+    escape = np.flatnonzero(begun & (code == ESCAPE))
+    byte = data[of[escape]]
+    byte[np.isin(of[escape], closing)] = form.end
+    code[escape + 1], base[escape + 1] = byte >> 4, 32
+    code[escape + 2], base[escape + 2] = byte & 15, 64 + 32 * (byte >> 4).astype(np.uint16)
     edges = np.cumsum(np.r_[0, times])
-    bounds = np.cumsum(np.r_[0, sizes])
-    return Units(code, base, hashes[:, of], edges[bounds[1:]] - edges[bounds[:-1]])
+    return Units(code, base, last[of], sums[of], edges[closing + 1] - edges[begins])
+
+
+def contexts(u: Units, at: np.ndarray | slice) -> list[np.ndarray]:
+    """The contexts of the four tables."""
+    last = u.bytes[at]
+    return [last & np.uint32(0xFF), last & np.uint32(0xFFFF), last, u.word[at]]
 
 
 def slots(k: int, form: Shape, context: np.ndarray, node: np.ndarray) -> np.ndarray:
@@ -178,21 +190,22 @@ def node(code: np.ndarray, base: np.ndarray, j: int) -> np.ndarray:
 def count(counts: np.ndarray, form: Shape, texts: list[bytes]) -> None:
     """Add what follows each slot in the texts to counts[2 * total] (zeros and ones in turn).
 
-    Equal units in equal contexts are counted first, so that only their number goes through the five bits.
+    Equal units after equal three bytes are counted first, so that only their number goes through the five bits and three tables.
     """
     for group in _batches(texts):
         u = units(group, form)
-        low = u.base.astype(np.uint64) << np.uint64(5) | u.code
-        for k in range(4):
-            keys = np.sort(u.hashes[k].astype(np.uint64) << np.uint64(15) | low)
-            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            times = np.diff(np.r_[first, len(keys)])
-            keys = keys[first]
-            context, base, code = (keys >> np.uint64(15)).astype(np.uint32), (keys >> np.uint64(5) & np.uint64(1023)).astype(np.uint16), (keys & np.uint64(31)).astype(np.uint8)
-            own = counts[2 * form.starts[k] : 2 * (form.starts[k] + form.sizes[k])]
-            for j in range(5):
-                at = slots(k, form, context, node(code, base, j)) << 1 | (code >> np.uint8(4 - j) & np.uint8(1))
-                np.add.at(own, at, times)
+        keys = np.sort(u.bytes.astype(np.uint64) << np.uint64(15) | u.base.astype(np.uint64) << np.uint64(5) | u.code)
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        times = np.diff(first, append=len(keys)).astype(counts.dtype)
+        keys = keys[first]
+        some = Units((keys & np.uint64(31)).astype(np.uint8), (keys >> np.uint64(5) & np.uint64(1023)).astype(np.uint16), (keys >> np.uint64(15)).astype(np.uint32), np.zeros(0, np.uint32), first)
+        for j in range(5):
+            nodes, bits = node(some.code, some.base, j), some.code >> np.uint8(4 - j) & np.uint8(1)
+            for k, mask in enumerate((0xFF, 0xFFFF, 0xFFFFFF)):
+                at = slots(k, form, some.bytes & np.uint32(mask), nodes) << 1 | bits
+                np.add.at(counts[2 * form.starts[k] : 2 * (form.starts[k] + form.sizes[k])], at, times)
+            at = slots(3, form, u.word, node(u.code, u.base, j)) << 1 | (u.code >> np.uint8(4 - j) & np.uint8(1))
+            np.add.at(counts[2 * form.starts[3] :], at, counts.dtype.type(1))
 
 
 def _batches(texts: list[bytes]) -> Iterator[list[tuple[bytes, bytes, bool]]]:
@@ -218,16 +231,17 @@ def predictions(counts: np.ndarray) -> np.ndarray:
 
 @dataclass
 class State:
-    """Weights [5, 4, lanes] and maps [5, cells, lanes]."""
+    """Weights [5, 4, lanes] and maps [5, lanes, cells]."""
 
     weights: np.ndarray
     maps: np.ndarray
 
 
 def start_state(lanes: int) -> State:
-    low = (np.arange(MAP_CELLS) - 127 + MAP_CELLS // 2) % MAP_CELLS - MAP_CELLS // 2  # the exponent of two of the odds of a 0
+    # a cell is the exponent of two of the odds of a 0
+    low = (np.arange(MAP_CELLS) - 127 + MAP_CELLS // 2) % MAP_CELLS - MAP_CELLS // 2
     cells = 1 / (1 + 1.5 * 2.0**low)
-    return State(np.full((5, 4, lanes), START_WEIGHT, np.float32), np.repeat(np.tile(cells.astype(np.float32), (5, 1))[:, :, None], lanes, 2))
+    return State(np.full((5, 4, lanes), START_WEIGHT, np.float32), np.broadcast_to(cells.astype(np.float32), (5, lanes, MAP_CELLS)))
 
 
 def code(table: np.ndarray, form: Shape, texts: list[bytes]) -> np.ndarray:
@@ -273,6 +287,8 @@ def _coded(table: np.ndarray, form: Shape, parts: list[tuple[bytes, bytes, bool]
     begin = np.repeat(np.cumsum(u.sizes) - u.sizes, n_blocks) + nth * BLOCK
     length = np.minimum(BLOCK, u.sizes[of] - nth * BLOCK)
     level = level_of(nth + done)
+    last_level = level[np.cumsum(n_blocks) - 1]
+    hand_on = not parts[-1][2]
     sums = dict(earlier or {})
     cost = np.zeros(len(of))
     for now in range(int(level.min()), int(level.max()) + 1):
@@ -283,16 +299,22 @@ def _coded(table: np.ndarray, form: Shape, parts: list[tuple[bytes, bytes, bool]
             if now:
                 weights, maps, n = sums[now - 1]
                 owner = np.zeros(len(some), np.int64) if earlier is not None else of[some]
-                state = State((weights[owner] / n[owner, None, None]).transpose(1, 2, 0), (maps[owner] / n[owner, None, None]).transpose(1, 2, 0))
-            cost[some] = _run(table, form, u, begin[some], length[some], state, 0 if parts[-1][2] else int(length[-1]))
+                n = n[owner, None, None].astype(np.float32)
+                state = State((weights[owner] / n).transpose(1, 2, 0), (maps[owner] / n).transpose(1, 0, 2))
+            cost[some] = _run(table, form, u, begin[some], length[some], state, int(length[-1]) if hand_on else 0)
             ends.append(state)
-            of_end.append(of[some])
-        more = np.concatenate(of_end)
-        n = np.bincount(more, minlength=len(parts))
-        weights, maps = np.zeros((len(parts), 5, 4), np.float32), np.zeros((len(parts), 5, MAP_CELLS), np.float32)
-        for state, owner in zip(ends, of_end, strict=True):
-            np.add.at(weights, owner, state.weights.transpose(2, 0, 1))
-            np.add.at(maps, owner, state.maps.transpose(2, 0, 1))
+            of_end.append(some)
+        order = np.concatenate(of_end)
+        # of each text that goes on, the sum of its states
+        some = np.argsort(order)
+        some = some[(last_level[of[blocks]] > now) | hand_on]
+        owner = of[order[some]]
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        weights, maps, n = np.zeros((len(parts), 5, 4), np.float32), np.zeros((len(parts), 5, MAP_CELLS), np.float32), np.zeros(len(parts), np.int64)
+        if len(first):
+            weights[owner[first]] = np.add.reduceat(np.concatenate([x.weights.transpose(2, 0, 1) for x in ends])[some], first)
+            maps[owner[first]] = np.add.reduceat(np.concatenate([x.maps.transpose(1, 0, 2) for x in ends])[some], first)
+            n[owner[first]] = np.diff(first, append=len(owner))
         if earlier is not None and now in sums:
             weights, maps, n = weights + sums[now][0], maps + sums[now][1], n + sums[now][2]
         sums[now] = (weights, maps, n)
@@ -316,11 +338,12 @@ def _run(table: np.ndarray, form: Shape, u: Units, begin: np.ndarray, length: np
     n, longest = len(begin), int(length[0])
     root = np.float32(np.sqrt(RATE) / SCALE)
     whole = state.weights.transpose(1, 0, 2) * np.float32(-1 / np.sqrt(RATE))
-    refined = np.ascontiguousarray(state.maps).reshape(-1)
+    refined = np.ascontiguousarray(state.maps).reshape(-1)  # rows, blocks, cells
     one, map_rate = np.float32(1), np.float32(MAP_RATE)
     cost, last, w = np.zeros(n), len(u.code) - 1, whole.reshape(4, -1)
     m = n
-    first_cell = (np.arange(5)[:, None] * (MAP_CELLS * n) + np.arange(n)).reshape(-1)
+    first_cell = (np.arange(5 * n, dtype=np.int32) * np.int32(MAP_CELLS)).reshape(5, n)
+    own_cell = first_cell.reshape(-1)
     t0 = 0
     while t0 < longest:
         steps = min(STEPS, (exact if t0 < exact else longest) - t0)
@@ -329,58 +352,59 @@ def _run(table: np.ndarray, form: Shape, u: Units, begin: np.ndarray, length: np
             whole[:, :, :m] = w.reshape(4, 5, m)
             m = going
             w = np.ascontiguousarray(whole[:, :, :m]).reshape(4, -1)
-            first_cell = (np.arange(5)[:, None] * (MAP_CELLS * n) + np.arange(m)).reshape(-1)
-        place = np.arange(t0, t0 + steps)[:, None]
-        at = np.minimum(begin[:m] + place, last)
+            own_cell = np.ascontiguousarray(first_cell[:, :m]).reshape(-1)
+        nth = np.arange(t0, t0 + steps)[:, None]
+        at = np.minimum(begin[:m] + nth, last)
         unit, base = u.code[at], u.base[at]
-        nodes = [node(unit, base, j) for j in range(5)]
+        nodes, known = [node(unit, base, j) for j in range(5)], contexts(u, at)
         shared = [x * np.uint32(_FIRST * _SECOND & 0xFFFFFFFF) for x in nodes]
-        gathered = np.empty((steps, 4, 5, m), np.int8)
+        gathered = np.empty((4, 5, steps, m), np.int8)
         for k in range(4):
             own = table[form.starts[k] : form.starts[k] + form.sizes[k]]
-            context = u.hashes[k][at]
-            if k:
-                context *= np.uint32(_SECOND)
-                shift = np.uint32(32 - form.bits[k - 1])
-            else:
-                context <<= np.uint32(NODE_BITS)
+            context = known[k] * np.uint32(_SECOND) if k else known[k] << np.uint32(NODE_BITS)
+            shift = np.uint32(32 - form.bits[max(0, k - 1)])
             for j in range(5):
-                gathered[:, k, j] = own.take(context + shared[j] >> shift if k else context | nodes[j], mode="clip")
+                if k:
+                    slot = context + shared[j]
+                    slot >>= shift
+                else:
+                    slot = context | nodes[j]
+                own.take(slot, out=gathered[k, j], mode="clip")
         sure = base > 0
         if sure.any():
-            gathered[:, :, 0].transpose(0, 2, 1)[sure] = SURE
-        gathered = gathered.reshape(steps, 4, -1)
+            gathered[:, 0, sure] = SURE
         bit = np.empty((steps, 5, m), np.float32)
         for j in range(5):
             bit[:, j] = unit >> np.uint8(4 - j) & np.uint8(1)
         bit = bit.reshape(steps, -1)
         both = np.empty((steps, 5 * m), np.float32)
-        s, part, x = np.empty((4, 5 * m), np.float32), np.empty((4, 5 * m), np.float32), np.empty(5 * m, np.float32)
+        inputs, part, x, r = np.empty((4, 5, m), np.float32), np.empty((4, 5 * m), np.float32), np.empty(5 * m, np.float32), np.empty(5 * m, np.float32)
+        s, cell = inputs.reshape(4, -1), np.empty(5 * m, np.int32)
         # the five bits of a unit use five sets of weights and five maps: taking them in one step is taking them one by one
         for t in range(steps):
             y = bit[t]
-            np.multiply(gathered[t], root, out=s)
+            np.multiply(gathered[:, :, t], root, out=inputs)
             np.multiply(w, s, out=part)
             np.add(part[0], part[1], out=x)
             x += part[2]
             x += part[3]
             np.exp(x, out=x)
             # the odds of a 0: their exponent to the base of two names the cell
-            cell = x.view(np.int32) >> 23
+            np.right_shift(x.view(np.int32), 23, out=cell)
             cell &= MAP_CELLS - 1
-            cell = cell * n
-            cell = cell + first_cell
+            cell += own_cell
+            place = cell.astype(np.intp)
             x += one
             np.divide(one, x, out=x)
-            r = refined.take(cell)
+            refined.take(place, out=r, mode="clip")
             np.add(x, r, out=both[t])
             x -= y
             np.multiply(s, x, out=part)
             w += part
-            y = y - r
-            y *= map_rate
-            r += y
-            refined[cell] = r
+            np.subtract(y, r, out=x)
+            x *= map_rate
+            r += x
+            refined[place] = r
         both *= np.float32(0.5)
         both += bit
         both -= one
@@ -388,9 +412,9 @@ def _run(table: np.ndarray, form: Shape, u: Units, begin: np.ndarray, length: np
         np.maximum(both, np.float32(1e-7), out=both)
         np.log2(both, out=both)
         both = both.reshape(steps, 5, m).sum(1, dtype=np.float64)
-        both[place >= length[:m]] = 0  # a block that ends between runs on to no effect
+        both[nth >= length[:m]] = 0  # a block that ends between runs on to no effect
         cost[:m] -= both.sum(0)
         t0 += steps
     whole[:, :, :m] = w.reshape(4, 5, m)
-    state.weights, state.maps = whole.transpose(1, 0, 2) * np.float32(-np.sqrt(RATE)), refined.reshape(5, MAP_CELLS, n)
+    state.weights, state.maps = whole.transpose(1, 0, 2) * np.float32(-np.sqrt(RATE)), refined.reshape(5, n, MAP_CELLS)
     return cost
