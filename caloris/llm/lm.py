@@ -1,9 +1,9 @@
 """Scores of texts by language models learnt from a corpus: word frequencies, and online logistic context mixing (see mixer).
 
-Texts are lower-cased (A-Z) and stored in chunks: rows of about CHUNK bytes of consecutive texts, or of one longer text.
+Texts are lower-cased (A-Z) and stored by chunks of about CHUNK bytes of consecutive texts, or of one longer text.
 
-Word frequencies: each chunk lists its distinct words in order of first use, dealt by a hash to pieces of the vocabulary, each with
-its number in the chunk's training texts. A piece adds these up and answers each chunk's list with the sums alone. So each distinct
+Word frequencies: a chunk's distinct words, in order of first use, are listed as it is stored, dealt by a hash to pieces of the
+vocabulary, each word with its number in the chunk's training texts. A piece adds these up and answers each chunk's list with the sums alone. So each distinct
 word of a chunk moves once and its sum once, a common word once a chunk, and no task holds more than a piece. Answers meet the texts
 in one task a chunk.
 
@@ -26,12 +26,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import mixer
 from .common import stored
 
 #: Bytes of a chunk; of the corpus for a piece of the vocabulary; pieces that the tables are summed in.
-CHUNK, PIECE_BYTES, PIECES = 3 << 20, 16 << 20, 64
+CHUNK, PIECE_BYTES, PIECES = 3 << 20, 8 << 20, 64
 #: Texts that an input batch may hold before its bytes are looked at.
 SLICE = 256
 
@@ -41,40 +42,53 @@ def tokens(text: bytes) -> list[bytes]:
     return text.split()
 
 
-def chunks(df: DataFrame, id_col: str, text_col: str, training: Column) -> DataFrame:
-    """(chunk, ids, training, texts, bytes): a row a chunk; bytes: how often its training texts hold each byte."""
+def chunks(df: DataFrame, id_col: str, text_col: str, training: Column, pieces: int) -> DataFrame:
+    """Two kinds of rows. Texts: chunk, nth (its place there), id, training, text. Lists (text is null): chunk, piece, words (blank-joined),
+    counts (their numbers in the chunk's training texts); piece -1: counts has how often these hold each byte."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(training, F.lit(False)).alias("training"), text.alias("text"))
-    kind = rows.schema["id"].dataType
+    schema = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("nth", T.IntegerType()), rows.schema["id"], T.StructField("training", T.BooleanType()), T.StructField("text", T.BinaryType()), T.StructField("piece", T.IntegerType()), T.StructField("words", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from pyspark.sql.pandas.types import to_arrow_type
+        from pyspark.sql.pandas.types import to_arrow_schema
 
+        kinds = to_arrow_schema(schema)
         number, size = TaskContext.get().partitionId() << 33, 0
-        ids, learnt, texts, found = [], [], [], np.zeros(256, np.int64)
-        kinds = (pa.int64(), pa.list_(to_arrow_type(kind)), pa.list_(pa.bool_()), pa.list_(pa.binary()), pa.list_(pa.int64()))
-
-        def out() -> pa.RecordBatch:
-            values = (number, ids, learnt, texts, found.tolist())
-            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, kinds, strict=True)], names=["chunk", "ids", "training", "texts", "bytes"])
+        ids, learnt, texts = [], [], []
+
+        def made(n: int, **columns: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(columns.get(k.name, [None] * n), k.type) for k in kinds], schema=kinds)
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for k in range(0, len(texts), SLICE):
+                some = texts[k : k + SLICE]
+                yield made(len(some), chunk=[number] * len(some), nth=list(range(k, k + len(some))), id=ids[k : k + SLICE], training=learnt[k : k + SLICE], text=some)
+            of, words, dealt = vocabulary(texts, pieces)
+            counts, held = np.zeros(len(words), np.int64), np.zeros(256, np.int64)
+            for x, text, t in zip(of, texts, learnt, strict=True):
+                if t:
+                    np.add.at(counts, x, 1)
+                    held += np.bincount(np.frombuffer(text, np.uint8), minlength=256)
+            full = [p for p in range(pieces) if len(dealt[p])]
+            lists = [b" ".join([words[i] for i in dealt[p].tolist()]) for p in full]
+            numbers = [counts[dealt[p]].astype("<i4").tobytes() for p in full]
+            yield made(len(full) + 1, chunk=[number] * (len(full) + 1), piece=[*full, -1], words=[*lists, None], counts=[*numbers, held.tobytes()])
 
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 for i, t, x in zip(*(batch.column(k).slice(at, SLICE).to_pylist() for k in ("id", "training", "text")), strict=True):
                     if texts and size + len(x) > CHUNK:
-                        yield out()
-                        number, size, ids, learnt, texts, found = number + 1, 0, [], [], [], np.zeros(256, np.int64)
+                        yield from out()
+                        number, size, ids, learnt, texts = number + 1, 0, [], [], []
                     ids.append(i)
                     learnt.append(t)
                     texts.append(x.lower())
                     size += len(x)
-                    if t:
-                        found += np.bincount(np.frombuffer(texts[-1], np.uint8), minlength=256)
         if texts:
-            yield out()
+            yield from out()
 
-    return rows.mapInArrow(run, f"chunk long, ids array<{kind.simpleString()}>, training array<boolean>, texts array<binary>, bytes array<long>")
+    return rows.mapInArrow(run, schema)
 
 
 def vocabulary(texts: list[bytes], pieces: int) -> tuple[list[np.ndarray], list[bytes], list[np.ndarray]]:
@@ -88,24 +102,6 @@ def vocabulary(texts: list[bytes], pieces: int) -> tuple[list[np.ndarray], list[
     return ids, words, np.split(order, np.searchsorted(piece[order], np.arange(1, pieces)))
 
 
-def word_lists(rows: DataFrame, pieces: int) -> DataFrame:
-    """(piece, chunk, words, counts): each chunk's words, blank-joined, and their numbers in its training texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                chunk, training, texts = (batch.column(c)[k].as_py() for c in ("chunk", "training", "texts"))
-                ids, words, dealt = vocabulary(texts, pieces)
-                learnt = [x for x, t in zip(ids, training, strict=True) if t]
-                counts = np.bincount(np.concatenate(learnt), minlength=len(words)) if learnt else np.zeros(len(words), np.int64)
-                full = [p for p in range(pieces) if len(dealt[p])]
-                lists = [b" ".join([words[i] for i in dealt[p].tolist()]) for p in full]
-                numbers = [counts[dealt[p]].astype("<i4").tobytes() for p in full]
-                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([chunk] * len(full), pa.int64()), pa.array(lists, pa.binary()), pa.array(numbers, pa.binary())], names=["piece", "chunk", "words", "counts"])
-
-    return rows.select("chunk", "training", "texts").mapInArrow(run, "piece int, chunk long, words binary, counts binary")
-
-
 def summed(lists: DataFrame) -> DataFrame:
     """(chunk, piece, sums): for each list, its words' numbers in the corpus. A row of each piece without a chunk has its distinct known
     words (v) and their total (n)."""
@@ -126,10 +122,19 @@ def summed(lists: DataFrame) -> DataFrame:
     return lists.groupBy("piece").applyInArrow(run, "chunk long, piece int, sums binary, v long, n long")
 
 
-def byte_counts(rows: DataFrame) -> np.ndarray:
+def byte_counts(lists: DataFrame) -> np.ndarray:
     """How often the training texts hold each byte."""
+    found = lists.filter("piece = -1").select("counts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(256, np.int64)
+        for batch in batches:
+            for x in batch.column("counts").to_pylist():
+                total += np.frombuffer(x, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(total)], names=["byte", "n"])
+
     out = np.zeros(256, np.int64)
-    for r in rows.select(F.posexplode("bytes").alias("byte", "n")).groupBy("byte").agg(F.sum("n").alias("n")).collect():
+    for r in found.mapInArrow(run, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect():
         out[r["byte"]] = r["n"]
     return out
 
@@ -142,10 +147,9 @@ def context_table(rows: DataFrame, form: mixer.Shape) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, some = np.zeros(2 * size * pieces, np.int32), False
         for batch in batches:
-            for training, texts in zip(batch.column("training").to_pylist(), batch.column("texts").to_pylist(), strict=True):
-                learnt = [x for t, x in zip(training, texts, strict=True) if t]
-                mixer.count(counts[: 2 * form.total], form, learnt)
-                some = some or bool(learnt)
+            for at in range(0, batch.num_rows, SLICE):
+                mixer.count(counts[: 2 * form.total], form, batch.column("text").slice(at, SLICE).to_pylist())
+                some = True
         for piece in range(pieces if some else 0):
             part = counts[2 * piece * size : 2 * (piece + 1) * size]
             full = np.flatnonzero(part)
@@ -165,7 +169,7 @@ def context_table(rows: DataFrame, form: mixer.Shape) -> np.ndarray:
         for piece, s in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([mixer.predictions(s).tobytes()])], names=["piece", "predictions"])
 
-    counted = rows.select("training", "texts").mapInArrow(run, "piece int, n long, gaps binary, counts binary")
+    counted = rows.filter("training AND text IS NOT NULL").select("text").mapInArrow(run, "piece int, n long, gaps binary, counts binary")
     out = np.zeros(size * pieces, np.int8)
     for r in counted.repartition(pieces, "piece").mapInArrow(add, "piece int, predictions binary").collect():
         out[r["piece"] * size : (r["piece"] + 1) * size] = np.frombuffer(r["predictions"], np.int8)
@@ -174,22 +178,24 @@ def context_table(rows: DataFrame, form: mixer.Shape) -> np.ndarray:
 
 def score(df: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of df: id, training, n_tokens, n_known, train_tokens, base_score, score (both log10), n_bytes, bits_per_byte."""
-    rows = stored(chunks(df, id_col, text_col, training))
-    by_byte = byte_counts(rows)
-    n_training = rows.agg(F.sum(F.size(F.filter("training", lambda t: t)))).first()[0] or 0
-    n_bytes = int(by_byte.sum())
+    n_bytes = df.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     pieces = max(1, -(-n_bytes // PIECE_BYTES))
-    answers = stored(summed(word_lists(rows, pieces)))
+    rows = stored(chunks(df, id_col, text_col, training, pieces))
+    lists = rows.filter("piece IS NOT NULL").select("piece", "chunk", "words", "counts")
+    by_byte = byte_counts(lists)
+    n_training = rows.filter("training").count()
+    answers = stored(summed(lists.filter("piece >= 0")))
     totals = answers.filter("chunk IS NULL").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
     n_all = (totals["n"] or 0) + n_training
     distinct = (totals["v"] or 0) + bool(n_training)
-    form = mixer.shape(by_byte, n_bytes)
+    form = mixer.shape(by_byte, int(by_byte.sum()))
     shared = df.sparkSession.sparkContext.broadcast(context_table(rows, form))
     bottom = np.log10(n_all + 0.5 * (distinct + 1))
     end = float(np.log10(n_training + 0.5) - bottom)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts = left.column("texts").to_pylist()[0]
+        left = left.sort_by("nth")
+        texts = left.column("text").to_pylist()
         ids, words, dealt = vocabulary(texts, pieces)
         c = np.zeros(len(words), np.int64)
         for piece, sums in zip(right.column("piece").to_pylist(), right.column("sums").to_pylist(), strict=True):
@@ -199,7 +205,7 @@ def score(df: DataFrame, training: Column, id_col: str = "doc_id", text_col: str
         sizes = np.array([len(x) for x in texts])
         return pa.table(
             {
-                "id": left.column("ids").combine_chunks().flatten(), "training": left.column("training").combine_chunks().flatten(),
+                "id": left.column("id"), "training": left.column("training"),
                 "n_tokens": np.array([len(x) + 1 for x in ids]), "n_known": np.array([int(known[x].sum()) + (n_training > 0) for x in ids]),
                 "base_score": np.array([float(logs[x].sum()) + end for x in ids]), "score": bits * -float(np.log10(2)), "n_bytes": sizes, "bits_per_byte": bits / np.maximum(1, sizes),
             }
@@ -207,5 +213,6 @@ def score(df: DataFrame, training: Column, id_col: str = "doc_id", text_col: str
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, training boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long, bits_per_byte double"
-    found = rows.groupBy("chunk").cogroup(answers.filter("chunk IS NOT NULL").select("chunk", "piece", "sums").groupBy("chunk")).applyInArrow(run, schema)
+    texts = rows.filter("text IS NOT NULL").select("chunk", "nth", "id", "training", "text")
+    found = texts.groupBy("chunk").cogroup(answers.filter("chunk IS NOT NULL").select("chunk", "piece", "sums").groupBy("chunk")).applyInArrow(run, schema)
     return found.withColumn("train_tokens", F.lit(n_all).cast("long")).withColumnRenamed("id", id_col)
