@@ -69,7 +69,7 @@ def restored(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: below spark.checkpoint.dir, or below a folder of this machine where that is unset."""
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or, if all runs on this machine, below a folder of it."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = _own_root(spark)
@@ -79,6 +79,8 @@ def shared_dir(spark: SparkSession) -> str:
 def _own_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="caloris-"))
     return sc._jsc.sc().getCheckpointDir().get()
 

@@ -32,7 +32,7 @@ from . import mixer
 from .common import stored
 
 #: Bytes of a chunk; of the corpus for a piece of the vocabulary; pieces that the tables are summed in.
-CHUNK, PIECE_BYTES, PIECES = 3 << 20, 8 << 20, 64
+CHUNK, PIECE_BYTES, PIECES = 4 << 20, 8 << 20, 64
 #: Texts that an input batch may hold before its bytes are looked at.
 SLICE = 256
 

@@ -26,7 +26,7 @@ import numpy as np
 
 BLOCK, PIECE = 1024, 1 << 20
 #: Bytes coded side by side, bytes whose contexts are computed at a time, blocks in one array, steps whose inputs are gathered at a time.
-GROUP, SLICE, LANES, STEPS = 3 << 20, 1 << 19, 512, 32
+GROUP, SLICE, LANES, STEPS = 4 << 20, 1 << 19, 512, 32
 RATE, MAP_RATE, MAP_CELLS = 0.02, 0.02, 64
 START_WEIGHT = 0.35
 #: Log odds are held in eight bits, in steps of 1 / SCALE.
@@ -410,8 +410,8 @@ def _run(table: np.ndarray, form: Shape, u: Units, begin: np.ndarray, length: np
         both -= one
         np.abs(both, out=both)
         np.maximum(both, np.float32(1e-7), out=both)
-        np.log2(both, out=both)
-        both = both.reshape(steps, 5, m).sum(1, dtype=np.float64)
+        # the logarithm of the product of a unit's five bits, which float32 holds
+        both = np.log2(both.reshape(steps, 5, m).prod(1)).astype(np.float64)
         both[nth >= length[:m]] = 0  # a block that ends between runs on to no effect
         cost[:m] -= both.sum(0)
         t0 += steps
