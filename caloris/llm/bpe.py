@@ -180,7 +180,7 @@ class WordBpe:
 
     def parts(self, text: str) -> list[str]:
         """Words, and special tokens in their places."""
-        if self.split is None or "<|" not in text:
+        if self.split is None or not any(t in text for t in self.special):
             return self.split_words(text)
         return [w for k, piece in enumerate(self.split.split(text)) for w in ([piece] if k % 2 else self.split_words(piece))]
 

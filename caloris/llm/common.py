@@ -6,15 +6,18 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: A word, for Spark, DuckDB and Python alike; bytes.split() cuts at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows handed to a row function at once, so that only a slice of an Arrow batch is held as Python objects.
-SLICE_ROWS = 1024
+#: Rows and bytes of text handed to a row function at once, so that only a slice of an Arrow batch is held as Python objects; a longer
+#: text is a slice of its own.
+SLICE_ROWS, SLICE_BYTES = 1024, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,8 +50,12 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, start: Callable[[],
         kinds = to_arrow_schema(arrow)
         f = start()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(held.index(text_col))), 0).to_numpy(zero_copy_only=False))
+            stop = 0
+            while stop < batch.num_rows:
+                at, before = stop, ends[stop - 1] if stop else 0
+                stop = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right"))))
+                part = batch.slice(at, stop - at)
                 made = f(part.column(held.index(text_col)).to_pylist())
                 columns = [part.column(held.index(k)) for k in keep]
                 columns += [pa.array(v, type=k.type) for v, k in zip(made, kinds, strict=True)]

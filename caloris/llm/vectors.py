@@ -9,12 +9,14 @@ Equal vectors are one point with a count. A pair of points may meet in several b
 each task can tell from the two vectors. Tasks send back sums of links and a spanning forest, never pairs. Large buckets are cut
 into blocks that meet pairwise, so none is capped.
 
-Recall: with two corners, ten tables and two probes, pairs at a cosine of 0.93 are missed with a chance below 1e-4 in 64
-dimensions and about 1e-3 in 384; nearer pairs far more rarely.
+Recall: pairs at a cosine of 0.93 are missed with a chance of about 1e-3 in 64 dimensions and 3e-3 in 384 and 768, nearer pairs far
+more rarely (tests measure it). Corners follow the number of vectors, so that chance meetings in a bucket stay few (buckets of a
+table: twice the dimensions to the power of the corners), and tables follow the corners, so that recall stays.
 
 Defined results: vectors that are null, empty, zero, or hold a null or non-finite component, rows with a null label and rows with a
 null id link with nothing; n_links is 0 and the component is the row's id. Vectors of different lengths never link. Repeated
-rows are vectors of their own that link with each other. An empty table gives an empty result.
+rows are vectors of their own that link with each other. Ties don't arise: a pair either reaches the cosine or not. An empty table
+gives an empty result. Columns other than the three named ones are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from .components import Forest, components
 
 #: Pairs that a task verifies at a time, and the group size from which it multiplies matrices.
 PAIRS, MATRIX_FROM = 1 << 15, 48
+#: Vectors that a bucket may hold by chance.
+BUCKET = 64
 
 
 @dataclass(frozen=True)
@@ -42,6 +46,12 @@ class Hashing:
     probes: int = 2
     seed: int = 20
 
+    @staticmethod
+    def of(n: int, dimensions: int) -> Hashing:
+        """For n vectors: corners that leave about BUCKET of them to a bucket by chance, and tables that make up for corners."""
+        corners = max(2, int(np.ceil(np.log(max(1, n / BUCKET)) / np.log(2 * (1 << max(1, (max(1, dimensions) - 1).bit_length()))))))
+        return Hashing(tables=int(np.ceil(10 * 1.55 ** (corners - 2))), corners=corners)
+
 
 def hadamard(x: np.ndarray) -> np.ndarray:
     """The Walsh-Hadamard transform of rows whose length is a power of two, scaled to keep lengths."""
@@ -148,7 +158,6 @@ def near_pairs(x: np.ndarray, number: np.ndarray, side: np.ndarray, least: float
 
 def near_duplicates(df: DataFrame, least: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", hashing: Hashing | None = None) -> DataFrame:
     """(id, n_links, component_id, kept) for each row: links to vectors of the same label with a cosine of at least `least`."""
-    hashing = hashing or Hashing()
     vector = F.col(vector_col)
     sound = F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (F.size(vector) > 0)
     sound &= F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(vector, lambda v: v != 0)
@@ -157,6 +166,9 @@ def near_duplicates(df: DataFrame, least: float = 0.93, id_col: str = "vec_id",
     rows = rows.withColumns({"k1": F.xxhash64("label", "vector"), "k2": F.xxhash64("vector", F.lit(1), "label")})
     points = rows.filter("sound").groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("vector").alias("vector"))
     points = stored(points)
+    if hashing is None:
+        n, d = points.agg(F.count("*"), F.max(F.size("vector"))).first()
+        hashing = Hashing.of(n, d or 1)
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

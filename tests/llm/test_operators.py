@@ -41,6 +41,19 @@ def empty_and_wide(documents, operator):
     return operator(wide.limit(30))
 
 
+def test_slices_hold_rows_and_bytes(spark, monkeypatch):
+    from pyspark.sql import types as T
+
+    from caloris.llm import common
+
+    monkeypatch.setattr(common, "SLICE_ROWS", 3)
+    monkeypatch.setattr(common, "SLICE_BYTES", 10)
+    rows = [(i, t) for i, t in enumerate(["aaaa", "bbbb", None, "c" * 50, "", "dd", "éé", "e", "f", "g"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = common.map_texts(df, ["doc_id"], "text", lambda: lambda texts: ([len(texts)] * len(texts),), [T.StructField("n", T.IntegerType())]).collect()
+    assert [r.doc_id for r in out] == list(range(10)) and max(r.n for r in out) <= 3 and out[3].n == 1
+
+
 # --- 1 language identification
 
 
@@ -122,6 +135,8 @@ def test_vectors_equal_brute_force(spark):
     got = sorted((r.vec_id if r.vec_id is not None else -1, r.n_links, r.component_id) for r in vectors.near_duplicates(df).collect())
     assert got == want
     assert vectors.near_duplicates(df.limit(0)).count() == 0
+    wide = df.withColumns({k: F.lit("x") for k in ("id", "n", "links", "component", "k1", "t", "bucket", "low", "kept")})
+    assert sorted((r.vec_id if r.vec_id is not None else -1, r.n_links, r.component_id) for r in vectors.near_duplicates(wide).collect()) == want
 
 
 def test_large_buckets_are_cut(spark, monkeypatch):
@@ -133,6 +148,18 @@ def test_large_buckets_are_cut(spark, monkeypatch):
     assert {r.n_links for r in out} == {119} and {r.component_id for r in out} == {0} and sum(r.kept for r in out) == 1
 
 
+@pytest.mark.parametrize("dimensions,n,least", [(64, 10**5, 0.997), (384, 10**5, 0.99), (768, 10**5, 0.99), (64, 10**9, 0.99)])
+def test_vectors_meet_the_stated_recall(dimensions, n, least):
+    """Pairs at the least cosine itself meet in a table."""
+    hashing, rng, tried = vectors.Hashing.of(n, dimensions), np.random.default_rng(dimensions), 1500
+    a = vectors.unit(rng.normal(size=(tried, dimensions)))
+    other = rng.normal(size=(tried, dimensions))
+    other = vectors.unit(other - np.einsum("ij,ij->i", a, other)[:, None] * a)
+    b = 0.93 * a + math.sqrt(1 - 0.93**2) * other
+    t, _ = vectors.first_meeting(vectors.buckets(a, hashing), vectors.buckets(b, hashing))
+    assert (t < hashing.tables).mean() >= least
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(3, 16))
     assert np.allclose(vectors.hadamard(vectors.hadamard(x)), x)
@@ -655,6 +682,11 @@ def test_ties_and_clashing_columns_of_licenses(spark):
     assert {r.best_license for r in licenses.digests(df).collect()} == {"MIT"}
 
 
+def test_licenses_stand_odd_rows(documents):
+    assert licenses.digests(documents).count() == documents.count()
+    assert empty_and_wide(documents, licenses.scan).count() == 30
+
+
 def test_patience_alignment():
     a, b = b"a b c d e f g".split(), b"x a b q c d e y g".split()
     assert [a[i] for i, _ in licenses.patience(a, b)] == b"a b c d e g".split()
