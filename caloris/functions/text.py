@@ -64,6 +64,12 @@ def human_time(seconds: Column) -> Column:
     return F.format_string("%02d:%05.2f", minutes, whole - minutes * 60)
 
 
+def now_utc() -> Column:
+    """The current time in UTC, to the second, as ISO 8601 text; the session's time zone doesn't matter."""
+    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+
+
 def frame_time(frame: Column, fps: Column) -> Column:
     """Seconds from the start of the video; null where fps is not positive."""
     return F.when(fps > 0, frame / fps)

@@ -106,8 +106,8 @@ def pan_timeline(fps: float, stable_seconds: float = 4.0, transition_seconds: fl
 
 def pan_frames(spark, segments: list[tuple[str, int]]) -> DataFrame:
     """A row for each frame: segment and the share of the pan that is done (0 at its first frame, 1 at its last)."""
-    rows = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(segments)], "segment_no int, segment string, length int")
-    rows = rows.withColumn("local", F.explode(F.sequence(F.lit(0), F.col("length") - 1)))
-    rows = rows.withColumn("frame", F.row_number().over(Window.orderBy("segment_no", "local")) - 1)
+    starts = [sum(n for _, n in segments[:i]) for i in range(len(segments))]
+    rows = spark.createDataFrame([(at, s, n) for at, (s, n) in zip(starts, segments, strict=True)], "begin int, segment string, length int")
+    rows = rows.withColumn("local", F.explode(F.sequence(F.lit(0), F.col("length") - 1))).withColumn("frame", F.col("begin") + F.col("local"))
     share = F.when(F.col("length") > 1, F.col("local") / (F.col("length") - 1)).otherwise(1.0)
     return rows.select("frame", "segment", F.when(F.contains("segment", F.lit("_TO_")), share).alias("fraction"))

@@ -18,9 +18,14 @@ from pyspark.sql import types as T
 Step = Callable[[Any, dict], tuple[Any, tuple]]
 
 
-def ordered_fold(df: DataFrame, key: str, order: list[str], inputs: list[str], step: Step, fields: list[T.StructField], start: Any = None) -> DataFrame:
-    """key, order and inputs of df, and what step makes of each row. start: the state before a key's first row."""
-    columns = list(dict.fromkeys([key, *order, *inputs]))
+def ordered_fold(df: DataFrame, key: str, order: list[str], inputs: list[str], step: Step, fields: list[T.StructField], start: Any = None, keep: list[str] | None = None, grouped: bool = False) -> DataFrame:
+    """key, order and inputs of df, and what step makes of each row. start: the state before a key's first row.
+
+    keep: the inputs that are returned, if not all. grouped: df's partitions hold whole keys in order already, as the frames source
+    gives them with one partition a video, so nothing is moved.
+    """
+    held = list(dict.fromkeys([key, *order, *inputs]))
+    columns = held if keep is None else list(dict.fromkeys([key, *order, *keep]))
     schema = T.StructType([*(df.schema[c] for c in columns), *fields])
     made = T.StructType(fields)
 
@@ -40,7 +45,8 @@ def ordered_fold(df: DataFrame, key: str, order: list[str], inputs: list[str], s
             made_columns = [pa.array(list(v), type=f.type) for v, f in zip(zip(*out), kinds)] if out else [pa.array([], f.type) for f in kinds]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *made_columns], names=[*columns, *kinds.names])
 
-    return df.select(*columns).repartition(key).sortWithinPartitions(key, *order).mapInArrow(run, schema)
+    rows = df.select(*held)
+    return (rows if grouped else rows.repartition(key).sortWithinPartitions(key, *order)).mapInArrow(run, schema)
 
 
 @dataclass(frozen=True)

@@ -116,11 +116,18 @@ def otsu(image: np.ndarray) -> int:
     return int(np.nan_to_num(between, nan=-1.0).argmax())
 
 
+# Small Gaussian kernels of no stated width, as vision libraries have them.
+_KERNELS = {3: (1 / 4, 1 / 2, 1 / 4), 5: (1 / 16, 1 / 4, 3 / 8, 1 / 4, 1 / 16), 7: (1 / 32, 7 / 64, 7 / 32, 9 / 32, 7 / 32, 7 / 64, 1 / 32)}
+
+
 def gaussian(image: np.ndarray, size: int, sigma: float | None = None) -> np.ndarray:
     """Smoothing by a separable Gaussian, edges mirrored without repeating the edge."""
-    sigma = sigma or 0.3 * ((size - 1) * 0.5 - 1) + 0.8
-    k = np.exp(-((np.arange(size) - size // 2) ** 2) / (2 * sigma * sigma))
-    k /= k.sum()
+    if sigma is None and size in _KERNELS:
+        k = np.array(_KERNELS[size])
+    else:
+        sigma = sigma or 0.3 * ((size - 1) * 0.5 - 1) + 0.8
+        k = np.exp(-((np.arange(size) - size // 2) ** 2) / (2 * sigma * sigma))
+        k /= k.sum()
     wide = np.pad(image.astype(np.float64), size // 2, mode="reflect")
     rows = sum(w * wide[i : i + image.shape[0]] for i, w in enumerate(k))
     return sum(w * rows[:, i : i + image.shape[1]] for i, w in enumerate(k))
@@ -144,6 +151,11 @@ def _hsv(bgr: np.ndarray) -> np.ndarray:
     return np.stack([np.nan_to_num(hue) % 180, saturation, v], -1)
 
 
+def _smooth(image: np.ndarray) -> np.ndarray:
+    """A 3 x 3 Gaussian, rounded."""
+    return np.rint(gaussian(image, 3)).astype(np.uint8)
+
+
 def prepare(bgr: np.ndarray, method: str) -> np.ndarray:
     """A label's crop as black on white for a reader, by one of five methods."""
     if method == "green_difference":
@@ -155,13 +167,13 @@ def prepare(bgr: np.ndarray, method: str) -> np.ndarray:
         h = _hsv(bgr)
         binary = _close(((h >= (25, 12, 65)) & (h <= (100, 255, 255))).all(-1)).astype(np.uint8) * 255
     elif method == "green_channel_otsu":
-        smooth = np.rint(gaussian(bgr[..., 1], 3)).astype(np.uint8)
+        smooth = _smooth(bgr[..., 1])
         binary = (smooth > otsu(smooth)).astype(np.uint8) * 255
     elif method == "gray_otsu":
-        g = gray(bgr)
+        g = _smooth(gray(bgr))
         binary = (g > otsu(g)).astype(np.uint8) * 255
     elif method == "gray_adaptive":
-        g = gray(bgr)
+        g = _smooth(gray(bgr))
         binary = (g > np.rint(gaussian(g, 21)) - 5).astype(np.uint8) * 255
     else:
         raise ValueError(f"unknown method {method!r}")

@@ -27,6 +27,8 @@ class TrackingOptions:
     total_degrees: float = 10.0
     total_scale: tuple[float, float] = (0.85, 1.15)
     warn_after: int = 20
+    corners: int = 900
+    features: int = 1800
 
 
 # Defaults of scene detection.
@@ -50,6 +52,8 @@ class SceneOptions:
     view_inliers: int = 12
     view_ratio: float = 0.30
     banner_frames: int = 30
+    corners: int = 700
+    features: int = 2200
 
 
 def verdict(o: TrackingOptions) -> Column:
@@ -71,6 +75,30 @@ def choose_method(flow_reason: Column, features_reason: Column) -> Column:
     return F.struct(method.alias("method"), reason.alias("reason"))
 
 
+def rejection(matches: int, inliers: int, ratio: float, delta: dict | None, total: dict | None, o: TrackingOptions) -> str:
+    """verdict() of one candidate, for a fold that decides by it. delta, total: as kernels.motion.metrics gives them; None: no transform."""
+    if delta is None or total is None:
+        return "NO_TRANSFORM"
+    inside = lambda x, band: band[0] <= x <= band[1]
+    passed = (
+        True, matches > 0, inliers >= o.min_inliers, ratio >= o.min_ratio, delta["translation"] <= o.delta_pixels, abs(delta["rotation_deg"]) <= o.delta_degrees,
+        inside(delta["scale"], o.delta_scale), total["translation"] <= o.total_pixels, abs(total["rotation_deg"]) <= o.total_degrees, inside(total["scale"], o.total_scale),
+    )
+    return next((r for r, ok in zip(REASONS, passed, strict=True) if not ok), "OK")
+
+
+def frame_evidence(o: SceneOptions) -> Column:
+    """evidence() that tells a frame without a transform (column found) from one with a poor transform: the first is judged by a lower
+    bar of edge change and may be stable, the second is never stable."""
+    good = F.col("found") & (F.col("inliers") >= o.min_inliers) & (F.col("ratio") >= o.min_ratio)
+    turn, edge = F.abs("rotation_deg"), F.col("edge_change")
+    moves = (good & ((F.col("translation") >= o.moving_pixels) | (turn >= o.moving_degrees))) | (edge >= o.moving_edges)
+    still = good & (F.col("translation") <= o.stable_pixels) & (turn <= o.stable_degrees) & (edge <= o.stable_edges)
+    moving = F.when(F.col("found"), moves).otherwise(edge >= o.failed_edges)
+    stable = F.when(F.col("found"), still).otherwise(edge <= o.stable_edges)
+    return F.struct(F.coalesce(moving, F.lit(False)).alias("moving"), F.coalesce(stable, F.lit(False)).alias("stable"))
+
+
 def evidence(o: SceneOptions) -> Column:
     """Whether a frame shows motion, and whether it shows none: columns translation, rotation_deg, inliers, ratio, edge_change."""
     tracked = F.coalesce((F.col("inliers") >= o.min_inliers) & (F.col("ratio") >= o.min_ratio), F.lit(False))
@@ -85,12 +113,15 @@ def view_accepted(o: SceneOptions) -> Column:
     return (F.col("matches") >= o.view_matches) & (F.col("inliers") >= o.view_inliers) & (F.col("ratio") >= o.view_ratio)
 
 
-def two_nearest(left: DataFrame, right: DataFrame, keys: list[str], distance: Column, left_id: str, right_id: str) -> DataFrame:
+def two_nearest(left: DataFrame, right: DataFrame, keys: list[str], distance: Column, left_id: str, right_id: str, salts: int = 8) -> DataFrame:
     """For each left row, its nearest right row of the same keys (an image pair) and the two least distances.
 
-    Rows meet by key; Spark keeps two of each left row before it moves them.
+    Rows meet by key; a key's left rows are dealt to `salts` tasks, each of which gets its right rows, so a hot key is no task of its
+    own. Spark keeps two of each left row before it moves them.
     """
-    both = left.join(right, keys).select(*keys, left_id, F.col(right_id), distance.alias("d"))
+    left = left.withColumn("__salt", F.pmod(F.xxhash64(left_id), F.lit(salts)).cast("int"))
+    right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    both = left.join(right, [*keys, "__salt"]).select(*keys, left_id, F.col(right_id), distance.alias("d"))
     rank = F.row_number().over(Window.partitionBy(*keys, left_id).orderBy("d", right_id))
     near = both.withColumn("rank", rank).filter("rank <= 2")
     of = lambda c, k: F.max(F.when(F.col("rank") == k, F.col(c)))

@@ -7,7 +7,7 @@ import json
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # What a stage's outputs can be, in the order of the checks.
@@ -93,6 +93,48 @@ def upstream_warnings(used: DataFrame, current: DataFrame) -> DataFrame:
     return both.select("stage", "input", F.when(F.col("current_sha256").isNull(), "MISSING").otherwise("CHANGED").alias("warning"))
 
 
+# The outputs that each stage must have.
+STAGE_FILES = {
+    "scale_readings": ("scale_readings.csv",),
+    "temperature": ("temperature_log.csv", "temperature_summary.csv"),
+    "motion": ("motion_log.csv", "tracked_regions.json", "motion_summary.json"),
+    "scene": ("scene_state_log.csv", "scene_events.csv", "view_library.json", "scene_summary.json"),
+    "dataset": ("annotations.json", "classes.json", "dataset_summary.json", "dataset_manifest.csv"),
+}
+
+
+def required_files(runs: DataFrame) -> DataFrame:
+    """(video_id, stage, filename): what each of runs(video_id, stage) must have made."""
+    files = F.create_map(*(x for k, v in STAGE_FILES.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
+    return runs.select("video_id", "stage", F.explode(F.try_element_at(files, F.col("stage"))).alias("filename"))
+
+
+def stale_reasons(manifests: DataFrame, current: DataFrame, settings: DataFrame) -> DataFrame:
+    """(stage, reason, name): why a finished stage has to run again.
+
+    manifests: stage, inputs (map of name to sha256), settings (map). current: stage, name, sha256 of the inputs as they are now.
+    settings: stage, setting, value as they are asked for. An input that is gone, one that has changed, a setting that differs.
+    """
+    used = manifests.select("stage", F.explode("inputs").alias("name", "sha256"))
+    now = current.select("stage", "name", F.col("sha256").alias("now"))
+    inputs = used.join(now, ["stage", "name"], "left").filter(~F.col("now").eqNullSafe(F.col("sha256")))
+    inputs = inputs.select("stage", F.when(F.col("now").isNull(), "INPUT_MISSING").otherwise("INPUT_CHANGED").alias("reason"), "name")
+    held = manifests.select("stage", F.explode("settings").alias("setting", "value"))
+    return inputs.unionByName(stale_settings(settings, held, ["stage"]).select("stage", F.lit("SETTING_CHANGED").alias("reason"), F.col("setting").alias("name")))
+
+
+def load_manifests(spark: SparkSession, path: str) -> DataFrame:
+    """The manifests below a path, a row each; files that are no JSON or of another version are left out."""
+    fields = "manifest_version int, stage string, status string, created_at_utc string, source_video map<string,string>, inputs map<string,string>, settings map<string,string>, outputs map<string,string>"
+    return spark.read.schema(fields).option("multiLine", True).json(path).filter("manifest_version = 1")
+
+
+def load_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The variants of the ledgers below a path: generator, id, signature, created_at_utc, output_filename, parameters."""
+    fields = "manifest_version int, generator string, variants array<struct<id:int,signature:string,created_at_utc:string,output_filename:string,parameters:map<string,string>>>"
+    return spark.read.schema(fields).option("multiLine", True).json(path).select("generator", F.inline("variants"))
+
+
 def manifest(stage: str, source: dict, inputs: dict, settings: dict, outputs: dict, created_at: str) -> dict:
     """The record of a finished stage: what it read, how it ran and what it made."""
     return {"manifest_version": 1, "stage": stage, "status": "COMPLETE", "created_at_utc": created_at, "source_video": source, "inputs": inputs, "settings": settings, "outputs": outputs}

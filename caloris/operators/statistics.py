@@ -47,6 +47,19 @@ def probe(pixels: DataFrame, probes: DataFrame, radius: int = 1) -> DataFrame:
     return out.select("probe_id", F.col("sample_count").isNotNull().alias("valid"), "temperature", "minimum", "maximum", F.coalesce("sample_count", F.lit(0)).alias("sample_count"))
 
 
+# Why a place has no temperature.
+PROBE_REASONS = ("OUTSIDE FRAME", "THERMAL SCALE / UI", "NO VALID THERMAL PIXELS")
+
+
+def probe_reason(x: Column, y: Column, width: Column, height: Column, boxes: list[Column], valid_pixels: Column) -> Column:
+    """The first reason against a place, or null. boxes: structs x, y, w, h of the scale and its labels; a null box holds nothing."""
+    outside = (x < 0) | (y < 0) | (x >= width) | (y >= height)
+    inside = F.lit(False)
+    for b in boxes:
+        inside = inside | F.coalesce((x >= b["x"]) & (x < b["x"] + b["w"]) & (y >= b["y"]) & (y < b["y"] + b["h"]), F.lit(False))
+    return F.when(outside, PROBE_REASONS[0]).when(inside, PROBE_REASONS[1]).when(F.coalesce(valid_pixels, F.lit(0)) <= 0, PROBE_REASONS[2])
+
+
 def sample_counters(readings: DataFrame, keys: list[str]) -> DataFrame:
     """Readings sampled, accepted at once, accepted on retry and held, and the share accepted in percent."""
     of = lambda s: F.count_if(F.col("status") == s)

@@ -15,6 +15,7 @@ from caloris.operators import dataset as D
 from caloris.operators import fold
 from caloris.operators import matching as M
 from caloris.operators import provenance as P
+from caloris.operators import readings as R
 from caloris.operators import statistics as S
 from caloris.operators import windows as W
 
@@ -673,3 +674,93 @@ def stream_scale(spark, sf_dir):
     rows = events.select(F.col("user_id").alias("region"), "event_id", low.alias("low"), (F.col("value") + gray).alias("high"))
     found = drained(stream_fold(rows, "region", "event_id", ["low", "high"], fold.confirm_step(_GATE), fold.SCALE_FIELDS))
     return found.select("region", "event_id", r6("scale_min", "scale_min"), r6("scale_max", "scale_max"), "status")
+
+
+# --- recorded clips ---------------------------------------------------------------------------------------------------------
+
+_CLIP = f"""{READINGS}, p AS (SELECT region, frame, frame // 2 AS n, CASE WHEN kind <> 'error' THEN temperature END AS low, temperature + gray AS high, temperature * 0.75 AS alt FROM readings),
+j AS (SELECT *, low IS NOT NULL AND low BETWEEN 0 AND 1000 AND high BETWEEN 0 AND 1000 AND high - low >= 5 AS ok, alt BETWEEN 0 AND 1000 AND high BETWEEN 0 AND 1000 AND high - alt >= 5 AS alt_ok FROM p),
+f AS (
+  SELECT DISTINCT region, -1 AS n, 100.0::DOUBLE AS a, 150.0::DOUBLE AS b, CAST(NULL AS VARCHAR) AS status FROM j
+  UNION ALL
+  SELECT j.region, j.n, CASE WHEN j.ok AND abs(j.low - f.a) <= 150 AND abs(j.high - f.b) <= 150 THEN j.low WHEN j.alt_ok AND abs(j.alt - f.a) <= 150 AND abs(j.high - f.b) <= 150 THEN j.alt ELSE f.a END,
+    CASE WHEN (j.ok AND abs(j.low - f.a) <= 150 OR j.alt_ok AND abs(j.alt - f.a) <= 150) AND abs(j.high - f.b) <= 150 THEN j.high ELSE f.b END,
+    CASE WHEN j.ok AND abs(j.low - f.a) <= 150 AND abs(j.high - f.b) <= 150 THEN 'ACCEPT_PRIMARY' WHEN j.alt_ok AND abs(j.alt - f.a) <= 150 AND abs(j.high - f.b) <= 150 THEN 'ACCEPT_RETRY' ELSE 'HOLD_PREVIOUS' END
+  FROM f JOIN j ON j.region = f.region AND j.n = f.n + 1 AND j.frame % 2 = 0)"""
+
+
+@query(f"""WITH RECURSIVE {_CLIP}, c AS (SELECT j.*, f.a, f.b, j.frame % 2 = 0 AS sampled, CASE WHEN j.frame % 2 = 0 THEN f.status ELSE 'UNSAMPLED' END AS status FROM j JOIN f ON f.region = j.region AND f.n = j.n)
+SELECT CAST(region AS VARCHAR) AS video_id, frame, frame / 10.0 AS timestamp_seconds, sampled::INTEGER AS was_ocr_sampled, CASE WHEN sampled THEN round(low + 1e-9, 6) END AS primary_min_temp, CASE WHEN sampled THEN round(high + 1e-9, 6) END AS primary_max_temp,
+  CASE WHEN sampled THEN '5.0' END AS primary_min_text, CASE WHEN sampled THEN '5.0' END AS primary_max_text, CASE WHEN status LIKE 'ACCEPT%' THEN round(a + 1e-9, 6) END AS accepted_sample_min_temp, CASE WHEN status LIKE 'ACCEPT%' THEN round(b + 1e-9, 6) END AS accepted_sample_max_temp,
+  CASE WHEN status LIKE 'ACCEPT%' THEN '5.0' END AS accepted_min_text, CASE WHEN status LIKE 'ACCEPT%' THEN '5.0' END AS accepted_max_text, CASE status WHEN 'ACCEPT_PRIMARY' THEN 'own/PSM7' WHEN 'ACCEPT_RETRY' THEN 'other/PSM8' END AS accepted_min_method,
+  CASE WHEN status LIKE 'ACCEPT%' THEN 'own/PSM7' END AS accepted_max_method, round(a + 1e-9, 6) AS clean_min_temp_used, round(b + 1e-9, 6) AS clean_max_temp_used, status, (status IN ('ACCEPT_RETRY', 'HOLD_PREVIOUS'))::INTEGER AS retry_attempted FROM c""")
+def scale_readings(spark, sf_dir):
+    """A clip's scale log from labels read by one recipe, and by another where the first fails."""
+    rows = readings(spark, sf_dir).select(F.col("region").cast("string").alias("video_id"), "frame", (F.col("frame") / 10.0).alias("timestamp_seconds"), "kind", "temperature", "gray")
+    sampled = rows.filter(W.sampled(F.col("frame"), F.lit(0), F.lit(-1), 2))
+
+    def label(name: str, k: int, value: Column, method: str, mode: int) -> Column:
+        return F.struct(F.lit(name).alias("label"), F.lit(k).alias("ord"), value.alias("value"), F.lit("5.0").alias("text"), F.lit(method).alias("method"), F.lit(mode).alias("psm"), F.lit(k == 0).alias("is_primary"))
+
+    low, high = F.when(F.col("kind") != "error", F.col("temperature")), F.col("temperature") + F.col("gray")
+    own = [label("MIN", 0, low, "own", 7), label("MAX", 0, high, "own", 7)]
+    candidates = lambda df, items: df.select("video_id", "frame", F.inline(F.array(*items)))
+    again = lambda needed: candidates(sampled.join(needed, ["video_id", "frame"], "left_semi"), [*own, label("MIN", 1, F.col("temperature") * 0.75, "other", 8)])
+    seeds = rows.select("video_id").distinct().select("video_id", F.lit(100.0).alias("seed_low"), F.lit(150.0).alias("seed_high"))
+    found = R.scale_readings(rows.select("video_id", "frame", "timestamp_seconds"), candidates(sampled, own), again, _GATE, seeds)
+    temps = [c for c in found.columns if "_temp" in c]
+    return found.withColumns({c: F.round(F.col(c) + NUDGE, 6) for c in temps})
+
+
+@query("""WITH p AS (SELECT l_orderkey, l_linenumber, l_linenumber * 20 - 40 AS x, CAST(l_quantity AS INTEGER) - 5 AS y, CAST(l_quantity AS INTEGER) % 4 AS valid FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN x < 0 OR y < 0 OR x >= 90 OR y >= 40 THEN 'OUTSIDE FRAME' WHEN x BETWEEN 40 AND 64 AND y BETWEEN 10 AND 19 THEN 'THERMAL SCALE / UI' WHEN valid <= 0 THEN 'NO VALID THERMAL PIXELS' END AS reason FROM p""")
+def probe_reasons(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    x, y = F.col("l_linenumber") * 20 - 40, F.col("l_quantity").cast("int") - 5
+    box = F.struct(F.lit(40).alias("x"), F.lit(10).alias("y"), F.lit(25).alias("w"), F.lit(10).alias("h"))
+    return lines.select("l_orderkey", "l_linenumber", S.probe_reason(x, y, F.lit(90), F.lit(40), [box], F.col("l_quantity").cast("int") % 4).alias("reason"))
+
+
+@query("""WITH m AS (SELECT o_orderkey AS k, o_orderstatus AS s, o_orderpriority AS q FROM orders)
+SELECT CAST(k AS VARCHAR) AS stage, CASE WHEN k % 5 = 0 THEN 'INPUT_MISSING' ELSE 'INPUT_CHANGED' END AS reason, 'video' AS name FROM m WHERE k % 5 = 0 OR k % 3 = 0
+UNION ALL SELECT CAST(k AS VARCHAR), 'SETTING_CHANGED', 'priority' FROM m WHERE q <> '1-URGENT'""")
+def stale_reasons(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("stage"), F.col("o_orderkey").alias("k"), "o_orderpriority", "o_orderstatus")
+    manifests = orders.select("stage", F.create_map(F.lit("video"), F.col("o_orderstatus")).alias("inputs"), F.create_map(F.lit("priority"), F.col("o_orderpriority")).alias("settings"))
+    current = orders.filter("k % 5 <> 0").select("stage", F.lit("video").alias("name"), F.when(F.col("k") % 3 == 0, F.lit("other")).otherwise(F.col("o_orderstatus")).alias("sha256"))
+    asked = orders.select("stage", F.lit("priority").alias("setting"), F.lit("1-URGENT").alias("value"))
+    return P.stale_reasons(manifests, current, asked)
+
+
+_OUTPUTS = [(k, f) for k, files in P.STAGE_FILES.items() for f in files]
+_STAGES = list(P.STAGE_FILES)
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS video_id, stage, filename FROM orders JOIN (VALUES " + ", ".join(f"('{k}', '{f}', {_STAGES.index(k)})" for k, f in _OUTPUTS) + f") t(stage, filename, n) ON n = o_orderkey % {len(_STAGES)}")
+def required_outputs(spark, sf_dir):
+    runs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("video_id"), F.get(F.array(*map(F.lit, _STAGES)), (F.col("o_orderkey") % len(_STAGES)).cast("int")).alias("stage"))
+    return P.required_files(runs)
+
+
+@query()
+def motion_log(spark, sf_dir):
+    """A moving test camera, tracked: no table of the driver's has pictures."""
+    from caloris.operators.motion import motion_log as log
+    from caloris.operators.simulate import moved
+    from caloris.sources.frames import register
+
+    register(spark)
+    frames = spark.read.format("frames").options(frames="8", width="160", height="120", texture="5", frames_per_partition="1000").load()
+    return log(moved(frames, 6.0, -3.0, 1.0, 1.0, 2, 3), [], grouped=True)
+
+
+@query()
+def scene_state_log(spark, sf_dir):
+    """A test camera that turns to another view and back."""
+    from caloris.operators.motion import scene_log
+    from caloris.operators.simulate import switched
+    from caloris.sources.frames import register
+
+    register(spark)
+    a, b = (spark.read.format("frames").options(frames="60", width="160", height="120", texture=t, video_id="clip", frames_per_partition="1000").load() for t in ("5", "6"))
+    return scene_log(switched(a, b, D.pan_timeline(1.0, 26, 6), 25.0))[0]

@@ -1,15 +1,20 @@
-"""Frames as a table: a Spark data source (batch and stream) over decoders that plug in, and frame ranges."""
+"""Frames as a table: a Spark data source (batch and stream) over decoders that plug in, live cameras, and frame ranges."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
+from datetime import datetime, timezone
 from typing import Protocol
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
+from .readers import draw
+
 SCHEMA = "video_id string, frame int, timestamp_seconds double, width int, height int, bgr binary"
 
 
@@ -25,19 +30,30 @@ class Decoder(Protocol):
 
 
 class SyntheticDecoder:
-    """A moving test picture: a gray ramp as colour bar at the right, a warm scene with a hot spot that wanders."""
+    """A moving test picture: a gray ramp as colour bar at the right, a warm scene with a hot spot that wanders. texture: a seed of
+    smooth noise that gives corners to hold on to. low, high: scale labels, drawn below and above the bar's place."""
 
     def __init__(self, options: dict[str, str]):
         self.width, self.height = int(options.get("width", 64)), int(options.get("height", 48))
         self.fps, self.total_frames = float(options.get("fps", 25)), int(options.get("frames", 10))
+        self.texture, self.labels = options.get("texture"), (options.get("low"), options.get("high"))
 
     def read(self, first: int, last: int) -> Iterator[np.ndarray]:
         y, x = np.mgrid[: self.height, : self.width]
+        noise: np.ndarray | float = 0.0
+        if self.texture is not None:
+            coarse = np.random.default_rng(int(self.texture)).normal(0, 45, (self.height // 4 + 2, self.width // 4 + 2))
+            noise = np.kron(coarse, np.ones((4, 4)))[: self.height, : self.width]
         for n in range(first, last + 1):
-            gray = 60 + 40 * np.sin(x / 7) * np.cos(y / 5)
+            gray = noise + 60 + 40 * np.sin(x / 7) * np.cos(y / 5)
             gray += 120 * np.exp(-((x - 10 - n % 20) ** 2 + (y - self.height / 2) ** 2) / 18)
             gray[:, -8:] = np.linspace(255, 0, self.height)[:, None]
-            yield np.repeat(np.clip(gray, 0, 255).astype(np.uint8)[:, :, None], 3, 2)
+            bgr = np.repeat(np.clip(gray, 0, 255).astype(np.uint8)[:, :, None], 3, 2)
+            for text, y in zip(self.labels, (self.height - 30, 4), strict=True):
+                if text is not None:
+                    bgr[y : y + 26, 4:140] = 20
+                    draw(bgr, 6, y + 2, text)
+            yield bgr
 
 
 class OpenCvDecoder:
@@ -53,9 +69,14 @@ class OpenCvDecoder:
             raise ValueError("the video can't be opened")
         self.width, self.height, self.total_frames = (int(self.video.get(k)) for k in (cv2.CAP_PROP_FRAME_WIDTH, cv2.CAP_PROP_FRAME_HEIGHT, cv2.CAP_PROP_FRAME_COUNT))
         self.fps = float(self.video.get(cv2.CAP_PROP_FPS))
-        if min(self.width, self.height, self.total_frames) <= 0 or self.fps <= 0:
+        if "live" not in options and (min(self.width, self.height, self.total_frames) <= 0 or self.fps <= 0):
             raise ValueError("the video has no size, rate or frames")
 
+    def newest(self) -> np.ndarray | None:
+        """The frame that a live stream shows now; None where it has ended."""
+        ok, image = self.video.read()
+        return image if ok else None
+
     def read(self, first: int, last: int) -> Iterator[np.ndarray]:
         self.video.set(self.cv2.CAP_PROP_POS_FRAMES, first)
         for _ in range(first, last + 1):
@@ -68,10 +89,22 @@ class OpenCvDecoder:
 DECODERS = {"synthetic": SyntheticDecoder, "opencv": OpenCvDecoder}
 
 
-def _rows(options: dict[str, str], first: int, last: int) -> Iterator[tuple]:
+_ARROW = pa.schema([("video_id", pa.string()), ("frame", pa.int32()), ("timestamp_seconds", pa.float64()), ("width", pa.int32()), ("height", pa.int32()), ("bgr", pa.binary())])
+#: Bytes of pictures that go to Spark at a time.
+BATCH_BYTES = 16 << 20
+
+
+def _rows(options: dict[str, str], first: int, last: int) -> Iterator[pa.RecordBatch]:
     d = DECODERS[options.get("decoder", "synthetic")](options)
+    name, held, size = options.get("video_id", options.get("path", "video")), [], 0
     for n, image in enumerate(d.read(first, last), first):
-        yield (options.get("video_id", options.get("path", "video")), n, n / d.fps if d.fps > 0 else None, image.shape[1], image.shape[0], image.tobytes())
+        held.append((name, n, n / d.fps if d.fps > 0 else None, image.shape[1], image.shape[0], image.tobytes()))
+        size += image.nbytes
+        if size >= BATCH_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), _ARROW)], schema=_ARROW)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), _ARROW)], schema=_ARROW)
 
 
 class FrameRange(InputPartition):
@@ -109,30 +142,30 @@ class FrameReader(DataSourceReader):
         step = max(1, int(o.get("frames_per_partition", 256)))
         return [FrameRange(k, min(last, k + step - 1)) for k in range(first, last + 1, step)]
 
-    def read(self, partition: FrameRange) -> Iterator[tuple]:
+    def read(self, partition: FrameRange) -> Iterator[pa.RecordBatch]:
         return _rows(self.options, partition.first, partition.last)
 
 
 class FrameStream(DataSourceStreamReader):
-    """Frames in order, some with each batch, decoded by the tasks; a batch can be read again by its offsets."""
+    """The frames of a recorded video that Spark's log doesn't hold yet, in order, in partitions of frames_per_partition.
+
+    Offsets are frame numbers, and where a batch starts comes from the log alone: a restarted query goes on where it ended, and reads
+    what a video has grown by. A batch can be read again by its offsets. Live streams are the format `cameras`.
+    """
 
     def __init__(self, options: dict[str, str]):
-        self.options, self.step = options, max(1, int(options.get("frames_per_batch", 4)))
-        self.total = DECODERS[options.get("decoder", "synthetic")](options).total_frames
-        self.seen = 0
+        self.options, self.part = options, max(1, int(options.get("frames_per_partition", 256)))
 
     def initialOffset(self) -> dict:
         return {"frame": 0}
 
     def latestOffset(self) -> dict:
-        self.seen = min(self.total, self.seen + self.step)
-        return {"frame": self.seen}
+        return {"frame": DECODERS[self.options.get("decoder", "synthetic")](self.options).total_frames}
 
     def partitions(self, start: dict, end: dict) -> list[FrameRange]:
-        self.seen = max(self.seen, end["frame"])
-        return [FrameRange(start["frame"], end["frame"] - 1)] if end["frame"] > start["frame"] else []
+        return [FrameRange(k, min(end["frame"], k + self.part) - 1) for k in range(start["frame"], end["frame"], self.part)]
 
-    def read(self, partition: FrameRange) -> Iterator[tuple]:
+    def read(self, partition: FrameRange) -> Iterator[pa.RecordBatch]:
         return _rows(self.options, partition.first, partition.last)
 
     def commit(self, end: dict) -> None:
@@ -142,8 +175,97 @@ class FrameStream(DataSourceStreamReader):
         pass
 
 
+LIVE_SCHEMA = f"{SCHEMA}, received_at timestamp, status string"
+#: Open cameras of this worker process, by address; a worker keeps them from batch to batch.
+_OPEN: dict[str, object] = {}
+
+
+class SyntheticCamera(SyntheticDecoder):
+    """A camera that shows the test picture; fail_every: each so manieth picture the connection is lost."""
+
+    def __init__(self, options: dict[str, str]):
+        super().__init__(options)
+        self.n, self.fail_every = 0, int(options.get("fail_every", 0))
+
+    def newest(self) -> np.ndarray | None:
+        self.n += 1
+        return None if self.fail_every and self.n % self.fail_every == 0 else next(self.read(self.n, self.n))
+
+
+CAMERAS = {"synthetic": SyntheticCamera, "opencv": OpenCvDecoder}
+
+
+class Camera(InputPartition):
+    def __init__(self, name: str, tick: int):
+        self.name, self.tick = name, tick
+
+
+class CameraSource(DataSource):
+    """Format `cameras`: live streams, each read by a task of its own, the newest picture with each batch.
+
+    Options: cameras (addresses, comma-separated), decoder, reconnect_seconds, ticks_per_second; and the decoder's. A picture that is
+    not the newest is never shown. frame counts batches. status is CONNECTED, or RECONNECTING for a row without a picture; the camera
+    is then tried again with the next batch, reconnect_seconds later at the earliest. Offsets are ticks of the clock, so they go on
+    after a restart; a batch that is run again shows the newest picture then, as a live stream can't be read twice.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "cameras"
+
+    def schema(self) -> str:
+        return LIVE_SCHEMA
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return CameraStream(dict(self.options))
+
+
+class CameraStream(DataSourceStreamReader):
+    def __init__(self, options: dict[str, str]):
+        self.options, self.rate = options, float(options.get("ticks_per_second", 10))
+
+    def initialOffset(self) -> dict:
+        return {"tick": 0}
+
+    def latestOffset(self) -> dict:
+        return {"tick": int(time.time() * self.rate)}
+
+    def partitions(self, start: dict, end: dict) -> list[Camera]:
+        return [Camera(c, end["tick"]) for c in self.options["cameras"].split(",")] if end["tick"] > start["tick"] else []
+
+    def read(self, partition: Camera) -> Iterator[tuple]:
+        name, wait = partition.name, float(self.options.get("reconnect_seconds", 2))
+        image, status = None, "RECONNECTING"
+        held = _OPEN.get(name)
+        if not isinstance(held, float) or time.time() - held >= wait:
+            try:
+                if held is None or isinstance(held, float):
+                    held = CAMERAS[self.options.get("decoder", "synthetic")]({**self.options, "path": name, "live": "1"})
+                image = held.newest()
+            except (ValueError, OSError):
+                image = None
+            # a camera that fails is closed; in its place stands when that was
+            _OPEN[name] = held if image is not None else time.time()
+        if image is not None:
+            status = "CONNECTED"
+        size = (image.shape[1], image.shape[0]) if image is not None else (None, None)
+        yield (name, partition.tick % (1 << 31), None, *size, image.tobytes() if image is not None else None, datetime.now(timezone.utc), status)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+    def stop(self) -> None:
+        pass
+
+
+def frame_age(received_at: Column) -> Column:
+    """Seconds since a picture came in."""
+    return F.unix_micros(F.current_timestamp()) / 1e6 - F.unix_micros(received_at) / 1e6
+
+
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(FrameSource)
+    spark.dataSource.register(CameraSource)
 
 
 def frame_range(start: int, end: int | str | None, most: int | str | None, total: int) -> tuple[int, int]:

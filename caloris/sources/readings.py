@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caloris.functions.text import finite
 
+from .store import read_json, write_json
+
 REGIONS = "video struct<filename:string,width:int,height:int,fps:double,total_frames:int,reference_frame_number:int>, regions array<struct<id:int,name:string,shape_type:string,pixel_points:array<array<int>>,normalized_points:array<array<double>>>>"
 SCALE = (
     "video struct<filename:string,width:int,height:int,fps:double,total_frames:int>, scale struct<bar_roi:array<int>,max_text_roi:array<int>,min_text_roi:array<int>,"
@@ -52,6 +56,15 @@ def cached_scale(spark: SparkSession, path: str, total_frames: int) -> DataFrame
     return last_wins(rows, ["frame"], "ord").select("frame", "scale_min", "scale_max")
 
 
+def preset(spark: SparkSession, path: str, build: Callable[[], dict]) -> dict:
+    """The scale settings held at a path, or those that build gives, which are then held there."""
+    found = read_json(spark, path)
+    if found is None:
+        found = build()
+        write_json(spark, found, path)
+    return found
+
+
 def checked(df: DataFrame, ok: Column, message: str) -> DataFrame:
     """df; its evaluation fails with the message where ok doesn't hold."""
     first = df.columns[0]

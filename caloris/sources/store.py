@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
 import tempfile
 import uuid
 from typing import Any
@@ -14,13 +12,23 @@ from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of this machine where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of this machine where that is unset and all runs here."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="caloris-"))
+        root = sc.getConf().get("spark.checkpoint.dir")
+        if not root and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="caloris-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again, so that a lost executor loses nothing of it."""
+    path = f"{shared_root(df.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df computed once and written to the shared folder."""
     shared_root(df.sparkSession)
@@ -57,30 +65,57 @@ def complete_log(videos: DataFrame, log: DataFrame) -> DataFrame:
     return both.withColumn("timestamp_seconds", F.when(F.col("fps") > 0, F.col("frame") / F.col("fps"))).drop("fps")
 
 
-def write_json(value: Any, path: str) -> None:
-    """A small document, complete or not at all."""
-    fd, part = tempfile.mkstemp(dir=os.path.dirname(path) or ".", suffix=".part")
-    with os.fdopen(fd, "w", encoding="utf-8") as f:
-        json.dump(value, f, ensure_ascii=False, indent=2, allow_nan=False)
-    os.replace(part, path)
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path: local disks, HDFS and object stores alike."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def write_json(spark: SparkSession, value: Any, path: str) -> None:
+    """A small document, complete or not at all: written beside its place, then renamed."""
+    fs, part = _files(spark, f"{path}.{uuid.uuid4().hex}.part")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(json.dumps(value, ensure_ascii=False, indent=2, allow_nan=False).encode()))
+    finally:
+        out.close()
+    replace_file(spark, part.toString(), path)
+
+
+def read_json(spark: SparkSession, path: str) -> Any:
+    """A small document; None where there is none."""
+    fs, at = _files(spark, path)
+    return json.loads("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())) if fs.exists(at) else None
 
 
-def promote(made: str, target: str) -> None:
+def replace_file(spark: SparkSession, made: str, target: str) -> None:
+    """Put a finished file in the place of another; one that is missing or empty is refused, and the old one stays."""
+    fs, new = _files(spark, made)
+    if not fs.exists(new) or not fs.getFileStatus(new).getLen():
+        raise ValueError(f"nothing to put in place in {made}")
+    _swap(spark, made, target)
+
+
+def promote(spark: SparkSession, made: str, target: str) -> None:
     """Put a finished folder in the place of another. The old one comes back if that fails. An empty folder is refused."""
-    if not os.path.isdir(made) or not os.listdir(made):
+    fs, new = _files(spark, made)
+    if not fs.exists(new) or not len(fs.listStatus(new)):
         raise ValueError(f"nothing to promote in {made}")
-    old = f"{target}.old"
-    shutil.rmtree(old, ignore_errors=True)
-    held = os.path.exists(target)
-    if held:
-        os.rename(target, old)
-    try:
-        os.rename(made, target)
-    except OSError:
+    _swap(spark, made, target)
+
+
+def _swap(spark: SparkSession, made: str, target: str) -> None:
+    fs, at = _files(spark, target)
+    old = _files(spark, f"{target}.{uuid.uuid4().hex}.old")[1]
+    held = fs.exists(at)
+    if held and not fs.rename(at, old):
+        raise OSError(f"{target} can't be moved away")
+    if not fs.rename(_files(spark, made)[1], at):
         if held:
-            os.rename(old, target)
-        raise
-    shutil.rmtree(old, ignore_errors=True)
+            fs.rename(old, at)
+        raise OSError(f"{made} can't be moved to {target}")
+    if held:
+        fs.delete(old, True)
 
 
 def coco(images: DataFrame, annotations: DataFrame, categories: list[str], folder: str) -> None:

@@ -50,6 +50,13 @@ def test_jump_is_confirmed_by_the_next_reading():
 def test_scene_replay(spark, events, total, counts):
     """Moves and settles at these frames; the banner shows for the new view alone."""
     first, settled, second, back = events
+    # evidence that makes the states change at these frames: the third moving and the twelfth still frame in a row decide
+    moving = F.col("frame").between(first - 2, settled - 12) | F.col("frame").between(second - 2, back - 12)
+    judged = spark.range(total).select(F.lit("v").alias("video"), F.col("id").cast("int").alias("frame")).withColumn("moving", moving).withColumn("stable", ~moving)
+    states = fold.ordered_fold(judged, "video", ["frame"], ["moving", "stable"], fold.scene_step(fold.SceneRules()), fold.SCENE_FIELDS)
+    assert [(r.frame, r.event) for r in states.filter("event IS NOT NULL").orderBy("frame").collect()] == list(zip(events, ("MOVEMENT_STARTED", "SETTLED") * 2))
+    replayed = states.select(W.banner(states, "video", "frame", F.col("frame") == settled, 30, "state", "NEW_STABLE_VIEW").alias("s")).groupBy("s").count()
+    assert {r["s"]: r["count"] for r in replayed.collect()} == dict(zip(("STABLE", "MOVING", "NEW_STABLE_VIEW"), counts))
     state = F.when(F.col("frame").between(first, settled - 1) | F.col("frame").between(second, back - 1), "MOVING").otherwise("STABLE")
     rows = spark.range(total).select(F.lit("v").alias("video"), F.col("id").cast("int").alias("frame")).withColumn("state", state)
     shown = rows.select(W.banner(rows, "video", "frame", F.col("frame") == settled, 30, "state", "NEW_STABLE_VIEW").alias("s")).groupBy("s").count()
@@ -165,8 +172,8 @@ def test_motion_is_recovered():
     cx, cy = 80, 60
     h = np.array([[c, s, (1 - c) * cx - s * cy + 4], [-s, c, s * cx + (1 - c) * cy - 3]])
     found = motion.estimate(image, pixels.warp(image, h))
-    assert found["ratio"] > 0.6 and np.allclose(found["transform"] @ [cx, cy, 1], [cx + 4, cy - 3], atol=0.3)
-    assert motion.estimate(np.zeros((60, 60), np.uint8), np.zeros((60, 60), np.uint8))["transform"] is None
+    assert found.ratio > 0.6 and np.allclose(found.transform @ [cx, cy, 1], [cx + 4, cy - 3], atol=0.3)
+    assert motion.estimate(np.zeros((60, 60), np.uint8), np.zeros((60, 60), np.uint8)).transform is None
 
 
 def test_frames_to_temperatures(spark):
@@ -183,7 +190,7 @@ def test_frames_to_temperatures(spark):
 
 def test_frame_stream(spark, tmp_path):
     S.register(spark)
-    stream = spark.readStream.format("frames").option("frames", 9).option("frames_per_batch", 4).load().select("video_id", "frame")
+    stream = spark.readStream.format("frames").option("frames", 9).option("frames_per_partition", 4).load().select("video_id", "frame")
     q = stream.writeStream.format("memory").queryName("frames_seen").option("checkpointLocation", str(tmp_path / "ck")).start()
     q.processAllAvailable()
     q.stop()
@@ -258,15 +265,21 @@ def test_regions_from_json(spark, tmp_path):
 
 
 def test_sinks(spark, tmp_path):
-    store.write_json({"a": 1}, str(tmp_path / "x.json"))
+    store.write_json(spark, {"a": 1}, str(tmp_path / "x.json"))
+    store.write_json(spark, {"a": 2}, str(tmp_path / "x.json"))
+    assert store.read_json(spark, str(tmp_path / "x.json")) == {"a": 2} and store.read_json(spark, str(tmp_path / "y.json")) is None
+    store.write_json(spark, {"a": 1}, str(tmp_path / "x.json"))
+    (tmp_path / "empty").write_text("")
+    with pytest.raises(ValueError):
+        store.replace_file(spark, str(tmp_path / "empty"), str(tmp_path / "x.json"))
     assert json.loads((tmp_path / "x.json").read_text()) == {"a": 1}
     for name in ("made", "target"):
         (tmp_path / name).mkdir()
         (tmp_path / name / "f").write_text(name)
-    store.promote(str(tmp_path / "made"), str(tmp_path / "target"))
+    store.promote(spark, str(tmp_path / "made"), str(tmp_path / "target"))
     assert (tmp_path / "target/f").read_text() == "made" and not (tmp_path / "target.old").exists()
     with pytest.raises(ValueError):
-        store.promote(str(tmp_path / "none"), str(tmp_path / "target"))
+        store.promote(spark, str(tmp_path / "none"), str(tmp_path / "target"))
     videos = spark.createDataFrame([("v", 10.0, 3)], "video_id string, fps double, total_frames int")
     log = spark.createDataFrame([("v", 1, "TRACKED", 1.0, 0.0, 2.0, 0.0, 1.0, 0.0)], "video_id string, frame int, status string, h00 double, h01 double, h02 double, h10 double, h11 double, h12 double")
     got = store.complete_log(videos, log).orderBy("frame").collect()
