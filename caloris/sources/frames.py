@@ -181,9 +181,11 @@ _OPEN: dict[str, object] = {}
 
 
 class SyntheticCamera(SyntheticDecoder):
-    """A camera that shows the test picture; fail_every: each so manieth picture the connection is lost."""
+    """A camera that shows the test picture. down: addresses that can't be reached; fail_every: how many pictures a connection lasts."""
 
     def __init__(self, options: dict[str, str]):
+        if options.get("path") in options.get("down", "").split(","):
+            raise ValueError("the camera can't be reached")
         super().__init__(options)
         self.n, self.fail_every = 0, int(options.get("fail_every", 0))
 
@@ -259,8 +261,8 @@ class CameraStream(DataSourceStreamReader):
 
 
 def frame_age(received_at: Column) -> Column:
-    """Seconds since a picture came in."""
-    return F.unix_micros(F.current_timestamp()) / 1e6 - F.unix_micros(received_at) / 1e6
+    """Seconds from when a picture came in to the start of the batch that shows it; 0 for one that came in since."""
+    return F.greatest(F.lit(0.0), (F.unix_micros(F.current_timestamp()) - F.unix_micros(received_at)) / 1e6)
 
 
 def register(spark: SparkSession) -> None:

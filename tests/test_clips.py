@@ -163,15 +163,15 @@ def test_a_frame_stream_goes_on_after_a_restart(spark, tmp_path):
 
 def test_live_cameras_reconnect(spark, tmp_path):
     source.register(spark)
-    stream = spark.readStream.format("cameras").options(cameras="one,two", fail_every="3", reconnect_seconds="0", ticks_per_second="1000").load()
+    stream = spark.readStream.format("cameras").options(cameras="one,two", down="two", fail_every="3", reconnect_seconds="0", ticks_per_second="1000").load()
     shown = stream.select("video_id", "frame", F.length("bgr").alias("size"), "status", source.frame_age(F.col("received_at")).alias("age"))
     q = shown.writeStream.format("memory").queryName("live").option("checkpointLocation", str(tmp_path / "ck")).start()
     while len([p for p in q.recentProgress if p.numInputRows]) < 8:
         pass
     q.stop()
     rows = spark.table("live").collect()
-    assert {r.video_id for r in rows} == {"one", "two"} and {r.status for r in rows} == {"CONNECTED", "RECONNECTING"}
-    assert all((r.size == 64 * 48 * 3) == (r.status == "CONNECTED") for r in rows)
+    assert {r.status for r in rows if r.video_id == "two"} == {"RECONNECTING"} and "CONNECTED" in {r.status for r in rows if r.video_id == "one"}
+    assert all(r.age >= 0 and (r.size == 64 * 48 * 3) == (r.status == "CONNECTED") for r in rows)
 
 
 # --- pictures with structure
