@@ -50,7 +50,9 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, start: Callable[[],
         kinds = to_arrow_schema(arrow)
         f = start()
         for batch in batches:
-            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(held.index(text_col))), 0).to_numpy(zero_copy_only=False))
+            given = batch.column(held.index(text_col))
+            sizes = pc.list_value_length(given) if pa.types.is_list(given.type) else pc.binary_length(given)
+            ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False))
             stop = 0
             while stop < batch.num_rows:
                 at, before = stop, ends[stop - 1] if stop else 0

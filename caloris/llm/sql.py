@@ -35,7 +35,7 @@ ordered AS (
     sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free, sum(source_size) OVER () AS total
   FROM weighted
 ),
-level AS (SELECT min((total - capped) / free) FILTER (WHERE (total - capped) / free <= top) AS level FROM ordered),
+level AS (SELECT first((total - capped) / free ORDER BY top, source NULLS LAST) FILTER (WHERE (total - capped) / free <= top) AS level FROM ordered),
 targets AS (SELECT source, source_size, CASE WHEN level IS NULL THEN cap ELSE least(cap, weight * level) END AS target FROM ordered, level),
 plans AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size + 1e-9) ELSE 0 END::BIGINT AS whole,
