@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +29,7 @@ from .common import map_texts, neutral, restored
 
 UNKNOWN = "und"
 #: Words a task remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -49,13 +49,32 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
+class Table(Mapping):
+    """Vectors by key, as rows of one matrix."""
+
+    def __init__(self, index: dict[str, int], rows: np.ndarray):
+        self.index, self.rows = index, rows
+
+    def __getitem__(self, key: str) -> np.ndarray:
+        return self.rows[self.index[key]]
+
+    def __contains__(self, key: object) -> bool:
+        return key in self.index
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.index)
+
+    def __len__(self) -> int:
+        return len(self.index)
+
+
 @dataclass
 class Model:
     """Log frequencies: words[w] and grams[n][g] are a vector over langs."""
 
     langs: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[int, dict[str, np.ndarray]]
+    words: Mapping[str, np.ndarray]
+    grams: dict[int, Mapping[str, np.ndarray]]
 
     def word(self, w: str) -> np.ndarray:
         found = self.words.get(w)
@@ -159,15 +178,20 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     counted = sample.select("__lang", F.col(text_col).alias("__text")).mapInArrow(run, "lang string, n int, g string, k long")
     counts = counted.groupBy("lang", "n", "g").agg(F.sum("k").alias("k")).filter(F.col("k") >= min_count)
     numbers = {lang: i for i, lang in enumerate(langs)}
-    tables: dict[int, dict[str, np.ndarray]] = {n: {} for n in range(longest + 1)}
-    for r in counts.collect():
-        tables[r["n"]].setdefault(r["g"], np.zeros(len(langs)))[numbers[r["lang"]]] = r["k"]
-    for table in tables.values():
-        if table:
-            total = np.sum(list(table.values()), axis=0)
-            for g, n in table.items():
-                table[g] = np.log((n + 0.5) / (total + 0.5 * len(table)))
-    return Model(langs, tables.pop(0), {n: t for n, t in tables.items() if t})
+    found = counts.toArrow()
+    level = found.column("n").to_numpy()
+    tables: dict[int, Table] = {}
+    for n in range(longest + 1):
+        some = found.take(np.flatnonzero(level == n))
+        index: dict[str, int] = {}
+        at = np.array([index.setdefault(g, len(index)) for g in some.column("g").to_pylist()], np.int64)
+        column = np.array([numbers[x] for x in some.column("lang").to_pylist()], np.int64)
+        rows = np.zeros((len(index), len(langs)))
+        if len(index):
+            rows[at, column] = some.column("k").to_numpy()
+            rows = np.log((rows + 0.5) / (rows.sum(0) + 0.5 * len(index)))
+        tables[n] = Table(index, rows.astype(np.float32))
+    return Model(langs, tables.pop(0), {n: t for n, t in tables.items() if len(t)})
 
 
 def identify(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
