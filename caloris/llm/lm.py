@@ -3,13 +3,13 @@
 Texts are lower-cased (A-Z) and stored by chunks of about CHUNK bytes of consecutive texts, or of one longer text.
 
 Word frequencies: a chunk's distinct words, in order of first use, are listed as it is stored, dealt by a hash to pieces of the
-vocabulary, each word with its number in the chunk's training texts. A piece adds these up and answers each chunk's list with the sums alone. So each distinct
-word of a chunk moves once and its sum once, a common word once a chunk, and no task holds more than a piece. Answers meet the texts
-in one task a chunk.
+vocabulary, each word with its number in the chunk's training texts. A piece adds these up and answers each chunk's list with the
+sums alone. So each distinct word of a chunk moves once and its sum once, a common word once a chunk, and no task holds more than a
+piece. Answers meet the texts in one task a chunk.
 
 Context mixing: each task counts what follows its training texts' hashed contexts; pieces of the tables are summed across tasks and
 turned into predictions, a byte a slot. The tables double with each eightfold of the corpus, as contexts repeat (8 MB at 30 GB of text,
-80 MB at 100 TB); they are broadcast. Counts cover all training texts. Nothing is fitted on a sample.
+120 MB at 100 TB); they are broadcast. Counts cover all training texts. Nothing is fitted on a sample.
 
 Defined results: a null text is scored like an empty one: one token, its end. With no training rows all counts are 0 and the mixer
 predicts nothing at first. Rows are told apart by their place in a chunk, so null and repeated ids keep a row each; equal texts get
