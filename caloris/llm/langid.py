@@ -58,6 +58,10 @@ class Table(Mapping):
     def __getitem__(self, key: str) -> np.ndarray:
         return self.rows[self.index[key]]
 
+    def get(self, key: str, default=None):
+        at = self.index.get(key)
+        return default if at is None else self.rows[at]
+
     def __contains__(self, key: object) -> bool:
         return key in self.index
 
@@ -82,8 +86,11 @@ class Model:
             return found
         for n in sorted(self.grams, reverse=True):
             table = self.grams[n]
-            known = [table[g] for g in grams_of(w, n) if g in table]
-            if known:
+            if isinstance(table, Table):
+                known = table.rows[[i for i in map(table.index.get, grams_of(w, n)) if i is not None]]
+            else:
+                known = [table[g] for g in grams_of(w, n) if g in table]
+            if len(known):
                 return np.mean(known, axis=0)
         return np.zeros(len(self.langs))
 
