@@ -86,8 +86,15 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import exact
+
+    documents = table(spark, sf_dir, "documents").withColumn("text_sha256", F.sha2(exact.normalised("text"), 256))
+    return exact.groups(documents, keep=["doc_id", "text_sha256"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language, op2_vectors, op3_secrets, op4_lm, op5_bpe, op6_pii, op7_fertility, op8_simhash, op9_mixing, op10_licenses)}
+    return {f.__name__: f for f in (op1_language, op2_vectors, op3_secrets, op4_lm, op5_bpe, op6_pii, op7_fertility, op8_simhash, op9_mixing, op10_licenses, op13_exact)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -52,4 +52,10 @@ SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN h <= thresh
 FROM docs d JOIN plans p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN best b ON b.source IS NOT DISTINCT FROM d.source
 """
 
-SQL = {"op2_vectors": OP2_VECTORS, "op9_mixing": OP9_MIXING}
+OP13_EXACT = r"""
+WITH texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+groups AS (SELECT t, min(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM texts GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM texts JOIN groups USING (t)
+"""
+
+SQL = {"op2_vectors": OP2_VECTORS, "op9_mixing": OP9_MIXING, "op13_exact": OP13_EXACT}
