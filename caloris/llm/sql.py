@@ -52,10 +52,37 @@ SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN h <= thresh
 FROM docs d JOIN plans p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN best b ON b.source IS NOT DISTINCT FROM d.source
 """
 
+OP12_PHRASES = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, w FROM (
+    SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents))
+  WHERE len(w) > 0
+),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3), (4)) s(k) WHERE len(w) >= k) GROUP BY ALL HAVING count(*) >= 30
+),
+cuts AS (
+  SELECT g.lang, g.phrase, g.f AS a, c, l.f AS l, r.f AS r, (2000000::HUGEINT * g.f) // (l.f + r.f) AS score
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS c FROM grams WHERE k > 1) g
+  JOIN grams l ON l.lang = g.lang AND l.phrase = array_to_string(g.w[1:c], ' ') JOIN grams r ON r.lang = g.lang AND r.phrase = array_to_string(g.w[c + 1:g.k], ' ')
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+covers AS (
+  SELECT lang, array_to_string(w[i:i + j - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - j + 2)) AS i FROM (SELECT lang, string_split(phrase, ' ') AS w, f AS a, k, unnest(range(2, k)) AS j FROM grams WHERE k > 2)) GROUP BY ALL
+),
+kept AS (SELECT b.* FROM best b LEFT JOIN covers c ON c.lang = b.lang AND c.phrase = b.phrase WHERE NOT coalesce(100 * longer >= 80 * a, false)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 OP13_EXACT = r"""
 WITH texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
 groups AS (SELECT t, min(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM texts GROUP BY t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM texts JOIN groups USING (t)
 """
 
-SQL = {"op2_vectors": OP2_VECTORS, "op9_mixing": OP9_MIXING, "op13_exact": OP13_EXACT}
+SQL = {"op2_vectors": OP2_VECTORS, "op9_mixing": OP9_MIXING, "op12_phrases": OP12_PHRASES, "op13_exact": OP13_EXACT}

@@ -25,6 +25,7 @@ COLUMNS = {
     "op7_fertility": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
     "op8_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op9_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op12_phrases": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
     "op13_exact": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
     "op10_licenses": "doc_id bigint, n_licenses bigint, spans string, best_license string, best_coverage double",
 }
