@@ -86,6 +86,12 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import whitening
+
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import phrases
 
@@ -100,7 +106,7 @@ def op13_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language, op2_vectors, op3_secrets, op4_lm, op5_bpe, op6_pii, op7_fertility, op8_simhash, op9_mixing, op10_licenses, op12_phrases, op13_exact)}
+    return {f.__name__: f for f in (op1_language, op2_vectors, op3_secrets, op4_lm, op5_bpe, op6_pii, op7_fertility, op8_simhash, op9_mixing, op10_licenses, op11_whitening, op12_phrases, op13_exact)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -25,6 +25,7 @@ COLUMNS = {
     "op7_fertility": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
     "op8_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op9_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op11_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
     "op12_phrases": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
     "op13_exact": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
     "op10_licenses": "doc_id bigint, n_licenses bigint, spans string, best_license string, best_coverage double",
@@ -102,3 +103,24 @@ def test_op8(found, docs):
     prints = {i: brute_print(r.text or "") for i, r in docs.items()}
     classes = brute_classes(list(prints.items()))
     assert {(r.doc_id, r.fingerprint, r.component_id) for r in found("op8_simhash")} == {(i, f"{p:016x}", classes[i]) for i, p in prints.items()}
+
+
+def test_whitening(spark, found):
+    """Against numpy on the whole table: exact sums and deviations, eigenvectors of the covariance, to the sign."""
+    vectors = {r.vec_id: r.embedding for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()}
+    sound = {i: v for i, v in vectors.items() if v is not None and all(c is not None and math.isfinite(c) for c in v)}
+    x = {i: [math.floor(64 * float(c)) + 1000000 for c in v] for i, v in sound.items()}
+    n, sums = len(x), [sum(c) for c in zip(*x.values())]
+    ids = sorted(x)
+    centred = np.array([[(n * a - s) / n for a, s in zip(x[i], sums)] for i in ids])
+    values, components = np.linalg.eigh(centred.T @ centred / n)
+    values, components = values[::-1][:32], components[:, ::-1][:, :32]
+    want = centred @ components / np.sqrt(values)
+    got = np.full((n, 32), np.nan)
+    row = {i: k for k, i in enumerate(ids)}
+    for r in found("op11_whitening"):
+        assert r.n == n and r.deviation == sum((n * a - s) ** 2 for a, s in zip(x[r.vec_id], sums)) and 0 <= r.identity_error <= 1e-4
+        assert abs(r.explained * (centred**2).sum() / n / values[r.component - 1] - 1) < 1e-9
+        got[row[r.vec_id], r.component - 1] = r.whitened
+    assert len(found("op11_whitening")) == 32 * n
+    assert np.abs(got * np.sign((got * want).sum(axis=0)) - want).max() < 1e-6
