@@ -24,7 +24,9 @@ from .common import stored
 SEPARATORS, UPPER, LOWER = b".,;:!?\x0a\x0b\x0c\x0d", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 _TABLE = bytes.maketrans(UPPER + SEPARATORS, LOWER + b"." * len(SEPARATORS))
 #: Bytes of text that a task looks at together.
-SLICE = 8 << 20
+SLICE = 4 << 20
+#: Rows that leave a task at once.
+ROWS = 1 << 17
 _SCHEMA = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType()), T.StructField("bucket", T.LongType()), T.StructField("n", T.LongType())])
 _ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("bucket", pa.int64()), ("n", pa.int64())])
 
@@ -95,21 +97,21 @@ class _Words:
         data = np.frombuffer(b".".join(texts), np.uint8)
         parting = data == 46
         inside = ~(parting | (data == 32) | (data == 9))
-        edge = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]).astype(np.int8))
+        edge = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
         words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]).dictionary_encode()
         self.langs, self.words = langs, words.dictionary
-        self.word = words.indices.to_numpy().astype(np.int64)
+        self.word = words.indices.to_numpy()
         self.piece = np.cumsum(parting, dtype=np.int32)[starts]
-        self.lang = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, "right")
+        self.lang = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, "right").astype(np.int32)
         known = np.fromiter((digest(w) for w in self.words.to_pylist()), np.uint64, len(self.words))
         self.hash = known[self.word]
-        self.start = np.fromiter((digest(x.encode(), seed=7) for x in langs), np.uint64, len(langs))[self.lang]
+        self.start = np.fromiter((digest(x.encode(), seed=7) for x in langs), np.uint64, len(langs))
 
     def hashes(self, k: int, at: np.ndarray) -> np.ndarray:
         """Of the phrases of k words that begin at these places."""
-        h = self.start[at]
+        h = self.start[self.lang[at]]
         for j in range(k):
             h = _mixed(h * np.uint64(0xD6E8FEB86659FD93) + self.hash[at + j])
         return h
@@ -122,7 +124,7 @@ class _Words:
     def numbers(self, k: int, at: np.ndarray) -> np.ndarray:
         """Equal for equal phrases of a language, and for them alone."""
         n = len(self.words)
-        key = self.lang[at] * n + self.word[at]
+        key = self.lang[at].astype(np.int64) * n + self.word[at]
         for j in range(1, k):
             key = np.unique(key, return_inverse=True)[1] * n + self.word[at + j]
         return key
@@ -144,6 +146,10 @@ def _pass(texts: DataFrame, k: int, last: int, bits: int, frequent, buckets, siz
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made in counted(batches):
+            yield from (made.slice(i, ROWS) for i in range(0, made.num_rows, ROWS))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift = np.uint64(64 - bits)
         bucket = lambda w, j, at: (w.hashes(j, at) >> shift).astype(np.int64)
         for langs, joined, old in _slices(batches, size):
