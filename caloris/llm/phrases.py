@@ -3,7 +3,8 @@
 A phrase of k + 1 words is counted in the next pass only if its bucket held enough (the bucket's bit is set) and both phrases of k
 words inside it are frequent, which a second set of bits tells. Both sets are broadcast; each has 2 ** bits bits, whatever the corpus.
 A bit shared by several phrases lets one through that is then counted in vain; no frequent phrase is lost. Tasks add up a slice of text
-in numpy, Spark's partial sums the slices of a task, so a word of every document leaves a task as one row.
+in numpy; Spark's partial sums add the slices of a task, so a word of every document leaves a task as one row. Bucket counts travel packed,
+two bytes for a bucket that a slice meets once.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import discard, stored
 
 # What parts pieces; letters that are lower-cased.
 SEPARATORS, UPPER, LOWER = b".,;:!?\x0a\x0b\x0c\x0d", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -27,8 +28,31 @@ _TABLE = bytes.maketrans(UPPER + SEPARATORS, LOWER + b"." * len(SEPARATORS))
 SLICE = 4 << 20
 #: Rows that leave a task at once.
 ROWS = 1 << 17
-_SCHEMA = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType()), T.StructField("bucket", T.LongType()), T.StructField("n", T.LongType())])
-_ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("bucket", pa.int64()), ("n", pa.int64())])
+#: log2 of the buckets that are counted together; their bits are a row of 4 KB.
+PART = 15
+_SCHEMA = T.StructType([
+    T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType()), T.StructField("bucket", T.LongType()), T.StructField("n", T.LongType()),
+    T.StructField("part", T.IntegerType()), T.StructField("ones", T.BinaryType()), T.StructField("more", T.BinaryType()), T.StructField("counts", T.BinaryType()),
+])
+_ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("bucket", pa.int64()), ("n", pa.int64()), ("part", pa.int32()), ("ones", pa.binary()), ("more", pa.binary()), ("counts", pa.binary())])
+
+
+def _batch(**columns: pa.Array) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in _ARROW], schema=_ARROW)
+
+
+def _packed(buckets: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Counts of buckets, a row for each part: places that stand once, places that stand more often, and how often."""
+    values, n = np.unique(buckets, return_counts=True)
+
+    def of(chosen: np.ndarray, data: np.ndarray) -> pa.Array:
+        ends = np.searchsorted(values[chosen] >> PART, np.arange(parts + 1)) * data.itemsize
+        return pa.Array.from_buffers(pa.binary(), parts, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[chosen]))])
+
+    place = (values & ((1 << PART) - 1)).astype("<u2")
+    made = _batch(part=pa.array(np.arange(parts, dtype=np.int32)), ones=of(n == 1, place), more=of(n > 1, place), counts=of(n > 1, n.astype("<u4")))
+    return made.take(pa.array(np.unique(values >> PART)))
 
 
 @dataclass(frozen=True)
@@ -140,7 +164,7 @@ def _has(bits: np.ndarray, bucket: np.ndarray) -> np.ndarray:
 
 
 def _pass(texts: DataFrame, k: int, last: int, bits: int, frequent, buckets, size: int) -> DataFrame:
-    """(lang, phrase, bucket, n): counts of phrases of k words; of buckets of longer ones, without a phrase; of all words, with neither.
+    """Counts of phrases of k words (lang, phrase, bucket, n), of all words (lang, n), and of the buckets of longer phrases, by parts.
 
     frequent, buckets: broadcast sets of the frequent phrases of k - 1 words and the buckets of k words; none in the first pass.
     """
@@ -164,7 +188,7 @@ def _pass(texts: DataFrame, k: int, last: int, bits: int, frequent, buckets, siz
                 _, first, n = np.unique(w.numbers(k, at), return_index=True, return_counts=True)
                 first = at[first]
                 lang, phrase = w.phrases(k, first)
-                yield pa.RecordBatch.from_arrays([lang, phrase, pa.array(bucket(w, k, first)), pa.array(n)], schema=_ARROW)
+                yield _batch(lang=lang, phrase=phrase, bucket=pa.array(bucket(w, k, first)), n=pa.array(n))
             if k < last:
                 longer = w.places(k + 1)
                 longer = longer[longer + k >= old]
@@ -173,23 +197,51 @@ def _pass(texts: DataFrame, k: int, last: int, bits: int, frequent, buckets, siz
                     fit[tried] = True
                     longer = longer[fit[longer] & fit[longer + 1]]
                 if len(longer):
-                    values, n = np.unique(bucket(w, k + 1, longer), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar("", pa.string()), len(n)), pa.nulls(len(n), pa.string()), pa.array(values), pa.array(n)], schema=_ARROW)
+                    yield _packed(bucket(w, k + 1, longer), max(1, 1 << bits >> PART))
             if k == 1:
                 n = np.bincount(w.lang[old:], minlength=len(langs))
-                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.nulls(len(langs), pa.string()), pa.nulls(len(langs), pa.int64()), pa.array(n)], schema=_ARROW)
+                yield _batch(lang=pa.array(langs, pa.string()), n=pa.array(n))
 
     return texts.mapInArrow(run, _SCHEMA)
 
 
-def _set(rows: DataFrame, bits: int):
-    """A broadcast set of the buckets of rows, as bits. At most 2 ** (bits - 15) rows of 4 KB reach the driver."""
-    place = F.col("bucket") + 1
-    parts = rows.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("held")).collect()
+def _broadcast(parts: DataFrame, bits: int):
+    """Rows (part, held) as one array of bits on all executors. At most 2 ** (bits - 15) rows of 4 KB reach the driver."""
     out = np.zeros(max(1 << bits >> 3, 4096), np.uint8)
-    for r in parts:
-        out[(r.part - 1) * 4096 : r.part * 4096] = np.frombuffer(r.held, np.uint8)
-    return rows.sparkSession.sparkContext.broadcast(out)
+    for r in parts.collect():
+        out[r.part * 4096 : (r.part + 1) * 4096] = np.frombuffer(r.held, np.uint8)
+    return parts.sparkSession.sparkContext.broadcast(out)
+
+
+def _frequent(phrases: DataFrame) -> DataFrame:
+    """The set of the phrases' buckets."""
+    place = F.col("bucket") + 1
+    return phrases.groupBy((F.bitmap_bucket_number(place) - 1).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("held"))
+
+
+def _full(packed: DataFrame, least: int) -> DataFrame:
+    """The set of the buckets that hold enough: rows of a part come to one task, one after another, which holds that part's counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, np.zeros(1 << PART, np.int64)
+
+        def made() -> pa.RecordBatch:
+            held = np.packbits(sums >= least, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([held], pa.binary())], names=["part", "held"])
+
+        for batch in batches:
+            for part, ones, more, n in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if part != now:
+                    if now is not None:
+                        yield made()
+                    now, sums = part, np.zeros(1 << PART, np.int64)
+                sums[np.frombuffer(ones, "<u2")] += 1
+                sums[np.frombuffer(more, "<u2")] += np.frombuffer(n, "<u4")
+        if now is not None:
+            yield made()
+
+    rows = packed.select("part", "ones", "more", "counts").repartition("part").sortWithinPartitions("part")
+    return rows.mapInArrow(run, "part int, held binary")
 
 
 def counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang", options: PhraseOptions = PhraseOptions(), size: int = SLICE) -> tuple[DataFrame, DataFrame]:
@@ -201,7 +253,8 @@ def counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang", option
     texts = df.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     frequent = buckets = totals = out = None
     for k in range(1, options.longest + 1):
-        sums = _pass(texts, k, options.longest, options.bits, frequent, buckets, size).groupBy("lang", "phrase", "bucket").agg(F.sum("n").alias("n"))
+        made = stored(_pass(texts, k, options.longest, options.bits, frequent, buckets, size))
+        sums = made.filter("part IS NULL").groupBy("lang", "phrase", "bucket").agg(F.sum("n").alias("n"))
         found = stored(sums.filter((F.col("n") >= options.least) | F.col("bucket").isNull()))
         phrases = found.filter("phrase IS NOT NULL")
         mine = phrases.select("lang", "phrase", F.lit(k).alias("words"), "n")
@@ -212,8 +265,9 @@ def counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang", option
             for old in (frequent, buckets):
                 if old is not None:
                     old.unpersist()
-            frequent = _set(phrases, options.bits)
-            buckets = _set(found.filter("phrase IS NULL AND bucket IS NOT NULL"), options.bits)
+            frequent = _broadcast(_frequent(phrases), options.bits)
+            buckets = _broadcast(_full(made.filter("part IS NOT NULL"), options.least), options.bits)
+        discard(made)
     return out, totals
 
 
