@@ -16,6 +16,8 @@ from .common import neutral, stored
 PREFIX = 256
 #: A set holds 2 ** BITS bits in at most 2 ** (BITS - 6) rows of two longs, 4 MB of data, whatever the number of texts.
 BITS = 24
+#: Groups of more rows than LARGE meet their result in SHARES places.
+LARGE, SHARES = 1000, 64
 
 
 def normalised(text: str | Column) -> Column:
@@ -29,9 +31,13 @@ def _place(bits: int, *key: str) -> Column:
 
 
 def _surviving(rows: DataFrame, key: list[str], bits: int) -> DataFrame:
-    """The set of those keys that more than one row has: (word, held), a bit a key."""
-    many = rows.groupBy(*key).count().filter("count > 1").select(_place(bits, *key).alias("place"))
-    return many.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("held"))
+    """The set of those keys that more than one row has."""
+    return _bits(rows.groupBy(*key).count().filter("count > 1"), key, bits)
+
+
+def _bits(keys: DataFrame, key: list[str], bits: int) -> DataFrame:
+    """A set of keys: (word, held), a bit a key."""
+    return keys.select(_place(bits, *key).alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("held"))
 
 
 def _marked(rows: DataFrame, key: list[str], members: DataFrame, bits: int, name: str) -> DataFrame:
@@ -59,8 +65,12 @@ def _grouped(df: DataFrame, id_col: str, text_col: str, prefix: int, bits: int)
     hashed = rows.filter("full IS NOT NULL")
     # of equal ids in a group the first row stays, and a null id only where all are null
     first = F.min(F.struct(own.isNull().alias("missing"), own.alias("id"), F.col("row").alias("row")))
-    groups = hashed.groupBy("full").agg(F.count("*").alias("n"), first.alias("first")).filter("n > 1")
-    shared = hashed.join(groups, "full", "left").select(
+    groups = stored(hashed.groupBy("full").agg(F.count("*").alias("n"), first.alias("first")).filter("n > 1"))
+    # a large group is dealt out: its rows by row number, its one result to each share. What shares a bit with one is dealt out as well
+    large = _bits(groups.filter(F.col("n") > LARGE).select("full"), ["full"], bits)
+    groups = _marked(groups, ["full"], large, bits, "dealt").withColumn("share", F.explode(F.when(F.col("dealt"), F.sequence(F.lit(0), F.lit(SHARES - 1))).otherwise(F.array(F.lit(0)))))
+    hashed = _marked(hashed, ["full"], large, bits, "dealt").withColumn("share", F.when(F.col("dealt"), F.pmod(F.xxhash64("row"), F.lit(SHARES))).otherwise(0).cast("int"))
+    shared = hashed.join(groups.drop("dealt"), ["full", "share"], "left").select(
         *names.values(), F.when(F.col("n").isNull(), own).otherwise(F.col("first.id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), F.coalesce(F.col("row") == F.col("first.row"), F.lit(True)).alias("kept"),
     )
