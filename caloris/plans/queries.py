@@ -660,22 +660,6 @@ def video_summaries(spark, sf_dir):
     return S.video_summary(frame_temperatures(spark, sf_dir))
 
 
-@query(SQL["scale_jump_confirm"].replace("SELECT region, frame, round(a", "SELECT region, event_id, round(a").replace(" AS scale_max, status FROM f", " AS scale_max, status FROM f JOIN readings USING (region, frame)"))
-def stream_scale(spark, sf_dir):
-    """scale_jump_confirm as a stream: events are read as they lie, the state is in Spark's store."""
-    from caloris.sources.store import drained
-    from caloris.streaming.fold import stream_fold
-
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
-    gray = F.get_json_object("props", "$.k").try_cast("int")
-    low = F.when(F.col("event_type") != "error", F.col("value"))
-    rows = events.select(F.col("user_id").alias("region"), "event_id", low.alias("low"), (F.col("value") + gray).alias("high"))
-    found = drained(stream_fold(rows, "region", "event_id", ["low", "high"], fold.confirm_step(_GATE), fold.SCALE_FIELDS))
-    return found.select("region", "event_id", r6("scale_min", "scale_min"), r6("scale_max", "scale_max"), "status")
-
-
 # --- recorded clips ---------------------------------------------------------------------------------------------------------
 
 _CLIP = f"""{READINGS}, p AS (SELECT region, frame, frame // 2 AS n, CASE WHEN kind <> 'error' THEN temperature END AS low, temperature + gray AS high, temperature * 0.75 AS alt FROM readings),
@@ -764,3 +748,6 @@ def scene_state_log(spark, sf_dir):
     register(spark)
     a, b = (spark.read.format("frames").options(frames="60", width="160", height="120", texture=t, video_id="clip", frames_per_partition="1000").load() for t in ("5", "6"))
     return scene_log(switched(a, b, D.pan_timeline(1.0, 26, 6), 25.0))[0]
+
+
+from . import live  # noqa: E402, F401  (registers its queries)
