@@ -615,6 +615,38 @@ def camera_track(spark, sf_dir):
     return found.select("region", "frame", "status", "anchor_frame", "failures", F.col("transform")[2].alias("h02"))
 
 
+@query("""WITH a AS (SELECT event_id AS frame, event_type, event_type <> 'error' AND event_id > 0 AS good, CAST(json_extract_string(props, '$.k') AS INTEGER) AS gray FROM events),
+i AS (SELECT *, max(CASE WHEN good OR frame = 0 THEN frame END) OVER w AS anchor_frame, row_number() OVER w AS k, sum(CASE WHEN good THEN gray ELSE 0 END) OVER w AS h02 FROM a WINDOW w AS (ORDER BY frame)),
+j AS (SELECT *, k - max(CASE WHEN good OR frame = 0 THEN k END) OVER (ORDER BY frame) AS failures FROM i)
+SELECT frame, CASE WHEN frame = 0 THEN 'REFERENCE' WHEN good THEN 'TRACKED' WHEN failures >= 3 THEN 'SCENE_CHANGE_SUSPECTED' ELSE 'HOLD_LAST_GOOD' END AS status, anchor_frame, CAST(failures AS INTEGER) AS failures, CAST(h02 AS DOUBLE) AS h02 FROM j""")
+def camera_track_long(spark, sf_dir):
+    """All events as one recording, tracked in blocks of frames."""
+    from caloris.operators.scan import TrackScan, block_fold
+
+    one, none = F.lit(1.0), F.lit(0.0)
+    gray = F.get_json_object("props", "$.k").try_cast("int").cast("double")
+    rows = table(spark, sf_dir, "events").select(F.lit("all").alias("video"), F.col("event_id").alias("frame"), (F.col("event_type") != "error").alias("accepted"), F.array(one, none, gray, none, one, none).alias("delta"))
+    found = block_fold(rows, "video", "frame", TrackScan(warn_after=3), fold.TRACK_FIELDS, size=1024, fan=64)
+    return found.select("frame", "status", "anchor_frame", "failures", F.col("transform")[2].alias("h02"))
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT event_id AS frame, value >= 80 AS moving, value <= 120 AS stable FROM events), f AS (
+  SELECT frame, 'STABLE' AS state, CASE WHEN moving THEN 1 ELSE 0 END AS run, CASE WHEN moving THEN 1 ELSE 0 END AS moving_evidence, 0 AS stable_evidence, CAST(NULL AS VARCHAR) AS event FROM e WHERE frame = (SELECT min(frame) FROM e)
+  UNION ALL
+  SELECT frame, CASE WHEN done THEN CASE state WHEN 'STABLE' THEN 'MOVING' ELSE 'STABLE' END ELSE state END, CASE WHEN done THEN 0 ELSE n END,
+    CASE WHEN state = 'STABLE' THEN n ELSE 0 END, CASE WHEN state = 'MOVING' THEN n ELSE 0 END, CASE WHEN done THEN CASE state WHEN 'STABLE' THEN 'MOVEMENT_STARTED' ELSE 'SETTLED' END END
+  FROM (SELECT *, n >= CASE state WHEN 'STABLE' THEN 2 ELSE 3 END AS done FROM (
+    SELECT e.frame, f.state, CASE WHEN CASE f.state WHEN 'STABLE' THEN e.moving ELSE e.stable END THEN f.run + 1 ELSE 0 END AS n FROM f JOIN e ON e.frame = f.frame + 1)))
+SELECT frame, state, moving_evidence, stable_evidence, event FROM f""")
+def scene_fsm_long(spark, sf_dir):
+    """All events as one recording, its scene states found in blocks of frames."""
+    from caloris.operators.scan import SceneScan, block_fold
+
+    rows = table(spark, sf_dir, "events").select(F.lit("all").alias("video"), F.col("event_id").alias("frame"), (F.col("value") >= 80).alias("moving"), (F.col("value") <= 120).alias("stable"))
+    found = block_fold(rows, "video", "frame", SceneScan(_RULES), fold.SCENE_FIELDS, size=1024, fan=64)
+    return found.select("frame", "state", "moving_evidence", "stable_evidence", "event")
+
+
 @query("""WITH c AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'OK' WHEN 1 THEN 'NO_MATCHES' ELSE 'TOO_FEW_INLIERS' END AS flow, CASE o_custkey % 2 WHEN 0 THEN 'OK' ELSE 'NO_TRANSFORM' END AS features FROM orders)
 SELECT o_orderkey, CASE WHEN flow = 'OK' THEN 'LK_OPTICAL_FLOW' WHEN features = 'OK' THEN 'ORB_FALLBACK' ELSE 'NONE' END AS method,
  CASE WHEN flow = 'OK' THEN 'LK_ACCEPTED' WHEN features = 'OK' THEN 'ORB_RECOVERY_AFTER_' || flow ELSE 'TRACKING_FAILED:LK=' || flow || ';ORB=' || features END AS reason FROM c""")

@@ -1,64 +1,9 @@
-"""The folds of caloris.operators.fold over a stream: the same steps, with the state in Spark's store."""
+"""Consumers of live frames that are slower than their source."""
 
 from __future__ import annotations
 
-import pickle
-import sys
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from caloris.operators import fold
-from caloris.operators.fold import Step
-
-
-class FoldProcessor(StatefulProcessor):
-    """Run a step over each key's rows as they come, in order within a batch; rows at or before the last one seen are late and go."""
-
-    def __init__(self, key: str, order: str, inputs: list[str], step: Step, names: list[str], start: Any = None):
-        self.key, self.order, self.inputs, self.step, self.names, self.start = key, order, inputs, step, names, start
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("fold", T.StructType([T.StructField("last", T.LongType()), T.StructField("state", T.BinaryType())]))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-        held = self.state.get() if self.state.exists() else None
-        last, state = (held[0], pickle.loads(held[1])) if held else (None, self.start)
-        out = []
-        for row in batch[[self.order, *self.inputs]].itertuples(index=False):
-            place = int(row[0])
-            if last is not None and place <= last:
-                continue
-            values = {c: None if v is None or (isinstance(v, float) and v != v) else v for c, v in zip(self.inputs, row[1:], strict=True)}
-            state, made = self.step(state, values)
-            last = place
-            out.append((key[0], place, *(values[c] for c in self.inputs), *made))
-        if last is not None:
-            self.state.update((last, pickle.dumps(state)))
-        yield pd.DataFrame(out, columns=[self.key, self.order, *self.inputs, *self.names])
-
-    def close(self) -> None:
-        pass
-
-
-def stream_fold(df: DataFrame, key: str, order: str, inputs: list[str], step: Step, fields: list[T.StructField], start: Any = None) -> DataFrame:
-    """ordered_fold over a stream. Needs the RocksDB state store (spark.sql.streaming.stateStore.providerClass).
-
-    The processor travels whole: Spark starts it on the driver in a process that files added to the session don't reach.
-    """
-    for module in (sys.modules[__name__], fold):
-        cloudpickle.register_pickle_by_value(module)
-    schema = T.StructType([df.schema[key], T.StructField(order, T.LongType()), *(df.schema[c] for c in inputs), *fields])
-    processor = FoldProcessor(key, order, inputs, step, [f.name for f in fields], start)
-    rows = df.select(key, F.col(order).cast("long").alias(order), *inputs)
-    return rows.groupBy(key).transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None")
 
 
 def latest_only(write):
@@ -72,7 +17,10 @@ def latest_only(write):
 
 
 def rate_limited(df: DataFrame, time: str, hz: float, key: str, delay: str = "10 seconds") -> DataFrame:
-    """At most one row in each interval of 1 / hz seconds and key: what a reader of labels is given. Late rows go by the watermark."""
+    """At most one row in each interval of 1 / hz seconds and key, where readings are made elsewhere. Late rows go by the watermark.
+
+    caloris.operators.machines.ReadingMachine limits the rate and brings the results back to the rows after them.
+    """
     interval = f"{max(1, round(1e6 / hz))} microseconds"
     stamped = df.withWatermark(time, delay)
     return stamped.groupBy(F.window(time, interval), key).agg(F.max_by(F.struct(*[c for c in df.columns if c != key]), F.col(time)).alias("r")).select(key, "r.*")

@@ -91,23 +91,6 @@ def test_fold_orders_rows_and_parts_keys(spark):
     assert fold.ordered_fold(df.limit(0), "video", ["frame"], ["low", "high"], fold.hold_step(fold.ScaleGate()), fold.SCALE_FIELDS).count() == 0
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    from caloris.streaming.fold import stream_fold
-
-    rows = [(f"v{i % 3}", i // 3, float(10 + (i * 7) % 5), float(30 + (i * 11) % 9)) for i in range(60)]
-    df = spark.createDataFrame(rows, "video string, frame long, low double, high double")
-    for k in range(2):
-        df.filter(F.col("frame") >= 10 if k else F.col("frame") < 10).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    step = fold.confirm_step(fold.ScaleGate())
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(str(tmp_path / "in"))
-    q = stream_fold(stream, "video", "frame", ["low", "high"], step, fold.SCALE_FIELDS).writeStream.format("memory").queryName("folded").option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").start()
-    q.processAllAvailable()
-    q.stop()
-    key = lambda r: (r.video, r.frame, r.scale_min, r.scale_max, r.status)
-    batch = fold.ordered_fold(df, "video", ["frame"], ["low", "high"], step, fold.SCALE_FIELDS)
-    assert sorted(map(key, spark.table("folded").collect())) == sorted(map(key, batch.collect()))
-
-
 # --- pixels
 
 
