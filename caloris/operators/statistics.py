@@ -15,6 +15,22 @@ def region_statistics(values: DataFrame, keys: list[str], value: str = "temperat
     return found.select(*keys, "min_temp", "avg_temp", "max_temp", F.col("p")[0].alias("median_temp"), F.col("p")[1].alias("p95_temp"), F.col("p")[2].alias("p99_temp"), "valid_pixel_count")
 
 
+def large_region_statistics(values: DataFrame, keys: list[str], value: str = "temperature") -> DataFrame:
+    """region_statistics for groups of any size: percentiles by counts of digits, where `percentile` would hold each distinct value of a
+    group in one task. Equal to it but for the last bits of a percentile between two values."""
+    from .quantiles import group_quantiles
+
+    v = F.col(value)
+    sound = values.filter(v.isNotNull() & ~F.isnan(v))
+    plain = sound.groupBy(*keys).agg(F.min(v).alias("min_temp"), F.avg(v).alias("avg_temp"), F.max(v).alias("max_temp"), F.count("*").alias("valid_pixel_count"))
+    spread = group_quantiles(sound, keys, value, [0.5, 0.95, 0.99])
+    same = None
+    for k in keys:
+        same = plain[k].eqNullSafe(spread[k]) if same is None else same & plain[k].eqNullSafe(spread[k])
+    p = spread["quantiles"]
+    return plain.join(spread, same).select(*(plain[k] for k in keys), "min_temp", "avg_temp", "max_temp", p[0].alias("median_temp"), p[1].alias("p95_temp"), p[2].alias("p99_temp"), "valid_pixel_count")
+
+
 def with_empty_regions(statistics: DataFrame, skeleton: DataFrame, keys: list[str]) -> DataFrame:
     """A row for each frame and region of skeleton; regions without valid values get nulls and a count of 0."""
     return skeleton.join(statistics, keys, "left").withColumn("valid_pixel_count", F.coalesce("valid_pixel_count", F.lit(0)))

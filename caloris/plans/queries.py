@@ -64,6 +64,16 @@ def region_stats(spark, sf_dir):
     return _by_day(spark, sf_dir).select("region", "day", *(r6(n, n) for n in names), "valid_pixel_count")
 
 
+@query("""WITH p AS (SELECT 'all' AS region, l_extendedprice / 100 AS t FROM lineitem UNION ALL SELECT l_returnflag || l_linestatus, l_extendedprice / 100 FROM lineitem)
+SELECT region, round(min(t) + 1e-9, 6) AS min_temp, round(avg(t) + 1e-9, 6) AS avg_temp, round(max(t) + 1e-9, 6) AS max_temp, round(quantile_cont(t, 0.5) + 1e-9, 6) AS median_temp,
+  round(quantile_cont(t, 0.95) + 1e-9, 6) AS p95_temp, round(quantile_cont(t, 0.99) + 1e-9, 6) AS p99_temp, count(*) AS valid_pixel_count FROM p GROUP BY region""")
+def region_stats_large(spark, sf_dir):
+    """All line items as one region, and as a few: groups that no task could hold."""
+    lines = table(spark, sf_dir, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("region"), (F.col("l_extendedprice") / 100).alias("temperature"))
+    found = S.large_region_statistics(lines.union(lines.select(F.lit("all"), "temperature")), ["region"])
+    return found.select("region", *(r6(n, n) for n in ("min_temp", "avg_temp", "max_temp", "median_temp", "p95_temp", "p99_temp")), "valid_pixel_count")
+
+
 @query(f"WITH {READINGS}, s AS ({_STATS}) SELECT region AS region_name, round(min(min_temp) + 1e-9, 6) AS lowest_frame_min, round(avg(avg_temp) + 1e-9, 6) AS mean_of_frame_averages, round(max(max_temp) + 1e-9, 6) AS highest_frame_max, round(avg(p95_temp) + 1e-9, 6) AS mean_p95, round(max(p99_temp) + 1e-9, 6) AS highest_p99 FROM s GROUP BY region")
 def region_summary(spark, sf_dir):
     found = S.video_summary(_by_day(spark, sf_dir).withColumnRenamed("region", "region_name"))
@@ -476,6 +486,25 @@ def polygon_transform(spark, sf_dir):
     return rows.select("p_partkey", (F.col("i") + 1).cast("long").alias("point"), F.col("z.m.x").alias("x"), (F.col("z.m.y") + 0.0).alias("y"), F.round("z.n.x", 9).alias("nx"), (F.round("z.n.y", 9) + 0.0).alias("ny"))
 
 
+_EDGE = "(q[{b}][1] - q[{a}][1]) * (y - q[{a}][2]) - (q[{b}][2] - q[{a}][2]) * (x - q[{a}][1]) >= 0"
+
+
+@query(f"""WITH {_POLYGON}, s AS (SELECT p_partkey, list_transform(pts, lambda p: [p[1] * (1 + p_size % 5) + p_partkey % 40 * 100, p[2] * (1 + p_size % 5) + p_partkey // 40 * 100]) AS q FROM g),
+b AS (SELECT *, list_min(list_transform(q, lambda p: p[1])) AS x0, list_max(list_transform(q, lambda p: p[1])) AS x1, list_min(list_transform(q, lambda p: p[2])) AS y0, list_max(list_transform(q, lambda p: p[2])) AS y1 FROM s),
+l AS (SELECT l_orderkey, l_linenumber, (l_orderkey * 37 + l_linenumber * 11) % 4200 AS x, (l_partkey * 13 + l_suppkey * 7) % 1200 AS y FROM lineitem)
+SELECT l_orderkey, l_linenumber, p_partkey FROM l JOIN b ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 WHERE """ + " AND ".join(_EDGE.format(a=a, b=a % 4 + 1) for a in range(1, 5)))
+def points_in_regions(spark, sf_dir):
+    """Line items as points on a plane, parts as regions of many sizes: which regions hold each."""
+    from caloris.operators.spatial import points_in_polygons
+
+    k, grow = F.col("p_partkey"), 1 + F.col("p_size") % 5
+    pts = F.transform("pts", lambda p: G.point(p["x"] * grow + k % 40 * 100, p["y"] * grow + F.floor(k / 40) * 100))
+    regions = _polygons(spark, sf_dir).select("p_partkey", pts.alias("shape"))
+    x, y = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 4200, (F.col("l_partkey") * 13 + F.col("l_suppkey") * 7) % 1200
+    points = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", x.cast("double").alias("x"), y.cast("double").alias("y"))
+    return points_in_polygons(points, regions, [], "x", "y", "shape").select("l_orderkey", "l_linenumber", "p_partkey")
+
+
 @query("SELECT p_partkey, p_size >= 10 AND p_size < 30 AND p_partkey % 50 >= 5 AND p_partkey % 50 < 25 AS inside, greatest(0, p_size - 6) AS pad_x, least(48, p_size + 10 + 6) - greatest(0, p_size - 6) AS pad_w FROM part")
 def point_in_box(spark, sf_dir):
     k = F.col("p_partkey") % 50
