@@ -88,6 +88,6 @@ def group_quantiles(values: DataFrame, keys: list[str], value: str, shares: list
 
     def between(s: float):
         low, high = F.col("at")[F.floor(place(s))], F.col("at")[F.ceil(place(s))]
-        return low + (high - low) * (place(s) - F.floor(place(s)))
+        return F.when(low == high, low).otherwise(low + (high - low) * (place(s) - F.floor(place(s))))
 
     return sizes.join(held, "group").select(*keys, F.array(*(between(s) for s in shares)).alias("quantiles"), "n")
