@@ -32,13 +32,21 @@ def best_pair(candidates: DataFrame, keys: list[str], options: ScaleOptions, las
     return _first(found, keys, rank)
 
 
-def recipe_pair(candidates: DataFrame, keys: list[str], options: ScaleOptions) -> DataFrame:
-    """The pair that sets a recipe: of best texts, one more for the same method and mode in both, then first found."""
+def recipe_pair(candidates: DataFrame, keys: list[str], options: ScaleOptions, strict: bool = True) -> DataFrame:
+    """The pair that sets a recipe: of best texts, one more for the same method and mode in both, then first found.
+
+    A group without a plausible pair fails the query rather than have its recipe guessed; without `strict` it is left out.
+    """
     found = pairs(candidates, keys)
     found = found.filter(valid_pair(F.col("lo.value"), F.col("hi.value"), options))
     same = ((F.col("lo.method") == F.col("hi.method")) & (F.col("lo.psm") == F.col("hi.psm"))).cast("double")
     score = setup_quality(F.col("lo.text")) + setup_quality(F.col("hi.text")) + same
-    return _first(found, keys, F.struct(-score, F.col("lo.ord"), F.col("hi.ord")))
+    best = _first(found, keys, F.struct(-score, F.col("lo.ord"), F.col("hi.ord")))
+    if not strict:
+        return best
+    named = F.concat(F.lit("no plausible pair of labels for "), F.to_json(F.struct(*keys)))
+    whole = candidates.select(*keys).distinct().join(best, keys, "left")
+    return whole.withColumn("min_value", F.when(F.col("min_value").isNull(), F.raise_error(named)).otherwise(F.col("min_value")))
 
 
 def _first(found: DataFrame, keys: list[str], rank: Column) -> DataFrame:

@@ -68,6 +68,25 @@ def augmentations(frames: DataFrame, options: DatasetOptions) -> DataFrame:
     return original.unionByName(made)
 
 
+def split(group: Column, shares: dict[str, float], seed: int = 42) -> Column:
+    """The part of a dataset that a group belongs to: all variants of a frame fall into one part. By a hash of seed and group, so that parts
+    stay as they are when groups are added; shares need not add up to 1. A null group is a group."""
+    total, at = float(sum(shares.values())), 0.0
+    place = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(group.cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    part, *rest = shares
+    out = None
+    for name in (part, *rest):
+        at += shares[name] / total
+        out = F.when(place < at, name) if out is None else out.when(place < at, name)
+    return out.otherwise(name)
+
+
+def totals(images: DataFrame, annotations: DataFrame, image: str, source: str) -> DataFrame:
+    """Images and instances of each source; images(image, source), annotations(image), which are counted before they meet the images."""
+    per_image = annotations.groupBy(image).agg(F.count("*").alias("n"))
+    return images.join(per_image, image, "left").groupBy(source).agg(F.count("*").alias("images"), F.coalesce(F.sum("n"), F.lit(0)).alias("instances"))
+
+
 def image_name(stem: Column, frame: Column, kind: Column) -> Column:
     return F.concat(stem, F.lit("__frame_"), F.lpad(frame.cast("string"), 6, "0"), F.lit("__"), kind, F.lit(".jpg"))
 

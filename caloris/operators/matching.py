@@ -28,6 +28,8 @@ class TrackingOptions:
     total_scale: tuple[float, float] = (0.85, 1.15)
     warn_after: int = 20
     corners: int = 900
+    worst_error: float = 60.0
+    least_points: int = 6
     features: int = 1800
 
 
@@ -53,6 +55,8 @@ class SceneOptions:
     view_ratio: float = 0.30
     banner_frames: int = 30
     corners: int = 700
+    worst_error: float = 70.0
+    least_points: int = 8
     features: int = 2200
 
 

@@ -68,7 +68,7 @@ def motion_step(regions: list[dict], reference_frame: int, o: TrackingOptions):
         reasons = []
         for method in ("LK_OPTICAL_FLOW", "ORB_FALLBACK"):
             if method == "LK_OPTICAL_FLOW":
-                m = motion.estimate(anchor, now, mask, o.corners)
+                m = motion.estimate(anchor, now, mask, o.corners, o.worst_error, o.least_points)
             else:
                 m = features.matched_motion(features.describe(anchor, mask, o.features), features.describe(now, mask, o.features))
             h = None if m.transform is None else _product(m.transform, held)
@@ -108,7 +108,7 @@ def _frame_step(o: SceneOptions):
         if state is None:
             return (gray, mask, lines), (True, True, 0.0, 0.0, 1.0, 0, 1.0, 0.0)
         common = state[1] & mask
-        m = motion.estimate(state[0], gray, common, o.corners)
+        m = motion.estimate(state[0], gray, common, o.corners, o.worst_error, o.least_points)
         change = K.edge_change(state[2], lines, common)
         if m.transform is None:
             return (gray, mask, lines), (False, False, 0.0, 0.0, 1.0, 0, 0.0, change)

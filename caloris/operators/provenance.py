@@ -123,6 +123,54 @@ def stale_reasons(manifests: DataFrame, current: DataFrame, settings: DataFrame)
     return inputs.unionByName(stale_settings(settings, held, ["stage"]).select("stage", F.lit("SETTING_CHANGED").alias("reason"), F.col("setting").alias("name")))
 
 
+# The inputs whose change makes a stage stale, and the stages that an edit of their own output makes stale. The set-up of the
+# scale does not rest on the regions; motion does not need the video that was annotated; datasets keep no record.
+STAGE_INPUTS = {"annotation": ("video",), "scale": ("video",), "temperature": ("video", "regions", "scale"), "motion": ("regions", "motion_video"), "scene": ("video",)}
+EDITED_OUTPUTS = ("annotation", "scale")
+
+
+def stage_reasons(manifests: DataFrame, current: DataFrame, settings: DataFrame, outputs: DataFrame) -> DataFrame:
+    """stale_reasons by the rules of each stage's kind. manifests has kind and outputs (map of name to sha256) besides; outputs: stage, name,
+    sha256 as they are now. An input that a kind does not rest on gives no reason, an output that was edited gives OUTPUT_EDITED where
+    that counts; an output that is gone is no reason, as the stage is then incomplete. Kinds without rules give none."""
+    rules = F.create_map(*(x for k, v in STAGE_INPUTS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
+    ruled = manifests.filter(F.col("kind").isin(*STAGE_INPUTS))
+    counted = ruled.withColumn("inputs", F.map_filter("inputs", lambda k, v: F.array_contains(F.try_element_at(rules, F.col("kind")), k)))
+    asked = settings.join(ruled.select("stage"), "stage", "left_semi")
+    made = ruled.filter(F.col("kind").isin(*EDITED_OUTPUTS)).select("stage", F.explode("outputs").alias("name", "held"))
+    edited = made.join(outputs, ["stage", "name"]).filter(F.col("held") != F.col("sha256"))
+    return stale_reasons(counted, current, asked).unionByName(edited.select("stage", F.lit("OUTPUT_EDITED").alias("reason"), "name"))
+
+
+def stale_causes(edges: DataFrame, own: DataFrame) -> DataFrame:
+    """(stage, cause, hops): the stages with reasons of their own that each stage rests on, itself included, by the shortest way.
+
+    edges: stage, upstream. own: stage. One join for each step of the longest chain, however wide the graph; a pair that is known is
+    not followed again, so diamonds don't multiply and circles end.
+    """
+    from caloris.sources.store import stored
+
+    links = edges.select(F.col("stage").alias("next"), F.col("upstream").alias("stage")).distinct()
+    newest = stored(own.select("stage", F.col("stage").alias("cause"), F.lit(0).alias("hops")).distinct())
+    found = newest
+    while newest.head(1):
+        reached = newest.join(links, "stage").select(F.col("next").alias("stage"), "cause", F.col("hops") + 1).toDF("stage", "cause", "hops").distinct()
+        newest = stored(reached.join(found.select("stage", "cause"), ["stage", "cause"], "left_anti"))
+        found = found.union(newest)
+    return found
+
+
+def view_pictures(views: DataFrame) -> DataFrame:
+    """(video_id, stage, filename): the pictures that a scene run must have, one for each view of views(video_id, name)."""
+    return views.select("video_id", F.lit("scene").alias("stage"), F.concat("name", F.lit("_reference.png")).alias("filename"))
+
+
+def text_fingerprint(*parts: Column) -> tuple[Column, Column]:
+    """SHA-256 of texts joined by bars, and its first 16 digits, which sign a variant."""
+    whole = F.sha2(F.concat_ws("|", *parts), 256)
+    return whole, F.substring(whole, 1, 16)
+
+
 def load_manifests(spark: SparkSession, path: str) -> DataFrame:
     """The manifests below a path, a row each; files that are no JSON or of another version are left out."""
     fields = "manifest_version int, stage string, status string, created_at_utc string, source_video map<string,string>, inputs map<string,string>, settings map<string,string>, outputs map<string,string>"

@@ -108,6 +108,39 @@ def _grouped(candidates: DataFrame, name: str) -> DataFrame:
     return candidates.groupBy("video_id", "frame").agg(F.array_sort(F.collect_list(item)).alias(name))
 
 
+def provided_scale(frames: DataFrame, cached: DataFrame, key: list[str], live: str, held: str) -> DataFrame:
+    """frames with scale and source: the value that a table of readings holds for a frame (CACHE), else the one read now (LIVE)."""
+    both = frames.join(cached.select(*key, F.col(held).alias("__held")), key, "left")
+    return both.withColumns({"scale": F.coalesce("__held", live), "source": F.when(F.col("__held").isNull(), "LIVE").otherwise("CACHE")}).drop("__held")
+
+
+def memoised(requests: DataFrame, frame: list[str], order: str, reading: list[str], cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rule of the paused viewer: a frame is read when it is first looked at, and that reading, error or not, holds for every later look.
+
+    requests: a row a look, with what a reading then would give (an error is a reading with an error text). No jump is refused. Returns the
+    looks with the readings that hold and whether each was remembered, and the cache with what was read now; the cache's readings win.
+    Frames with a null in their key are frames like others.
+    """
+    value = F.struct(*reading)
+    first = requests.groupBy(*frame).agg(F.min_by(value, F.col(order)).alias("__r"), F.min(order).alias("__at"))
+    if cache is not None:
+        old = cache.select(*frame, value.alias("__old"))
+        on = None
+        for k in frame:
+            on = first[k].eqNullSafe(old[k]) if on is None else on & first[k].eqNullSafe(old[k])
+        joined = first.join(old, on, "full")
+        known = F.col("__old").isNotNull()
+        first = joined.select(*(F.coalesce(first[k], old[k]).alias(k) for k in frame), F.when(known, F.col("__old")).otherwise(F.col("__r")).alias("__r"), F.when(~known, F.col("__at")).alias("__at"))
+    held = first.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(frame)), "__r", "__at")
+    on = None
+    for i, k in enumerate(frame):
+        same = requests[k].eqNullSafe(held[f"__k{i}"])
+        on = same if on is None else on & same
+    looks = requests.drop(*reading).join(held, on)
+    remembered = F.coalesce(F.col(order) > F.col("__at"), F.lit(True))
+    return looks.select(*[c for c in requests.columns if c not in reading], "__r.*", remembered.alias("remembered")), first.select(*frame, "__r.*")
+
+
 def scale_readings(frames: DataFrame, primary: DataFrame, retry: Callable[[DataFrame], DataFrame], gate: fold.ScaleGate, seeds: DataFrame | None = None) -> DataFrame:
     """video_id and the 17 columns of a clip's scale readings, a row a frame.
 

@@ -76,6 +76,11 @@ def probe_reason(x: Column, y: Column, width: Column, height: Column, boxes: lis
     return F.when(outside, PROBE_REASONS[0]).when(inside, PROBE_REASONS[1]).when(F.coalesce(valid_pixels, F.lit(0)) <= 0, PROBE_REASONS[2])
 
 
+def counts_by(rows: DataFrame, status: str) -> DataFrame:
+    """How many rows have each status."""
+    return rows.groupBy(status).agg(F.count("*").alias("n"))
+
+
 def sample_counters(readings: DataFrame, keys: list[str]) -> DataFrame:
     """Readings sampled, accepted at once, accepted on retry and held, and the share accepted in percent."""
     of = lambda s: F.count_if(F.col("status") == s)

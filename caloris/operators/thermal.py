@@ -26,6 +26,11 @@ def is_neutral(b: Column, g: Column, r: Column, difference: int) -> Column:
     return F.greatest(b, g, r) - F.least(b, g, r) <= difference
 
 
+def row_medians(pixels: DataFrame, row: list[str], value: str) -> DataFrame:
+    """The median of each row of a scale bar: what its levels are read from."""
+    return pixels.groupBy(*row).agg(F.median(value).alias("level"))
+
+
 def nearest_levels(palette: DataFrame) -> DataFrame:
     """For each intensity 0 to 255 the row of palette(row, gray, temp) of the nearest gray level, the first row on ties.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -98,7 +99,7 @@ def ocr_counters(spark, sf_dir):
 
 @query("SELECT event_type AS status, count(*) AS n FROM events GROUP BY event_type")
 def status_counts(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("status")).agg(F.count("*").alias("n"))
+    return S.counts_by(table(spark, sf_dir, "events").select(F.col("event_type").alias("status")), "status")
 
 
 @query(f"WITH {READINGS}, r AS (SELECT *, epoch_us(ts) / 1e6 AS s FROM readings), w AS (SELECT *, count(*) OVER f AS n, s - first_value(s) OVER f AS span FROM r WINDOW f AS (PARTITION BY region ORDER BY frame ROWS BETWEEN 179 PRECEDING AND CURRENT ROW)) SELECT region, frame, round(CASE WHEN n >= 2 AND span > 0 THEN (n - 1) / span ELSE 0 END, 9) AS receive_fps FROM w")
@@ -301,7 +302,7 @@ def ocr_best_pair(spark, sf_dir):
   -(4 * CAST(contains(min_text, '.') AS INTEGER) + least(length(regexp_replace(min_text, '[^0-9]', '', 'g')), 4) + 4 * CAST(contains(max_text, '.') AS INTEGER) + least(length(regexp_replace(max_text, '[^0-9]', '', 'g')), 4) + CASE WHEN min_method = max_method AND min_psm = max_psm THEN 1 ELSE 0 END), ao, bo) AS k FROM q)
 SELECT {_OUT} FROM r WHERE k = 1""")
 def ocr_recipe(spark, sf_dir):
-    return C.recipe_pair(_candidates(spark, sf_dir), ["grp"], ScaleOptions())
+    return C.recipe_pair(_candidates(spark, sf_dir), ["grp"], ScaleOptions(), strict=False)
 
 
 _READS = f"{_TEXTS}, c AS (SELECT user_id, event_id AS ord, text, {_PARSE} AS value, round(value / 500, 2) AS confidence FROM n)"
@@ -322,10 +323,12 @@ def ocr_joined_text(spark, sf_dir):
     return C.joined_text(_reads(spark, sf_dir).withColumn("label", F.floor(F.col("ord") / 500)), ["user_id", "label"])
 
 
-@query("SELECT user_id, array_to_string(list_sort(list_distinct(list(event_type))), ',') AS methods FROM events GROUP BY user_id")
+@query("""WITH m AS (SELECT user_id, arg_max(event_type, event_id) AS own, list_sort(list_distinct(list(event_type))) AS rest FROM events GROUP BY user_id)
+SELECT user_id, array_to_string(list_concat([own], list_filter(rest, lambda x: x <> own)), ',') AS methods FROM m""")
 def recipe_union(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("m"))
-    return rows.select("user_id", F.array_join(C.recipes(F.col("m")[0], F.col("m")), ",").alias("methods"))
+    """The recipe in use first, then the others, each once."""
+    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("own"), F.array_sort(F.collect_set("event_type")).alias("rest"))
+    return rows.select("user_id", F.array_join(C.recipes(F.col("own"), F.col("rest")), ",").alias("methods"))
 
 
 @query("SELECT count(*) FILTER (c_acctbal > 0 AND c_acctbal + 500 - c_acctbal >= 5 AND c_acctbal <= 1000 AND c_acctbal + 500 <= 1000) AS valid, count(*) AS n FROM customer")
@@ -340,9 +343,9 @@ def scale_provider(spark, sf_dir):
     from caloris.sources.readings import last_wins
 
     cache = last_wins(table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select("l_orderkey", "l_extendedprice", F.struct("l_linenumber", "l_extendedprice").alias("place")), ["l_orderkey"], "place")
-    both = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").join(cache, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    v = F.col("l_extendedprice")
-    return both.select("o_orderkey", r6(F.coalesce(v, F.col("o_totalprice")), "scale"), F.when(v.isNull(), "LIVE").otherwise("CACHE").alias("source"))
+    frames = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    found = R.provided_scale(frames, cache.withColumnRenamed("l_orderkey", "o_orderkey"), ["o_orderkey"], "o_totalprice", "l_extendedprice")
+    return found.select("o_orderkey", r6("scale", "scale"), "source")
 
 
 # --- pixels -----------------------------------------------------------------------------------------------------------------
@@ -378,7 +381,9 @@ def lut_nearest(spark, sf_dir):
 
 @query("SELECT l_orderkey, round(median(l_quantity) + 1e-9, 6) AS level FROM lineitem GROUP BY l_orderkey")
 def row_median(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.round(F.median("l_quantity") + NUDGE, 6).alias("level"))
+    from caloris.operators.thermal import row_medians
+
+    return row_medians(table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_quantity").select("l_orderkey", r6("level", "level"))
 
 
 # --- geometry and motion ----------------------------------------------------------------------------------------------------
@@ -548,11 +553,8 @@ def augment_variants(spark, sf_dir):
 
 @query("SELECT o_orderstatus AS source, count(DISTINCT o_orderkey) AS images, count(l_orderkey) AS instances FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderstatus")
 def dataset_totals(spark, sf_dir):
-    # annotations are counted by image before they meet the images, so the join moves one row an image
-    per_image = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    images = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("source"))
-    both = images.join(per_image, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return both.groupBy("source").agg(F.count("*").alias("images"), F.coalesce(F.sum("n"), F.lit(0)).alias("instances"))
+    images = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("image"), F.col("o_orderstatus").alias("source"))
+    return D.totals(images, table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("image")), "image", "source")
 
 
 @query("""WITH s(no, segment, length) AS (VALUES (0, 'A', 97), (1, 'A_TO_B', 29), (2, 'B', 97), (3, 'B_TO_A', 29), (4, 'A', 97)), f AS (SELECT no, segment, length, unnest(range(length)) AS local FROM s)
@@ -620,8 +622,8 @@ def variant_reuse(spark, sf_dir):
 
 @query("SELECT p_partkey, sha256(p_name || '|' || p_type) AS sha256, sha256(p_name || '|' || p_type)[1:16] AS signature FROM part")
 def fingerprint(spark, sf_dir):
-    h = F.sha2(F.concat_ws("|", "p_name", "p_type"), 256)
-    return table(spark, sf_dir, "part").select("p_partkey", h.alias("sha256"), F.substring(h, 1, 16).alias("signature"))
+    whole, signature = P.text_fingerprint(F.col("p_name"), F.col("p_type"))
+    return table(spark, sf_dir, "part").select("p_partkey", whole.alias("sha256"), signature.alias("signature"))
 
 
 @query("SELECT n_nationkey, n_name || ' | ' || printf('%.1f', round(min(c_acctbal), 1)) || ' | ' || printf('%.1f', round(max(c_acctbal), 1)) AS label FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_name")
@@ -777,6 +779,79 @@ def stale_reasons(spark, sf_dir):
     return P.stale_reasons(manifests, current, asked)
 
 
+@query("""WITH RECURSIVE s AS (SELECT o_orderkey AS k, n, (o_orderkey + n) % 7 = 0 AS own FROM orders, range(4) t(n)),
+e AS (SELECT k * 4 + n AS stage, k * 4 + n - 1 AS upstream FROM s WHERE n > 0 UNION ALL SELECT k * 4 + 3, k * 4 FROM s WHERE n = 3),
+c AS (SELECT k * 4 + n AS stage, k * 4 + n AS cause, 0 AS hops FROM s WHERE own UNION ALL SELECT e.stage, c.cause, c.hops + 1 FROM c JOIN e ON e.upstream = c.stage)
+SELECT stage, cause, min(hops)::INTEGER AS hops FROM c GROUP BY stage, cause""")
+def stale_causes(spark, sf_dir):
+    """Chains of four stages an order, the last resting on the first as well: whose staleness reaches whom."""
+    stages = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("n"))
+    stage = F.col("k") * 4 + F.col("n")
+    chain = stages.filter("n > 0").select(stage.alias("stage"), (stage - 1).alias("upstream"))
+    edges = chain.union(stages.filter("n = 3").select(stage, F.col("k") * 4))
+    return P.stale_causes(edges, stages.filter((F.col("k") + F.col("n")) % 7 == 0).select(stage.alias("stage")))
+
+
+@query("""WITH m AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS stage, ['annotation', 'scale', 'temperature', 'motion', 'scene', 'dataset'][o_orderkey % 6 + 1] AS kind FROM orders),
+i AS (SELECT k, stage, kind, name FROM m, (VALUES ('video', 3), ('regions', 4), ('scale', 5), ('motion_video', 7)) t(name, d) WHERE k % d = 0
+  AND name IN (SELECT unnest(CASE kind WHEN 'temperature' THEN ['video', 'regions', 'scale'] WHEN 'motion' THEN ['regions', 'motion_video'] WHEN 'dataset' THEN [] ELSE ['video'] END)))
+SELECT stage, 'INPUT_CHANGED' AS reason, name FROM i UNION ALL SELECT stage, 'SETTING_CHANGED', 'hz' FROM m WHERE kind <> 'dataset' AND k % 2 = 0
+UNION ALL SELECT stage, 'OUTPUT_EDITED', 'own' FROM m WHERE kind IN ('annotation', 'scale') AND k % 5 = 0""")
+def stage_reasons(spark, sf_dir):
+    kinds = F.get(F.array(*map(F.lit, ["annotation", "scale", "temperature", "motion", "scene", "dataset"])), (F.col("k") % 6).cast("int"))
+    runs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("stage")).withColumn("kind", kinds)
+    changed = {"video": 3, "regions": 4, "scale": 5, "motion_video": 7}
+    held = F.create_map(*(x for n in changed for x in (F.lit(n), F.lit("old"))))
+    manifests = runs.select("stage", "kind", held.alias("inputs"), F.create_map(F.lit("hz"), F.lit("3")).alias("settings"), F.create_map(F.lit("own"), F.lit("made")).alias("outputs"))
+    now = lambda n, d: F.struct(F.lit(n).alias("name"), F.when(F.col("k") % d == 0, "new").otherwise("old").alias("sha256"))
+    current = runs.select("stage", F.inline(F.array(*(now(n, d) for n, d in changed.items()))))
+    asked = runs.select("stage", F.lit("hz").alias("setting"), F.when(F.col("k") % 2 == 0, "4").otherwise("3").alias("value"))
+    outputs = runs.select("stage", F.lit("own").alias("name"), F.when(F.col("k") % 5 == 0, "edited").otherwise("made").alias("sha256"))
+    return P.stage_reasons(manifests, current, asked, outputs)
+
+
+@query("""WITH p AS (SELECT c_custkey, ('0x' || substr(md5('42:' || c_nationkey), 1, 8))::BIGINT / 4294967296.0 AS place FROM customer)
+SELECT c_custkey, CASE WHEN place < 0.7::DOUBLE THEN 'train' WHEN place < 0.7::DOUBLE + 0.2::DOUBLE THEN 'valid' ELSE 'test' END AS part FROM p""")
+def dataset_split(spark, sf_dir):
+    """Customers as variants of their nation's frame: a nation is never parted."""
+    return table(spark, sf_dir, "customer").select("c_custkey", D.split(F.col("c_nationkey"), {"train": 0.7, "valid": 0.2, "test": 0.1}).alias("part"))
+
+
+@query(f"""WITH {READINGS}, r AS (SELECT *, row_number() OVER (PARTITION BY region, gray ORDER BY event_id) AS nth FROM readings), f AS (SELECT region, gray, temperature, kind FROM r WHERE nth = 1)
+SELECT r.event_id, r.region, r.gray, CASE WHEN f.kind <> 'error' THEN round(f.temperature + 1e-9, 6) END AS scale, CASE WHEN f.kind = 'error' THEN 'READ_FAILED' END AS error, r.nth > 1 AS remembered FROM r JOIN f ON f.region = r.region AND f.gray = r.gray""")
+def paused_viewer(spark, sf_dir):
+    """Events as looks at paused frames: a frame's first reading holds, and so does its first error."""
+    failed = F.col("event_type") == "error"
+    looks = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("region"), F.get_json_object("props", "$.k").try_cast("int").alias("gray"), F.when(~failed, F.col("value")).alias("scale"), F.when(failed, "READ_FAILED").alias("error"))
+    found, _ = R.memoised(looks, ["region", "gray"], "event_id", ["scale", "error"])
+    return found.select("event_id", "region", "gray", r6("scale", "scale"), "error", "remembered")
+
+
+@query(f"WITH {READINGS}, r AS (SELECT region, frame, row_number() OVER (PARTITION BY region ORDER BY frame) AS nth FROM readings WHERE frame % 2 = 0 AND kind <> 'view') SELECT CAST(region AS VARCHAR) AS video_id, frame FROM r WHERE nth <= 30")
+def debug_frames(spark, sf_dir):
+    from caloris.sources.pictures import rejected_frames
+
+    status = F.when(F.col("kind") == "view", "ACCEPT_PRIMARY").otherwise("HOLD_PREVIOUS")
+    log = readings(spark, sf_dir).select(F.col("region").cast("string").alias("video_id"), "frame", (F.col("frame") % 2 == 0).cast("int").alias("was_ocr_sampled"), status.alias("status"))
+    return rejected_frames(log, 30).select("video_id", "frame")
+
+
+@query("SELECT vec_id::VARCHAR AS name, 8 AS width, 8 AS height, array_to_string(list_transform(embedding, lambda x: ((floor(x::DOUBLE * 64)::BIGINT % 256) + 256) % 256), ' ') AS levels FROM embeddings")
+def embedding_pictures(spark, sf_dir):
+    """Vectors as pictures of 8 x 8 levels of gray, written as PNG files and read back."""
+    from caloris.sources.pictures import read_pictures, write_pictures
+    from caloris.sources.store import shared_root
+
+    level = lambda x: F.unhex(F.lpad(F.hex(F.pmod(F.floor(x.cast("double") * 64), F.lit(256)).cast("long")), 2, "0"))
+    bytes_of = F.aggregate(F.transform("embedding", level), F.lit(b""), lambda a, b: F.concat(a, b))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("name"), F.lit(8).alias("width"), F.lit(8).alias("height"), bytes_of.alias("pixels"))
+    folder = f"{shared_root(spark).rstrip('/')}/pictures-{uuid.uuid4().hex}"
+    write_pictures(rows, folder)
+    digits = F.hex("pixels")
+    levels = F.transform(F.sequence(F.lit(1), F.length("pixels") * 2, F.lit(2)), lambda i: F.conv(F.substr(digits, i, F.lit(2)), 16, 10))
+    return read_pictures(spark, folder).select("name", "width", "height", F.array_join(levels, " ").alias("levels"))
+
+
 _OUTPUTS = [(k, f) for k, files in P.STAGE_FILES.items() for f in files]
 _STAGES = list(P.STAGE_FILES)
 
