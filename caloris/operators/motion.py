@@ -1,22 +1,30 @@
 """Camera motion and scene states over frames: the logs that recorded video gives.
 
-A frame is compared with the one before it, or with the last one that could be trusted, so a video's frames are taken in order by one
-task that keeps a gray picture or two; videos run in parallel. Only numbers leave that task. Give frames with one partition a
-video (option frames_per_partition) and grouped=True, and no pixel is moved.
+A frame is compared with the one before it (scenes), or with the last one that could be trusted (camera motion). Scenes of a table of
+videos (`scene_log_of`) are made in ranges of frames, each read with the frame before it where it is needed, so one long video is the work
+of many tasks and no pixel is moved. Of frames that come as a table (`frame_motion`, `motion_log`) a video's are taken in order by one
+task that keeps a gray picture or two, as camera motion must be: give them with one partition a video (option frames_per_partition) and
+grouped=True; otherwise Spark moves the pictures to bring a video together. Only numbers and corner descriptions leave a task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caloris.sources import frames as source
+from caloris.sources.store import stored
+
 from . import fold
 from .kernels import features, motion
 from .kernels import pixels as K
 from .matching import SceneOptions, TrackingOptions, frame_evidence, rejection
-from .windows import banner, carry_forward
+from .scan import SceneScan, ViewScan, block_fold
 
 IMAGE = ["timestamp_seconds", "width", "height", "bgr"]
 _long, _double, _int, _string, _bool = T.LongType(), T.DoubleType(), T.IntegerType(), T.StringType(), T.BooleanType()
@@ -123,12 +131,59 @@ def frame_motion(frames: DataFrame, options: SceneOptions | None = None, grouped
     return fold.ordered_fold(frames, "video_id", ["frame"], IMAGE, _frame_step(options or SceneOptions()), FRAME_FIELDS, keep=["timestamp_seconds"], grouped=grouped)
 
 
+def frame_motion_of(videos: DataFrame, options: SceneOptions | None = None, source_options: dict[str, str] | None = None, frames_per_task: int = 256) -> DataFrame:
+    """frame_motion for a table of videos (as frames_of takes it), in ranges of frames: each task reads the frame before its range too."""
+    step, given = _frame_step(options or SceneOptions()), dict(source_options or {})
+    schema = T.StructType([T.StructField("video_id", _string), T.StructField("frame", _int), T.StructField("timestamp_seconds", _double), *FRAME_FIELDS])
+    last = F.col("total_frames") - 1
+    rows = videos.filter("video_id IS NOT NULL AND path IS NOT NULL AND total_frames > 0").select("video_id", "path", last.cast("int").alias("end"))
+    rows = rows.withColumn("first", F.explode(F.sequence(F.lit(0), F.col("end"), F.lit(frames_per_task))))
+    rows = rows.select("video_id", "path", "first", F.least("end", F.col("first") + frames_per_task - 1).alias("last")).repartition("video_id", "first")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        kinds = to_arrow_schema(schema)
+        for batch in batches:
+            for r in batch.to_pylist():
+                state, out = None, []
+                for part in source.read_range({**given, "video_id": r["video_id"], "path": r["path"]}, max(0, r["first"] - 1), r["last"]):
+                    for row in part.to_pylist():
+                        if row["bgr"] is not None:
+                            state, values = step(state, row)
+                            if row["frame"] >= r["first"]:
+                                out.append((row["video_id"], row["frame"], row["timestamp_seconds"], *values))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), k.type) for c, k in zip(zip(*out), kinds)], schema=kinds)
+
+    return rows.mapInArrow(run, schema)
+
+
+_VIEW_SCHEMA = "video_id string, frame int, points binary, bits binary"
+
+
+def described(frames: DataFrame, options: SceneOptions | None = None) -> DataFrame:
+    """Corners of each frame and their bits, as a view is recognised by: described where the frame is, so the picture stays there."""
+    o = options or SceneOptions()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                gray, mask, _ = _analysed(row, o)
+                points, bits = features.describe(gray, mask, o.features)
+                out.append((row["video_id"], row["frame"], np.asarray(points, np.float64).tobytes(), bits.tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), (pa.string(), pa.int32(), pa.binary(), pa.binary()))], names=["video_id", "frame", "points", "bits"])
+
+    return frames.filter("bgr IS NOT NULL").select("video_id", "frame", *IMAGE).mapInArrow(run, _VIEW_SCHEMA)
+
+
 def _view_step(o: SceneOptions):
-    """Hold a settled frame against the known views of its video; only their descriptions are kept."""
+    """Hold a settled frame's description against the known views of its video."""
 
     def step(state: tuple | None, row: dict) -> tuple[tuple, tuple]:
-        gray, mask, _ = _analysed(row, o)
-        mine = features.describe(gray, mask, o.features)
+        mine = np.frombuffer(row["points"], np.float64).reshape(-1, 2), np.frombuffer(row["bits"], np.uint64).reshape(-1, 4)
         if state is None:
             return ([mine], 1), (1, "INITIAL_VIEW", None, None, None, None)
         views, now = state
@@ -148,34 +203,58 @@ def _view_step(o: SceneOptions):
 def scene_states(moved: DataFrame, options: SceneOptions | None = None) -> DataFrame:
     """moved (as frame_motion gives it) with moving, stable, state and event (MOVEMENT_STARTED, SETTLED); a first frame is stable."""
     o = options or SceneOptions()
-    rules = fold.SceneRules(o.moving_frames, o.stable_frames, o.banner_frames)
+    rules = SceneScan(fold.SceneRules(o.moving_frames, o.stable_frames, o.banner_frames))
     judged = moved.withColumn("e", frame_evidence(o)).select("*", "e.moving", "e.stable").drop("e")
     judged = judged.withColumn("moving", F.col("moving") & ~F.col("first"))
     numbers = [f.name for f in FRAME_FIELDS]
-    return fold.ordered_fold(judged, "video_id", ["frame"], ["timestamp_seconds", *numbers, "moving", "stable"], fold.scene_step(rules), fold.SCENE_FIELDS)
+    return block_fold(judged, "video_id", "frame", rules, fold.SCENE_FIELDS, keep=["timestamp_seconds", *numbers])
+
+
+#: Settled frames that are looked up in frames at a time: their numbers are broadcast, some hundred bytes each.
+SETTLED = 100_000
 
 
 def scene_log(frames: DataFrame, options: SceneOptions | None = None, grouped: bool = False) -> tuple[DataFrame, DataFrame]:
     """The scene state log (14 columns beside video_id), a row a frame, and the scene events (12), a row a change.
 
-    frames is read twice: once for all frames, once for the few in which a camera has settled.
+    frames is read once for all frames, and once for each SETTLED of the frames in which a camera has settled, whose numbers are broadcast
+    so that no picture is moved for them.
     """
     o = options or SceneOptions()
-    states = scene_states(frame_motion(frames, o, grouped), o)
-    settled = states.filter((F.col("event") == "SETTLED") | F.col("first")).select("video_id", "frame")
-    views = fold.ordered_fold(frames.join(settled, ["video_id", "frame"], "left_semi"), "video_id", ["frame"], IMAGE, _view_step(o), VIEW_FIELDS, keep=[])
+    states = stored(scene_states(frame_motion(frames, o, grouped), o))
+    settled = stored(states.filter((F.col("event") == "SETTLED") | F.col("first")).select("video_id", "frame"))
+    parts = -(-settled.count() // SETTLED) or 1
+    some = lambda k: settled.filter(F.pmod(F.xxhash64("video_id", "frame"), F.lit(parts)) == k) if parts > 1 else settled
+    found = None
+    for k in range(parts):
+        part = described(frames.join(F.broadcast(some(k)), ["video_id", "frame"], "left_semi"), o)
+        found = part if found is None else found.union(part)
+    return _logs(states, found, o)
+
+
+def scene_log_of(videos: DataFrame, options: SceneOptions | None = None, source_options: dict[str, str] | None = None, frames_per_task: int = 256) -> tuple[DataFrame, DataFrame]:
+    """scene_log for a table of videos: any number of them, each of any length, in ranges of frames. Settled frames are read by seeking."""
+    o = options or SceneOptions()
+    states = stored(scene_states(frame_motion_of(videos, o, source_options, frames_per_task), o))
+    settled = states.filter((F.col("event") == "SETTLED") | F.col("first")).select("video_id", F.col("frame").alias("first_frame"), F.col("frame").alias("last_frame"))
+    wanted = videos.select("video_id", "path", "total_frames").join(settled, "video_id")
+    return _logs(states, described(source.frames_of(wanted, source_options), o), o)
+
+
+def _logs(states: DataFrame, settled: DataFrame, o: SceneOptions) -> tuple[DataFrame, DataFrame]:
+    views = fold.ordered_fold(settled, "video_id", ["frame"], ["points", "bits"], _view_step(o), VIEW_FIELDS, keep=[])
     both = states.join(views, ["video_id", "frame"], "left").withColumn("event", F.coalesce("view_event", F.when(F.col("event") == "MOVEMENT_STARTED", F.col("event"))))
-    both = both.withColumn("seen", F.col("view_id"))
-    both = carry_forward(both, "video_id", "frame", ["view_id"])
+    both = both.withColumn("seen", F.col("view_id")).withColumn("new", F.coalesce(F.col("event") == "NEW_STABLE_VIEW", F.lit(False))).drop("view_id")
+    held = [T.StructField("view_id", _int), T.StructField("before", _int), T.StructField("told", _long)]
+    both = block_fold(both, "video_id", "frame", ViewScan(), held, keep=[c for c in both.columns if c not in ("video_id", "frame", "seen", "new")])
+    shown = F.when(F.col("frame") - F.col("told") < o.banner_frames, F.lit("NEW_STABLE_VIEW")).otherwise(F.col("state"))
     name = lambda c: F.format_string("VIEW_%03d", c)
-    shown = banner(both, "video_id", "frame", F.col("event") == "NEW_STABLE_VIEW", o.banner_frames, "state", "NEW_STABLE_VIEW")
     log = both.select(
         "video_id", "frame", "timestamp_seconds", F.when(F.col("state") == "STABLE", shown).otherwise(F.col("state")).alias("state"), "view_id", name(F.col("view_id")).alias("view_name"),
         F.col("translation").alias("motion_translation_pixels"), F.col("rotation_deg").alias("motion_rotation_deg"), F.col("scale").alias("motion_scale"), F.col("inliers").alias("motion_inliers"),
         F.col("ratio").alias("motion_inlier_ratio"), F.col("edge_change").alias("edge_change_ratio"), F.col("moving").cast("int").alias("moving_evidence"), F.col("stable").cast("int").alias("stable_evidence"), "event",
     )
-    before = F.coalesce(F.lag("view_id").over(Window.partitionBy("video_id").orderBy("frame")), F.col("view_id"))
-    changed = both.withColumn("before", before).filter(F.col("event").isNotNull() & (F.col("event") != "INITIAL_VIEW"))
+    changed = both.withColumn("before", F.coalesce("before", "view_id")).filter(F.col("event").isNotNull() & (F.col("event") != "INITIAL_VIEW"))
     started = F.col("event") == "MOVEMENT_STARTED"
     events = changed.select(
         "video_id", "frame", "timestamp_seconds", "event", F.when(started, "STABLE").otherwise("MOVING").alias("from_state"), F.when(started, "MOVING").otherwise("STABLE").alias("to_state"),

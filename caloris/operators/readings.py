@@ -141,12 +141,13 @@ def memoised(requests: DataFrame, frame: list[str], order: str, reading: list[st
     return looks.select(*[c for c in requests.columns if c not in reading], "__r.*", remembered.alias("remembered")), first.select(*frame, "__r.*")
 
 
-def scale_readings(frames: DataFrame, primary: DataFrame, retry: Callable[[DataFrame], DataFrame], gate: fold.ScaleGate, seeds: DataFrame | None = None) -> DataFrame:
+def scale_readings(frames: DataFrame, primary: DataFrame, retry: Callable[[DataFrame], DataFrame], gate: fold.ScaleGate, seeds: DataFrame | None = None, rounds: int = 4) -> DataFrame:
     """video_id and the 17 columns of a clip's scale readings, a row a frame.
 
     frames: video_id, frame, timestamp_seconds. primary: label_candidates of the sampled frames by the configured recipe. retry: gives
     the candidates of all recipes for a table of (video_id, frame); it is called for the frames alone in which the configured recipe
-    fails, until no further frame needs it: an accepted retry moves the trusted scale, which may put later frames in doubt. seeds:
+    fails, until no further frame needs it: an accepted retry moves the trusted scale, which may put later frames in doubt. After `rounds`
+    rounds all sampled frames from a video's first open one on are read by all recipes, so a long clip takes no more than rounds + 1. seeds:
     video_id, seed_low, seed_high, trusted before the first frame. A video whose first frames have no trusted scale is an error.
     """
     samples = _grouped(primary, "own")
@@ -154,7 +155,7 @@ def scale_readings(frames: DataFrame, primary: DataFrame, retry: Callable[[DataF
         samples = samples.withColumns({"seed_low": F.lit(None).cast("double"), "seed_high": F.lit(None).cast("double")})
     else:
         samples = samples.join(seeds.select("video_id", "seed_low", "seed_high"), "video_id", "left")
-    samples, more = stored(samples), None
+    samples, more, done = stored(samples), None, 0
     while True:
         none = F.lit(None).cast(samples.schema["own"].dataType)
         rows = samples.withColumn("candidates", none) if more is None else samples.join(more, ["video_id", "frame"], "left")
@@ -163,6 +164,11 @@ def scale_readings(frames: DataFrame, primary: DataFrame, retry: Callable[[DataF
         needed = stored(needed if more is None else needed.join(more, ["video_id", "frame"], "left_anti"))
         if needed.isEmpty():
             break
+        done += 1
+        if done > rounds:
+            since = needed.groupBy("video_id").agg(F.min("frame").alias("since"))
+            rest = samples.select("video_id", "frame").join(since, "video_id").filter("frame >= since").select("video_id", "frame")
+            needed = stored(rest if more is None else rest.join(more, ["video_id", "frame"], "left_anti"))
         made = _grouped(retry(needed), "candidates")
         # a frame without any candidate has an empty list, so that it is not asked for again
         made = needed.join(made, ["video_id", "frame"], "left").withColumn("candidates", F.coalesce("candidates", F.array().cast(samples.schema["own"].dataType)))

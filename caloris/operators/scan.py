@@ -169,14 +169,40 @@ def _starts(sums: DataFrame, key: str, scan: Scannable, fan: int, start: Any) ->
     return stored(rows.mapInArrow(run, schema))
 
 
-def block_fold(df: DataFrame, key: str, order: str, scan: Scannable, fields: list[T.StructField], size: int = 1 << 16, fan: int = 1 << 12, start: Any = None) -> DataFrame:
-    """key, order, the scan's inputs and what its step makes of each row: as ordered_fold gives, with no task that holds more than blocks.
+class ViewScan(Scannable):
+    """The view that is seen: the last one told, the one before this row, and the last frame in which a new one was told.
+
+    inputs: frame, seen (a view's number or null), new. State: the last view, the frame of the last new one.
+    """
+
+    inputs = ["frame", "seen", "new"]
+
+    def step(self, state: Any, row: dict) -> tuple[Any, tuple]:
+        before, told = state or (None, None)
+        view, told = before if row["seen"] is None else row["seen"], row["frame"] if row["new"] else told
+        return [view, told], (view, before, told)
+
+    def total(self, rows: Iterable[dict]) -> list:
+        state = None
+        for r in rows:
+            state, _ = self.step(state, r)
+        return state
+
+    def joined(self, a: list, b: list) -> list:
+        return [x if y is None else y for x, y in zip(a, b)]
+
+    def after(self, total: list, state: Any) -> list:
+        return self.joined(state or [None, None], total)
+
+
+def block_fold(df: DataFrame, key: str, order: str, scan: Scannable, fields: list[T.StructField], size: int = 1 << 16, fan: int = 1 << 12, start: Any = None, keep: list[str] | None = None) -> DataFrame:
+    """key, order, the scan's inputs, the columns `keep` and what its step makes of each row: as ordered_fold gives, with no task that
+    holds more than blocks.
 
     order: a whole number, such as a frame; a block is a range of `size` of them. Equal places of a key are in no defined order. fan: how
     many blocks' sums are scanned in one place. Null keys are one key.
     """
-    inputs = list(scan.inputs)
-    rest = [c for c in inputs if c != order]
+    rest = [c for c in dict.fromkeys([*scan.inputs, *(keep or [])]) if c not in (key, order)]
     rows = df.select(key, F.expr(f"CAST(floor(`{order}` / {size}) AS BIGINT)").alias("block"), order, *rest).repartition(key, "block").sortWithinPartitions(key, "block", order)
     names = [order, *rest]
     sums_schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("block", T.LongType()), T.StructField("total", T.StringType())])

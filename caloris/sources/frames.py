@@ -97,7 +97,7 @@ _ARROW = pa.schema([("video_id", pa.string()), ("frame", pa.int32()), ("timestam
 BATCH_BYTES = 16 << 20
 
 
-def _rows(options: dict[str, str], first: int, last: int) -> Iterator[pa.RecordBatch]:
+def read_range(options: dict[str, str], first: int, last: int) -> Iterator[pa.RecordBatch]:
     """Frames first to last. Where the decoder ends before them, the option missing says what comes: `skip` nothing, `null` rows without
     picture and size, `error` an error."""
     d = DECODERS[options.get("decoder", "synthetic")](options)
@@ -188,7 +188,7 @@ class FrameReader(DataSourceReader):
 
     def read(self, partition: FrameRange | None) -> Iterator[pa.RecordBatch]:
         # without any range Spark still asks once
-        return iter(()) if partition is None else _rows(self.videos[partition.video], partition.first, partition.last)
+        return iter(()) if partition is None else read_range(self.videos[partition.video], partition.first, partition.last)
 
 
 def _spans(frames: list[int]) -> list[tuple[int, int]]:
@@ -220,7 +220,7 @@ def frames_of(videos: DataFrame, options: dict[str, str] | None = None, frames_p
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                yield from _rows({**options, "video_id": r["video_id"], "path": r["path"]}, r["first"], r["last"])
+                yield from read_range({**options, "video_id": r["video_id"], "path": r["path"]}, r["first"], r["last"])
 
     return rows.mapInArrow(read, SCHEMA)
 
@@ -260,7 +260,7 @@ class FrameStream(DataSourceStreamReader):
         return [FrameRange(k, min(end["frame"], k + self.part) - 1) for k in range(start["frame"], end["frame"], self.part)]
 
     def read(self, partition: FrameRange) -> Iterator[pa.RecordBatch]:
-        return _rows(self.options, partition.first, partition.last)
+        return read_range(self.options, partition.first, partition.last)
 
     def commit(self, end: dict) -> None:
         pass

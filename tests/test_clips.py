@@ -257,3 +257,47 @@ def test_manifests_and_ledgers(spark, tmp_path):
     prints = P.fingerprints(spark.read.format("binaryFile").load(str(tmp_path / "a.bin")))
     both = prints.select(P.same_content(F.struct("sha256", "size_bytes", "mtime_us"), F.struct("sha256", "size_bytes", "mtime_us")).alias("same"), "filename", "size_bytes").first()
     assert both.same and both.filename == "a.bin" and both.size_bytes == 3
+
+
+# --- long videos in many tasks
+
+
+def test_scenes_of_a_table_of_videos(spark):
+    """Ranges of seven frames, each read with the frame before it, give the logs of frames taken in order; no picture is shuffled."""
+    source.register(spark)
+    options = {"width": "160", "height": "120", "texture": "5", "frames": "40"}
+    videos = spark.createDataFrame([("one", "x", 40), ("two", "y", 23), ("none", "z", 0)], "video_id string, path string, total_frames int")
+    frames = source.frames_of(videos, options, 1000)
+    rules = M.SceneOptions(moving_frames=1, stable_frames=4)
+    want, want_events = log.scene_log(frames, rules)
+    got, events = log.scene_log_of(videos, rules, options, 7)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 63
+    assert sorted(map(tuple, events.collect())) == sorted(map(tuple, want_events.collect()))
+    moved_in_ranges = log.frame_motion_of(videos, rules, options, 7)
+    assert moved_in_ranges.filter("first").select("video_id", "frame").collect() != [] and moved_in_ranges.filter("first").count() == 2
+    assert "bgr" not in moved_in_ranges._jdf.queryExecution().executedPlan().toString()
+
+
+def test_retry_rounds_are_bounded(spark):
+    """A clip in which each accepted retry puts the next frame in doubt: as many rounds as allowed, then one for the rest; the same log."""
+    asked = []
+
+    def label(f, n, v, k=0):
+        return ("v", f, n, k, "m", 7 + k, "1.0", 0.9, k == 0, v)
+
+    schema = "video_id string, frame int, label string, ord int, method string, psm int, text string, confidence double, is_primary boolean, value double"
+    own = {f: (10.0 + 2 * max(0, f - 1) - (6.0 if f > 1 else 0.0), 60.0) for f in range(12)}
+    better = {f: 10.0 + 2 * (f - 1) for f in range(2, 12)}
+    primary = spark.createDataFrame([label(f, n, v) for f, pair in own.items() for n, v in zip(("MIN", "MAX"), pair)], schema)
+
+    def retry(needed):
+        frames = sorted(r.frame for r in needed.collect())
+        asked.append(frames)
+        return spark.createDataFrame([label(f, n, v) for f in frames for n, v in zip(("MIN", "MAX"), own[f])] + [label(f, "MIN", better[f], 1) for f in frames if f in better], schema)
+
+    frames = spark.range(12).select(F.lit("v").alias("video_id"), F.col("id").cast("int").alias("frame"), (F.col("id") / 10.0).alias("timestamp_seconds"))
+    gate = fold.ScaleGate(max_jump=3.0)
+    free = R.scale_readings(frames, primary, retry, gate, rounds=100).orderBy("frame").collect()
+    exact, asked[:] = list(asked), []
+    bounded = R.scale_readings(frames, primary, retry, gate, rounds=1).orderBy("frame").collect()
+    assert bounded == free and len(asked) <= 2 and len(exact) >= len(asked)

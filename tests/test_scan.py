@@ -42,3 +42,21 @@ def test_no_task_holds_more_than_a_block(spark):
     most = found.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.countDistinct(F.expr("frame div 500")).alias("blocks"), F.count("*").alias("rows"))
     assert all(r.rows == 500 * r.blocks for r in most.collect()) and found.count() == 6000
     assert block_fold(rows.limit(0), "video", "frame", SceneScan(fold.SceneRules()), fold.SCENE_FIELDS).count() == 0
+
+
+@pytest.mark.parametrize(("size", "fan"), [(5, 2), (64, 100)])
+def test_views_seen(spark, size, fan):
+    from pyspark.sql import Window
+    from pyspark.sql import types as T
+
+    from caloris.operators.scan import ViewScan
+
+    rng = random.Random(4)
+    rows = [(v, f, rng.choice([None] * 6 + [1, 2, 3]), rng.random() < 0.05, f"x{f}") for v in "ab" for f in range(300) if rng.random() < 0.8]
+    df = spark.createDataFrame(rows, "video string, frame long, seen int, new boolean, note string").repartition(4)
+    fields = [T.StructField("view", T.IntegerType()), T.StructField("before", T.IntegerType()), T.StructField("told", T.LongType())]
+    found = block_fold(df, "video", "frame", ViewScan(), fields, size, fan, keep=["note"])
+    so_far = Window.partitionBy("video").orderBy("frame").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("view", F.last("seen", True).over(so_far)).withColumn("before", F.lag(F.last("seen", True).over(so_far)).over(Window.partitionBy("video").orderBy("frame")))
+    want = want.withColumn("told", F.last(F.when(F.col("new"), F.col("frame")), True).over(so_far)).select(found.columns)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
