@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -840,12 +839,12 @@ def debug_frames(spark, sf_dir):
 def embedding_pictures(spark, sf_dir):
     """Vectors as pictures of 8 x 8 levels of gray, written as PNG files and read back."""
     from caloris.sources.pictures import read_pictures, write_pictures
-    from caloris.sources.store import shared_root
+    from caloris.sources.store import own_folder
 
     level = lambda x: F.unhex(F.lpad(F.hex(F.pmod(F.floor(x.cast("double") * 64), F.lit(256)).cast("long")), 2, "0"))
     bytes_of = F.aggregate(F.transform("embedding", level), F.lit(b""), lambda a, b: F.concat(a, b))
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("name"), F.lit(8).alias("width"), F.lit(8).alias("height"), bytes_of.alias("pixels"))
-    folder = f"{shared_root(spark).rstrip('/')}/pictures-{uuid.uuid4().hex}"
+    folder = own_folder(spark, "pictures")
     write_pictures(rows, folder)
     digits = F.hex("pixels")
     levels = F.transform(F.sequence(F.lit(1), F.length("pixels") * 2, F.lit(2)), lambda i: F.conv(F.substr(digits, i, F.lit(2)), 16, 10))

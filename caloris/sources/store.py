@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +18,49 @@ def shared_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         root = sc.getConf().get("spark.checkpoint.dir")
-        if not root and not sc.master.startswith("local["):
+        if not root and not runs_here(sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="caloris-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def runs_here(master: str) -> bool:
+    """Whether all of a session runs in one process: local, local[8], local[*, 3]; not local-cluster."""
+    return master == "local" or master.startswith("local[")
+
+
+#: Folders of the scopes that are open, the innermost last.
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """What stored(), drained() and arrivals() write within is deleted in the end: for a query with its action, as its tables are gone after.
+
+        with scratch(spark):
+            queries["region_stats_large"](spark, folder).write.parquet(out)
+
+    Without a scope such tables stay below spark.checkpoint.dir, to be removed with it. Scopes nest; they are the driver's, not a thread's.
+    """
+    folder = f"{shared_root(spark).rstrip('/')}/scope-{uuid.uuid4().hex}"
+    _SCOPES.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPES.remove(folder)
+        fs, at = _files(spark, folder)
+        fs.delete(at, True)
+
+
+def own_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder's name below the innermost scope, or below the shared root."""
+    root = _SCOPES[-1] if _SCOPES else shared_root(spark).rstrip("/")
+    return f"{root}/{kind}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read again, so that a lost executor loses nothing of it."""
-    path = f"{shared_root(df.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    path = own_folder(df.sparkSession, "rows")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -38,7 +74,7 @@ def cut(df: DataFrame) -> DataFrame:
 def drained(stream: DataFrame) -> DataFrame:
     """What a stream gives for the input there is now, as a table in the shared folder."""
     spark = stream.sparkSession
-    folder = f"{shared_root(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    folder = own_folder(spark, "stream")
     q = stream.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from caloris.sources.store import shared_root
+from caloris.sources.store import own_folder
 
 
 def arrivals(df: DataFrame, batch: Column, batches: int, folder: str | None = None, first: int = 0, files: int = 1) -> str:
     """Write rows in the order in which they are to arrive, `files` files for each number of `batch` (from first to batches - 1); the folder."""
-    folder = folder or f"{shared_root(df.sparkSession).rstrip('/')}/arrivals-{uuid.uuid4().hex}"
+    folder = folder or own_folder(df.sparkSession, "arrivals")
     for k in range(first, batches):
         df.filter(batch == k).repartition(files).write.mode("append").parquet(folder)
     return folder

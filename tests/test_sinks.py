@@ -164,3 +164,17 @@ def test_tracked_regions_nest_in_order(spark):
     found = store.tracked_regions(log).orderBy("frame").collect()
     assert [(r.frame, [x.region_id for x in r.regions]) for r in found] == [(0, [1, 2]), (1, [1, 2])]
     assert found[0].regions[1].region_name == "r2" and found[0].regions[1].pixel_points[0].x == 2.0
+
+
+def test_a_scope_removes_what_was_stored(spark):
+    from caloris.plans.queries import QUERIES
+
+    with store.scratch(spark) as folder:
+        assert QUERIES["stale_causes"](spark, "/root/testdata/sf0.001").count() > 0
+        path = pathlib.Path(folder.removeprefix("file:"))
+        assert len(list(path.iterdir())) > 1
+        with store.scratch(spark) as inner:
+            held = store.stored(spark.range(3))
+            assert held.count() == 3 and held.inputFiles()[0].find(inner.removeprefix("file:").lstrip("/")) > 0
+    assert not path.exists() and not store._SCOPES
+    assert [store.runs_here(m) for m in ("local", "local[4]", "local[*, 2]", "local-cluster[1,1,1]", "yarn", "spark://a:1")] == [True] * 3 + [False] * 3
