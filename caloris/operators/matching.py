@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from caloris.sources.store import stored
 
 # Reasons for which a camera transform is rejected, in the order of their checks.
 REASONS = (
@@ -117,15 +123,52 @@ def view_accepted(o: SceneOptions) -> Column:
     return (F.col("matches") >= o.view_matches) & (F.col("inliers") >= o.view_inliers) & (F.col("ratio") >= o.view_ratio)
 
 
-def two_nearest(left: DataFrame, right: DataFrame, keys: list[str], distance: Column, left_id: str, right_id: str, salts: int = 8) -> DataFrame:
-    """For each left row, its nearest right row of the same keys (an image pair) and the two least distances.
+def two_nearest(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str, bits: str, block: int = 4096, others: bool = False) -> DataFrame:
+    """For each left row, its nearest right row of the same keys by differing bits (an array of longs), and the two least distances.
 
-    Rows meet by key; a key's left rows are dealt to `salts` tasks, each of which gets its right rows, so a hot key is no task of its
-    own. Spark keeps two of each left row before it moves them.
+    Of equal distances the least right_id counts; d2 is null with a single right row. others: rows of equal ids don't meet. A key's rows are
+    dealt by size: blocks of about `block` left rows meet blocks of as many right rows, each pair in a place of its own as matrices, and
+    two of each left row leave it. So a key of any size is many even tasks. Rows with a null key, id or bits match nothing.
     """
-    left = left.withColumn("__salt", F.pmod(F.xxhash64(left_id), F.lit(salts)).cast("int"))
-    right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    both = left.join(right, [*keys, "__salt"]).select(*keys, left_id, F.col(right_id), distance.alias("d"))
+    left, right = left.select(*keys, left_id, bits).dropna(), right.select(*keys, right_id, bits).dropna()
+    of = lambda df, name: df.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+    sizes = stored(of(left, "__nl").join(of(right, "__nr"), keys))
+
+    def dealt(df: DataFrame, i: str, own: str, other: str, mine: str, theirs: str) -> DataFrame:
+        df = df.join(sizes, keys).withColumn(mine, F.pmod(F.xxhash64(i), F.col(own)).cast("int")).withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        # columns of their own, as both sides may come from one table
+        return df.select(*(F.col(c).alias(c) for c in (*keys, i, bits, "__l", "__r")))
+
+    group = [*keys, "__l", "__r"]
+    a, b = dealt(left, left_id, "__nl", "__nr", "__l", "__r"), dealt(right, right_id, "__nr", "__nl", "__r", "__l")
+    fields = [*(left.schema[k] for k in keys), left.schema[left_id], right.schema[right_id], T.StructField("d", T.IntegerType())]
+
+    def meet(mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        theirs = theirs.take(pc.sort_indices(theirs.column(right_id)))
+        words = lambda t: t.column(bits).combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(t.num_rows, -1)
+        if not mine.num_rows or not theirs.num_rows:
+            return mine.select([*keys, left_id]).slice(0, 0).append_column(right_id, theirs.column(right_id).slice(0, 0)).append_column("d", pa.array([], pa.int32()))
+        x, y, own, other = words(mine), words(theirs), mine.column(left_id).to_pylist(), theirs.column(right_id)
+        if others:
+            number = {v: i for i, v in enumerate(set(other.to_pylist()))}
+            its, theirs_n = np.array([number.get(v, -1) for v in own]), np.array([number[v] for v in other.to_pylist()])
+        rows, found, far = [], [], []
+        for k in range(0, len(x), 256):
+            d = np.bitwise_count(x[k : k + 256, None] ^ y[None]).sum(2, dtype=np.int64)
+            if others:
+                d[its[k : k + 256, None] == theirs_n] = 1 << 20
+            # the place breaks ties, as right rows lie by id
+            near = np.sort(np.partition((d << 32) | np.arange(len(y)), min(1, len(y) - 1), axis=1)[:, :2], axis=1)
+            for c in range(near.shape[1]):
+                good = np.flatnonzero(near[:, c] >> 32 < 1 << 20)
+                rows.append(k + good)
+                found.append(near[good, c] & 0xFFFFFFFF)
+                far.append((near[good, c] >> 32).astype(np.int32))
+        at = pa.array(np.concatenate(rows))
+        columns = [mine.column(c).take(at) for c in (*keys, left_id)]
+        return pa.table([*columns, other.take(pa.array(np.concatenate(found))), pa.array(np.concatenate(far))], names=[*keys, left_id, right_id, "d"])
+
+    both = a.groupBy(*group).cogroup(b.groupBy(*group)).applyInArrow(meet, T.StructType(fields))
     rank = F.row_number().over(Window.partitionBy(*keys, left_id).orderBy("d", right_id))
     near = both.withColumn("rank", rank).filter("rank <= 2")
     of = lambda c, k: F.max(F.when(F.col("rank") == k, F.col(c)))

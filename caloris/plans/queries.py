@@ -432,11 +432,10 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) A
 SELECT label, query_id, train_id, CAST(d1 AS INTEGER) AS d1, CAST(d2 AS INTEGER) AS d2 FROM p WHERE d1 < 0.95 * d2""")
 def knn_ratio_match(spark, sf_dir):
     signs = F.aggregate(F.transform("embedding", lambda x, i: F.when(x > 0, F.expr("1L")).otherwise(F.expr("0L"))), F.struct(F.lit(0).alias("i"), F.expr("0L").alias("v")), lambda acc, b: F.struct((acc["i"] + 1).alias("i"), acc["v"].bitwiseOR(F.call_function("shiftleft", b, acc["i"])).alias("v")), lambda acc: acc["v"])
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", signs.alias("bits"))
-    left = rows.filter("vec_id % 100 = 0").select("label", F.col("vec_id").alias("query_id"), F.col("bits").alias("query_bits"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.array(signs).alias("bits"))
+    left = rows.filter("vec_id % 100 = 0").select("label", F.col("vec_id").alias("query_id"), "bits")
     right = rows.select("label", F.col("vec_id").alias("train_id"), "bits")
-    distance = F.when(F.col("query_id") != F.col("train_id"), F.bit_count(F.col("query_bits").bitwiseXOR(F.col("bits"))))
-    found = M.two_nearest(left, right, ["label"], F.coalesce(distance, F.lit(65)), "query_id", "train_id")
+    found = M.two_nearest(left, right, ["label"], "query_id", "train_id", "bits", others=True)
     return M.unambiguous(found, 0.95).select("label", "query_id", "train_id", "d1", "d2")
 
 

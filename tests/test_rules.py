@@ -137,3 +137,21 @@ def test_scale_settings_and_checks(spark, tmp_path):
 
 def test_image_names(spark):
     assert spark.range(1).select(dataset.image_name(F.lit("clip"), F.lit(42), F.lit("aug_01"))).first()[0] == "clip__frame_000042__aug_01.jpg"
+
+
+@pytest.mark.parametrize(("block", "others", "words"), [(7, False, 4), (4096, True, 1), (1, True, 2), (30, True, 4)])
+def test_two_nearest_of_large_keys(spark, block, others, words):
+    """Against all pairs; bits so few that distances are often equal, ids on both sides, nulls, keys of one side alone."""
+    rng = random.Random(block)
+    draw = lambda: [rng.choice([0, 1, 3, -1, 1 << 40]) for _ in range(words)]
+    left = [(rng.choice("ab"), i, draw()) for i in range(60)] + [("c", 900, draw()), (None, 901, draw()), ("a", None, draw()), ("a", 902, None)]
+    right = [(rng.choice("ab"), i, draw()) for i in range(50)] + [("d", 903, draw()), (None, 904, draw()), ("a", 905, None), ("e", 60, draw())]
+    left.append(("e", 60, draw()))
+    found = matching.two_nearest(spark.createDataFrame(left, "k string, q int, bits array<bigint>"), spark.createDataFrame(right, "k string, t int, bits array<bigint>"), ["k"], "q", "t", "bits", block, others)
+    far = lambda a, b: sum(((x ^ y) & ((1 << 64) - 1)).bit_count() for x, y in zip(a, b))
+    want = []
+    for k, q, a in left:
+        near = sorted((far(a, b), t) for j, t, b in right if k is not None and a is not None and b is not None and j == k and not (others and t == q)) if q is not None else []
+        if near:
+            want.append((k, q, near[0][1], near[0][0], near[1][0] if len(near) > 1 else None))
+    assert sorted((r.k, r.q, r.t, r.d1, r.d2) for r in found.collect()) == sorted(want)
