@@ -123,6 +123,19 @@ def pan_timeline(fps: float, stable_seconds: float = 4.0, transition_seconds: fl
     return [*out, ("B_TO_A", pan), ("A", stable)] if back else out
 
 
+def pan_frames_of(clips: DataFrame, key: str, stable_seconds: float = 4.0, transition_seconds: float = 1.2, back: bool = True) -> DataFrame:
+    """pan_frames for a table of clips (key, fps): key, frame, segment and the share of the pan that is done."""
+    names = ["A", "A_TO_B", "B", "B_TO_A", "A"] if back else ["A", "A_TO_B", "B"]
+    length = lambda n: F.rint(F.col("fps") * stable_seconds) if "_TO_" not in n else F.greatest(F.lit(1.0), F.rint(F.col("fps") * transition_seconds))
+    begin, items = F.lit(0), []
+    for n in names:
+        items.append(F.struct(F.lit(n).alias("segment"), length(n).cast("int").alias("length"), begin.alias("begin")))
+        begin = begin + length(n).cast("int")
+    rows = clips.select(key, F.inline(F.array(*items))).filter("length > 0").withColumn("local", F.explode(F.sequence(F.lit(0), F.col("length") - 1)))
+    share = F.when(F.col("length") > 1, F.col("local") / (F.col("length") - 1)).otherwise(1.0)
+    return rows.select(key, (F.col("begin") + F.col("local")).alias("frame"), "segment", F.when(F.contains("segment", F.lit("_TO_")), share).alias("fraction"))
+
+
 def pan_frames(spark, segments: list[tuple[str, int]]) -> DataFrame:
     """A row for each frame: segment and the share of the pan that is done (0 at its first frame, 1 at its last)."""
     starts = [sum(n for _, n in segments[:i]) for i in range(len(segments))]

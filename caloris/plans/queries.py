@@ -555,11 +555,13 @@ def dataset_totals(spark, sf_dir):
     return D.totals(images, table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("image")), "image", "source")
 
 
-@query("""WITH s(no, segment, length) AS (VALUES (0, 'A', 97), (1, 'A_TO_B', 29), (2, 'B', 97), (3, 'B_TO_A', 29), (4, 'A', 97)), f AS (SELECT no, segment, length, unnest(range(length)) AS local FROM s)
-SELECT CAST(row_number() OVER (ORDER BY no, local) - 1 AS INTEGER) AS frame, segment, round(CASE WHEN contains(segment, '_TO_') THEN local / (length - 1) END, 9) AS fraction FROM f""")
+@query("""WITH v AS (SELECT s_suppkey AS video, 20 + s_suppkey % 11 + 0.31192660550459::DOUBLE AS fps FROM supplier), s AS (SELECT video, unnest(range(5)) AS no, round_even(4.0 * fps, 0)::INTEGER AS stable, greatest(1, round_even(1.2::DOUBLE * fps, 0))::INTEGER AS pan FROM v),
+f AS (SELECT video, no, ['A', 'A_TO_B', 'B', 'B_TO_A', 'A'][no + 1] AS segment, CASE WHEN no % 2 = 1 THEN pan ELSE stable END AS length, (no + 1) // 2 * stable + no // 2 * pan AS begin FROM s), r AS (SELECT *, unnest(range(length)) AS local FROM f)
+SELECT video, (begin + local)::INTEGER AS frame, segment, round(CASE WHEN contains(segment, '_TO_') THEN CASE WHEN length > 1 THEN local / (length - 1) ELSE 1.0 END END, 9) AS fraction FROM r""")
 def pan_timeline(spark, sf_dir):
-    found = D.pan_frames(spark, D.pan_timeline(24.31192660550459))
-    return found.select("frame", "segment", F.round("fraction", 9).alias("fraction"))
+    """Suppliers as clips of a rate of their own."""
+    clips = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("video"), (20 + F.col("s_suppkey") % 11 + F.lit(0.31192660550459)).alias("fps"))
+    return D.pan_frames_of(clips, "video").select("video", "frame", "segment", F.round("fraction", 9).alias("fraction"))
 
 
 @query("SELECT o_orderkey, round(CASE WHEN o_orderkey % 50 < 20 THEN 0 ELSE least(1.0, (o_orderkey % 50 - 20 + 1) / 4.0) END, 9) AS progress, CAST(greatest(1, round_even(o_totalprice / 1000 / 3, 0)) AS INTEGER) AS interval_frames FROM orders")
@@ -702,23 +704,46 @@ def looped_frames(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", looped_frame(seconds, F.lit(4.1), F.lit(24.5), F.lit(100)).alias("frame"))
 
 
-@query(None)
-def frame_temperatures(spark, sf_dir):
-    """The whole path from frames to region statistics, on frames of the synthetic decoder."""
+_LOG = """v AS (SELECT label::VARCHAR AS video_id, vec_id::INTEGER AS frame, 1 + vec_id % 5 AS step, vec_id % 7 AS dark, vec_id % 10 <> 0 AS scaled, list_transform(embedding, lambda x: ((floor(x::DOUBLE * 64)::BIGINT % 256) + 256) % 256) AS levels FROM embeddings WHERE label IS NOT NULL),
+x AS (SELECT *, unnest(levels) AS level, unnest(range(64)) AS i FROM v), t AS (
+  SELECT *, 10.0 + 7 * step - step * list_min(list_filter(range(8), lambda r: abs(255 - 32 * r - dark - level) = list_min(list_transform(range(8), lambda q: abs(255 - 32 * q - dark - level))))) AS t FROM x WHERE level % 5 <> 0 AND scaled),
+g(region_id, region_name, x0, x1) AS (VALUES (1, 'left', 0, 3), (2, 'right', 4, 7)),
+s AS (SELECT video_id, frame, region_id, min(t) AS min_temp, avg(t) AS avg_temp, max(t) AS max_temp, quantile_cont(t, 0.5) AS median_temp, quantile_cont(t, 0.95) AS p95_temp, quantile_cont(t, 0.99) AS p99_temp, count(*) AS n, arg_max(i, (t, -i)) AS hot FROM t JOIN g ON i % 8 BETWEEN x0 AND x1 GROUP BY ALL),
+log AS (SELECT v.video_id, v.frame, region_id, region_name, CASE WHEN scaled THEN 10.0 END AS scale_min_temp, CASE WHEN scaled THEN 10.0 + 7 * step END AS scale_max_temp, min_temp, avg_temp, max_temp, median_temp, p95_temp, p99_temp, coalesce(n, 0)::BIGINT AS valid_pixel_count, (hot % 8)::INTEGER AS hotspot_x, (hot // 8)::INTEGER AS hotspot_y
+  FROM v CROSS JOIN g LEFT JOIN s USING (video_id, frame, region_id))"""
+_TEMPS = ("min_temp", "avg_temp", "max_temp", "median_temp", "p95_temp", "p99_temp")
+
+
+def _temperatures(spark, sf_dir) -> DataFrame:
+    """Vectors as frames of 8 x 8 levels of gray beside a colour bar of four columns; every fifth level is a coloured overlay."""
     from caloris.operators.thermal import temperature_log
-    from caloris.sources import frames
 
-    frames.register(spark)
-    rows = spark.read.format("frames").option("frames", 200).option("frames_per_partition", 25).load()
-    rows = rows.withColumns({"scale_min_temp": F.lit(15.6), "scale_max_temp": F.lit(46.9)})
-    regions = [{"id": 1, "name": "left", "points": [(0, 0), (27, 0), (27, 47), (0, 47)]}, {"id": 2, "name": "right", "points": [(28, 0), (54, 10), (54, 40), (28, 47)]}]
-    return temperature_log(rows, regions, {"x": 56, "y": 0, "w": 8, "h": 48})
+    k = F.col("vec_id")
+    two = lambda v: F.lpad(F.hex(v.cast("long")), 2, "0")
+    level = lambda x: F.pmod(F.floor(x.cast("double") * 64), F.lit(256))
+    pixel = lambda v: F.when(v % 5 == 0, F.concat(two(v), two(v), two((v + 128) % 256))).otherwise(F.repeat(two(v), 3))
+    line = lambda y: F.concat(F.array_join(F.transform(F.slice("embedding", y * 8 + 1, 8), lambda x: pixel(level(x))), ""), F.repeat(two(255 - 32 * y - k % 7), 12))
+    rows = table(spark, sf_dir, "embeddings").filter("label IS NOT NULL").select(
+        F.col("label").cast("string").alias("video_id"), k.cast("int").alias("frame"), (k / 25).alias("timestamp_seconds"), F.lit(12).alias("width"), F.lit(8).alias("height"),
+        F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), line), "")).alias("bgr"),
+        F.when(k % 10 != 0, 10.0).alias("scale_min_temp"), F.when(k % 10 != 0, 10.0 + 7 * (1 + k % 5)).alias("scale_max_temp"),
+    )
+    regions = [{"id": 1, "name": "left", "points": [(0, 0), (3, 0), (3, 7), (0, 7)]}, {"id": 2, "name": "right", "points": [(4, 0), (7, 0), (7, 7), (4, 7)]}]
+    return temperature_log(rows, regions, {"x": 8, "y": 0, "w": 4, "h": 8})
+
+
+@query(f"WITH {_LOG} SELECT video_id, frame, region_id, region_name, scale_min_temp, scale_max_temp, " + ", ".join(f"round({c} + 1e-9, 6) AS {c}" for c in _TEMPS) + ", valid_pixel_count, hotspot_x, hotspot_y FROM log")
+def frame_temperatures(spark, sf_dir):
+    """The whole path from frames to region statistics: colour bar, intensity table, neutral pixels, polygons."""
+    found = _temperatures(spark, sf_dir)
+    return found.select("video_id", "frame", "region_id", "region_name", "scale_min_temp", "scale_max_temp", *(r6(c, c) for c in _TEMPS), "valid_pixel_count", "hotspot_x", "hotspot_y")
 
 
-@query(None)
+@query(f"WITH {_LOG} SELECT region_name, round(min(min_temp) + 1e-9, 6) AS lowest_frame_min, round(avg(avg_temp) + 1e-9, 6) AS mean_of_frame_averages, round(max(max_temp) + 1e-9, 6) AS highest_frame_max, round(avg(p95_temp) + 1e-9, 6) AS mean_p95, round(max(p99_temp) + 1e-9, 6) AS highest_p99 FROM log WHERE valid_pixel_count > 0 GROUP BY region_name")
 def video_summaries(spark, sf_dir):
     """The video summary over frame_temperatures."""
-    return S.video_summary(frame_temperatures(spark, sf_dir))
+    found = S.video_summary(_temperatures(spark, sf_dir))
+    return found.select("region_name", *(r6(c, c) for c in found.columns[1:]))
 
 
 # --- recorded clips ---------------------------------------------------------------------------------------------------------

@@ -59,6 +59,12 @@ class SyntheticDecoder:
             yield bgr
 
 
+def check_video(width: int, height: int, fps: float, total_frames: int) -> None:
+    """An error for a file without size, rate or frames."""
+    if min(width, height, total_frames) <= 0 or not fps > 0:
+        raise ValueError("the video has no size, rate or frames")
+
+
 class OpenCvDecoder:
     """Files and streams by OpenCV, which must be installed where tasks run."""
 
@@ -72,8 +78,8 @@ class OpenCvDecoder:
             raise ValueError("the video can't be opened")
         self.width, self.height, self.total_frames = (int(self.video.get(k)) for k in (cv2.CAP_PROP_FRAME_WIDTH, cv2.CAP_PROP_FRAME_HEIGHT, cv2.CAP_PROP_FRAME_COUNT))
         self.fps = float(self.video.get(cv2.CAP_PROP_FPS))
-        if "live" not in options and (min(self.width, self.height, self.total_frames) <= 0 or self.fps <= 0):
-            raise ValueError("the video has no size, rate or frames")
+        if "live" not in options:
+            check_video(self.width, self.height, self.fps, self.total_frames)
 
     def newest(self) -> np.ndarray | None:
         """The frame that a live stream shows now; None where it has ended."""
@@ -178,7 +184,8 @@ class FrameReader(DataSourceReader):
             names, frames = self.wanted["video_id"], self.wanted["frame"]
             if names is not None and o.get("video_id", o.get("path", "video")) not in names:
                 continue
-            total = DECODERS[o.get("decoder", "synthetic")](o).total_frames
+            d = DECODERS[o.get("decoder", "synthetic")](o)
+            check_video(d.width, d.height, d.fps, total := d.total_frames)
             first, last = frame_range(int(o.get("start_frame", 0)), o.get("end_frame"), o.get("max_frames"), total)
             first, last = max(first, self.low), min(last, self.high)
             step = max(1, int(o.get("frames_per_partition", 256)))
