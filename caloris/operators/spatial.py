@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caloris.functions import geometry as G
-
 
 def contains(points: Column, x: Column, y: Column) -> Column:
     """Whether a place lies in a polygon or on its edge; self-crossing polygons by the even-odd rule. Null with a null; false with no points."""
@@ -58,15 +56,19 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, keys: list[str],
     A polygon lies in at most four tiles of its level, a point in one of each level in use: an equi-join, then the exact test. Points
     without a place and polygons without points match nothing; neither does a null key.
     """
-    box = G.bounding_box(F.col(shape))
+    of = lambda axis: F.transform(shape, lambda p: p[axis])
+    # both ends of each side as they are: a start and a length would lose the far edge to rounding
+    box = F.array(F.array_min(of("x")), F.array_min(of("y")), F.array_max(of("x")), F.array_max(of("y")))
     shapes = polygons.filter(F.size(shape) > 0).withColumn("__box", box).filter(F.exists("__box", lambda v: v.isNull() | F.isnan(v)) == F.lit(False))
-    shapes = shapes.withColumn("__level", _level(F.greatest(F.col("__box")[2], F.col("__box")[3]), tile))
+    side = lambda i: F.col("__box")[i + 2] - F.col("__box")[i]
+    shapes = shapes.withColumn("__level", _level(F.greatest(side(0), side(1)), tile))
     levels = _levels(shapes, "__level")
     width = F.lit(tile) * F.pow(F.lit(2.0), F.col("__level"))
-    reach = lambda i: F.explode(F.sequence(F.floor(F.col("__box")[i] / width), F.floor((F.col("__box")[i] + F.col("__box")[i + 2]) / width)))
-    shapes = shapes.withColumn("__tx", reach(0)).withColumn("__ty", reach(1)).drop("__box")
+    reach = lambda i: F.explode(F.sequence(F.floor(F.col("__box")[i] / width), F.floor(F.col("__box")[i + 2] / width)))
+    shapes = shapes.withColumn("__tx", reach(0)).withColumn("__ty", reach(1))
     places = points.withColumn("__level", F.explode(F.array(*(F.lit(v) for v in levels)).cast("array<int>")))
     places = places.withColumn("__tx", F.floor(F.col(x) / width)).withColumn("__ty", F.floor(F.col(y) / width))
     found = places.join(shapes, [*keys, "__level", "__tx", "__ty"])
-    return found.filter(contains(F.col(shape), F.col(x), F.col(y))).drop("__level", "__tx", "__ty")
+    near = F.col(x).between(F.col("__box")[0], F.col("__box")[2]) & F.col(y).between(F.col("__box")[1], F.col("__box")[3])
+    return found.filter(near & contains(F.col(shape), F.col(x), F.col(y))).drop("__level", "__tx", "__ty", "__box")
 
