@@ -1,11 +1,13 @@
-"""Test clips from frames: a camera that is bumped, and one that turns to another view and back."""
+"""Test clips: from frames, a camera that is bumped and one that turns to another view and back; from a table, what a camera sees at its places."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,3 +64,40 @@ def switched(a: DataFrame, b: DataFrame, segments: list[tuple[str, int]], fps: f
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _FRAME.split(", ")])
 
     return rows.mapInPandas(run, _FRAME)
+
+
+#: Pixels that a camera's place may lie from a scene's middle, either way.
+ROOM = 32
+
+
+@lru_cache(maxsize=8)
+def _scene(number: int, width: int, height: int) -> np.ndarray:
+    """Smooth waves under noise in squares, which have corners to hold on to; ROOM wider at each side than what is seen of it."""
+    height, width = height + 2 * ROOM, width + 2 * ROOM
+    y, x = np.mgrid[:height, :width]
+    coarse = np.random.default_rng(number).normal(0, 45, (height // 4 + 1, width // 4 + 1))
+    gray = np.kron(coarse, np.ones((4, 4)))[:height, :width] + 100 + 40 * np.sin(x / 7) * np.cos(y / 5)
+    return np.clip(gray, 0, 255).astype(np.uint8)
+
+
+def seen(places: DataFrame, width: int = 160, height: int = 120, fps: float = 25.0) -> DataFrame:
+    """Frames of a table of places: video_id, frame, scene (a whole number of zero or more), x and y (of a scene's middle, at most ROOM
+    pixels off) and dark (true: nothing is seen). Whole videos stand in partitions in order, as grouped=True asks for.
+
+    Rows with a null in any of these have no picture and go. Only numbers are shuffled; a picture is drawn where it is used.
+    """
+    parts = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = places.select(F.col("video_id").cast("string"), F.col("frame").cast("int"), F.col("scene").cast("long"), F.col("x").cast("int"), F.col("y").cast("int"), "dark").na.drop()
+    kinds = pa.schema([("video_id", pa.string()), ("frame", pa.int32()), ("timestamp_seconds", pa.float64()), ("width", pa.int32()), ("height", pa.int32()), ("bgr", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 64):
+                out = []
+                for r in batch.slice(first, 64).to_pylist():
+                    left, top = (ROOM + int(np.clip(r[c], -ROOM, ROOM)) for c in ("x", "y"))
+                    gray = np.zeros((height, width), np.uint8) if r["dark"] else _scene(r["scene"], width, height)[top : top + height, left : left + width]
+                    out.append((r["video_id"], r["frame"], r["frame"] / fps, width, height, np.repeat(gray[:, :, None], 3, 2).tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k.type) for c, k in zip(zip(*out), kinds)], schema=kinds)
+
+    return rows.repartition(parts, "video_id").sortWithinPartitions("video_id", "frame").mapInArrow(run, _FRAME)

@@ -885,28 +885,67 @@ def required_outputs(spark, sf_dir):
     return P.required_files(runs)
 
 
-@query()
+# --- pictures of places in the tables -----------------------------------------------------------------------------------------
+
+
+@query("""WITH p AS (SELECT s_suppkey // 8 AS v, s_suppkey % 8 AS f, (floor(s_acctbal)::BIGINT % 13 + 13) % 13 - 6 AS x, s_nationkey % 7 - 3 AS y, s_acctbal < 2500 AS dark FROM supplier),
+n AS (SELECT v, f, x, y, row_number() OVER (PARTITION BY v ORDER BY f) AS n, dark FROM p),
+g AS (SELECT v, f, n, x, y, n = 1 OR NOT dark AS good FROM n),
+h AS (SELECT *, first_value(x) OVER w AS x0, first_value(y) OVER w AS y0, last_value(CASE WHEN good THEN x END IGNORE NULLS) OVER w AS x1, last_value(CASE WHEN good THEN y END IGNORE NULLS) OVER w AS y1,
+  n - max(CASE WHEN good THEN n END) OVER w AS failed FROM g WINDOW w AS (PARTITION BY v ORDER BY f))
+SELECT v::VARCHAR AS video_id, f::INTEGER AS frame, CASE WHEN n = 1 THEN 'REFERENCE' WHEN good THEN 'TRACKED' WHEN failed >= 2 THEN 'SCENE_CHANGE_SUSPECTED' ELSE 'HOLD_LAST_GOOD' END AS status,
+  CASE WHEN n = 1 THEN 'REFERENCE' WHEN good THEN 'LK_OPTICAL_FLOW' ELSE 'NONE' END AS method, CASE WHEN n = 1 THEN 'REFERENCE' WHEN good THEN 'LK_ACCEPTED' ELSE 'TRACKING_FAILED' END AS reason,
+  (x0 - x1)::INTEGER AS dx, (y0 - y1)::INTEGER AS dy, 0 AS turn, 100 AS scale FROM h""")
 def motion_log(spark, sf_dir):
-    """A moving test camera, tracked: no table of the driver's has pictures."""
+    """Eight suppliers as a video: the camera's place is told by account and nation, low accounts are dark; tracked from pictures alone."""
     from caloris.operators.motion import motion_log as log
-    from caloris.operators.simulate import moved
-    from caloris.sources.frames import register
+    from caloris.operators.simulate import seen
+
+    first = F.row_number().over(Window.partitionBy("video_id").orderBy("frame")) == 1
+    rows = table(spark, sf_dir, "supplier").select(F.floor(F.col("s_suppkey") / 8).alias("video_id"), (F.col("s_suppkey") % 8).alias("frame"), F.pmod(F.floor("s_acctbal"), F.lit(13)).alias("x"), (F.col("s_nationkey") % 7 - 3).alias("y"), (F.col("s_acctbal") < 2500).alias("dark"))
+    frames = seen(rows.withColumns({"scene": F.col("video_id"), "x": F.col("x") - 6, "dark": F.col("dark") & ~first}))
+    found = log(frames, [], options=M.TrackingOptions(warn_after=2), grouped=True)
+    whole = lambda c, times=1: F.round(F.col(c) * times).cast("int")
+    return found.select(
+        "video_id", "frame", "status", "method", F.split("reason", ":")[0].alias("reason"), whole("camera_dx_pixels").alias("dx"), whole("camera_dy_pixels").alias("dy"), whole("camera_rotation_deg").alias("turn"),
+        whole("camera_scale", 100).alias("scale"),
+    )
 
-    register(spark)
-    frames = spark.read.format("frames").options(frames="8", width="160", height="120", texture="5", frames_per_partition="1000").load()
-    return log(moved(frames, 6.0, -3.0, 1.0, 1.0, 2, 3), [], grouped=True)
 
+_VIEWS = """WITH p AS (SELECT s_suppkey // 20 AS v, s_suppkey % 20 AS f, s_nationkey FROM supplier),
+q AS (SELECT v, f, first_value(s_nationkey) OVER (PARTITION BY v, f // 5 ORDER BY f) % 3 AS scene FROM p),
+r AS (SELECT *, coalesce(scene <> lag(scene) OVER (PARTITION BY v ORDER BY f), FALSE) AS cut FROM q),
+s AS (SELECT *, count(*) FILTER (cut) OVER (PARTITION BY v ORDER BY f) AS part FROM r),
+t AS (SELECT *, row_number() OVER (PARTITION BY v, part ORDER BY f) - 1 AS k FROM s),
+u AS (SELECT *, CASE WHEN part = 0 THEN k = 0 ELSE k = 2 END AS settles FROM t),
+known AS (SELECT v, scene, min(f) AS since, row_number() OVER (PARTITION BY v ORDER BY min(f)) AS view FROM u WHERE settles GROUP BY v, scene),
+j AS (SELECT u.*, since = f AS fresh, last_value(CASE WHEN settles THEN view END IGNORE NULLS) OVER (PARTITION BY v ORDER BY f) AS now, max(CASE WHEN settles AND since = f AND part > 0 THEN f END) OVER (PARTITION BY v ORDER BY f) AS told FROM u LEFT JOIN known USING (v, scene)),
+l AS (SELECT *, lag(now) OVER (PARTITION BY v ORDER BY f) AS before, CASE WHEN part > 0 AND k = 0 THEN 'MOVEMENT_STARTED' WHEN NOT settles THEN NULL WHEN part = 0 THEN 'INITIAL_VIEW' WHEN fresh THEN 'NEW_STABLE_VIEW'
+  WHEN now = lag(now) OVER (PARTITION BY v ORDER BY f) THEN 'SAME_VIEW_RESTABILIZED' ELSE 'RETURN_TO_KNOWN_VIEW' END AS event FROM j)"""
 
-@query()
-def scene_state_log(spark, sf_dir):
-    """A test camera that turns to another view and back."""
+
+def _views(spark, sf_dir):
+    """Twenty suppliers as a video: five in a row see the scene of the first one's nation; a log of states and one of events."""
     from caloris.operators.motion import scene_log
-    from caloris.operators.simulate import switched
-    from caloris.sources.frames import register
+    from caloris.operators.simulate import seen
+
+    rows = table(spark, sf_dir, "supplier").select(F.floor(F.col("s_suppkey") / 20).alias("video_id"), (F.col("s_suppkey") % 20).alias("frame"), "s_nationkey")
+    scene = F.first("s_nationkey").over(Window.partitionBy("video_id", F.floor(F.col("frame") / 5)).orderBy("frame")) % 3
+    frames = seen(rows.withColumns({"scene": scene, "x": F.lit(0), "y": F.lit(0), "dark": F.lit(False)}))
+    return scene_log(frames, M.SceneOptions(moving_frames=1, stable_frames=2, banner_frames=2), grouped=True)
+
+
+@query(_VIEWS + """ SELECT v::VARCHAR AS video_id, f::INTEGER AS frame, CASE WHEN part > 0 AND k < 2 THEN 'MOVING' WHEN f - told < 2 THEN 'NEW_STABLE_VIEW' ELSE 'STABLE' END AS state, printf('VIEW_%03d', now) AS view_name,
+  (part > 0 AND k = 0)::INTEGER AS moving_evidence, event FROM l""")
+def scene_state_log(spark, sf_dir):
+    return _views(spark, sf_dir)[0].select("video_id", "frame", "state", "view_name", "moving_evidence", "event")
+
 
-    register(spark)
-    a, b = (spark.read.format("frames").options(frames="60", width="160", height="120", texture=t, video_id="clip", frames_per_partition="1000").load() for t in ("5", "6"))
-    return scene_log(switched(a, b, D.pan_timeline(1.0, 26, 6), 25.0))[0]
+@query(_VIEWS + """ SELECT v::VARCHAR AS video_id, f::INTEGER AS frame, event, CASE WHEN k = 0 THEN 'STABLE' ELSE 'MOVING' END AS from_state, CASE WHEN k = 0 THEN 'MOVING' ELSE 'STABLE' END AS to_state,
+  printf('VIEW_%03d', before) AS previous_view, printf('VIEW_%03d', now) AS current_view, CASE WHEN event IN ('RETURN_TO_KNOWN_VIEW', 'SAME_VIEW_RESTABILIZED') THEN printf('VIEW_%03d', now) END AS matched_known_view
+  FROM l WHERE event <> 'INITIAL_VIEW'""")
+def scene_event_log(spark, sf_dir):
+    return _views(spark, sf_dir)[1].select("video_id", "frame", "event", "from_state", "to_state", "previous_view", "current_view", "matched_known_view")
 
 
 from . import live  # noqa: E402, F401  (registers its queries)
