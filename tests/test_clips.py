@@ -13,7 +13,7 @@ from caloris.operators import readings as R
 from caloris.operators import provenance as P
 from caloris.operators import statistics as S
 from caloris.operators.kernels import features, motion, pixels
-from caloris.operators.simulate import moved, switched, turned
+from caloris.operators.simulate import moved, seen, switched, turned
 from caloris.sources import frames as source
 from caloris.sources import readers, store
 from caloris.sources import readings as files
@@ -40,6 +40,32 @@ def test_a_bumped_camera_is_tracked(spark):
     assert [r.status for r in late][:4] == ["BEFORE_REFERENCE"] * 3 + ["REFERENCE"] and late[0].camera_scale == 1
 
 
+def test_borders_do_not_scale_a_shifted_frame():
+    scene = np.kron(np.random.default_rng(3).normal(110, 45, (46, 56)), np.ones((4, 4))).clip(0, 255).astype(np.uint8)
+    for x, y in ((6, 0), (0, -5), (-6, 4), (3, 3)):
+        a, b = (pixels.equalise(scene[32 + v : 152 + v, 32 + u : 192 + u]) for u, v in ((0, 0), (x, y)))
+        found = motion.metrics(motion.estimate(a, b).transform, 160, 120)
+        assert abs(found["scale"] - 1) < 4e-4 and abs(found["dx"] + x) < 0.02 and abs(found["dy"] + y) < 0.02 and abs(found["rotation_deg"]) < 0.02
+
+
+def test_points_without_a_counterpart_have_no_small_error():
+    a = np.kron(np.random.default_rng(4).normal(110, 45, (30, 40)), np.ones((4, 4))).clip(0, 255)
+    points = motion.corners(a, None, 200)
+    _, error = motion.track(a, np.full_like(a, 250), points)
+    assert len(points) > 100 and (error > 20).all()
+    none, error = motion.track(a, a, np.zeros((0, 2)))
+    assert none.shape == (0, 2) and error.shape == (0,)
+
+
+def test_places_are_seen(spark):
+    rows = [("v", 0, 3, 0, 0, False), ("v", 1, 3, 5, 0, False), ("v", 2, 3, 99, 0, True), ("v", 3, 3, None, 0, False), ("w", 0, 4, -40, 40, False), (None, 0, 4, 0, 0, False)]
+    places = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "video_id string, frame int, scene int, x int, y int, dark boolean, bgr int")
+    got = {(r.video_id, r.frame): np.frombuffer(r.bgr, np.uint8).reshape(r.height, r.width, 3) for r in seen(places, 48, 32, 10.0).collect()}
+    assert set(got) == {("v", 0), ("v", 1), ("v", 2), ("w", 0)}
+    assert (got["v", 0][:, 5:] == got["v", 1][:, :-5]).all() and got["v", 2].max() == 0 and got["w", 0].std() > 10
+    assert seen(places.limit(0)).count() == 0
+
+
 def test_a_lost_camera_holds_and_is_suspected(spark):
     frames = clip(spark, frames=8).withColumn("bgr", F.when(F.col("frame") < 4, F.col("bgr")).otherwise(F.lit(b"\xff" * (160 * 120 * 3))))
     options = M.TrackingOptions(warn_after=3)
