@@ -60,11 +60,12 @@ REGION_SCHEMA = (
 )
 
 
-def temperature_log(frames: DataFrame, regions: list[dict], bar: dict, inner_fraction: float = 0.2, difference: int = 18, erode: int = 0) -> DataFrame:
+def temperature_log(frames: DataFrame, regions: list[dict], bar: dict, inner_fraction: float = 0.2, difference: int = 18, erode: int = 0, decimals: int | None = None) -> DataFrame:
     """A row for each frame and region: temperatures of the region's neutral pixels, by the frame's own colour bar.
 
     frames: video_id, frame, timestamp_seconds, width, height, bgr, scale_min_temp, scale_max_temp (nulls: no scale, empty rows).
-    regions: id, name and points of one video's regions, which the task gets with the code. bar: x, y, w, h.
+    regions: id, name and points of one video's regions, which the task gets with the code. bar: x, y, w, h. decimals: that temperatures
+    have, if percentiles are to keep to them.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -80,7 +81,7 @@ def temperature_log(frames: DataFrame, regions: list[dict], bar: dict, inner_fra
                 if pd.notna(row.scale_min_temp) and pd.notna(row.scale_max_temp):
                     gray = K.gray(bgr)
                     table = K.level_table(K.crop(gray, bar), row.scale_min_temp, row.scale_max_temp, inner_fraction)
-                    stats = K.region_statistics(table[gray], K.neutral(bgr, difference), masks[size])
+                    stats = K.region_statistics(table[gray], K.neutral(bgr, difference), masks[size], decimals)
                 for r, s in zip(regions, stats, strict=True):
                     values = s or (None,) * 6 + (0, None, None)
                     out.append((row.video_id, row.frame, row.timestamp_seconds, r["id"], r["name"], row.scale_min_temp, row.scale_max_temp, *values))
