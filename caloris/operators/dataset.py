@@ -47,20 +47,30 @@ def augmentations(frames: DataFrame, options: DatasetOptions) -> DataFrame:
     random transforms that keeps all polygons in the frame (those without one are left out).
 
     Each attempt's numbers come from a hash of group, variant and attempt, not from one stream of random numbers over all videos:
-    so rows need no order, and any part can be made again by itself.
+    so rows need no order, and any part can be made again by itself. Attempts end with the first that fits. Rows are dealt out anew, as a
+    small table of frames is much work.
     """
     o = options
-    rows = frames.withColumn("variant", F.explode(F.sequence(F.lit(1), F.lit(o.augmentations))))
+    dealt = frames.repartition(int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source_group")
+    rows = dealt.withColumn("variant", F.explode(F.sequence(F.lit(1), F.lit(o.augmentations))))
     tries = F.sequence(F.lit(1), F.lit(o.attempts))
+    # made once and used often
+    of = lambda made, use: F.get(F.transform(F.array(made), use), F.lit(0))
 
     def attempt(n: Column) -> Column:
         u = lambda k: 2.0 * uniform(o.seed, F.col("source_group"), F.col("variant"), n, F.lit(k)) - 1.0
-        dx, dy, turn, scale = o.max_shift * u(0), o.max_shift * u(1), o.max_degrees * u(2), 1.0 + o.max_scale * u(3)
-        h = G.similarity(dx, dy, turn, scale, F.col("width"), F.col("height"))
-        return F.struct(dx.alias("dx_pixels"), dy.alias("dy_pixels"), turn.alias("rotation_deg"), scale.alias("scale"), h.alias("transform"))
-
-    fitting = F.filter(F.transform(tries, attempt), lambda t: F.forall("polygons", lambda p: G.fits(G.apply(t["transform"], p), F.col("width"), F.col("height"), o.border, o.least_area)))
-    made = rows.withColumn("t", F.try_element_at(fitting, F.lit(1))).filter(F.col("t").isNotNull())
+        drawn = F.struct((o.max_shift * u(0)).alias("dx"), (o.max_shift * u(1)).alias("dy"), (o.max_degrees * u(2)).alias("turn"), (1.0 + o.max_scale * u(3)).alias("scale"))
+        turned = lambda d: G.similarity(d["dx"], d["dy"], d["turn"], d["scale"], F.col("width"), F.col("height"))
+        return of(drawn, lambda d: F.struct(d["dx"].alias("dx_pixels"), d["dy"].alias("dy_pixels"), d["turn"].alias("rotation_deg"), d["scale"].alias("scale"), turned(d).alias("transform")))
+
+    def fitting(t: Column) -> Column:
+        moved = F.transform("polygons", lambda p: G.apply(t["transform"], p))
+        return F.when(F.forall(moved, lambda p: G.fits(p, F.col("width"), F.col("height"), o.border, o.least_area)), t)
+
+    none = F.lit(None).cast("struct<dx_pixels: double, dy_pixels: double, rotation_deg: double, scale: double, transform: array<double>>")
+    first = F.aggregate(tries, none, lambda found, n: F.when(found.isNotNull(), found).otherwise(of(attempt(n), fitting)))
+    # exploded rather than filtered: a filter would go below and make all attempts once more
+    made = rows.withColumn("t", F.explode(F.filter(F.array(first), lambda t: t.isNotNull())))
     kept = [c for c in frames.columns if c != "polygons"]
     made = made.select(*kept, F.format_string("aug_%02d", "variant").alias("augmentation"), "t.*", F.transform("polygons", lambda p: G.apply(F.col("t.transform"), p)).alias("polygons"))
     one, none = F.lit(1.0), F.lit(0.0)
