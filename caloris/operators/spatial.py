@@ -46,7 +46,8 @@ def interval_join(values: DataFrame, intervals: DataFrame, keys: list[str], at:
     place = lambda c: F.floor(F.col(c) / width(F.col("__level")))
     spans = spans.withColumn("__tile", F.explode(F.sequence(place(low), place(high))))
     points = values.withColumn("__level", F.explode(F.array(*(F.lit(v) for v in levels)).cast("array<int>"))).withColumn("__tile", place(at))
-    found = points.join(spans, [*keys, "__level", "__tile"])
+    # sizes are estimated without the tiles, so a side much too large for it would be broadcast
+    found = points.join(spans.hint("merge"), [*keys, "__level", "__tile"])
     return found.filter(F.col(at).between(F.col(low), F.col(high))).drop("__level", "__tile")
 
 
@@ -68,7 +69,8 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, keys: list[str],
     shapes = shapes.withColumn("__tx", reach(0)).withColumn("__ty", reach(1))
     places = points.withColumn("__level", F.explode(F.array(*(F.lit(v) for v in levels)).cast("array<int>")))
     places = places.withColumn("__tx", F.floor(F.col(x) / width)).withColumn("__ty", F.floor(F.col(y) / width))
-    found = places.join(shapes, [*keys, "__level", "__tx", "__ty"])
+    # not by estimated sizes, which know neither of the tiles nor of the length of a shape
+    found = places.join(shapes.hint("merge"), [*keys, "__level", "__tx", "__ty"])
     near = F.col(x).between(F.col("__box")[0], F.col("__box")[2]) & F.col(y).between(F.col("__box")[1], F.col("__box")[3])
     return found.filter(near & contains(F.col(shape), F.col(x), F.col(y))).drop("__level", "__tx", "__ty", "__box")
 
