@@ -4,13 +4,17 @@ import time
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from caloris.operators import spatial
 from caloris.operators.dataset import DatasetOptions, augmentations
+from caloris.operators.fold import SCALE_FIELDS, ScaleGate, confirm_step
 from caloris.operators.kernels.pixels import percentiles
+from caloris.operators.machines import StepMachine
 from caloris.plans.queries import QUERIES, SQL
+from caloris.streaming.event_time import EventTimeProcessor
 
 
 def held_against_sql(spark, folder, name, **tables):
@@ -68,3 +72,54 @@ def test_tiles_are_never_broadcast(spark):
     for found in (spatial.points_in_polygons(places, shapes, [], "x", "y", "shape"), spatial.interval_join(places, spans, [], "x", "low", "high")):
         assert found.count() > 0
         assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_group_of_keys_shares_its_calls_to_the_state():
+    """A hundred keys of a group: one timer, and calls by slots of time, not by keys and rows."""
+    calls = []
+
+    class Value:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, v):
+            calls.append("update")
+            self.held = v
+
+    class Map(dict):
+        getValue = dict.__getitem__  # noqa: N815
+
+        def updateValue(self, k, v):  # noqa: N802
+            calls.append("slot")
+            self[k] = v
+
+        removeKey = dict.__delitem__  # noqa: N815
+
+    class Handle:
+        timers: set = set()
+        registerTimer, deleteTimer = timers.add, timers.remove  # noqa: N815
+
+        def getValueState(self, *_):  # noqa: N802
+            return Value()
+
+        def getMapState(self, *_):  # noqa: N802
+            return Map()
+
+    class Times:
+        def __init__(self, at):
+            self.getCurrentWatermarkInMs = lambda: at
+
+    p = EventTimeProcessor("camera", "frame", ["low", "high"], StepMachine(confirm_step(ScaleGate(0.0, 1000.0, 5.0, 10.0, 4.0)), SCALE_FIELDS), 1000)
+    p.init(Handle())
+    rows = pd.DataFrame([(f"c{k}", at, at, 20.0 + k, 60.0 + k) for at in (2500, 1500, 1200) for k in range(100)], columns=["camera", "at", "frame", "low", "high"])
+    assert not sum(len(d) for d in p.handleInputRows((0,), iter([rows]), Times(1000)))
+    assert len(calls) == 3 and Handle.timers == {1200}
+    Handle.timers.clear()
+    made = pd.concat(p.handleExpiredTimer((0,), Times(2000), None))
+    assert len(calls) == 4 and Handle.timers == {2500} and len(made) == 200
+    assert [tuple(r) for r in made[made.camera == "c7"][["at", "scale_min", "status"]].values] == [(1200, 27.0, "ACCEPT_PRIMARY"), (1500, 27.0, "ACCEPT_PRIMARY")]
