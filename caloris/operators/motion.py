@@ -78,7 +78,8 @@ def motion_step(regions: list[dict], reference_frame: int, o: TrackingOptions):
             if method == "LK_OPTICAL_FLOW":
                 m = motion.estimate(anchor, now, mask, o.corners, o.worst_error, o.least_points)
             else:
-                m = features.matched_motion(features.describe(anchor, mask, o.features), features.describe(now, mask, o.features))
+                mine = features.describe(now, mask, o.features)
+                m = features.matched_motion(features.describe(anchor, mask, o.features), mine) if len(mine[0]) else motion.Motion(None, 0, 0)
             h = None if m.transform is None else _product(m.transform, held)
             size = (row["width"], row["height"])
             why = rejection(m.matches, m.inliers, m.ratio, None if h is None else motion.metrics(m.transform, *size), None if h is None else motion.metrics(h, *size), o)
@@ -110,9 +111,19 @@ def _analysed(row: dict, o: SceneOptions) -> tuple[np.ndarray, np.ndarray, float
 
 
 def _frame_step(o: SceneOptions):
+    """State: gray picture, mask and lines of the frame before, the frame itself, and what a frame like it gives (None: not known yet)."""
+
     def step(state: tuple | None, row: dict) -> tuple[tuple, tuple]:
-        gray, mask, scale = _analysed(row, o)
-        lines = K.edges(gray, mask)
+        size = (row["width"], row["height"])
+        if state is None or state[3] != (size, row["bgr"]):
+            (gray, mask, scale), own = _analysed(row, o), (size, row["bgr"])
+            made, values = compared(None if state is None else state[:3], gray, mask, K.edges(gray, mask), scale)
+            return (*made, own, None), values
+        # a picture that is repeated is compared with itself once, however often it comes
+        values = state[4] or compared(state[:3], *state[:3], 1.0)[1]
+        return (*state[:4], values), values
+
+    def compared(state: tuple | None, gray: np.ndarray, mask: np.ndarray, lines: np.ndarray, scale: float) -> tuple[tuple, tuple]:
         if state is None:
             return (gray, mask, lines), (True, True, 0.0, 0.0, 1.0, 0, 1.0, 0.0)
         common = state[1] & mask

@@ -123,3 +123,32 @@ def test_a_group_of_keys_shares_its_calls_to_the_state():
     made = pd.concat(p.handleExpiredTimer((0,), Times(2000), None))
     assert len(calls) == 4 and Handle.timers == {2500} and len(made) == 200
     assert [tuple(r) for r in made[made.camera == "c7"][["at", "scale_min", "status"]].values] == [(1200, 27.0, "ACCEPT_PRIMARY"), (1500, 27.0, "ACCEPT_PRIMARY")]
+
+
+def test_pictures_without_news_are_not_searched(monkeypatch):
+    """A picture of one level holds nothing to follow; one that comes again is where it was. Neither is tracked, repeats not even looked at."""
+    from caloris.operators.kernels import features, motion
+    from caloris.operators.matching import SceneOptions
+    from caloris.operators.motion import _frame_step
+    from caloris.operators.simulate import _scene
+
+    tracked, looked = [], []
+    follow, find = motion.track, motion.corners
+    monkeypatch.setattr(motion, "track", lambda *a, **k: (tracked.append(1), follow(*a, **k))[1])
+    monkeypatch.setattr(motion, "corners", lambda *a, **k: (looked.append(1), find(*a, **k))[1])
+    gray = _scene(3, 160, 120)[32:152, 32:192]
+    assert motion.estimate(gray, np.zeros_like(gray)) == motion.Motion(None, 0, 0)
+    same = motion.estimate(gray, gray.copy())
+    assert same.matches == same.inliers > 100 and (same.transform == np.eye(2, 3)).all() and not tracked
+    row = {"width": 160, "height": 120, "bgr": np.repeat(gray[:, :, None], 3, 2).tobytes()}
+    looked.clear()
+    step, state, seen = _frame_step(SceneOptions()), None, []
+    for _ in range(6):
+        state, values = step(state, dict(row))
+        seen.append(values)
+    assert seen[0][0] and len(set(seen[1:])) == 1 and seen[1][:5] == (False, True, 0.0, 0.0, 1.0) and seen[1][5] > 100 and seen[1][7] == 0
+    assert len(looked) == 1 and not tracked
+    moved = np.roll(gray, 3, 1)
+    m = motion.estimate(gray, moved)
+    assert tracked and m.transform[0, 2] == pytest.approx(3, abs=0.05)
+    assert len(features.describe(np.zeros_like(gray), None, 900)[0]) == 0
