@@ -16,6 +16,7 @@ import hashlib
 import heapq
 import json
 import re
+from copy import copy
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +28,7 @@ from .common import map_texts
 #: Words of more symbols are merged with a heap.
 SHORT = 200
 #: Encoded words a task remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 #: Symbols of words that are merged at once.
 BLOCK_SYMBOLS = 1 << 18
 NONE = 1 << 60
@@ -162,12 +163,15 @@ class WordBpe:
         return self.merge_short(ids) if len(ids) <= SHORT else self.merge_long(ids)
 
     @property
-    @lru_cache(1)  # noqa: B019
     def library(self):
         """The library's normalizer and pre-tokenizer, for scripts beyond the plain path's tables."""
-        from tokenizers import Tokenizer
+        return _library(self.path)
 
-        return Tokenizer.from_file(self.path)
+    def fresh(self) -> WordBpe:
+        """The same tables with a store of words of its own, which ends with the task that asks for it."""
+        out = copy(self)
+        out.words = dict(self.special_words)
+        return out
 
     def split_words(self, text: str) -> list[str]:
         if not _BEYOND.search(text):
@@ -185,11 +189,10 @@ class WordBpe:
         return [w for k, piece in enumerate(self.split.split(text)) for w in ([piece] if k % 2 else self.split_words(piece))]
 
     def learn(self, words: set[str]) -> None:
-        """Encode the words that the store lacks; where it would grow beyond CACHE_WORDS, it starts anew with these words."""
+        """Encode the words that the store lacks; where it would grow beyond CACHE_WORDS, only these words stay in it."""
         new = words.difference(self.words)
         if len(self.words) + len(new) > CACHE_WORDS:
-            self.words = dict(self.special_words)
-            new = words.difference(self.words)
+            self.words = self.special_words | {w: self.words[w] for w in words.difference(new)}
         by_length: dict[int, list[tuple[str, bytes]]] = {}
         for w in new:
             raw = w.encode("utf-8", "surrogatepass")
@@ -232,11 +235,18 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+@lru_cache(2)
+def _library(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 def encode(df: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns, then ids array<int>, the parts of each whole text. path: a tokenizer file that every executor has."""
 
     def start():
-        bpe = load(path)
+        bpe = load(path).fresh()
         return lambda texts: ([np.frombuffer(x, "<u4").astype("int32") for x in bpe.encode_all([t or "" for t in texts])],)
 
     return map_texts(df, df.columns if keep is None else keep, text_col, start, [T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -256,7 +266,7 @@ def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     """Encode and decode each text in one pass; id, n_tokens, and the SHA-256 of its ids and of its decoded text."""
 
     def start():
-        bpe = load(path)
+        bpe = load(path).fresh()
 
         def rows(texts):
             n, of_ids, of_text = [], [], []

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows and bytes of text handed to a row function at once, so that only a slice of an Arrow batch is held as Python objects; a longer
 #: text is a slice of its own.
-SLICE_ROWS, SLICE_BYTES = 1024, 4 << 20
+SLICE_ROWS, SLICE_BYTES = 1024, 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,8 +36,9 @@ def fold_is(id_col: str, folds: int, fold: int) -> Column:
 def map_texts(df: DataFrame, keep: list[str], text_col: str, start: Callable[[], Callable], fields: list[T.StructField]) -> DataFrame:
     """Columns `keep` of df, then `fields` as the function that start() gives makes them of a list of texts.
 
-    start() runs once a task. Texts come as str or None; the function returns one list for each field. Only the kept columns and
-    the text leave the JVM. A kept column of the same name as a made one gives way to it.
+    start() runs once a task; what its function holds is given back when the task ends, as Python workers wait for later stages.
+    Texts come as str or None; the function returns one list for each field. Only the kept columns and the text leave the JVM. A kept
+    column of the same name as a made one gives way to it.
     """
     keep = [k for k in keep if k not in {f.name for f in fields}]
     held = list(dict.fromkeys([*keep, text_col]))
@@ -62,6 +63,8 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, start: Callable[[],
                 columns = [part.column(held.index(k)) for k in keep]
                 columns += [pa.array(v, type=k.type) for v, k in zip(made, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, *kinds.names])
+        f = batch = given = sizes = part = made = columns = None
+        pa.default_memory_pool().release_unused()
 
     return df.select(*held).mapInArrow(rows, schema)
 

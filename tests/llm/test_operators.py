@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -359,6 +360,36 @@ def test_bpe_equals_the_library(spark, documents):
     assert empty_and_wide(documents, lambda d: bpe.encode(d, path)).count() == 30
 
 
+def test_bpe_workers_give_their_words_back(spark, documents):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert bpe.encode(documents, path, keep=["doc_id"]).count() == documents.count()
+
+    def held(batches):
+        for batch in batches:
+            b = bpe.load(path)
+            yield pa.RecordBatch.from_arrays([pa.array([len(b.words) - len(b.special_words)] * batch.num_rows, pa.int64())], names=["n"])
+
+    assert {r.n for r in spark.range(64).mapInArrow(held, "n long").collect()} == {0}
+
+
+def test_bpe_keeps_known_words_when_its_store_is_full(monkeypatch):
+    import public_tokenizers
+
+    b = bpe.load(public_tokenizers.path("word_bpe_49k.json")).fresh()
+    texts = ["alpha beta gamma", "beta delta epsilon", "alpha zeta eta theta beta"]
+    wanted = [b.encode(t) for t in texts]
+    monkeypatch.setattr(bpe, "CACHE_WORDS", len(b.special_words) + 5)
+    small = b.fresh()
+    assert [small.encode(t) for t in texts] == wanted
+    learnt = []
+    monkeypatch.setattr(bpe.WordBpe, "merge_many", lambda self, words: learnt.extend(words) or [b""] * len(words))
+    monkeypatch.setattr(bpe.WordBpe, "encode_word", lambda self, w: learnt.append(w.encode()) or [0])
+    small.encode("alpha iota")
+    assert learnt == [b"iota"] and small.words["alpha"] == b.words["alpha"]
+
+
 @pytest.mark.parametrize("text", ["Hello   world's <|endoftext|> it'll", "Σας ΣΑΣ Ὀδυσσεύς", "日本語 ①②", "İstanbul ȺȾ ǅ", "\x1c x\x85y\xa0z", "été ﬁ", "x" * 3000, "ab" * 300 + " zz", "😀👨‍👩‍👧", "<|endoftext|", "\x00\x01", " "])
 def test_odd_texts(text):
     from tokenizers import Tokenizer
