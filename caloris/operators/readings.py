@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -70,24 +71,18 @@ def _quality(text: str | None) -> float:
 
 def reading_step(gate: fold.ScaleGate):
     """A frame's own pair if it is plausible and near the last trusted one, else the best pair among all its candidates, else the last
-    one is held. row: low, high, seed_low, seed_high, own and candidates (arrays of label readings by label). again: whether the
-    candidates were needed."""
+    one is held. row: low, high, seed_low, seed_high (own pair: null low where it is not plausible) and candidates (an array of label
+    readings by label). again: whether the candidates were needed. Texts and methods are given for retries only."""
 
     def near(low: float, high: float, last: tuple | None) -> bool:
         return last is None or (abs(low - last[0]) <= gate.max_jump and abs(high - last[1]) <= gate.max_jump)
 
     def step(state: tuple | None, row: dict) -> tuple[tuple | None, tuple]:
         last = state or ((row["seed_low"], row["seed_high"]) if gate.valid(row["seed_low"], row["seed_high"]) else None)
+        low, high = row["low"], row["high"]
+        if low is not None and near(low, high, last):
+            return (low, high), (low, high, None, None, None, None, low, high, "ACCEPT_PRIMARY", False)
         named = lambda c: f"{c['method']}/PSM{c['psm']}"
-
-        def accepted(a: dict, b: dict, status: str, again: bool) -> tuple[tuple, tuple]:
-            pair = (a["value"], b["value"])
-            return pair, (*pair, a["text"], b["text"], named(a), named(b), *pair, status, again)
-
-        own = {c["label"]: c for c in row["own"] or []}
-        a, b = own.get("MIN"), own.get("MAX")
-        if a and b and gate.valid(a["value"], b["value"]) and near(a["value"], b["value"], last):
-            return accepted(a, b, "ACCEPT_PRIMARY", False)
         best = None
         lows, highs = ([c for c in row["candidates"] or [] if c["label"] == k] for k in ("MIN", "MAX"))
         for a in lows:
@@ -97,12 +92,26 @@ def reading_step(gate: fold.ScaleGate):
                     rank = (away, -_quality(a["text"]) - _quality(b["text"]), (not a["is_primary"]) + (not b["is_primary"]), a["ord"], b["ord"])
                     best = min(best, (rank, a, b), key=lambda x: x[0]) if best else (rank, a, b)
         if best:
-            return accepted(best[1], best[2], "ACCEPT_RETRY", True)
+            _, a, b = best
+            pair = (a["value"], b["value"])
+            return pair, (*pair, a["text"], b["text"], named(a), named(b), *pair, "ACCEPT_RETRY", True)
         return last, (None,) * 6 + (*(last or (None, None)), "HOLD_PREVIOUS", True)
 
     return step
 
 
+def _own_pairs(samples: DataFrame, gate: fold.ScaleGate) -> DataFrame:
+    """samples with flat columns of `own` in its place: low and high, null where they are not plausible, and the readings shown."""
+    at = lambda label, k: F.try_element_at(F.filter("own", lambda c: c["label"] == label), F.lit(k))
+    a, b = at("MIN", -1), at("MAX", -1)
+    inside = lambda v: v.between(gate.min_allowed, gate.max_allowed)
+    valid = inside(a["value"]) & inside(b["value"]) & (b["value"] > a["value"]) & (b["value"] - a["value"] >= gate.min_span)
+    named = lambda c: F.concat(F.coalesce(c["method"], F.lit("None")), F.lit("/PSM"), F.coalesce(c["psm"].cast("string"), F.lit("None")))
+    shown = {f"p_{k}_{f}": at(label, 1)[f] for k, label in (("min", "MIN"), ("max", "MAX")) for f in ("value", "text")}
+    accepted = {"own_low_text": a["text"], "own_high_text": b["text"], "own_low_method": named(a), "own_high_method": named(b)}
+    return samples.withColumns({"low": F.when(valid, a["value"]), "high": F.when(valid, b["value"])} | shown | accepted).drop("own")
+
+
 def _grouped(candidates: DataFrame, name: str) -> DataFrame:
     item = F.struct("label", "ord", "value", "text", "method", "psm", "is_primary")
     return candidates.groupBy("video_id", "frame").agg(F.array_sort(F.collect_list(item)).alias(name))
@@ -146,24 +155,33 @@ def scale_readings(frames: DataFrame, primary: DataFrame, retry: Callable[[DataF
 
     frames: video_id, frame, timestamp_seconds. primary: label_candidates of the sampled frames by the configured recipe. retry: gives
     the candidates of all recipes for a table of (video_id, frame); it is called for the frames alone in which the configured recipe
-    fails, until no further frame needs it: an accepted retry moves the trusted scale, which may put later frames in doubt. After `rounds`
+    fails, until no further frame needs it: an accepted retry moves the trusted scale, which may put later frames in doubt; each round
+    runs over the videos alone that asked for readings. After `rounds`
     rounds all sampled frames from a video's first open one on are read by all recipes, so a long clip takes no more than rounds + 1. seeds:
     video_id, seed_low, seed_high, trusted before the first frame. A video whose first frames have no trusted scale is an error.
     """
     samples = _grouped(primary, "own")
+    kind = samples.schema["own"].dataType
+    samples = _own_pairs(samples, gate)
     if seeds is None:
         samples = samples.withColumns({"seed_low": F.lit(None).cast("double"), "seed_high": F.lit(None).cast("double")})
     else:
         samples = samples.join(seeds.select("video_id", "seed_low", "seed_high"), "video_id", "left")
-    samples, more, done = stored(samples), None, 0
+    samples, more, done, ended = stored(samples), None, 0, []
+    own = [c for c in samples.columns if c.startswith(("p_", "own_"))]
     while True:
-        none = F.lit(None).cast(samples.schema["own"].dataType)
-        rows = samples.withColumn("candidates", none) if more is None else samples.join(more, ["video_id", "frame"], "left")
-        found = stored(fold.ordered_fold(rows, "video_id", ["frame"], ["own", "candidates", "seed_low", "seed_high"], reading_step(gate), READING_FIELDS, keep=["own"]))
+        rows = samples.withColumn("candidates", F.lit(None).cast(kind)) if more is None else samples.join(more, ["video_id", "frame"], "left")
+        found = fold.ordered_fold(rows, "video_id", ["frame"], ["low", "high", "candidates", "seed_low", "seed_high"], reading_step(gate), READING_FIELDS, keep=own)
+        found = stored(found)
         needed = found.filter("again").select("video_id", "frame")
         needed = stored(needed if more is None else needed.join(more, ["video_id", "frame"], "left_anti"))
         if needed.isEmpty():
+            ended.append(found)
             break
+        # the other videos' logs are complete
+        open_ones = needed.select("video_id").distinct()
+        ended.append(found.join(open_ones, "video_id", "left_anti"))
+        samples = samples.join(open_ones, "video_id", "left_semi")
         done += 1
         if done > rounds:
             since = needed.groupBy("video_id").agg(F.min("frame").alias("since"))
@@ -171,10 +189,11 @@ def scale_readings(frames: DataFrame, primary: DataFrame, retry: Callable[[DataF
             needed = stored(rest if more is None else rest.join(more, ["video_id", "frame"], "left_anti"))
         made = _grouped(retry(needed), "candidates")
         # a frame without any candidate has an empty list, so that it is not asked for again
-        made = needed.join(made, ["video_id", "frame"], "left").withColumn("candidates", F.coalesce("candidates", F.array().cast(samples.schema["own"].dataType)))
-        more = stored(made if more is None else more.unionByName(made))
-    of = lambda label, field: F.get(F.filter("own", lambda c: c["label"] == label), F.lit(0))[field]
-    found = found.withColumns({f"p_{k}_{f}": of(label, f) for k, label in (("min", "MIN"), ("max", "MAX")) for f in ("value", "text")})
+        made = stored(needed.join(made, ["video_id", "frame"], "left").withColumn("candidates", F.coalesce("candidates", F.array().cast(kind))))
+        more = made if more is None else more.unionByName(made)
+    found = reduce(DataFrame.unionByName, ended)
+    texts = ("low_text", "high_text", "low_method", "high_method")
+    found = found.withColumns({c: F.when(F.col("status") == "ACCEPT_PRIMARY", F.col(f"own_{c}")).otherwise(F.col(c)) for c in texts})
     both = carry_forward(frames.join(found, ["video_id", "frame"], "left"), "video_id", "frame", ["held_low", "held_high"])
     log = both.select(
         "video_id", "frame", "timestamp_seconds", F.col("status").isNotNull().cast("int").alias("was_ocr_sampled"), F.col("p_min_value").alias("primary_min_temp"), F.col("p_max_value").alias("primary_max_temp"),

@@ -327,3 +327,32 @@ def test_retry_rounds_are_bounded(spark):
     exact, asked[:] = list(asked), []
     bounded = R.scale_readings(frames, primary, retry, gate, rounds=1).orderBy("frame").collect()
     assert bounded == free and len(asked) <= 2 and len(exact) >= len(asked)
+
+
+def test_rounds_run_over_open_videos_only(spark, monkeypatch):
+    """Of three videos one asks twice, one once and one never: the fold's runs see three, two and one of them; the texts are flat."""
+    seen, run = [], fold.ordered_fold
+
+    def counted(df, *args, **kwargs):
+        seen.append((sorted(r.video_id for r in df.select("video_id").distinct().collect()), "own" in df.columns))
+        return run(df, *args, **kwargs)
+
+    monkeypatch.setattr(fold, "ordered_fold", counted)
+    label = lambda v, f, name, value, k=0: (v, f, name, k, f"m{k}", 7, str(value), 1.0, k == 0, value)
+    own = {("a", 0): (10.0, 40.0), ("a", 2): (None, 40.0), ("a", 4): (12.0, 40.0), ("b", 0): (10.0, 40.0), ("b", 2): (None, 40.0), ("c", 0): (20.0, 50.0), ("c", 2): (21.0, 50.0)}
+    schema = f"{R.CANDIDATE_SCHEMA}, value double"
+    labels = lambda keys: [label(v, f, n, x) for v, f in keys for n, x in zip(("MIN", "MAX"), own[v, f])]
+    better = {("a", 2): 8.0, ("a", 4): 9.0}
+
+    def retry(needed):
+        keys = [(r.video_id, r.frame) for r in needed.collect()]
+        return spark.createDataFrame(labels(keys) + [label(v, f, "MIN", better[v, f], 1) for v, f in keys if (v, f) in better], schema)
+
+    frames = spark.createDataFrame([(v, f, f / 10.0) for v, f in own], "video_id string, frame int, timestamp_seconds double")
+    rows = R.scale_readings(frames, spark.createDataFrame(labels(own), schema), retry, fold.ScaleGate()).orderBy("video_id", "frame").collect()
+    assert [(r.video_id, r.frame, r.status, r.clean_min_temp_used, r.accepted_min_text, r.accepted_min_method) for r in rows] == [
+        ("a", 0, "ACCEPT_PRIMARY", 10.0, "10.0", "m0/PSM7"), ("a", 2, "ACCEPT_RETRY", 8.0, "8.0", "m1/PSM7"), ("a", 4, "ACCEPT_RETRY", 9.0, "9.0", "m1/PSM7"),
+        ("b", 0, "ACCEPT_PRIMARY", 10.0, "10.0", "m0/PSM7"), ("b", 2, "HOLD_PREVIOUS", 10.0, None, None),
+        ("c", 0, "ACCEPT_PRIMARY", 20.0, "20.0", "m0/PSM7"), ("c", 2, "ACCEPT_PRIMARY", 21.0, "21.0", "m0/PSM7"),
+    ]
+    assert seen == [(["a", "b", "c"], False), (["a", "b"], False), (["a"], False)]
