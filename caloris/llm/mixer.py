@@ -26,7 +26,7 @@ import numpy as np
 
 BLOCK, PIECE = 1024, 1 << 20
 #: Bytes coded side by side, bytes whose contexts are computed at a time, blocks in one array, steps whose inputs are gathered at a time.
-GROUP, SLICE, LANES, STEPS = 4 << 20, 1 << 19, 512, 32
+GROUP, SLICE, LANES, STEPS = 4 << 20, 1 << 19, 1024, 32
 RATE, MAP_RATE, MAP_CELLS = 0.02, 0.02, 64
 START_WEIGHT = 0.35
 #: Log odds are held in eight bits, in steps of 1 / SCALE.

@@ -723,3 +723,15 @@ def test_patience_alignment():
     assert [a[i] for i, _ in licenses.patience(a, b)] == b"a b c d e g".split()
     assert licenses.longest_increasing([(0, 5), (1, 1), (2, 2), (3, 9), (4, 3)]) == [(1, 1), (2, 2), (4, 3)]
     assert licenses.patience([], b) == [] and licenses.patience(a, a) == [(i, i) for i in range(7)]
+
+
+def test_mixer_runs_a_thousand_blocks_side_by_side(monkeypatch):
+    runs, run = [], mixer._run
+    monkeypatch.setattr(mixer, "_run", lambda *a: runs.append(len(a[3])) or run(*a))
+    texts = [b"text %d" % i for i in range(1000)]
+    form = mixer.shape(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256), 1000)
+    table = np.zeros(form.total, np.int8)
+    whole = mixer.code(table, form, texts)
+    assert runs == [1000]
+    monkeypatch.setattr(mixer, "LANES", 7)
+    assert np.array_equal(mixer.code(table, form, texts), whole)
