@@ -2,7 +2,7 @@
 
 Texts are lower-cased (A-Z) and stored by chunks of about CHUNK bytes of consecutive texts, or of one longer text.
 
-Word frequencies: a chunk's distinct words, in order of first use, are listed as it is stored, dealt by a hash to pieces of the
+Word frequencies: a chunk's distinct words, in an order fixed by its texts, are listed as it is stored, dealt by a hash to pieces of the
 vocabulary, each word with its number in the chunk's training texts. A piece adds these up and answers each chunk's list with the
 sums alone. So each distinct word of a chunk moves once and its sum once, a common word once a chunk, and no task holds more than a
 piece. Answers meet the texts in one task a chunk.
@@ -19,6 +19,7 @@ equal scores. Columns other than the id and the text are not read, whatever thei
 from __future__ import annotations
 
 import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import chain
 
@@ -64,15 +65,15 @@ def chunks(df: DataFrame, id_col: str, text_col: str, training: Column, pieces:
             for k in range(0, len(texts), SLICE):
                 some = texts[k : k + SLICE]
                 yield made(len(some), chunk=[number] * len(some), nth=list(range(k, k + len(some))), id=ids[k : k + SLICE], training=learnt[k : k + SLICE], text=some)
-            of, words, dealt = vocabulary(texts, pieces)
-            counts, held = np.zeros(len(words), np.int64), np.zeros(256, np.int64)
-            for x, text, t in zip(of, texts, learnt, strict=True):
+            times = counted(texts, learnt)
+            words, counts, held = list(times), np.fromiter(times.values(), "<i4", len(times)), np.zeros(256, np.int64)
+            for text, t in zip(texts, learnt, strict=True):
                 if t:
-                    np.add.at(counts, x, 1)
                     held += np.bincount(np.frombuffer(text, np.uint8), minlength=256)
-            full = [p for p in range(pieces) if len(dealt[p])]
-            lists = [b" ".join([words[i] for i in dealt[p].tolist()]) for p in full]
-            numbers = [counts[dealt[p]].astype("<i4").tobytes() for p in full]
+            of = dealt(words, pieces)
+            full = [p for p in range(pieces) if len(of[p])]
+            lists = [b" ".join([words[i] for i in of[p].tolist()]) for p in full]
+            numbers = [counts[of[p]].tobytes() for p in full]
             yield made(len(full) + 1, chunk=[number] * (len(full) + 1), piece=[*full, -1], words=[*lists, None], counts=[*numbers, held.tobytes()])
 
         for batch in batches:
@@ -91,15 +92,29 @@ def chunks(df: DataFrame, id_col: str, text_col: str, training: Column, pieces:
     return rows.mapInArrow(run, schema)
 
 
-def vocabulary(texts: list[bytes], pieces: int) -> tuple[list[np.ndarray], list[bytes], list[np.ndarray]]:
-    """The numbers of each text's words, the distinct words by number, and the numbers of each piece's words."""
-    split = [tokens(t) for t in texts]
-    words = list(dict.fromkeys(chain.from_iterable(split)))
-    index = dict(zip(words, range(len(words)), strict=True)).__getitem__
-    ids = [np.fromiter(map(index, t), np.int64, len(t)) for t in split]
+def counted(texts: list[bytes], learnt: list[bool]) -> dict[bytes, int]:
+    """The distinct words with their numbers in the training texts: first those of other texts, then the rest, each in order of first use."""
+    out = dict.fromkeys(chain.from_iterable(tokens(x) for x, t in zip(texts, learnt, strict=True) if not t), 0)
+    out.update(Counter(chain.from_iterable(tokens(x) for x, t in zip(texts, learnt, strict=True) if t)))
+    return out
+
+
+def numbered(texts: list[bytes], learnt: list[bool]) -> tuple[list[np.ndarray], list[bytes]]:
+    """The numbers of each text's words, and the distinct words by number, in counted()'s order."""
+    number: defaultdict[bytes, int] = defaultdict()
+    number.default_factory = number.__len__
+    ids = [np.zeros(0, np.int64)] * len(texts)
+    for i in sorted(range(len(texts)), key=learnt.__getitem__):
+        words = tokens(texts[i])
+        ids[i] = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    return ids, list(number)
+
+
+def dealt(words: list[bytes], pieces: int) -> list[np.ndarray]:
+    """The numbers of each piece's words."""
     piece = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % pieces
     order = np.argsort(piece, kind="stable")
-    return ids, words, np.split(order, np.searchsorted(piece[order], np.arange(1, pieces)))
+    return np.split(order, np.searchsorted(piece[order], np.arange(1, pieces)))
 
 
 def summed(lists: DataFrame) -> DataFrame:
@@ -196,10 +211,10 @@ def score(df: DataFrame, training: Column, id_col: str = "doc_id", text_col: str
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.sort_by("nth")
         texts = left.column("text").to_pylist()
-        ids, words, dealt = vocabulary(texts, pieces)
-        c = np.zeros(len(words), np.int64)
+        ids, words = numbered(texts, left.column("training").to_pylist())
+        c, of = np.zeros(len(words), np.int64), dealt(words, pieces)
         for piece, sums in zip(right.column("piece").to_pylist(), right.column("sums").to_pylist(), strict=True):
-            c[dealt[piece]] = np.frombuffer(sums, "<i8")
+            c[of[piece]] = np.frombuffer(sums, "<i8")
         logs, known = np.log10(c + 0.5) - bottom, c > 0
         bits = mixer.code(shared.value, form, texts)
         sizes = np.array([len(x) for x in texts])

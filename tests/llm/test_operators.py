@@ -735,3 +735,43 @@ def test_mixer_runs_a_thousand_blocks_side_by_side(monkeypatch):
     assert runs == [1000]
     monkeypatch.setattr(mixer, "LANES", 7)
     assert np.array_equal(mixer.code(table, form, texts), whole)
+
+
+def test_units_of_a_kind_are_looked_up_once(monkeypatch):
+    """Equal units behind equal bytes and word starts share a kind, and units are what they are one step at a time."""
+    texts = [b"the river in the valley " * 300, b"", b"\0\0a\0", bytes(range(256)) * 2, b"the river in the valley " * 300, "zo\u00eb".encode()]
+    form = mixer.shape(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256), 4000)
+    for piece, part in ((1 << 20, 1 << 19), (100, 150)):
+        monkeypatch.setattr(mixer, "PIECE", piece)
+        monkeypatch.setattr(mixer, "SLICE", part)
+        u = mixer.units([p for t in texts for p in mixer.pieces(t)], form)
+        want = [p for t in texts for p in brute_units(form, t)]
+        assert u.sizes.tolist() == [len(p) for p in want]
+        got = zip(*(x[u.kind].tolist() for x in (u.code, u.base, *u.contexts)), strict=True)
+        assert [(c, b, tuple(h)) for c, b, *h in got] == [tuple(x) for p in want for x in p]
+    assert len(mixer.units([p for t in texts[:1] for p in mixer.pieces(t)], form).code) < 200
+
+
+def test_keys_that_share_a_slot_stay_apart():
+    keys = np.random.default_rng(2).integers(0, 1 << 63, 500).astype(np.uint64)[np.random.default_rng(3).integers(0, 500, 4000)]
+    alike = mixer._alike(keys)
+    assert (keys[alike] == keys).all() and (alike[alike] == alike).all() and len(set(alike.tolist())) < 1500
+
+
+def test_many_kinds_of_units_are_coded_in_parts(monkeypatch):
+    texts = [b"text %d of several" % i for i in range(50)]
+    form = mixer.shape(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256), 1000)
+    table = predictor(form, texts)
+    whole, held, run = mixer.code(table, form, texts), [], mixer._run
+    monkeypatch.setattr(mixer, "KINDS", 100)
+    monkeypatch.setattr(mixer, "_run", lambda *a: held.append(len(a[0])) or run(*a))
+    assert np.allclose(mixer.code(table, form, texts), whole, rtol=1e-5) and max(held) <= 100
+
+
+def test_words_are_numbered_in_the_order_they_are_counted():
+    texts, learnt = [b"b a b", b"c a", b"", b"a d a"], [True, False, True, True]
+    counts = lm.counted(texts, learnt)
+    ids, words = lm.numbered(texts, learnt)
+    assert counts == {b"c": 0, b"a": 3, b"b": 2, b"d": 1} and words == list(counts)
+    assert [[words[i] for i in x] for x in ids] == [t.split() for t in texts]
+    assert sorted(i for x in lm.dealt(words, 3) for i in x.tolist()) == [0, 1, 2, 3]
